@@ -7,22 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.llm.minhash import near_duplicates
+from stridelake.llm.quality import quality_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_read(spark, sf_dir, "documents")).drop("removed_lines")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), width=4, percent=80)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_minhash": op6_minhash}
+    return {"op5_quality_rules": op5_quality_rules, "op6_minhash": op6_minhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_minhash": OP6_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op6_minhash": OP6_SQL}
 
 
 OP6_SQL = r"""
@@ -58,3 +63,35 @@ SELECT d.doc_id, coalesce(k.n, 0)::BIGINT AS n_shingles,
   coalesce(comp.c, node.v, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN keys k USING (doc_id) LEFT JOIN node USING (h) LEFT JOIN comp ON comp.v = node.v
 """
+
+OP5_SQL = r"""
+WITH t AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS x,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ln
+  FROM documents),
+g AS (
+  SELECT doc_id, i, w[i:i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) > 2)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+lines AS MATERIALIZED (
+  SELECT doc_id, host, x, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+', ' ', 'g')) AS l
+  FROM (SELECT doc_id, host, x, unnest(ln) AS l FROM t)),
+freq AS (SELECT host, l, min(doc_id) AS first FROM lines GROUP BY host, l HAVING count(DISTINCT x) > 25),
+lost AS (SELECT doc_id, sum(length(l)) AS n FROM lines JOIN freq USING (host, l) WHERE doc_id <> first GROUP BY doc_id),
+total AS (SELECT doc_id, sum(length(l)) AS n FROM lines GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+    length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines,
+    coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(lost.n, 0)::BIGINT AS n_removed_chars, coalesce(total.n, 0)::BIGINT AS n
+  FROM t LEFT JOIN cov USING (doc_id) LEFT JOIN lost USING (doc_id) LEFT JOIN total USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT 100 * (n - n_removed_chars) < 20 * n AS kept,
+  n_removed_chars
+FROM base
+"""
