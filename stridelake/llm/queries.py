@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stridelake.llm.language import identify
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.quality import quality_rules
 
@@ -22,8 +23,16 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_quality_rules": op5_quality_rules, "op6_minhash": op6_minhash}
+    return {
+        "op5_quality_rules": op5_quality_rules,
+        "op6_minhash": op6_minhash,
+        "op7_language": op7_language,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
