@@ -5,16 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stridelake.llm.language import identify
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.quality import quality_rules
+from stridelake.llm.suffixes import remove_earlier_copies
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_earlier_copies(_read(spark, sf_dir, "documents"), length=50)
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents")).drop("removed_lines")
 
@@ -29,6 +42,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_minhash": op6_minhash,
         "op7_language": op7_language,
