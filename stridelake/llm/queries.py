@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stridelake.llm.language import identify
 from stridelake.llm.minhash import near_duplicates
+from stridelake.llm.packing import pack_documents
 from stridelake.llm.quality import quality_rules
 from stridelake.llm.suffixes import remove_earlier_copies
 
@@ -28,6 +29,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents")).drop("removed_lines")
 
@@ -43,6 +54,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_suffix_dedup": op2_suffix_dedup,
+        "op3_packing": op3_packing,
         "op5_quality_rules": op5_quality_rules,
         "op6_minhash": op6_minhash,
         "op7_language": op7_language,
