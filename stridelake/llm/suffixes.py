@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,13 +212,20 @@ def earlier_windows(rows: np.ndarray, docs: np.ndarray, anchors: np.ndarray, len
 
 
 class _Chunk:
-    """The texts of one chunk in order of their ids, and its runs."""
+    """The texts of one chunk in order of their ids, and its runs; whole copies of earlier texts count as empty."""
 
-    def __init__(self, table: pa.Table, length: int, runs: bool = True) -> None:
+    def __init__(self, table: pa.Table, length: int, copies: list[bytes], runs: bool = True) -> None:
         ids = table.column("_id").to_numpy()
         self.order = np.argsort(ids, kind="stable")
         self.ids = ids[self.order]
         self.table = table.take(pa.array(self.order))
+        gone = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in copies]])
+        self.copied = np.isin(self.ids, gone)
+        if runs:
+            body = self.table.column("_body").combine_chunks()
+            self.table = self.table.set_column(
+                self.table.column_names.index("_body"), "_body", pc.if_else(pa.array(self.copied), "", body)
+            )
         self.data, self.offsets = W.buffers(self.table.column("_body"))
         self.length = length
         if runs:
@@ -251,22 +259,34 @@ def _unbits(x: bytes, n: int) -> np.ndarray:
 
 
 def _packed(x: np.ndarray) -> bytes:
+    """Bytes of x, as differences if it has one dimension, compressed."""
+    if x.ndim == 1:
+        x = np.diff(x, prepend=x.dtype.type(0))
+        x = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T)
     return pa.compress(x.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpacked(x: bytes, size: int, kind: type) -> np.ndarray:
-    return np.frombuffer(pa.decompress(x, decompressed_size=size, codec="zstd", asbytes=True), kind)
+def _unpacked(x: bytes, shape: tuple[int, ...], kind: type) -> np.ndarray:
+    size = int(np.prod(shape)) * np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(x, decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    if len(shape) > 1:
+        return flat.reshape(shape)
+    return np.cumsum(np.ascontiguousarray(flat.reshape(-1, shape[0]).T).view(kind).ravel(), dtype=kind)
 
 
 _VALUES = "bucket int, chunk int, n long, vals binary, several binary"
 _ANSWERS = "chunk int, bucket int, shared binary, hot binary"
 _CONTEXTS = "bucket int, chunk int, n long, rows binary, docs binary, runs long, owner binary, lows binary, texts binary"
-_MASKS = "chunk int, lows binary, masks binary"
+_MASKS = "chunk int, n long, lows binary, masks binary"
+#: In place of a bucket, for the ids of whole copies; in marks their number is below zero.
+COPIES = -1
 
 
-def _announce(buckets: int, length: int) -> Callable[[pa.Table], pa.Table]:
-    def run(table: pa.Table) -> pa.Table:
-        chunk = _Chunk(table, length)
+def _announce(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(table: pa.Table, copies: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _table([], ["bucket", "chunk", "n", "vals", "several"], "iilbb")
+        chunk = _Chunk(table, length, copies.column("shared").to_pylist())
         number = table.column("_chunk")[0].as_py()
         out = [
             (b, number, len(v), v.tobytes(), _bits(several)) for b, v, several, _ in chunk.by_bucket(buckets)
@@ -276,30 +296,34 @@ def _announce(buckets: int, length: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    counts = table.column("n").to_pylist()
-    values = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("vals")])
-    several = np.concatenate(
-        [_unbits(x.as_py(), n) for x, n in zip(table.column("several"), counts, strict=True)]
-    )
-    _, group, times = np.unique(values, return_inverse=True, return_counts=True)
-    shared = (times > 1) | (np.bincount(group, several) > 0)
-    hot = times > HOT_CHUNKS
-    out, at = [], 0
-    for chunk, n in zip(table.column("chunk").to_pylist(), counts, strict=True):
-        own = group[at : at + n]
-        at += n
-        out.append((chunk, table.column("bucket")[0].as_py(), _bits(shared[own]), _bits(hot[own])))
-    return _table(out, ["chunk", "bucket", "shared", "hot"], "iibb")
+def _answer(hot_chunks: int) -> Callable[[pa.Table], pa.Table]:
+    def run(table: pa.Table) -> pa.Table:
+        counts = table.column("n").to_pylist()
+        values = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("vals")])
+        several = np.concatenate(
+            [_unbits(x.as_py(), n) for x, n in zip(table.column("several"), counts, strict=True)]
+        )
+        _, group, times = np.unique(values, return_inverse=True, return_counts=True)
+        shared = (times > 1) | (np.bincount(group, several) > 0)
+        hot = times > hot_chunks
+        out, at = [], 0
+        for chunk, n in zip(table.column("chunk").to_pylist(), counts, strict=True):
+            own = group[at : at + n]
+            at += n
+            out.append((chunk, table.column("bucket")[0].as_py(), _bits(shared[own]), _bits(hot[own])))
+        return _table(out, ["chunk", "bucket", "shared", "hot"], "iibb")
+
+    return run
 
 
 def _send(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["bucket", "chunk", "n", "rows", "docs", "runs", "owner", "lows", "texts"]
-        if not answers.num_rows or not table.num_rows:
-            return _table([], names, "iilbblbbb")
-        chunk = _Chunk(table, length)
         replies = {r["bucket"]: r for r in answers.to_pylist()}
+        copies = replies.pop(COPIES, None)
+        if not replies or not table.num_rows:
+            return _table([], names, "iilbblbbb")
+        chunk = _Chunk(table, length, [copies["shared"]] if copies else [])
         picked, burst = [], []
         for b, v, _, (part, index) in chunk.by_bucket(buckets):
             shared, hot = (_unbits(replies[b][k], len(v)) for k in ("shared", "hot"))
@@ -324,16 +348,17 @@ def _send(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]
         order, group = group_rows(bucket.astype(np.uint64), one, two)
         fresh = np.append(True, np.diff(group[order]) > 0)
         lead = order[fresh]
+        edges = np.append(np.flatnonzero(fresh), len(order))
         number = table.column("_chunk")[0].as_py()
         out = []
         for g in np.split(np.arange(len(lead)), np.flatnonzero(np.diff(bucket[lead])) + 1):
-            mine = order[np.searchsorted(group[order], g[0]) : np.searchsorted(group[order], g[-1], side="right")]
+            mine = np.sort(order[edges[g[0]] : edges[g[-1] + 1]])
             heads = lead[g]
             out.append(
                 (
                     int(bucket[heads[0]]), number, len(heads), _packed(rows[heads]),
-                    chunk.ids[chunk.texts[runs[heads]]].tobytes(), len(mine),
-                    _packed((group[mine] - g[0]).astype(np.uint32)), lows[mine].astype(np.uint32).tobytes(),
+                    _packed(chunk.ids[chunk.texts[runs[heads]]]), len(mine),
+                    _packed((group[mine] - g[0]).astype(np.uint32)), _packed(lows[mine].astype(np.uint32)),
                     _packed(chunk.ids[chunk.texts[runs[mine]]]),
                 )
             )
@@ -347,8 +372,8 @@ def _judge(length: int) -> Callable[[pa.Table], pa.Table]:
 
     def run(table: pa.Table) -> pa.Table:
         sent = table.to_pylist()
-        rows = np.concatenate([_unpacked(r["rows"], r["n"] * wide, np.uint8).reshape(-1, wide) for r in sent])
-        docs = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in sent])
+        rows = np.concatenate([_unpacked(r["rows"], (r["n"], wide), np.uint8) for r in sent])
+        docs = np.concatenate([_unpacked(r["docs"], (r["n"],), np.int64) for r in sent])
         with np.errstate(over="ignore"):
             one, two = row_hashes(rows)
             order, group = group_rows(one, two)
@@ -367,26 +392,37 @@ def _judge(length: int) -> Callable[[pa.Table], pa.Table]:
         for r in sent:
             own = group[at : at + r["n"]]
             at += r["n"]
-            here = own[_unpacked(r["owner"], 4 * r["runs"], np.uint32)]
-            held = _unpacked(r["texts"], 8 * r["runs"], np.int64)
+            here = own[_unpacked(r["owner"], (r["runs"],), np.uint32)]
+            held = _unpacked(r["texts"], (r["runs"],), np.int64)
             masks = np.where(held > least[here], whole[here], found[here])
             some = masks != 0
             if some.any():
-                lows = np.frombuffer(r["lows"], np.uint32)[some]
-                out.append((r["chunk"], lows.tobytes(), masks[some].tobytes()))
-        return _table(out, ["chunk", "lows", "masks"], "ibb")
+                lows = _unpacked(r["lows"], (r["runs"],), np.uint32)[some]
+                out.append((r["chunk"], int(some.sum()), _packed(lows), _packed(masks[some])))
+        return _table(out, ["chunk", "n", "lows", "masks"], "ilbb")
 
     return run
 
 
 def _finish(length: int, whole_characters: bool, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(table: pa.Table, marks: pa.Table) -> pa.Table:
-        chunk = _Chunk(table, length, runs=False)
+        sent = marks.to_pylist()
+        chunk = _Chunk(table, length, [r["lows"] for r in sent if r["n"] < 0], runs=False)
         n = len(chunk.data)
         steps = np.zeros(n + 1, np.int32)
-        for low, mask in zip(marks.column("lows"), marks.column("masks"), strict=True):
-            lows = np.frombuffer(low.as_py(), np.uint32).astype(np.int64)
-            masks = np.frombuffer(mask.as_py(), np.uint32)
+        sizes = np.diff(chunk.offsets)
+        copied = chunk.copied & (sizes >= length)
+        np.add.at(steps, chunk.offsets[:-1][copied], 1)
+        np.add.at(steps, chunk.offsets[1:][copied], -1)
+        # Runs were placed as if whole copies were empty.
+        placed = np.concatenate([[0], np.cumsum(np.where(chunk.copied, 0, sizes))])
+        for r in sent:
+            if r["n"] < 0:
+                continue
+            lows = _unpacked(r["lows"], (r["n"],), np.uint32).astype(np.int64)
+            masks = _unpacked(r["masks"], (r["n"],), np.uint32)
+            text = np.searchsorted(placed, lows, side="right") - 1
+            lows += chunk.offsets[text] - placed[text]
             for k in range(length - GRAM + 1):
                 at = lows[(masks >> np.uint32(k)) & np.uint32(1) == 1] + k
                 np.add.at(steps, at, 1)
@@ -434,6 +470,25 @@ def _table(rows: list[tuple], names: list[str], kinds: str) -> pa.Table:
     return pa.table([pa.array(list(c), _KINDS[k]) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def _whole_copies(texts: DataFrame) -> DataFrame:
+    """Per chunk the ids of texts that equal one with a smaller id, as packed little-endian longs.
+
+    The smallest id of a text is found by partial aggregation, so a text that a
+    third of all documents repeat costs one row per task.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = np.sort(table.column("id").to_numpy())
+        return _table(
+            [(table.column("chunk")[0].as_py(), COPIES, ids.tobytes(), b"")], ["chunk", "bucket", "shared", "hot"], "iibb"
+        )
+
+    keyed = texts.where("body <> ''").select("chunk", "id", F.unhex(F.sha2("body", 256)).alias("key"))
+    firsts = keyed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copied = keyed.join(firsts, "key").where("id <> first").select("chunk", "id")
+    return copied.groupBy("chunk").applyInArrow(run, _ANSWERS)
+
+
 def remove_earlier_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -442,6 +497,7 @@ def remove_earlier_copies(
     whole_characters: bool = False,
     carry: list[str] | None = None,
     chunk_bytes: int = CHUNK_BYTES,
+    hot_chunks: int = HOT_CHUNKS,
 ) -> DataFrame:
     """One row per document: the id, the columns in carry, n_bytes, removed_spans and kept.
 
@@ -451,27 +507,36 @@ def remove_earlier_copies(
     string from which only wholly covered characters have gone. Null texts count
     as empty; ids must be unique and not null; repeated texts lose all but the
     copy with the smallest id, unless shorter than `length`. An empty table gives
-    no rows, and columns of any name may stand beside id and text.
+    no rows, and columns of any name may stand beside id and text. A chunk of
+    about chunk_bytes of text is what one task holds; raise it with the memory of
+    the workers, since every chunk sends a row to every bucket.
     """
     if not GRAM + 8 <= length <= GRAM + 31:
         raise ValueError(f"length must be from {GRAM + 8} to {GRAM + 31}")
     carry = carry or []
     size = docs.select(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     pieces = max(1, -(-size // chunk_bytes))
+    buckets = -(-pieces // 2)
     names = [f"_c{i}" for i in range(len(carry))]
-    chunk: Column = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit("chunk")), F.lit(pieces)).cast("int")
+    doc = F.col(id_col).cast("long")
+    chunk: Column = F.pmod(F.xxhash64(doc, F.lit("chunk")), F.lit(pieces)).cast("int")
     source = docs.select(
         chunk.alias("_chunk"),
-        F.col(id_col).cast("long").alias("_id"),
+        doc.alias("_id"),
         F.col(text_col).alias("_body"),
         *[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)],
     ).repartition("_chunk")
-    values = source.groupBy("_chunk").applyInArrow(_announce(pieces, length), _VALUES)
-    answers = values.groupBy("bucket").applyInArrow(_answer, _ANSWERS)
+    copies = _whole_copies(docs.select(chunk.alias("chunk"), doc.alias("id"), F.col(text_col).alias("body")))
+    values = source.groupBy("_chunk").cogroup(copies.groupBy("chunk")).applyInArrow(_announce(buckets, length), _VALUES)
+    answers = values.groupBy("bucket").applyInArrow(_answer(hot_chunks), _ANSWERS)
+    replies = answers.unionByName(copies)
     sent = (
-        source.groupBy("_chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_send(pieces, length), _CONTEXTS)
+        source.groupBy("_chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_send(buckets, length), _CONTEXTS)
     )
     marks = sent.groupBy("bucket").applyInArrow(_judge(length), _MASKS)
+    marks = marks.unionByName(
+        copies.select("chunk", F.lit(-1).cast("long").alias("n"), F.col("shared").alias("lows"), F.col("hot").alias("masks"))
+    )
     kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, names, strict=True))
     out = (
         source.groupBy("_chunk")
