@@ -11,6 +11,8 @@ from stridelake.llm.language import identify
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.packing import pack_documents
 from stridelake.llm.quality import quality_rules
+from stridelake.llm.shards import packed_shards
+from stridelake.llm.subwords import encode_with_dropout
 from stridelake.llm.suffixes import remove_earlier_copies
 
 
@@ -18,6 +20,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_with_dropout(_read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_earlier_copies(_read(spark, sf_dir, "documents"), length=50)
     return out.select(
@@ -39,6 +45,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    documents = _read(spark, sf_dir, "documents")
+    return packed_shards(documents, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_read(spark, sf_dir, "documents")).drop("removed_lines")
 
@@ -53,8 +66,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_merge_dropout": op1_merge_dropout,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_packing": op3_packing,
+        "op4_token_shards": op4_token_shards,
         "op5_quality_rules": op5_quality_rules,
         "op6_minhash": op6_minhash,
         "op7_language": op7_language,
