@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridelake.llm.forest import nearest_neighbours
 from stridelake.llm.language import identify
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.packing import pack_documents
@@ -64,6 +65,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
 
+def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_merge_dropout": op1_merge_dropout,
@@ -73,11 +78,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_minhash": op6_minhash,
         "op7_language": op7_language,
+        "op9_hash_forest": op9_hash_forest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL, "op6_minhash": OP6_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op6_minhash": OP6_SQL, "op9_hash_forest": OP9_SQL}
 
 
 OP6_SQL = r"""
@@ -145,3 +151,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_removed_chars
 FROM base
 """
+
+#: Exact search; the forest looks at every vector where a table has no more than it takes as candidates.
+OP9_SQL = r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+    list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda x, y: x + y)) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS r FROM pairs)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 10
+"""
