@@ -17,7 +17,7 @@ UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
 BUCKETS = 1 << 16
 #: The fit reads about so many labelled rows in all, dealt evenly over languages.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 2400
 MAX_LANGUAGES = 1000
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -107,7 +107,7 @@ def fit(
         ids, times = np.unique(
             np.concatenate([g[a[0] : b[0]] for g, (a, b) in zip(grams, places, strict=True)]), return_counts=True
         )
-        features[i] = ids, (times / max(times.sum(), 1)).astype(np.float32)
+        features[i] = ids.astype(np.uint16), (times / max(times.sum(), 1)).astype(np.float32)
     inputs = rng.normal(0, 0.1, (BUCKETS, dims)).astype(np.float32)
     outputs = rng.normal(0, 0.1, (dims, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
