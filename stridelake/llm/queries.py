@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from stridelake.llm.forest import nearest_neighbours
 from stridelake.llm.language import identify
+from stridelake.llm.licences import scan_licences
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.packing import pack_documents
+from stridelake.llm.pages import extract_text
 from stridelake.llm.quality import quality_rules
 from stridelake.llm.shards import packed_shards
 from stridelake.llm.subwords import encode_with_dropout
@@ -65,6 +67,14 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(_read(spark, sf_dir, "documents"))
+
+
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_read(spark, sf_dir, "pages"))
+
+
 def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -78,7 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_minhash": op6_minhash,
         "op7_language": op7_language,
+        "op8_licences": op8_licences,
         "op9_hash_forest": op9_hash_forest,
+        "op10_page_text": op10_page_text,
     }
 
 
