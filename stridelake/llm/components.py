@@ -12,20 +12,24 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """links(a, b) -> (node, component), component being the smallest node reachable.
 
     Every round hands each node the smallest label around it, then jumps to the
-    label's label, so that long chains shrink geometrically. Groups are reduced
-    by partial aggregation before they are shuffled: a hub costs one row per
-    task. Null ends and loops are ignored; an empty table gives an empty result.
+    label's label, so that long chains shrink geometrically and stars settle at once. Groups are reduced by partial aggregation before they are shuffled: a
+    hub costs one row per task. Null ends and loops are ignored; an empty table
+    gives an empty result.
     """
     links = links.select("a", "b").where("a <> b")
     edges = cut(links.union(links.select("b", "a")).distinct())
-    labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component")))
-    for _ in range(rounds):
-        around = (
+    labels = edges.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component"))
+
+    def around(labels: DataFrame) -> DataFrame:
+        return (
             edges.join(labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("component").alias("near"))
         )
-        lower = labels.join(around, "node").select(
+
+    labels = cut(labels)
+    for _ in range(rounds):
+        lower = labels.join(around(labels), "node").select(
             "node", F.col("component").alias("old"), F.least("component", "near").alias("via")
         )
         jump = labels.select(F.col("node").alias("via"), F.col("component").alias("far"))

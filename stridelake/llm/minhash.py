@@ -14,7 +14,7 @@ from stridelake.llm.cluster import cut, text_slices
 from stridelake.llm.components import connected_components
 
 BANDS, ROWS = 30, 4
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 
 
 def fast_similarity_sketch(shingles: np.ndarray, counts: np.ndarray, coordinates: int, seed: int = 1) -> np.ndarray:
@@ -211,9 +211,16 @@ def near_duplicates(
     )
     prefixes = prefixes.join(mixed, "shingle")
     other = prefixes.select(
-        "shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("apart")
+        "shingle",
+        F.col("node").alias("b"),
+        F.col("n").alias("m"),
+        F.col("component").alias("apart"),
+        F.col("at").alias("there"),
     )
-    pairs = prefixes.withColumnRenamed("node", "a").join(other, "shingle").where(f"component < apart AND {fits}")
+    # What the two can share from their first common shingle on must reach what a link needs.
+    enough = f"{100 + percent} * least(n - at, m - there) >= {percent} * (n + m)"
+    pairs = prefixes.withColumnRenamed("node", "a").join(other, "shingle")
+    pairs = pairs.where(f"component < apart AND {enough} AND {fits}")
     components = _components(members, _tried(tried, pairs, sets, percent))
     by_node = nodes.join(components, "node", "left").select(
         "key1", "key2", F.coalesce("component", "node").alias("component")
@@ -268,7 +275,7 @@ def _unsettled(members: DataFrame, components: DataFrame, again: bool = True) ->
 
 
 def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For each node its rarest shingles, as many as sets that agree to `percent` must share one of.
+    """For each node its rarest shingles in order, as many as sets that agree to `percent` must share one of.
 
     A set of n shingles that is linked shares at least percent * n / 100 of them,
     so one of its n - ceil(percent * n / 100) + 1 rarest lies among the rarest of
@@ -288,4 +295,4 @@ def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         )
     )
     rarest = F.expr(f"slice(order, 1, cast(n - (({percent} * n + 99) div 100) + 1 AS int)).shingle")
-    return ranked.select("node", "n", "component", F.explode(rarest).alias("shingle"))
+    return ranked.select("node", "n", "component", F.posexplode(rarest).alias("at", "shingle"))
