@@ -216,11 +216,11 @@ def longest_monotone_segment(spark, sf_dir):
 
 @query(f"""WITH p AS (SELECT seq, frame_index, 0.6 * (1 - least(greatest((x - quantile_cont(x, 0.05) OVER (PARTITION BY seq)) / 80, 0), 1))
   + 0.4 * (1 - least(greatest(abs({_DIFF.format('y')}) / 3000, 0), 1)) AS prob FROM fr {_W}),
-m AS (SELECT *, round(prob, 6) >= 0.5 AS contact FROM p),
+m AS (SELECT *, round(prob, 8) >= 0.5 AS contact FROM p),
 {_RUNS.format('contact').replace('FROM fr', 'FROM m')},
 k AS (SELECT seq, frame_index, prob, contact AND count(*) OVER (PARTITION BY seq, run) >= 2 AS kept FROM i),
 {_RUNS.format('kept').replace('FROM fr', 'FROM k').replace('c AS (', 'c2 AS (').replace('i AS (', 'i2 AS (').replace('FROM c)', 'FROM c2)')}
-SELECT seq, frame_index, round(prob, 5) AS probability, kept OR count(*) OVER (PARTITION BY seq, run) < 2 AS contact FROM i2""")
+SELECT seq, frame_index, round(prob, 8) AS probability, kept OR count(*) OVER (PARTITION BY seq, run) < 2 AS contact FROM i2""")
 def contact_probability(spark, sf_dir):
     df = frames(spark, sf_dir)
     floor = F.percentile("x", 0.05).over(Window.partitionBy("seq"))
@@ -228,10 +228,10 @@ def contact_probability(spark, sf_dir):
     df = df.withColumn(
         "prob",
         0.6 * (1 - scalars.clip((F.col("x") - floor) / 80, 0.0, 1.0)) + 0.4 * (1 - scalars.clip(speed / 3000, 0.0, 1.0)),
-    ).withColumn("mask", F.round("prob", 6) >= 0.5)
+    ).withColumn("mask", F.round("prob", 8) >= 0.5)
     df = S.remove_short_true_runs(df, SEQ, "mask", 2, "kept")
     df = S.fill_short_false_runs(df, SEQ, "kept", 2, "on")
-    return df.select("seq", "frame_index", F.round("prob", 5).alias("probability"), F.col("on").alias("contact"))
+    return df.select("seq", "frame_index", F.round("prob", 8).alias("probability"), F.col("on").alias("contact"))
 
 
 # Smoothing and rolling ------------------------------------------------------
