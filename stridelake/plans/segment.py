@@ -2,9 +2,41 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stridelake.functions.scalars import clip, frames_of, safe_divide, wrap_degrees
+from stridelake.operators import scanners
+from stridelake.operators import sequences as S
+from stridelake.operators.aggregates import majority
+from stridelake.operators.sequences import Sequence
+from stridelake.plans.represent import MOTION
+
+# Labels in order of their index, the confidence of each, and the rule that gives it.
+LABELS = ["stand_to_sit", "sit", "sit_to_stand", "turn", "walk", "adjust"]
+CONFIDENCE = {"stand_to_sit": 0.95, "sit": 0.92, "sit_to_stand": 0.95, "turn": 0.90, "walk": 0.78, "adjust": 0.82}
+RULES = {
+    "stand_to_sit": "stand_to_sit_rule", "sit": "sit_fill", "sit_to_stand": "sit_to_stand_rule", "turn": "turn_rule",
+    "walk": "walk_residual", "adjust": "adjust_relabel",
+}
+
+
+@dataclass(frozen=True)
+class SegmentConfig:
+    speed_sigma_sec: float = 0.12
+    heading_sigma_sec: float = 0.18
+    height_low: float = 0.02
+    height_high: float = 0.98
+    min_height_span: float = 0.16
+    hesitation_walk_speed: float = 0.10
+    hesitation_turn_speed: float = 10.0
+    hesitation_min_sec: float = 0.20
+    min_valid_ratio: float = 0.80
+    min_quality: float = 0.60
+    max_hesitation: float = 0.50
+
 
 def relabel_between(
     segments: DataFrame, keys: list[str], order: str, label: str, before: str, after: str, new: str
@@ -13,3 +45,111 @@ def relabel_between(
     window = Window.partitionBy(*keys).orderBy(order)
     between = (F.lag("label").over(window) == before) & (F.lead("label").over(window) == after)
     return segments.withColumn("label", F.when((F.col("label") == label) & between, new).otherwise(F.col("label")))
+
+
+def signals(frames: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
+    """Frames with the smoothed speeds, normalised height, turn angle and speed that the rules read."""
+    speed, heading = frames_of(cfg.speed_sigma_sec, fps, 0), frames_of(cfg.heading_sigma_sec, fps, 0)
+    df = frames.withColumn("pelvis_speed_mps", S.gaussian_smooth("root_speed_xy_mps", seq, speed))
+    feet = (F.col("left_foot_speed_mps") + F.col("right_foot_speed_mps")) / 2
+    df = df.withColumn("_feet", feet).withColumn("foot_speed_mean_mps", S.gaussian_smooth("_feet", seq, speed))
+    df = df.withColumn("_p", F.percentile("pelvis_height_m", [cfg.height_low, cfg.height_high]).over(Window.partitionBy(*seq.keys)))
+    low, span = F.col("_p")[0], F.greatest(F.col("_p")[1] - F.col("_p")[0], F.lit(1e-4))
+    height = F.when(span < cfg.min_height_span, F.lit(0.5)).otherwise(clip(safe_divide(F.col("pelvis_height_m") - low, span), 0.0, 1.0))
+    df = df.withColumn("pelvis_height_norm", height)
+    df = df.withColumn("_heading", S.gaussian_smooth("heading_unwrapped_deg", seq, heading))
+    df = df.withColumn("heading_smooth_deg", wrap_degrees("_heading"))
+    df = df.withColumn("turn_angle_from_start_deg", F.abs(wrap_degrees(F.col("_heading") - F.first("_heading").over(seq.whole))))
+    df = df.withColumn("turn_speed_deg_s", F.abs(S.gaussian_smooth("yaw_rate_deg_s", seq, heading)))
+    x, y = (F.col(f"root_pos_m.{c}") - F.first(f"root_pos_m.{c}").over(seq.whole) for c in "xy")
+    return df.withColumn("distance_from_start_m", F.sqrt(x * x + y * y)).drop("_feet", "_p", "_heading")
+
+
+def _painted(df: DataFrame, events: DataFrame, seq: Sequence, out: str) -> DataFrame:
+    """df with a mask of the frames that lie in an event."""
+    places = events.select(*seq.keys, F.explode(F.sequence("start", "end")).alias(seq.order)).distinct().withColumn(out, F.lit(True))
+    df = df.join(places, [*seq.keys, seq.order], "left")
+    return df.withColumn(out, F.coalesce(out, F.lit(False)))
+
+
+def label_frames(df: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
+    """Frames of signals() with label, source_rule, confidence and hesitation."""
+    sts = scanners.detect_sit_stand(df, seq, "pelvis_height_norm")
+    for kind in ("stand_to_sit", "sit_to_stand"):
+        df = _painted(df, sts.where(F.col("kind") == kind), seq, f"_{kind}")
+    # Between events: whoever has gone down last, or has yet to stand up first, sits.
+    event = F.when(F.col("_sit_to_stand"), "up").when(F.col("_stand_to_sit"), "down")
+    df = df.withColumn("_event", event)
+    before = F.last("_event", ignorenulls=True).over(seq.so_far)
+    after = F.first("_event", ignorenulls=True).over(seq.onwards)
+    df = df.withColumn("_before", before).withColumn("_after", after)
+    sits = F.when(F.col("_before").isNull(), F.col("_after") == "up").when(F.col("_after").isNull(), F.col("_before") == "down")
+    sits = sits.otherwise((F.col("_before") == "down") & (F.col("_after") == "up"))
+    df = df.withColumn("_sit", F.col("_event").isNull() & F.coalesce(sits, F.lit(False)))
+    df = df.withColumn("_allowed", F.col("_event").isNull() & ~F.col("_sit"))
+    turns = scanners.detect_turns(df, seq, "turn_angle_from_start_deg", "pelvis_speed_mps", "turn_speed_deg_s", "_allowed")
+    df = _painted(df, turns, seq, "_turn")
+    label = (
+        F.when(F.col("_sit_to_stand"), "sit_to_stand").when(F.col("_stand_to_sit"), "stand_to_sit")
+        .when(F.col("_sit"), "sit").when(F.col("_turn"), "turn").otherwise("walk")
+    )
+    df = S.island(df.withColumn("label", label), seq, "label", "_run")
+    # A run of walking between turning and sitting down is an adjustment; its neighbours are read at its ends.
+    run = Window.partitionBy(*seq.keys, "_run").orderBy(seq.order)
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumn("_b", F.lag("label").over(seq.window)).withColumn("_a", F.lead("label").over(seq.window))
+    adjusts = (F.col("label") == "walk") & (F.first("_b").over(whole) == "turn") & (F.last("_a").over(whole) == "stand_to_sit")
+    df = df.withColumn("label", F.when(adjusts, "adjust").otherwise(F.col("label")))
+    for out, table in (("source_rule", RULES), ("confidence", CONFIDENCE)):
+        names = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+        df = df.withColumn(out, names[F.col("label")])
+    slow = ((F.col("label") == "walk") & (F.col("pelvis_speed_mps") < cfg.hesitation_walk_speed)) | (
+        (F.col("label") == "turn") & (F.col("turn_speed_deg_s") < cfg.hesitation_turn_speed)
+    )
+    df = df.withColumn("_slow", F.coalesce(slow, F.lit(False)))
+    df = S.remove_short_true_runs(df, seq, "_slow", frames_of(cfg.hesitation_min_sec, fps), "hesitation")
+    return df.drop("_stand_to_sit", "_sit_to_stand", "_event", "_before", "_after", "_sit", "_allowed", "_turn", "_run", "_b", "_a", "_slow")
+
+
+def with_segments(df: DataFrame, seq: Sequence = MOTION) -> DataFrame:
+    """Labelled frames with segment_no, counted from 1."""
+    return S.island(df, seq, "label", "segment_no").withColumn("segment_no", F.col("segment_no") + 1)
+
+
+def segments(
+    df: DataFrame, fps: float, warnings: DataFrame | None = None, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()
+) -> DataFrame:
+    """One row per segment of with_segments(), with its quality; warnings(keys, gait_warnings) downgrade a sequence's."""
+    n = F.count("*")
+    out = df.groupBy(*seq.keys, "segment_no").agg(
+        F.first("label").alias("label"),
+        F.min("frame_index").alias("start_frame"),
+        F.max("frame_index").alias("end_frame"),
+        (n / fps).alias("duration_sec"),
+        majority("source_rule").alias("source_rule"),
+        F.avg("confidence").alias("confidence"),
+        F.count_if("hesitation").alias("hesitation_overlap_frames"),
+        (F.count_if("hesitation") / n).alias("hesitation_overlap_ratio"),
+        F.avg(F.col("valid_frame_mask").cast("double")).alias("valid_frame_ratio"),
+        F.avg("representation_quality_score").alias("representation_quality_score_mean"),
+    )
+    out = out.withColumn("start_time_sec", F.col("start_frame") / fps).withColumn("end_time_sec", F.col("end_frame") / fps)
+    out = out.withColumn("segment_id", F.format_string("seg_%04d", F.col("segment_no")))
+    out = out.withColumn("auxiliary_overlap_labels", F.when(F.col("hesitation_overlap_frames") > 0, "hesitation").otherwise(""))
+    more = F.array().cast("array<string>")
+    if warnings is not None:
+        out = out.join(warnings.select(*seq.keys, "gait_warnings"), list(seq.keys), "left")
+        more = F.coalesce("gait_warnings", more)
+    invalid = F.col("valid_frame_ratio") < cfg.min_valid_ratio
+    poor = F.coalesce(F.col("representation_quality_score_mean"), F.lit(0.0)) < cfg.min_quality
+    reasons = F.array_compact(
+        F.array(
+            F.when(invalid, f"valid_frame_ratio_below_{cfg.min_valid_ratio:.2f}"),
+            F.when(poor, f"representation_quality_score_below_{cfg.min_quality:.2f}"),
+            F.when(F.col("hesitation_overlap_ratio") > 0, "hesitation_overlap"),
+        )
+    )
+    out = out.withColumn("reasons", F.concat(reasons, more))
+    out = out.withColumn("status", F.when(invalid | poor, "bad").when(F.size("reasons") > 0, "warning").otherwise("good"))
+    used = (F.col("status") != "bad") & (F.col("hesitation_overlap_ratio") < cfg.max_hesitation)
+    return out.withColumn("used_for_extraction", used).drop("gait_warnings")
