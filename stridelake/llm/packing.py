@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stridelake.llm.cluster import text_slices
 from stridelake.llm.tokens import word_tokenizer
+from stridelake.llm.words import mix
 
 CAPACITY = 2048
 #: Documents packed together, on average; the open sequences that a group ends with are a small share of its own.
@@ -55,6 +56,14 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
     return bins, offsets
 
 
+def packing_order(lengths: np.ndarray, docs: np.ndarray, pieces: np.ndarray, capacity: int) -> np.ndarray:
+    """Pieces of over a tenth of the capacity longest first, then the short ones mixed by a hash, which fill what is left."""
+    with np.errstate(over="ignore"):
+        mixed = mix(docs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pieces.astype(np.uint64))
+    short = lengths * 10 <= capacity
+    return np.lexsort((pieces, docs, np.where(short, mixed, 0), np.where(short, 0, -lengths), short))
+
+
 def token_pieces(
     docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int, with_ids: bool
 ) -> DataFrame:
@@ -109,7 +118,7 @@ def pack_documents(
 
     `tokenizer` is the path of a lower-casing word BPE file. Pieces are dealt by a
     hash of document and piece to groups of about GROUP_DOCUMENTS documents, so a
-    very long document spreads too, and each group is packed longest first. A
+    very long document spreads too, and each group is packed in packing_order. A
     null or empty text is one piece that holds end_id alone. Ids must be unique;
     repeated texts are packed like others, other columns are ignored, and an empty
     table gives no rows.
@@ -119,7 +128,8 @@ def pack_documents(
     placed = pieces.withColumn("pack", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        columns = (table.column(c).to_numpy() for c in ("length", "doc_id", "piece"))
+        table = table.take(pa.array(packing_order(*columns, capacity)))
         bins, offsets = sum_of_squares(table.column("length").to_numpy(), capacity)
         first = table.column("pack")[0].as_py() << 40
         table = table.drop_columns(["pack"])
