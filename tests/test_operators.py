@@ -1,0 +1,102 @@
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stridelake.functions import scalars, strings
+from stridelake.operators import aggregates, scanners, sequences, tables
+from stridelake.operators.sequences import Sequence
+
+SEQ = Sequence(("k",), "i")
+
+
+def frame(spark, values, more=""):
+    return spark.createDataFrame([("a", i, *v) if isinstance(v, tuple) else ("a", i, v) for i, v in enumerate(values)], f"k string, i int, x double{more}")
+
+
+def column(df, name):
+    return [r[name] for r in df.orderBy("i").collect()]
+
+
+def test_finite_difference_edges(spark):
+    values = [0.0, 1.0, 4.0, 9.0]
+    got = column(frame(spark, values).withColumn("v", sequences.finite_difference("x", SEQ, 2.0)), "v")
+    assert got == [2.0, 4.0, 8.0, 10.0]
+    assert column(frame(spark, [5.0]).withColumn("v", sequences.finite_difference("x", SEQ, 2.0)), "v") == [0.0]
+
+
+def test_unwrap_equals_numpy(spark):
+    values = [0.0, 170.0, -170.0, 10.0, -170.0, 180.0, -180.0, 0.0, 180.0, 350.0]
+    got = column(sequences.unwrap_degrees(frame(spark, values), SEQ, "x", "u"), "u")
+    assert np.allclose(got, np.unwrap(values, period=360))
+
+
+def test_fill_takes_the_earlier_of_two(spark):
+    rows = [(9.0, False), (1.0, True), (9.0, False), (9.0, False), (9.0, False), (2.0, True), (9.0, False)]
+    df = sequences.nearest_valid_fill(frame(spark, rows, ", ok boolean"), SEQ, ["x"], "ok", [7.0])
+    assert column(df, "x") == [1.0, 1.0, 1.0, 1.0, 2.0, 2.0, 2.0]
+    df = sequences.nearest_valid_fill(frame(spark, [(9.0, False)], ", ok boolean"), SEQ, ["x"], "ok", [7.0])
+    assert column(df, "x") == [7.0]
+
+
+def test_rolling_correlation_without_variance(spark):
+    df = frame(spark, [(1.0, 2.0)] * 10, ", y double").withColumn("r", sequences.rolling_correlation("x", "y", SEQ, 6))
+    assert column(df, "r") == [0.0] * 10
+
+
+def test_gaussian_repeats_the_ends(spark):
+    values = [float(v) for v in np.random.default_rng(1).normal(size=12)]
+    got = column(frame(spark, values).withColumn("s", sequences.gaussian_smooth("x", SEQ, 2)), "s")
+    w = np.array(sequences.gaussian_weights(2))
+    padded = np.pad(values, len(w) // 2, mode="edge")
+    assert np.allclose(got, np.convolve(padded, w[::-1], mode="valid"))
+
+
+def test_half_frames_round_to_even(spark):
+    df = spark.range(1).select(scalars.seconds_to_frames(0.25, 10.0).alias("a"), scalars.seconds_to_frames(0.35, 10.0).alias("b"))
+    assert tuple(df.first()) == (2, 4)
+    assert scalars.frames_of(0.25, 10.0) == 2
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.floats(0, 1, width=32), min_size=3, max_size=60))
+def test_sit_stand_events_advance_and_stay_inside(values):
+    events = scanners.sit_stand_events(np.array(values))
+    for kind, start, end, core, stop in events:
+        assert 0 <= start <= core < stop <= end < len(values)
+        first, last = values[core], values[stop]
+        assert (first <= 0.8 and last <= 0.2) if kind == "stand_to_sit" else (first >= 0.2 and last >= 0.8)
+    assert all(a[2] < b[3] for a, b in zip(events, events[1:]))
+
+
+def test_turn_back_is_cut_at_its_run():
+    angle = np.array([170, 170, 160, 120, 80, 60, 60, 60.0])
+    allowed = np.array([True] * 6 + [False, True])
+    fast = np.ones(8)
+    assert scanners.turn_events(angle, fast, fast * 50, allowed) == [("return_turn", 1, 5, 2, 5)]
+
+
+def test_upsert_unites_columns(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string")
+    new = spark.createDataFrame([(2, "c", 5), (3, "d", 6)], "id int, x string, y int")
+    got = {tuple(r) for r in tables.upsert(old, new, ["id"]).collect()}
+    assert got == {(1, "a", None), (2, "c", 5), (3, "d", 6)}
+
+
+def test_percentile_rank_of_unknown_values(spark):
+    values = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, None), (4, math.nan)], "id int, m double")
+    reference = spark.createDataFrame([(1.0,), (5.0,), (9.0,), (None,)], "m double")
+    got = {r["id"]: r["m_rank"] for r in aggregates.percentile_rank(values, reference, ["m"], ["id"]).collect()}
+    assert got == {1: 0.0, 2: pytest.approx(2 / 3), 3: None, 4: None}
+
+
+def test_names_and_clauses(spark):
+    df = spark.createDataFrame([(" a/b c ", "六维：步态减慢、；平衡良好。")], "n string, t string")
+    header, clauses = strings.split_clauses("t")
+    row = df.select(strings.safe_name("n").alias("n"), header.alias("h"), clauses.alias("c")).first()
+    assert (row["n"], row["h"], row["c"]) == ("a_b_c", "六维：", ["步态减慢", "平衡良好"])
+    flags = df.select(F.transform(clauses, lambda x: strings.has_phrase(x)).alias("f")).first()["f"]
+    assert flags == [True, False]
