@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -24,6 +25,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints of tables that nothing refers to any more.
+
+    Spark does so when the driver collects its garbage, which a driver with memory
+    to spare puts off while an iterative job fills the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows holding about `limit` bytes of text; a longer text stands alone."""
     values = batch.column(batch.schema.get_field_index(column))

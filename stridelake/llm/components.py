@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.cluster import cut
+from stridelake.llm.cluster import cut, release
 
 
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -37,6 +37,7 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
             lower.join(jump, "via").select("node", "old", F.least("via", "far").alias("component"))
         )
         labels = following.select("node", "component")
+        release(links.sparkSession)
         if following.where("component <> old").isEmpty():
             return labels
     raise RuntimeError("components did not settle; raise `rounds`")

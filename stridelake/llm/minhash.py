@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stridelake.llm import words as W
-from stridelake.llm.cluster import cut, text_slices
+from stridelake.llm.cluster import cut, release, text_slices
 from stridelake.llm.components import connected_components
 
 BANDS, ROWS = 30, 4
@@ -166,6 +166,7 @@ def near_duplicates(
     smallest id of its component. Ids must be unique and not null; other columns
     are ignored; an empty table gives no rows.
     """
+    spark = docs.sparkSession
     sketch = cut(sketches(docs, id_col, text_col, width, bands, rows))
     nodes = (
         sketch.where("n_shingles > 0")
@@ -175,21 +176,23 @@ def near_duplicates(
         .withColumnRenamed("doc_id", "node")
     )
     nodes = cut(nodes)
+    release(spark)
     entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     shared = (
         entries.groupBy("band")
         .agg(F.count("*").alias("size"))
         .where("size > 1")
     )
-    members = cut(entries.join(shared, "band"))
+    reach = F.sum("size").over(Window.partitionBy("node")).alias("reach")
+    members = cut(entries.join(shared, "band").select("band", "node", "n", "size", reach))
+    release(spark)
     sets = cut(
         _shingle_sets(
             docs, id_col, text_col, width, members.select(F.col("node").alias("doc_id")).distinct()
         )
     )
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    reach = members.groupBy("node").agg(F.sum("size").alias("reach"))
-    members = cut(members.join(reach, "node"))
+    release(spark)
 
     tried = None
     components = nodes.select("node", F.col("node").alias("component"))
@@ -200,9 +203,11 @@ def near_duplicates(
         )
         pairs = here.withColumnRenamed("node", "a").join(pivot, "band").where(f"component <> apart AND {fits}")
         tried = _tried(tried, pairs, sets, percent)
+        release(spark)
         components = _components(members, tried)
     here = cut(_unsettled(members, components).select("node", "n", "component").distinct())
     prefixes = cut(_prefixes(here, sets, percent))
+    release(spark)
     mixed = (
         prefixes.groupBy("shingle")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
