@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 TREES = 36
 DIGITS = 4
 #: A query climbs until the prefixes of all its trees hold so many vectors together.
-CANDIDATES = 10_000
+CANDIDATES = 2_500
 #: Blocks of a tree are prefixes short enough to hold about so many vectors.
 BLOCK_VECTORS = 65_536
 
