@@ -64,3 +64,28 @@ def test_features_and_description(labelled):
     assert 140 <= row["turn_angle_deg"] <= 181 and row["turn_duration_sec"] == pytest.approx(2.0, abs=0.5)
     texts = {r["trial_id"]: r["text_summary_zh"] for r in describe.describe(walk, turn, walk, turn).collect()}
     assert texts["walk"].startswith("步行表现为速度中等、") and "转身表现为转身角度较大" in texts["turn"]
+
+
+def test_canonical_frame_undoes_tilt_and_turn(spark):
+    import numpy as np
+
+    from stridelake.plans import canonicalize
+
+    tilt, turn = np.radians(20), np.radians(40)
+    ry = np.array([[np.cos(tilt), 0, np.sin(tilt)], [0, 1, 0], [-np.sin(tilt), 0, np.cos(tilt)]])
+    rz = np.array([[np.cos(turn), -np.sin(turn), 0], [np.sin(turn), np.cos(turn), 0], [0, 0, 1]])
+    rows = []
+    for s, j, t, i, joints, root in motion.rows("walk", motion.walk()):
+        move = lambda p: tuple(map(float, ry @ rz @ np.array(p) + [3, 2, 1]))
+        rows.append((s, j, t, i, [move(p) for p in joints], move(root)))
+    schema = motion.SCHEMA.replace("joints_can", "joints_3d").replace("trans_can", "trans_canonical")
+    out = canonicalize.canonicalize(spark.createDataFrame(rows, schema), motion.FPS)
+    found = sorted(out.select("frame_index", "joints_can", "trans_can", "floor_reason", "yaw_reason").collect())
+    first, last = found[0], found[-1]
+    assert abs(first["trans_can"]["x"]) < 1e-9 and abs(first["trans_can"]["y"]) < 1e-9
+    assert last["trans_can"]["x"] == pytest.approx(179 / 30, abs=0.05) and abs(last["trans_can"]["y"]) < 0.1
+    ground = [min(p["z"] for p in r["joints_can"]) for r in found]
+    assert abs(float(np.percentile(ground, 5))) < 0.05
+    left, right = first["joints_can"][1], first["joints_can"][2]
+    assert left["y"] - right["y"] == pytest.approx(0.2, abs=0.01) and abs(left["x"] - right["x"]) < 0.01
+    assert first["floor_reason"] is None and first["yaw_reason"] is None
