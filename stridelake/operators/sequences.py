@@ -65,10 +65,10 @@ def finite_difference(value: Column | str, seq: Sequence, fps: Column | float) -
 def unwrap_degrees(df: DataFrame, seq: Sequence, value: str, out: str) -> DataFrame:
     """Angles made continuous: steps of half a turn or more are taken the other way round."""
     step = F.col(value) - F.lag(value).over(seq.window)
-    df = df.withColumn("_step", step)
-    fix = F.when(F.abs("_step") < 180, F.lit(0.0)).otherwise(wrap_step("_step") - F.col("_step"))
-    df = df.withColumn("_fix", F.coalesce(fix, F.lit(0.0)))
-    return df.withColumn(out, F.col(value) + F.sum("_fix").over(seq.so_far)).drop("_step", "_fix")
+    df = df.withColumn("_unwrap_step", step)
+    fix = F.when(F.abs("_unwrap_step") < 180, F.lit(0.0)).otherwise(wrap_step("_unwrap_step") - F.col("_unwrap_step"))
+    df = df.withColumn("_unwrap_fix", F.coalesce(fix, F.lit(0.0)))
+    return df.withColumn(out, F.col(value) + F.sum("_unwrap_fix").over(seq.so_far)).drop("_unwrap_step", "_unwrap_fix")
 
 
 def nearest_valid_fill(

@@ -80,7 +80,7 @@ def _prepared(frames: DataFrame, fps: float, seq: Sequence) -> DataFrame:
         df = df.withColumn(f"_{side}_hs", F.col(f"{side}_heel_strike") & F.col("valid_frame_mask"))
         df = df.withColumn(f"_{side}_to", F.col(f"{side}_toe_off") & F.col("valid_frame_mask"))
     df = df.withColumn("_x", F.col("root_pos_m.x")).withColumn("_y", F.col("root_pos_m.y"))
-    df = df.withColumn("_step", S.path_step("_x", "_y", "valid_frame_mask", part))
+    df = df.withColumn("_moved", S.path_step("_x", "_y", "valid_frame_mask", part))
     valid = F.col("valid_frame_mask")
     for name in ("pelvis_yaw_deg", "trunk_yaw_deg"):
         if name in df.columns:
@@ -150,7 +150,7 @@ def walk_features(frames: DataFrame, segments: DataFrame, fps: float, seq: Seque
     flexion = F.when(F.col("valid_frame_mask"), F.col("trunk_forward_flexion_deg"))
     roms = {f"{side}_{name}": A.robust_range(f"_{side}_{name}") for side in ("left", "right") for name in ("hip", "knee", "ankle", "arm")}
     out = df.groupBy(*keys).agg(
-        F.sum("_step").alias("_path"),
+        F.sum("_moved").alias("_path"),
         _pooled("stance_sec").alias("stance_time_mean_sec"),
         _pooled("swing_sec").alias("swing_time_mean_sec"),
         (F.avg(ds.cast("double")) * 100).alias("double_support_percent"),
@@ -219,7 +219,7 @@ def turn_features(
     rate = F.when(valid, F.abs("yaw_rate_deg_s"))
     out = df.groupBy(*keys).agg(
         F.abs(F.max_by("heading_unwrapped_deg", seq.order) - F.min_by("heading_unwrapped_deg", seq.order)).alias("turn_angle_deg"),
-        F.sum("_step").alias("_path"),
+        F.sum("_moved").alias("_path"),
         F.avg(rate).alias("mean_turn_angular_velocity_deg_s"),
         F.max(rate).alias("peak_turn_angular_velocity_deg_s"),
         A.cv_percent(rate).alias("turn_angular_velocity_variability_cv_percent"),
