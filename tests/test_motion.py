@@ -47,25 +47,6 @@ def test_segments_partition_the_sequence(labelled):
     assert {r["status"] for r in found.collect()} <= {"good", "warning"}
 
 
-def test_features_and_description(labelled):
-    from stridelake.plans import describe, extract
-
-    frames, out = labelled
-    found = segment.segments(out, motion.FPS).cache()
-    walk = extract.walk_features(out, found, motion.FPS).cache()
-    row = walk.where("trial_id = 'walk'").first()
-    assert row["gait_speed_mps"] == pytest.approx(1.0, abs=0.02)
-    assert row["cadence_steps_per_min"] == pytest.approx(120, abs=15)
-    assert row["stride_time_mean_sec"] == pytest.approx(1.0, abs=0.02)
-    assert row["step_time_mean_sec"] == pytest.approx(0.5, abs=0.02)
-    assert row["trunk_ml_sway_m"] == pytest.approx(0.0, abs=1e-6)
-    turn = extract.turn_features(out, found, motion.FPS).cache()
-    row = turn.where("trial_id = 'turn'").first()
-    assert 140 <= row["turn_angle_deg"] <= 181 and row["turn_duration_sec"] == pytest.approx(2.0, abs=0.5)
-    texts = {r["trial_id"]: r["text_summary_zh"] for r in describe.describe(walk, turn, walk, turn).collect()}
-    assert texts["walk"].startswith("步行表现为速度中等、") and "转身表现为转身角度较大" in texts["turn"]
-
-
 def test_canonical_frame_undoes_tilt_and_turn(spark):
     import numpy as np
 
