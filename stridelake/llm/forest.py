@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 TREES = 36
 DIGITS = 4
-#: A query climbs until the prefixes of all its trees hold so many vectors together.
-CANDIDATES = 2_500
+#: A query climbs until the prefixes of all its trees hold this share of the table together, and so many vectors at least.
+SHARE = 0.27
+CANDIDATES = 10_000
 #: Blocks of a tree are prefixes short enough to hold about so many vectors.
 BLOCK_VECTORS = 65_536
 
@@ -54,13 +56,15 @@ def nearest_neighbours(
     digits: int = DIGITS,
     candidates: int = CANDIDATES,
     seed: int = 5,
+    share: float = SHARE,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the k nearest found to each row that `queries` selects.
 
     Every tree gives a vector a string of digits. A query starts at its full
-    strings and climbs in all trees at once, a digit at a time, until the vectors
-    below its prefixes are `candidates` in all; these are compared exactly. Where
-    a whole tree holds no more, that is every vector, and the result is exact.
+    strings and climbs a digit at a time, in one tree after another, until the
+    vectors below its prefixes are `share` of all and at least `candidates`;
+    these are compared exactly. Where the first digits of all trees don't hold as
+    many, that is every vector, and the result is exact.
     Of equal vectors the k + 1 smallest ids enter the trees, since no query can
     return more. Vectors that are null, zero, or hold null or non-finite
     components take no part, nor do those of another length than that of the
@@ -76,6 +80,7 @@ def nearest_neighbours(
     bits = digit_bits(dims)
     digits = min(digits, 62 // bits)
     valid = valid.where(F.size("vector") == dims)
+    wanted = max(candidates, math.ceil(share * n))
     block_digits = 0
     while block_digits < digits and n > BLOCK_VECTORS << (bits * block_digits):
         block_digits += 1
@@ -110,30 +115,37 @@ def nearest_neighbours(
         .groupBy("tree", "depth", prefix(F.col("code"), F.col("depth")).alias("prefix"))
         .count()
     )
+    # Steps of the climb: all trees in turn at their full strings, then all in turn a digit higher, and so on.
+    step = (F.lit(digits) - F.col("depth")) * trees + F.col("tree")
+    below_it = Window.partitionBy("id", "tree").orderBy(F.desc("depth"))
     climbed = (
         asked.select("id", F.posexplode("codes").alias("tree", "code"))
         .select("id", "tree", "code", depths)
         .select("id", "tree", "depth", prefix(F.col("code"), F.col("depth")).alias("prefix"))
         .join(below, ["tree", "depth", "prefix"])
-        .groupBy("id", "depth")
-        .agg(F.sum("count").alias("held"))
-        .where(F.col("held") >= candidates)
+        .select("id", "tree", "depth", step.alias("step"), F.col("count") - F.lag("count", 1, 0).over(below_it))
+        .toDF("id", "tree", "depth", "step", "more")
+        .select("id", "step", F.sum("more").over(Window.partitionBy("id").orderBy("step")).alias("held"))
+        .where(F.col("held") >= wanted)
         .groupBy("id")
-        .agg(F.max("depth").alias("depth"))
+        .agg(F.min("step").alias("step"))
     )
-    depth = F.coalesce("depth", F.lit(0))
+    level = F.lit(digits) - F.floor(F.col("step") / trees).cast("int")
+    unmoved = (F.col("tree") > F.col("step") % trees).cast("int")
+    depth = F.when(F.col("step").isNull(), 0).otherwise(F.least(level + unmoved, F.lit(digits)))
     width = 1 << (bits * block_digits)
     own = prefix(F.col("code"), block_digits)
-    short = F.greatest(F.lit(block_digits) - depth, F.lit(0)) * bits
+    short = F.greatest(F.lit(block_digits) - F.col("depth"), F.lit(0)) * bits
     first = F.call_function("shiftleft", F.call_function("shiftright", own, short.cast("int")), short.cast("int"))
     last = first + F.call_function("shiftleft", F.lit(1).cast("long"), short.cast("int")) - 1
     routed = (
         asked.join(climbed, "id", "left")
-        .select("id", "vector", depth.alias("depth"), F.posexplode("codes").alias("tree", "code"))
+        .select("id", "vector", "step", F.posexplode("codes").alias("tree", "code"))
+        .withColumn("depth", depth)
         .where("depth > 0 OR tree = 0")
         .select(
             "id", "vector", "depth", "tree", "code",
-            F.explode(F.when(depth > 0, F.sequence(first, last)).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long")))).alias("block"),
+            F.explode(F.when(F.col("depth") > 0, F.sequence(first, last)).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long")))).alias("block"),
         )
     )
     placed = points.select("id", "vector", F.posexplode("codes").alias("tree", "code")).withColumn(

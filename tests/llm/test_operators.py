@@ -214,6 +214,23 @@ def test_forest_recall_with_few_candidates(spark):
     assert hits / 300 >= 0.9
 
 
+def _noise_recall(spark, n, dims, **kwargs):
+    vectors = np.random.default_rng(11).normal(size=(n, dims)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    out = forest.nearest_neighbours(df, df.vec_id % 100 == 0, **kwargs).collect()
+    hits = 0
+    for q in range(0, n, 100):
+        d = forest.distances(vectors.astype(float), vectors[q].astype(float))
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & {r["vec_id"] for r in out if r["query_id"] == q})
+    return hits / (10 * len(range(0, n, 100)))
+
+
+def test_forest_recall_on_noise_keeps_up_past_a_depth_change(spark):
+    # 30 candidates are found at two digits; before, the climb stopped there whatever the size.
+    assert _noise_recall(spark, 4000, 32, candidates=30) >= 0.85
+
+
 def test_pages_render_blocks_lists_tables_and_visibility():
     page = (
         "<html><head><title>no</title><body><h1>A</h1><p>one <b>two</b>\n three<p>para<ul><li>x<li>y<ol start=3><li>n1<li>n2</ol></ul>"
