@@ -27,6 +27,7 @@ class MergeTable:
         keys = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
         self.mask = np.uint64((1 << max(int(len(keys) * 4).bit_length(), 4)) - 1)
         n = int(self.mask) + 1
+        self.shift = np.uint64(64 - int(self.mask).bit_length())
         self.keys = np.full(n, np.iinfo(np.uint64).max, np.uint64)
         self.ranks = np.full(n, NEVER, np.int32)
         self.merged = np.zeros(n, np.int32)
@@ -44,7 +45,8 @@ class MergeTable:
             slots[todo] = (slots[todo] + 1) & int(self.mask)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20) & self.mask).astype(np.int64)
+        # The upper bits of the product, on which both symbols bear; lower ones make long runs of taken slots.
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
@@ -70,7 +72,8 @@ def _block(symbols: np.ndarray, table: MergeTable, keys: np.ndarray, skip: Skip
     def look(left: np.ndarray, right: np.ndarray, key: np.ndarray, place: np.ndarray, step: int):
         rank, merged = table.find(left, right)
         if skip is not None:
-            rank[(rank != NEVER) & skip(key, left, right, place, step)] = NEVER
+            real = np.flatnonzero(rank != NEVER)
+            rank[real[skip(key[real], left[real], right[real], place[real], step)]] = NEVER
         return rank, merged
 
     places = np.arange(max(width - 1, 0))
@@ -121,7 +124,8 @@ def _alone(symbols: list[int], table: MergeTable, key: np.uint64, skip: Skip | N
         right = np.array([symbols[after[i]] for i in at], np.int32)
         rank, merged = table.find(left, right)
         if skip is not None:
-            rank[skip(np.full(len(at), key), left, right, np.array(at), step)] = NEVER
+            real = np.flatnonzero(rank != NEVER)
+            rank[real[skip(np.full(len(real), key), left[real], right[real], np.array(at)[real], step)]] = NEVER
         for i, r, m, x, y in zip(at, rank.tolist(), merged.tolist(), left.tolist(), right.tolist(), strict=True):
             if r != NEVER:
                 heapq.heappush(heap, (r, i, m, x, y))

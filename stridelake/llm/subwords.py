@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -11,12 +11,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.llm import words as W
-from stridelake.llm.bpe import MergeTable, SegmentCache, merge, ranges
+from stridelake.llm.bpe import MergeTable, Skip, merge, ranges
 from stridelake.llm.cluster import text_slices
 
 MARK = "▁"
-#: How many keyed segmentations a word can have under one seed; each occurrence draws one.
-VARIANTS = 8
+#: Occurrences are drawn and merged so many at a time.
+SLICE = 1 << 17
+
+
+def candidate_hash(left: np.ndarray, right: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
+    pair = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+    return W.mix(pair + place.astype(np.uint64) * np.uint64(0x165667B19E3779F9) + np.uint64(step))
+
+
+class UndroppedCache:
+    """What words are merged into where nothing is skipped, and the hashes of the candidates met on the way, by their 64-bit hash."""
+
+    def __init__(self, limit: int = 1 << 20) -> None:
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[int, int] = {}
+        self.values, self.bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.candidates, self.edges = np.zeros(0, np.uint64), np.zeros(1, np.int64)
+
+    def numbers(self, hashes: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> np.ndarray:
+        """Each word's place in the arrays; make(rows) merges the words at these rows, all different."""
+        if len(self.known) > self.limit:
+            self.clear()
+        unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        get = self.known.get
+        number = np.array([get(h, -1) for h in unique.tolist()], np.int64)
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            values, bounds, candidates, edges = make(first[fresh])
+            number[fresh] = len(self.bounds) - 1 + np.arange(len(fresh))
+            self.known.update(zip(unique[fresh].tolist(), number[fresh].tolist(), strict=True))
+            self.values = np.concatenate([self.values, values])
+            self.bounds = np.concatenate([self.bounds, bounds[1:] + self.bounds[-1]])
+            self.candidates = np.concatenate([self.candidates, candidates])
+            self.edges = np.concatenate([self.edges, edges[1:] + self.edges[-1]])
+        return number[back]
 
 
 class PieceModel:
@@ -62,17 +98,19 @@ class PieceModel:
             bytes([self.byte_of[i]]) if self.byte_of[i] >= 0 else p.replace(MARK, " ").encode() if p in known else b""
             for i, p in enumerate(self.pieces)
         ]
-        self.caches: dict[tuple[float, int], SegmentCache] = {}
+        self.cache = UndroppedCache()
 
     def encode(
-        self, texts: pa.Array, keys: np.ndarray, dropout: float, seed: int, variants: int = VARIANTS
+        self, texts: pa.Array, keys: np.ndarray, dropout: float, seed: int
     ) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after another, and the number of each text's.
 
-        A candidate merge is skipped if a hash of the seed, the occurrence's
-        variant, the two pieces, their place and the step at which the agenda gets
-        it falls below `dropout`. The variant of an occurrence comes from the key
-        of its text and its place there. Without dropout the ids are the library's.
+        A candidate merge is skipped if a hash of the seed, the key of the text,
+        the word's place there, the two pieces, their place and the step at which
+        the agenda gets it falls below `dropout`, so each occurrence of a word is
+        drawn by itself. One that skips none of the candidates that the undropped
+        word meets ends as that word does, which is kept; all others are merged.
+        Without dropout the ids are the library's.
         """
         data, offsets = W.buffers(texts)
         filled = np.diff(offsets) > 0
@@ -90,21 +128,54 @@ class PieceModel:
         starts = np.flatnonzero(first)
         ends = np.append(starts[1:], len(wide))
         text = np.searchsorted(offsets, starts, side="right") - 1
-        cache = self.caches.setdefault((dropout, seed), SegmentCache())
+        cache = self.cache
         with np.errstate(over="ignore"):
             hashes = W.substring_hash(W.prefix_sums(wide), starts, ends)
-            draw = np.zeros(len(starts), np.uint64)
-            if dropout > 0:
-                place = (starts - offsets[text]).astype(np.uint64)
-                draw = W.mix(W.mix(keys.astype(np.uint64)[text] ^ np.uint64(seed)) + place) % np.uint64(variants)
-                hashes = W.mix(hashes + draw * np.uint64(0x9E3779B97F4A7C15))
-            values, sizes = cache.look_up(
-                hashes, lambda rows: self._units(wide, starts[rows], ends[rows], hashes[rows], dropout, seed)
-            )
-        return values, np.bincount(text, sizes, minlength=len(texts)).astype(np.int64)
+            own = cache.numbers(hashes, lambda rows: self._undropped(wide, starts[rows], ends[rows]))
+            begin, sizes = cache.bounds[own], cache.bounds[own + 1] - cache.bounds[own]
+            if not dropout > 0:
+                return cache.values[ranges(begin, sizes)], np.bincount(text, sizes, minlength=len(texts)).astype(np.int64)
+            place = (starts - offsets[text]).astype(np.uint64)
+            drawn = W.mix(W.mix(keys.astype(np.uint64)[text] ^ np.uint64(seed)) + place)
+            least = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
+            salted = W.mix(drawn ^ np.uint64((seed * 0xC2B2AE3D27D4EB4F + 1) & (2**64 - 1)))
+            met = cache.edges[own + 1] - cache.edges[own]
+            split = np.zeros(len(starts), bool)
+            for i in range(0, len(starts), SLICE):
+                m = met[i : i + SLICE]
+                chosen = cache.candidates[ranges(cache.edges[own[i : i + SLICE]], m)]
+                skipped = W.mix(np.repeat(salted[i : i + SLICE], m) ^ chosen) < least
+                split[i : i + SLICE][np.repeat(np.arange(len(m)), m)[skipped]] = True
+
+            def skip(key, left, right, place, step):
+                return W.mix(key ^ candidate_hash(left, right, place, step)) < least
+
+            parts, at = [cache.values], len(cache.values)
+            apart = np.flatnonzero(split)
+            for i in range(0, len(apart), SLICE):
+                rows = apart[i : i + SLICE]
+                values, bounds = self._units(wide, starts[rows], ends[rows], salted[rows], skip)
+                begin[rows], sizes[rows] = bounds[:-1] + at, np.diff(bounds)
+                parts.append(values)
+                at += len(values)
+        return np.concatenate(parts)[ranges(begin, sizes)], np.bincount(text, sizes, minlength=len(texts)).astype(np.int64)
+
+    def _undropped(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Values and bounds of the merged words, then the hashes of all candidates that each meets, and their bounds."""
+        words, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+
+        def note(key, left, right, place, step):
+            words.append(key.astype(np.int64))
+            hashes.append(candidate_hash(left, right, place, step))
+            return np.zeros(len(left), bool)
+
+        values, bounds = self._units(data, starts, ends, np.arange(len(starts), dtype=np.uint64), note)
+        word = np.concatenate(words)
+        edges = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(starts)))])
+        return values, bounds, np.concatenate(hashes)[np.argsort(word, kind="stable")], edges
 
     def _units(
-        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, dropout: float, seed: int
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray, skip: Skip
     ) -> tuple[np.ndarray, np.ndarray]:
         raw = data[ranges(starts, ends - starts)]
         edges = np.concatenate([[0], np.cumsum(ends - starts)])
@@ -114,16 +185,6 @@ class PieceModel:
         symbols = np.where(points == ord(MARK), -1, self.letters[points])
         symbols = np.where(points == 0x20, self.letters[ord(MARK)], symbols)
         symbols = np.where(symbols < 0, points + self.offset, symbols).astype(np.int32)
-        skip = None
-        if dropout > 0:
-            least = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
-            salt = np.uint64((seed * 0xC2B2AE3D27D4EB4F + 1) & (2**64 - 1))
-
-            def skip(key, left, right, place, step):
-                pair = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
-                when = place.astype(np.uint64) * np.uint64(0x165667B19E3779F9) + np.uint64(step)
-                return W.mix(W.mix(key ^ salt) ^ W.mix(pair + when)) < least
-
         values, bounds = merge(symbols, bounds, self.table, keys, skip)
         odd = np.flatnonzero(values >= self.offset)
         if not len(odd):

@@ -47,6 +47,21 @@ def test_merge_dropout_decodes_losslessly_and_varies(documents):
     assert all(p == model.library.encode(t) for p, t in zip(seen[0], texts) if "▁" not in t)
 
 
+def test_merge_dropout_draws_every_occurrence_by_itself():
+    model = subwords.piece_model(path("piece_bpe_32k.model"))
+    ids, counts = model.encode(pa.array([" ".join(["international"] * 4000)] * 2), np.arange(2), 0.1, 1)
+    assert counts[0] != counts[1]
+    cuts = np.flatnonzero([model.pieces[i].startswith(subwords.MARK) for i in ids.tolist()])
+    forms = {tuple(p.tolist()) for p in np.split(ids, cuts[1:])}
+    assert len(forms) > 8
+    # A word of one candidate merge is split in a tenth of its occurrences.
+    whole = lambda p: model.library.encode(p[1]) == [model.library.piece_to_id(p)]
+    pair = next(p for p in model.pieces if len(p) == 2 and p[0] == subwords.MARK and p[1].isascii() and whole(p))
+    for seed in range(4):
+        _, counts = model.encode(pa.array([" ".join([pair[1]] * 20000)]), np.zeros(1, np.int64), 0.1, seed)
+        assert 0.09 < counts[0] / 20000 - 1 < 0.11
+
+
 @pytest.mark.parametrize(("shape", "over"), [("uniform", 1.04), ("documents", 1.01)])
 def test_sum_of_squares_places_every_piece(shape, over):
     rng = np.random.default_rng(1)
