@@ -26,10 +26,10 @@ INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe xmp noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "head script style title template noscript iframe noembed noframes object audio video canvas svg math "
+    "head script style title template noscript iframe noembed noframes object audio video canvas "
     "select datalist colgroup".split()
 )
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset form".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre xmp table figure hr fieldset form".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside header footer main nav address li dt dd figcaption details summary "
     "legend tr caption thead tbody tfoot center menu dir hgroup option".split()
@@ -39,15 +39,24 @@ CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
-    "tr": ({"td", "th", "tr"}, {"table"}),
-    "thead": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
-    "tbody": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
-    "tfoot": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}),
     "body": ({"head"}, {"html"}),
 }
+#: Below a table, what may hold each of its parts; cells get a row of their own where there is none.
+SECTIONS = frozenset("thead tbody tfoot".split())
+TABLE_PARTS = {name: frozenset(["table"]) for name in ("caption", "colgroup", "col", *SECTIONS)}
+TABLE_PARTS |= {"tr": SECTIONS | {"table"}, "td": SECTIONS | {"table", "tr"}, "th": SECTIONS | {"table", "tr"}}
+BARE = SECTIONS | {"table", "tr"}
+CELLS = frozenset("td th caption".split())
+#: Tags that end math and svg, and the elements in these that hold HTML again.
+FOREIGN = frozenset("svg math".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol "
+    "p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+#: Parts of svg that draw nothing where they stand.
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker metadata desc title style script".split())
 SCOPES = frozenset("table td th caption button object template".split())
 #: Elements nested deeper become siblings.
 MAX_DEPTH = 200
@@ -63,7 +72,11 @@ class Node:
 
 
 def parse(page: str) -> Node:
-    """The element tree, with implied ends and rows; unclosed tags close at the end, stray ends are dropped."""
+    """The element tree, with implied ends and rows; unclosed tags close at the end, stray ends are dropped.
+
+    What stands in a table but in none of its cells goes before the table, and
+    forms there hold nothing, as the HTML standard has it.
+    """
     root = Node("html", {})
     stack = [root]
     at = 0
@@ -71,13 +84,17 @@ def parse(page: str) -> Node:
     while at < size:
         found = TOKEN.search(page, at)
         if not found:
-            stack[-1].children.append(html.unescape(page[at:]))
+            _add(stack, html.unescape(page[at:]))
             break
         if found.start() > at:
-            stack[-1].children.append(html.unescape(page[at : found.start()]))
+            _add(stack, html.unescape(page[at : found.start()]))
         at = max(found.end(), found.start() + 1)
         name = found["name"]
         if name is None:
+            if page.startswith("<![CDATA[", found.start()) and _foreign(stack):
+                end = page.find("]]>", found.start())
+                _add(stack, page[found.start() + 9 : end if end >= 0 else size])
+                at = end + 3 if end >= 0 else size
             continue
         name = name.lower()
         if found["close"]:
@@ -92,28 +109,75 @@ def parse(page: str) -> Node:
             }
         if name == "html":
             continue
-        _imply_ends(stack, name)
+        foreign = _foreign(stack)
+        if foreign and name in ENDS_FOREIGN:
+            del stack[foreign:]
+            foreign = 0
+        if not foreign:
+            _imply_ends(stack, name)
+        if name == "form" and stack[-1].name in BARE and _table(stack):
+            continue
         node = Node(name, attrs)
-        stack[-1].children.append(node)
-        if name in VOID:
+        if foreign and stack[foreign].name == "math" and name in ("annotation", "annotation-xml"):
+            attrs["hidden"] = ""
+        _add(stack, node)
+        if name in VOID or name == "colgroup" or (foreign and raw.endswith("/")):
             continue
-        if name in RAW:
+        if name in RAW and not foreign:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             stop = end.start() if end else size
             if name == "textarea":
                 node.children.append(html.unescape(page[at:stop]))
+            elif name == "xmp":
+                node.children.append(page[at:stop])
             at = end.end() if end else size
             continue
-        if len(stack) < MAX_DEPTH:
+        if len(stack) < MAX_DEPTH or (name in TABLE_PARTS and stack[-1].name in TABLE_PARTS[name]):
             stack.append(node)
     return root
 
 
+def _foreign(stack: list[Node]) -> int:
+    """The place of the math or svg whose own content the next tag is, or 0."""
+    for k in range(len(stack) - 1, 0, -1):
+        if stack[k].name in FOREIGN:
+            return k
+        if stack[k].name in HOLDS_HTML:
+            return 0
+    return 0
+
+
+def _table(stack: list[Node]) -> int:
+    """The place of the innermost open table, or 0; templates are apart."""
+    for k in range(len(stack) - 1, 0, -1):
+        if stack[k].name == "table":
+            return k
+        if stack[k].name == "template":
+            return 0
+    return 0
+
+
+def _add(stack: list[Node], child: Node | str) -> None:
+    """Put a child into the open element, or before the table if that is a bare part of one."""
+    holder = stack[-1]
+    if holder.name in BARE and (at := _table(stack)):
+        if isinstance(child, str):
+            strayed = not (not child or child.isspace())
+        else:
+            strayed = holder.name not in TABLE_PARTS.get(child.name, ()) and child.name not in ("script", "style", "template")
+        if strayed:
+            stack[at - 1].children.insert(-1, child)
+            return
+    holder.children.append(child)
+
+
 def _close(stack: list[Node], name: str) -> None:
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].name == name:
             del stack[k:]
             return
+        if stack[k].name == "table" and name in TABLE_PARTS:
+            return
         if stack[k].name in SCOPES and name not in ("table", "tr", "tbody", "thead", "tfoot", "html", "body"):
             return
 
@@ -126,6 +190,15 @@ def _imply_ends(stack: list[Node], name: str) -> None:
                 break
             if stack[k].name in SCOPES:
                 break
+    if name in TABLE_PARTS and (at := _table(stack)):
+        while len(stack) - 1 > at and stack[-1].name not in TABLE_PARTS[name]:
+            stack.pop()
+        if name in ("td", "th") and stack[-1].name != "tr":
+            row = Node("tr", {})
+            stack[-1].children.append(row)
+            stack.append(row)
+    elif name == "table" and (at := _table(stack)) and not any(x.name in CELLS for x in stack[at:]):
+        del stack[at:]
     if name in CLOSED_BY:
         ended, within = CLOSED_BY[name]
         lowest = None
@@ -213,7 +286,7 @@ def _render(node: Node, page: Page, pre: bool = False, depth: int = 0) -> None:
                 _render(child, inner, pre, depth)
                 if lines := inner.finish():
                     page.put([f"  {x}" if x else x for x in lines])
-            elif name == "pre":
+            elif name in ("pre", "xmp"):
                 inner = Page()
                 _render(child, inner, True, depth)
                 lines = inner.finish()
@@ -225,6 +298,8 @@ def _render(node: Node, page: Page, pre: bool = False, depth: int = 0) -> None:
             else:
                 _render(child, page, pre, depth)
             page.space(1 if name in SPACED and not (depth and name in ("ul", "ol")) else 0)
+        elif name == "svg":
+            _drawing(child, page, depth)
         elif name in ("td", "th"):
             page.text(" ")
             _render(child, page, pre, depth)
@@ -232,6 +307,19 @@ def _render(node: Node, page: Page, pre: bool = False, depth: int = 0) -> None:
             _render(child, page, pre, depth)
 
 
+def _drawing(node: Node, page: Page, depth: int) -> None:
+    """The words of text and HTML in a drawing."""
+    for child in node.children:
+        if isinstance(child, str) or hidden(child) or child.name in UNDRAWN or child.attrs.get("display") == "none":
+            continue
+        if child.name in ("text", "foreignobject"):
+            page.text(" ")
+            _render(child, page, False, depth)
+            page.text(" ")
+        else:
+            _drawing(child, page, depth)
+
+
 def _number(text: str | None, other: int, most: int = 1000) -> int:
     found = re.match(r"\s*(-?\d{1,9})", text or "")
     return min(int(found[1]), most) if found else other

@@ -260,6 +260,32 @@ def test_pages_render_blocks_lists_tables_and_visibility():
         pages.render(broken)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><thead><th>Name<th>Qty</thead><tbody><td>x<td>y</table>", "Name  Qty\nx     y"),
+        ("<table><td>1<td>2<tr><td>3</table>", "1  2\n3"),
+        ("<table><tr><form><td>a</td></form></tr></table>z", "a\n\nz"),
+        ("<table>one<tr>two<td>x</td><p>three</p></tr><tbody><b>four</b></table>", "onetwo\n\nthree\n\nfour\n\nx"),
+        ("<table><caption>cap<tr><td>x<table><td>in</tr></table>y</table>", "cap\nx\n\nin\n\ny"),
+        ("<table><tr><td>a<table><tr><td>b</table></td><td>c</table>", "a  c\n\nb"),
+        ("<table><tr><table><tr><td>x</table>", "x"),
+        ("<table><template><tr><td>no</td></tr></template><tr><td>x</table>", "x"),
+        ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> b", "a x=1 b"),
+        ("<svg><title/><defs><text>no</text></defs><g>no<text>yes</text><text><![CDATA[a>b]]></text></g></svg>c", "yes a>b c"),
+        ("<svg><path d=1><p>out", "out"),
+        ("a<xmp>b &amp; <i>c</i></xmp>d", "a\n\nb &amp; <i>c</i>\n\nd"),
+    ],
+)
+def test_every_visible_word_of_odd_pages_appears(page, text):
+    assert pages.render(page) == text
+
+
+def test_deep_tables_keep_their_words():
+    assert sorted(pages.render("<div>" * 198 + "<table><tr><td>x<table>w<td>y</table></table>").split()) == ["w", "x", "y"]
+    assert "z" in pages.render("<div>" * 300 + "<table><tr><td>z")
+
+
 def test_page_query(spark):
     df = spark.createDataFrame([(1, "<p>x", "u"), (2, None, "u"), (2, None, "u")], "page_id long, html string, text string")
     assert sorted(tuple(r) for r in pages.extract_text(df).collect()) == [(1, 1, "x"), (2, 0, ""), (2, 0, "")]
