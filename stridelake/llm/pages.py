@@ -15,7 +15,8 @@ from stridelake.llm.cluster import text_slices
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
-    r"(?P<attrs>(?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+|[^>]*)(?:>|\Z)",
+    # A quote opens a value only after an equals sign; where its end is missing, the tag ends at the next >.
+    r"(?P<attrs>(?:[^>=]++|=[ \t\n\r\f]*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)*+)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")

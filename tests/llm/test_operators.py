@@ -281,6 +281,19 @@ def test_every_visible_word_of_odd_pages_appears(page, text):
     assert pages.render(page) == text
 
 
+@pytest.mark.parametrize("size", [3000, 5000, 10_240, 1_000_000])
+def test_long_attribute_values_stay_in_their_tag(size):
+    long = "a" * size + "<b>secret</b>'c"
+    assert pages.render(f'<div data-x="{long}">visible</div>') == "visible"
+    assert pages.render(f'<p data-x = "{long}" hidden>no</p>yes') == "yes"
+    assert pages.render(f"<p>don't</p><p don't>one{'x' * size}</p><a href=q?b=\"c>it's</a>").split() == ["don't", "one" + "x" * size, "it's"]
+
+
+def test_open_quotes_take_linear_time():
+    text = pages.render("<a b='c>x</a>" + "<a b=\"c>y</a>" * 40_001)
+    assert text.startswith("x") and text.endswith("y")
+
+
 def test_deep_tables_keep_their_words():
     assert sorted(pages.render("<div>" * 198 + "<table><tr><td>x<table>w<td>y</table></table>").split()) == ["w", "x", "y"]
     assert "z" in pages.render("<div>" * 300 + "<table><tr><td>z")
