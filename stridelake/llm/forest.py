@@ -15,7 +15,7 @@ DIGITS = 4
 #: A query climbs until the prefixes of all its trees hold this share of the table together, and so many vectors at least.
 SHARE = 0.27
 CANDIDATES = 10_000
-#: Blocks of a tree are prefixes short enough to hold about so many vectors.
+#: Blocks of a tree are prefixes; those that hold more vectors than this are dealt out to several parts.
 BLOCK_VECTORS = 65_536
 
 
@@ -82,7 +82,12 @@ def nearest_neighbours(
     valid = valid.where(F.size("vector") == dims)
     wanted = max(candidates, math.ceil(share * n))
     block_digits = 0
-    while block_digits < digits and n > BLOCK_VECTORS << (bits * block_digits):
+    # No longer than the prefixes at which queries stop where vectors spread evenly: above these each would visit many.
+    while (
+        block_digits < digits
+        and n > BLOCK_VECTORS << (bits * block_digits)
+        and trees * n >= wanted * (2 * dims) ** (block_digits + 1)
+    ):
         block_digits += 1
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +157,18 @@ def nearest_neighbours(
         "block", prefix(F.col("code"), block_digits)
     )
     placed = placed.join(routed.select("tree", "block").distinct(), ["tree", "block"], "left_semi")
+    # A hot block's vectors are dealt out by id, and each query looks into every part.
+    if block_digits:
+        level = below.where(F.col("depth") == block_digits).select("tree", F.col("prefix").alias("block"), "count")
+        parts = level.where(F.col("count") > BLOCK_VECTORS).select(
+            "tree", "block", F.ceil(F.col("count") / BLOCK_VECTORS).cast("int").alias("parts")
+        )
+        placed, routed = (x.join(F.broadcast(parts), ["tree", "block"], "left") for x in (placed, routed))
+        count = F.coalesce("parts", F.lit(1))
+    else:
+        count = F.lit(max(-(-n // BLOCK_VECTORS), 1))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), count).cast("int")).drop("parts")
+    routed = routed.withColumn("part", F.explode(F.sequence(F.lit(0), count - 1))).drop("parts")
 
     def search(here: pa.Table, questions: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -178,8 +195,8 @@ def nearest_neighbours(
         return pa.table([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=names)
 
     found = (
-        placed.groupBy("tree", "block")
-        .cogroup(routed.groupBy("tree", "block"))
+        placed.groupBy("tree", "block", "part")
+        .cogroup(routed.groupBy("tree", "block", "part"))
         .applyInArrow(search, "query_id long, vec_id long, score double")
     )
     ranked = Window.partitionBy("query_id").orderBy("score", "vec_id")

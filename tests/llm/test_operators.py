@@ -246,6 +246,27 @@ def test_forest_recall_on_noise_keeps_up_past_a_depth_change(spark):
     assert _noise_recall(spark, 4000, 32, candidates=30) >= 0.85
 
 
+@pytest.mark.parametrize("candidates", [300, 10_000])
+def test_forest_splits_hot_blocks(spark, monkeypatch, candidates):
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(900, 8))
+    vectors[:300] = 1 + 1e-3 * rng.normal(size=(300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    run = lambda: sorted(forest.nearest_neighbours(df, df.vec_id % 50 == 0, trees=8, candidates=candidates).collect())
+    whole = run()
+    seen = spark.sparkContext.accumulator(0)
+    table = forest._columns
+
+    def bounded(rows, dims):
+        if "depth" not in rows.column_names and rows.num_rows > 128:
+            seen.add(1)
+        return table(rows, dims)
+
+    monkeypatch.setattr(forest, "BLOCK_VECTORS", 64)
+    monkeypatch.setattr(forest, "_columns", bounded)
+    assert run() == whole and seen.value == 0
+
+
 def test_pages_render_blocks_lists_tables_and_visibility():
     page = (
         "<html><head><title>no</title><body><h1>A</h1><p>one <b>two</b>\n three<p>para<ul><li>x<li>y<ol start=3><li>n1<li>n2</ol></ul>"
