@@ -191,7 +191,7 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class SegmentCache:
     """What words have been merged into, by their 64-bit hash; starts anew once it holds `limit` words."""
 
-    def __init__(self, limit: int = 1 << 20) -> None:
+    def __init__(self, limit: int = 1 << 18) -> None:
         self.limit = limit
         self.clear()
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,44 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 4 << 20
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a folder of its own where that is unset, which only a local master may do without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; choose a folder only where none is set (tests)."""
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def trim() -> None:
+    """Give memory that a Python worker has freed back to the machine; workers outlive the stages that filled them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def trimmed(function: Callable) -> Callable:
+    """function, after which its worker gives freed memory back."""
+
+    def one(table: pa.Table) -> pa.Table:
+        out = function(table)
+        trim()
+        return out
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = function(left, right)
+        trim()
+        return out
+
+    return one if function.__code__.co_argcount == 1 else two
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -36,7 +70,10 @@ def release(spark: SparkSession) -> None:
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows holding about `limit` bytes of text; a longer text stands alone."""
+    """Cut a batch into runs of rows holding about `limit` bytes of text; a longer text stands alone.
+
+    Freed memory goes back to the machine behind the last of them.
+    """
     values = batch.column(batch.schema.get_field_index(column))
     start = held = 0
     for i, size in enumerate(byte_lengths(values)):
@@ -46,6 +83,7 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         held += size
     if batch.num_rows > start:
         yield batch.slice(start)
+    trim()
 
 
 def byte_lengths(values: pa.Array) -> list[int]:

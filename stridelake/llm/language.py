@@ -84,6 +84,9 @@ class LanguageModel:
         names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best, lettered, strict=True)]
         return names, np.where(lettered, p[np.arange(len(best)), best], 0.0)
 
+    def accepts(self, names: list[str], scores: np.ndarray) -> np.ndarray:
+        return (scores >= self.least_score) & (np.array(names, object) != UNKNOWN)
+
 
 def fit(
     texts: list[str], labels: list[str], dims: int = 16, epochs: int = 4, rate: float = 8.0, seed: int = 7
@@ -196,7 +199,7 @@ def identify(
         for batch in batches:
             for part in text_slices(batch, "text", 1 << 20):
                 names, scores = found.predict(part.column(2).to_pylist())
-                accepted = (scores >= found.least_score) & (np.array(names, object) != UNKNOWN)
+                accepted = found.accepts(names, scores)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(scores), pa.array(accepted)],
                     ["doc_id", "held_out", "lang_pred", "score", "accepted"],
@@ -207,3 +210,29 @@ def identify(
     )
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, accepted boolean")
+
+
+def accepted_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    model: LanguageModel | None = None,
+) -> DataFrame:
+    """The rows of docs, all columns as they are, whose language isn't rejected (see identify); nothing is shuffled.
+
+    Rows with a null text or one without a letter are rejected; null or repeated
+    ids and nulls in other columns change nothing.
+    """
+    model = model or fit_on(docs, id_col, text_col, lang_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = shared.value
+        for batch in batches:
+            for part in text_slices(batch, text_col, 1 << 19):
+                names, scores = found.predict(part.column(place).to_pylist())
+                yield part.filter(pa.array(found.accepts(names, scores)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ def candidate_hash(left: np.ndarray, right: np.ndarray, place: np.ndarray, step:
 class UndroppedCache:
     """What words are merged into where nothing is skipped, and the hashes of the candidates met on the way, by their 64-bit hash."""
 
-    def __init__(self, limit: int = 1 << 20) -> None:
+    def __init__(self, limit: int = 1 << 18) -> None:
         self.limit = limit
         self.clear()
 

@@ -20,13 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.llm import words as W
+from stridelake.llm.cluster import trimmed
 
 GRAM = 20
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 SLICE = 1 << 21
 WINDOWS_AT_ONCE = 400_000
 #: Anchors found in more chunks than this travel as single suffixes, dealt by all their bytes.
-HOT_CHUNKS = 64
+HOT_CHUNKS = 128
 
 
 def eight_bytes(data: np.ndarray) -> np.ndarray:
@@ -280,6 +281,8 @@ _CONTEXTS = "bucket int, chunk int, n long, rows binary, docs binary, runs long,
 _MASKS = "chunk int, n long, lows binary, masks binary"
 #: In place of a bucket, for the ids of whole copies; in marks their number is below zero.
 COPIES = -1
+#: Less a chunk's number, in place of a bucket for what that chunk knows by itself.
+LOCAL = -2
 
 
 def _announce(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -348,9 +351,20 @@ def _send(buckets: int, length: int) -> Callable[[pa.Table, pa.Table], pa.Table]
         order, group = group_rows(bucket.astype(np.uint64), one, two)
         fresh = np.append(True, np.diff(group[order]) > 0)
         lead = order[fresh]
-        edges = np.append(np.flatnonzero(fresh), len(order))
         number = table.column("_chunk")[0].as_py()
         out = []
+        # Runs are in order of their documents, so a group's first row is of its smallest one here. All later documents
+        # of this chunk have every window earlier, whatever other chunks hold: only the first document's runs travel.
+        later = chunk.texts[runs] > chunk.texts[runs[lead]][group]
+        if later.any():
+            whole = ((np.uint64(1) << (highs[later] - lows[later] + 1).astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+            out.append(
+                (
+                    LOCAL - number, number, int(later.sum()), b"", b"", 0, _packed(whole), _packed(lows[later].astype(np.uint32)), b"",
+                )
+            )
+            order = order[~later[order]]
+        edges = np.append(np.flatnonzero(np.append(True, np.diff(group[order]) > 0)), len(order))
         for g in np.split(np.arange(len(lead)), np.flatnonzero(np.diff(bucket[lead])) + 1):
             mine = np.sort(order[edges[g[0]] : edges[g[-1] + 1]])
             heads = lead[g]
@@ -372,6 +386,9 @@ def _judge(length: int) -> Callable[[pa.Table], pa.Table]:
 
     def run(table: pa.Table) -> pa.Table:
         sent = table.to_pylist()
+        if sent[0]["bucket"] < 0:
+            out = [(r["chunk"], r["n"], r["lows"], r["owner"]) for r in sent]
+            return _table(out, ["chunk", "n", "lows", "masks"], "ilbb")
         rows = np.concatenate([_unpacked(r["rows"], (r["n"], wide), np.uint8) for r in sent])
         docs = np.concatenate([_unpacked(r["docs"], (r["n"],), np.int64) for r in sent])
         with np.errstate(over="ignore"):
@@ -527,13 +544,13 @@ def remove_earlier_copies(
         *[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)],
     ).repartition("_chunk")
     copies = _whole_copies(docs.select(chunk.alias("chunk"), doc.alias("id"), F.col(text_col).alias("body")))
-    values = source.groupBy("_chunk").cogroup(copies.groupBy("chunk")).applyInArrow(_announce(buckets, length), _VALUES)
-    answers = values.groupBy("bucket").applyInArrow(_answer(hot_chunks), _ANSWERS)
+    values = source.groupBy("_chunk").cogroup(copies.groupBy("chunk")).applyInArrow(trimmed(_announce(buckets, length)), _VALUES)
+    answers = values.groupBy("bucket").applyInArrow(trimmed(_answer(hot_chunks)), _ANSWERS)
     replies = answers.unionByName(copies)
     sent = (
-        source.groupBy("_chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_send(buckets, length), _CONTEXTS)
+        source.groupBy("_chunk").cogroup(replies.groupBy("chunk")).applyInArrow(trimmed(_send(buckets, length)), _CONTEXTS)
     )
-    marks = sent.groupBy("bucket").applyInArrow(_judge(length), _MASKS)
+    marks = sent.groupBy("bucket").applyInArrow(trimmed(_judge(length)), _MASKS)
     marks = marks.unionByName(
         copies.select("chunk", F.lit(-1).cast("long").alias("n"), F.col("shared").alias("lows"), F.col("hot").alias("masks"))
     )
@@ -542,7 +559,7 @@ def remove_earlier_copies(
         source.groupBy("_chunk")
         .cogroup(marks.groupBy("chunk"))
         .applyInArrow(
-            _finish(length, whole_characters, names),
+            trimmed(_finish(length, whole_characters, names)),
             f"_id long{kinds}, _n long, _spans array<struct<start: long, end: long>>, "
             f"_kept {'string' if whole_characters else 'binary'}",
         )
