@@ -7,13 +7,13 @@ of documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.language import identify
+from stridelake.llm.cluster import shared_folder
+from stridelake.llm.language import accepted_documents
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.packing import pack_documents
 from stridelake.llm.quality import quality_rules, without_lines
@@ -24,9 +24,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language is rejected; null languages and nulls in other columns stay as they are."""
-    accepted = identify(docs).where("accepted").select("doc_id")
-    return docs.join(accepted, "doc_id", "left_semi").select(*COLUMNS)
+    """Drop documents whose language is rejected, null texts and texts without a letter among them; null languages and nulls in other columns stay as they are."""
+    return accepted_documents(docs.select(*COLUMNS))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,9 +75,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written below spark.checkpoint.dir (a folder of its own where that is unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    folder = f"{base.rstrip('/')}/corpus_pipeline/{uuid.uuid4().hex}"
+    """All stages over documents, each written below spark.checkpoint.dir (a local master may leave that unset)."""
+    folder = f"{shared_folder(spark)}/corpus_pipeline/{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}_{name}"
