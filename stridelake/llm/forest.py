@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TREES = 36
-DIGITS = 4
-#: A query climbs until the prefixes of all its trees hold this share of the table together, and so many vectors at least.
-SHARE = 0.27
-CANDIDATES = 10_000
-#: Blocks of a tree are prefixes; those that hold more vectors than this are dealt out to several parts.
-BLOCK_VECTORS = 65_536
+TREES = 48
+#: A string has so many digits; each names the largest of AXES rotated components and its sign.
+DIGITS, AXES = 12, 8
+#: The climb of a shard is set so that this share of the neighbours of sampled queries is found there.
+RECALL = 0.97
+#: Queries of a shard that are also searched in full, to set its climb.
+SAMPLE_QUERIES = 64
+#: The most bytes of vectors in a shard and the fewest vectors that one is made for; the most bytes of queries that visit it at once.
+SHARD_BYTES, SHARD_VECTORS, QUERY_BYTES = 32 << 20, 2048, 16 << 20
+#: Queries whose ranges are looked up together.
+TOGETHER = 512
 
 
 def takes_part(vector: Column) -> Column:
@@ -26,24 +29,131 @@ def takes_part(vector: Column) -> Column:
 
 
 def rotations(dims: int, trees: int, digits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).normal(size=(trees * digits, dims, dims)).astype(np.float32)
-
-
-def hash_strings(vectors: np.ndarray, turns: np.ndarray, trees: int, digits: int) -> np.ndarray:
-    """One string per vector and tree: each digit is the signed axis nearest to the rotated vector."""
-    bits = digit_bits(vectors.shape[1])
-    out = np.zeros((len(vectors), trees), np.int64)
-    for t in range(trees):
-        for d in range(digits):
-            turned = vectors @ turns[t * digits + d]
-            axis = np.abs(turned).argmax(axis=1)
-            sign = turned[np.arange(len(vectors)), axis] > 0
-            out[:, t] = (out[:, t] << bits) | (2 * axis + sign)
+    """For each tree the axes of its digits, side by side, cut from random orthogonal matrices."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(trees):
+        columns: list[np.ndarray] = []
+        while sum(c.shape[1] for c in columns) < digits * AXES:
+            q, r = np.linalg.qr(rng.normal(size=(dims, dims)))
+            columns.append(q * np.where(np.diag(r) < 0, -1.0, 1.0))
+        out.append(np.concatenate(columns, axis=1)[:, : digits * AXES])
+    return np.stack(out).astype(np.float32)
+
+
+def hash_strings(vectors: np.ndarray, turns: np.ndarray) -> np.ndarray:
+    """One string per vector and tree, first digit in the highest bits."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    scaled = (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
+    bits = np.uint64((2 * AXES - 1).bit_length())
+    out = np.zeros((len(vectors), len(turns)), np.uint64)
+    for t, turn in enumerate(turns):
+        for i in range(0, len(vectors), 4096):
+            turned = (scaled[i : i + 4096] @ turn).reshape(-1, turn.shape[1] // AXES, AXES)
+            axis = np.abs(turned).argmax(axis=2)
+            positive = np.take_along_axis(turned, axis[:, :, None], axis=2)[:, :, 0] > 0
+            for digit in (2 * axis + positive).T.astype(np.uint64):
+                out[i : i + 4096, t] = (out[i : i + 4096, t] << bits) | digit
     return out
 
 
-def digit_bits(dims: int) -> int:
-    return max(int(2 * dims - 1).bit_length(), 1)
+@dataclass
+class Forest:
+    """Sorted arrays of strings, one per tree, over the vectors of a shard."""
+
+    ids: np.ndarray
+    rows: np.ndarray
+    turns: np.ndarray
+    digits: int
+
+    def __post_init__(self) -> None:
+        self.bits = (2 * AXES - 1).bit_length()
+        self.codes = hash_strings(self.rows, self.turns)
+        self.order = np.argsort(self.codes, axis=0).astype(np.int32)
+        self.sorted = np.take_along_axis(self.codes, self.order, axis=0)
+        self.norms = np.einsum("ij,ij->i", self.rows, self.rows)
+
+    def ranges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """[level, query, tree] -> where the strings that share the query's first `level` digits begin and end in sorted order."""
+        begin = np.zeros((self.digits + 1, *codes.shape), np.int32)
+        end = np.full((self.digits + 1, *codes.shape), len(self.ids), np.int32)
+        for level in range(1, self.digits + 1):
+            shift = np.uint64(self.bits * (self.digits - level))
+            low = codes >> shift << shift
+            high = low | ((np.uint64(1) << shift) - np.uint64(1))
+            for t in range(codes.shape[1]):
+                begin[level, :, t] = np.searchsorted(self.sorted[:, t], low[:, t], "left")
+                end[level, :, t] = np.searchsorted(self.sorted[:, t], high[:, t], "right")
+        return begin, end
+
+    def held(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """[query, step] -> how many strings lie below a query's prefixes after each step of the climb.
+
+        The climb starts at the longest prefixes and takes all trees in turn a
+        digit higher, then again, until every prefix is empty.
+        """
+        sizes = (end - begin).astype(np.int64)[::-1]
+        longer = np.concatenate([np.zeros_like(sizes[:1]), sizes[:-1]])
+        steps = np.cumsum(sizes, axis=2) + longer.sum(axis=2, keepdims=True) - np.cumsum(longer, axis=2)
+        return np.moveaxis(steps, 0, 1).reshape(sizes.shape[1], -1)
+
+    def nearest(self, some: np.ndarray, point: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact distances of the k nearest of these rows, ties to the smaller id."""
+        if len(some) > 4 * k:
+            with np.errstate(over="ignore", invalid="ignore"):
+                own = float(point @ point)
+                rough = self.norms[some] + own - 2 * (self.rows[some] @ point)
+            if np.isfinite(rough).all():
+                slack = 1e-9 * (own + self.norms[some].max())
+                some = some[rough <= np.partition(rough, k - 1)[k - 1] + slack]
+        near = distances(self.rows[some], point)
+        first = np.lexsort((self.ids[some], near))[:k]
+        return self.ids[some][first], near[first]
+
+    def wanted(self, asks: np.ndarray, points: np.ndarray, codes: np.ndarray, k: int, recall: float) -> int:
+        """How many strings a climb must hold to find the given share of the k nearest vectors of these queries.
+
+        The rank is rounded up as for one more neighbour than was seen, so that a
+        few queries are answered in full.
+        """
+        held = self.held(*self.ranges(codes))
+        needed = []
+        for q in range(len(asks)):
+            others = np.flatnonzero(self.ids != asks[q])
+            found = np.isin(self.ids, self.nearest(others, points[q], k)[0])
+            differ = self.codes[found] ^ codes[q]
+            level = np.zeros(differ.shape, np.int64)
+            for d in range(1, self.digits + 1):
+                level += differ >> np.uint64(self.bits * (self.digits - d)) == 0
+            step = ((self.digits - level) * codes.shape[1] + np.arange(codes.shape[1])).min(axis=1)
+            needed.append(held[q][step])
+        if not (total := sum(map(len, needed))):
+            return 1
+        rank = min(int(np.ceil(recall * (total + 1))), total)
+        return int(np.sort(np.concatenate(needed))[rank - 1])
+
+    def search(self, asks: np.ndarray, points: np.ndarray, k: int, recall: float, sample: int) -> list[tuple[np.ndarray, ...]]:
+        """(query, id, distance) arrays of the k nearest found to each query."""
+        codes = hash_strings(points, self.turns)
+        drawn = np.argsort((asks.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0x5851F42D4C957F2D), kind="stable")[:sample]
+        wanted = self.wanted(asks[drawn], points[drawn], codes[drawn], k, recall)
+        trees, out = codes.shape[1], []
+        for i in range(0, len(asks), TOGETHER):
+            begin, end = self.ranges(codes[i : i + TOGETHER])
+            enough = self.held(begin, end) >= wanted
+            step = np.where(enough.any(axis=1), enough.argmax(axis=1), enough.shape[1] - 1)
+            for q, (level, tree) in enumerate(zip(self.digits - step // trees, step % trees, strict=True)):
+                below = np.zeros(len(self.ids), bool)
+                for t in range(trees):
+                    # Trees that the last round didn't reach are still at the longer prefix.
+                    at = level if t <= tree else level + 1
+                    if at <= self.digits:
+                        below[self.order[begin[at, q, t] : end[at, q, t], t]] = True
+                asked = asks[i + q]
+                below &= self.ids != asked
+                ids, near = self.nearest(np.flatnonzero(below), points[i + q], k)
+                out.append((np.full(len(ids), asked), ids, near))
+        return out
 
 
 def nearest_neighbours(
@@ -54,155 +164,67 @@ def nearest_neighbours(
     k: int = 10,
     trees: int = TREES,
     digits: int = DIGITS,
-    candidates: int = CANDIDATES,
+    recall: float = RECALL,
+    sample: int = SAMPLE_QUERIES,
     seed: int = 5,
-    share: float = SHARE,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the k nearest found to each row that `queries` selects.
 
-    Every tree gives a vector a string of digits. A query starts at its full
-    strings and climbs a digit at a time, in one tree after another, until the
-    vectors below its prefixes are `share` of all and at least `candidates`;
-    these are compared exactly. Where the first digits of all trees don't hold as
-    many, that is every vector, and the result is exact.
-    Of equal vectors the k + 1 smallest ids enter the trees, since no query can
-    return more. Vectors that are null, zero, or hold null or non-finite
-    components take no part, nor do those of another length than that of the
-    smallest id. Ids must be unique and not null; an empty table gives no rows.
+    Vectors are dealt by a hash of their id to shards of bounded size. A shard
+    keeps, for every tree, its strings of digits in sorted order. A query descends
+    to the longest prefixes it shares with any of them and climbs a digit at a
+    time, in one tree after another, until its prefixes hold enough strings; the
+    vectors of these are compared exactly. How many are enough is no constant: at
+    most `sample` of a shard's queries are searched there in full too, and the climb
+    is set so that it finds `recall` of their neighbours. Each shard's best are
+    ranked together.
+
+    Vectors that are null, zero, or hold null or non-finite components take no
+    part, nor do those of another length than the most frequent one (the smallest
+    of equals). Equal vectors tie, the smaller id first. Ids must be unique and not
+    null; other columns are ignored, and an empty table gives no rows.
     """
-    valid = vectors.where(takes_part(F.col(vector_col)) & F.col(id_col).isNotNull()).select(
+    kind = vectors.schema[vector_col].dataType.elementType.simpleString()
+    kind = kind if kind in ("float", "double") else "double"
+    valid = vectors.where(takes_part(F.col(vector_col).cast("array<double>")) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).cast(f"array<{kind}>").alias("vector"),
         F.coalesce(queries, F.lit(False)).alias("asks"),
     )
-    head = valid.agg(F.count("*").alias("n"), F.min(F.struct("id", F.size("vector").alias("dims"))).alias("m")).first()
-    n, dims = head["n"], head["m"]["dims"] if head["m"] else 1
-    bits = digit_bits(dims)
-    digits = min(digits, 62 // bits)
+    sizes = valid.groupBy(F.size("vector").alias("dims")).agg(F.count("*").alias("n"), F.count_if("asks").alias("asked"))
+    head = sizes.orderBy(F.desc("n"), "dims").first()
+    dims, n, asked = (head["dims"], head["n"], head["asked"]) if head else (1, 0, 0)
     valid = valid.where(F.size("vector") == dims)
-    wanted = max(candidates, math.ceil(share * n))
-    block_digits = 0
-    # No longer than the prefixes at which queries stop where vectors spread evenly: above these each would visit many.
-    while (
-        block_digits < digits
-        and n > BLOCK_VECTORS << (bits * block_digits)
-        and trees * n >= wanted * (2 * dims) ** (block_digits + 1)
-    ):
-        block_digits += 1
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turns = rotations(dims, trees, digits, seed)
-        for batch in batches:
-            rows = batch.column(1).values.to_numpy(zero_copy_only=False)
-            rows = rows[batch.column(1).offsets[0].as_py() : batch.column(1).offsets[-1].as_py()].reshape(-1, dims)
-            scaled = (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32)
-            codes = hash_strings(scaled, turns, trees, digits)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, codes.size + 1, trees, dtype=np.int32)), pa.array(codes.ravel())
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], lists], ["id", "vector", "codes"])
-
-    hashed = "id long, vector array<double>, codes array<long>"
-    order = Window.partitionBy("vector").orderBy("id")
-    points = (
-        valid.withColumn("copy", F.row_number().over(order)).where(F.col("copy") <= k + 1).select("id", "vector")
-    ).mapInArrow(strings, hashed)
-    asked = valid.where("asks").select("id", "vector").mapInArrow(strings, hashed)
-
-    def prefix(code: Column, depth: Column | int) -> Column:
-        shift = (F.lit(digits) - depth) * bits if isinstance(depth, Column) else F.lit((digits - depth) * bits)
-        return F.call_function("shiftright", code, shift.cast("int"))
-
-    depths = F.explode(F.sequence(F.lit(1), F.lit(digits))).alias("depth")
-    below = (
-        points.select(F.posexplode("codes").alias("tree", "code"))
-        .select("tree", "code", depths)
-        .groupBy("tree", "depth", prefix(F.col("code"), F.col("depth")).alias("prefix"))
-        .count()
-    )
-    # Steps of the climb: all trees in turn at their full strings, then all in turn a digit higher, and so on.
-    step = (F.lit(digits) - F.col("depth")) * trees + F.col("tree")
-    below_it = Window.partitionBy("id", "tree").orderBy(F.desc("depth"))
-    climbed = (
-        asked.select("id", F.posexplode("codes").alias("tree", "code"))
-        .select("id", "tree", "code", depths)
-        .select("id", "tree", "depth", prefix(F.col("code"), F.col("depth")).alias("prefix"))
-        .join(below, ["tree", "depth", "prefix"])
-        .select("id", "tree", "depth", step.alias("step"), F.col("count") - F.lag("count", 1, 0).over(below_it))
-        .toDF("id", "tree", "depth", "step", "more")
-        .select("id", "step", F.sum("more").over(Window.partitionBy("id").orderBy("step")).alias("held"))
-        .where(F.col("held") >= wanted)
-        .groupBy("id")
-        .agg(F.min("step").alias("step"))
-    )
-    level = F.lit(digits) - F.floor(F.col("step") / trees).cast("int")
-    unmoved = (F.col("tree") > F.col("step") % trees).cast("int")
-    depth = F.when(F.col("step").isNull(), 0).otherwise(F.least(level + unmoved, F.lit(digits)))
-    width = 1 << (bits * block_digits)
-    own = prefix(F.col("code"), block_digits)
-    short = F.greatest(F.lit(block_digits) - F.col("depth"), F.lit(0)) * bits
-    first = F.call_function("shiftleft", F.call_function("shiftright", own, short.cast("int")), short.cast("int"))
-    last = first + F.call_function("shiftleft", F.lit(1).cast("long"), short.cast("int")) - 1
-    routed = (
-        asked.join(climbed, "id", "left")
-        .select("id", "vector", "step", F.posexplode("codes").alias("tree", "code"))
-        .withColumn("depth", depth)
-        .where("depth > 0 OR tree = 0")
-        .select(
-            "id", "vector", "depth", "tree", "code",
-            F.explode(F.when(F.col("depth") > 0, F.sequence(first, last)).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long")))).alias("block"),
-        )
-    )
-    placed = points.select("id", "vector", F.posexplode("codes").alias("tree", "code")).withColumn(
-        "block", prefix(F.col("code"), block_digits)
-    )
-    placed = placed.join(routed.select("tree", "block").distinct(), ["tree", "block"], "left_semi")
-    # A hot block's vectors are dealt out by id, and each query looks into every part.
-    if block_digits:
-        level = below.where(F.col("depth") == block_digits).select("tree", F.col("prefix").alias("block"), "count")
-        parts = level.where(F.col("count") > BLOCK_VECTORS).select(
-            "tree", "block", F.ceil(F.col("count") / BLOCK_VECTORS).cast("int").alias("parts")
-        )
-        placed, routed = (x.join(F.broadcast(parts), ["tree", "block"], "left") for x in (placed, routed))
-        count = F.coalesce("parts", F.lit(1))
-    else:
-        count = F.lit(max(-(-n // BLOCK_VECTORS), 1))
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), count).cast("int")).drop("parts")
-    routed = routed.withColumn("part", F.explode(F.sequence(F.lit(0), count - 1))).drop("parts")
+    wide = -(-8 * dims * n // SHARD_BYTES)
+    spread = min(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // SHARD_VECTORS)
+    shards, blocks = max(wide, spread, 1), max(-(-8 * dims * asked // QUERY_BYTES), 1)
+
+    def everywhere(name: str, count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
+
+    def dealt(count: int, salt: str) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(count)).cast("int")
+
+    placed = valid.select("id", "vector", dealt(shards, "shard").alias("shard"), everywhere("block", blocks))
+    sent = valid.where("asks").select("id", "vector", dealt(blocks, "block").alias("block"), everywhere("shard", shards))
 
     def search(here: pa.Table, questions: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
-        if not here.num_rows or not questions.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
-        ids, rows, codes = _columns(here, dims)
-        order = np.argsort(codes, kind="stable")
-        ids, rows, codes = ids[order], rows[order], codes[order]
-        asks, wanted, strings_ = _columns(questions, dims)
-        levels = questions.column("depth").to_numpy()
-        found = []
-        for q in range(len(asks)):
-            shift = bits * (digits - int(levels[q]))
-            low = int(strings_[q]) >> shift << shift
-            a, b = np.searchsorted(codes, [low, low + (1 << shift)])
-            near = distances(rows[a:b], wanted[q])
-            mine = ids[a:b]
-            keep = np.flatnonzero(mine != asks[q])
-            if len(keep) > k:
-                limit = np.partition(near[keep], k - 1)[k - 1]
-                keep = keep[near[keep] <= limit]
-            keep = keep[np.lexsort((mine[keep], near[keep]))[:k]]
-            found.append((np.full(len(keep), asks[q]), mine[keep], near[keep]))
-        return pa.table([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=names)
+        found: list[tuple[np.ndarray, ...]] = []
+        if here.num_rows and questions.num_rows:
+            # The order of rows must not depend on how they came.
+            forest = Forest(*_columns(here, dims), rotations(dims, trees, digits, seed), digits)
+            found = forest.search(*_columns(questions, dims), k, recall, sample)
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(none, *found, strict=True)], names=["query_id", "vec_id", "score"])
 
     found = (
-        placed.groupBy("tree", "block", "part")
-        .cogroup(routed.groupBy("tree", "block", "part"))
+        placed.groupBy("shard", "block")
+        .cogroup(sent.groupBy("shard", "block"))
         .applyInArrow(search, "query_id long, vec_id long, score double")
     )
     ranked = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
-        found.distinct()
-        .withColumn("rank", F.row_number().over(ranked))
+        found.withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
@@ -217,7 +239,10 @@ def distances(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def _columns(table: pa.Table, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _columns(table: pa.Table, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors, in order of the ids."""
     vectors = table.column("vector").combine_chunks()
-    rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-    return table.column("id").to_numpy(), rows, table.column("code").to_numpy()
+    rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims).astype(np.float64)
+    ids = table.column("id").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    return ids[order], rows[order]

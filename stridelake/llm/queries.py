@@ -164,7 +164,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
-#: Exact search; the forest looks at every vector where a table has no more than it takes as candidates.
+#: Exact search. The forest's climb finds all neighbours where every query is one of the sample that sets it.
 OP9_SQL = r"""
 WITH v AS MATERIALIZED (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings

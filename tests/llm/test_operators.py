@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from stridelake.llm import bpe, forest, language, licences, packing, pages, quality, shards, subwords, tokens
 from stridelake.llm.minhash import fast_similarity_sketch, near_duplicates
@@ -198,73 +199,83 @@ def test_licences_of_varied_notices(documents):
     assert texts[0].encode()[span["start"] : span["end"]].decode() == "Released under the MIT License."
 
 
-def test_forest_is_exact_where_it_takes_all(spark):
+def _neighbours(out):
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    return {q: [ranks[k] for k in range(1, len(ranks) + 1)] for q, ranks in got.items()}
+
+
+def _exact(ids, rows, q, k=10):
+    near = forest.distances(rows, rows[ids.index(q)])
+    return [i for _, i in sorted((d, i) for d, i in zip(near.tolist(), ids) if i != q)[:k]]
+
+
+def test_forest_of_odd_vectors(spark):
     rng = np.random.default_rng(6)
     vectors = rng.normal(size=(150, 8)).astype(np.float32)
     vectors[20:45] = vectors[19]
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
-    rows += [(500, None), (501, [0.0] * 8), (502, [float("nan")] + [1.0] * 7), (503, [1.0] * 3), (504, [None] + [1.0] * 7)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = {}
-    for r in forest.nearest_neighbours(df, df.vec_id % 10 == 0, trees=6).collect():
-        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    odd = [(500, None), (501, [0.0] * 8), (502, [float("nan")] + [1.0] * 7), (503, [1.0] * 3), (504, [None] + [1.0] * 7), (-1, [1.0] * 3)]
+    df = spark.createDataFrame([(*r, 1) for r in rows + odd], "vec_id long, embedding array<float>, shard int")
+    got = _neighbours(forest.nearest_neighbours(df, df.vec_id % 10 == 0, trees=6))
     wide = vectors.astype(float)
-    for q in range(0, 150, 10):
-        near = sorted((forest.distances(wide[i : i + 1], wide[q])[0], i) for i in range(150) if i != q)[:10]
-        assert [got[q][k] for k in range(1, 11)] == [i for _, i in near]
-    assert set(got) == set(range(0, 150, 10))
+    assert got == {q: _exact(list(range(150)), wide, q) for q in range(0, 150, 10)}
+    assert forest.nearest_neighbours(df.limit(0), df.vec_id % 10 == 0).collect() == []
+    few = _neighbours(forest.nearest_neighbours(df.where("vec_id < 4"), df.vec_id == 0))
+    assert few == {0: _exact([0, 1, 2, 3], wide[:4], 0)}
 
 
-def test_forest_recall_with_few_candidates(spark):
+def test_forest_climbs_and_does_not_scan():
     rng = np.random.default_rng(7)
     centres = rng.normal(size=(40, 16))
-    vectors = (centres[rng.integers(0, 40, 3000)] + 0.15 * rng.normal(size=(3000, 16))).astype(np.float32)
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
-    out = forest.nearest_neighbours(df, df.vec_id % 100 == 0, trees=16, candidates=400).collect()
-    hits = 0
-    for q in range(0, 3000, 100):
-        d = forest.distances(vectors.astype(float), vectors[q].astype(float))
-        d[q] = np.inf
-        hits += len(set(np.argsort(d)[:10].tolist()) & {r["vec_id"] for r in out if r["query_id"] == q})
-    assert hits / 300 >= 0.9
-
-
-def _noise_recall(spark, n, dims, **kwargs):
-    vectors = np.random.default_rng(11).normal(size=(n, dims)).astype(np.float32)
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
-    out = forest.nearest_neighbours(df, df.vec_id % 100 == 0, **kwargs).collect()
-    hits = 0
-    for q in range(0, n, 100):
-        d = forest.distances(vectors.astype(float), vectors[q].astype(float))
-        d[q] = np.inf
-        hits += len(set(np.argsort(d)[:10].tolist()) & {r["vec_id"] for r in out if r["query_id"] == q})
-    return hits / (10 * len(range(0, n, 100)))
-
-
-def test_forest_recall_on_noise_keeps_up_past_a_depth_change(spark):
-    # 30 candidates are found at two digits; before, the climb stopped there whatever the size.
-    assert _noise_recall(spark, 4000, 32, candidates=30) >= 0.85
-
-
-@pytest.mark.parametrize("candidates", [300, 10_000])
-def test_forest_splits_hot_blocks(spark, monkeypatch, candidates):
+    rows = centres[rng.integers(0, 40, 3000)] + 0.15 * rng.normal(size=(3000, 16))
+    tree = forest.Forest(np.arange(3000), rows, forest.rotations(16, forest.TREES, forest.DIGITS, 5), forest.DIGITS)
+    asks = np.arange(0, 3000, 100)
+    seen = []
+    nearest = tree.nearest
+    tree.nearest = lambda some, point, k: seen.append(len(some)) or nearest(some, point, k)
+    found = tree.search(asks, rows[asks], 10, forest.RECALL, 5)
+    hits = sum(len(set(ids.tolist()) & set(_exact(list(range(3000)), rows, q))) for q, (_, ids, _) in zip(asks, found))
+    assert hits >= 0.9 * 300 and np.mean(seen[5:]) < 300
+
+
+def test_longest_prefixes_come_first():
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(500, 16))
+    tree = forest.Forest(np.arange(500), rows, forest.rotations(16, 4, forest.DIGITS, 5), forest.DIGITS)
+    begin, end = tree.ranges(tree.codes[:50])
+    for q in range(50):
+        for t in range(4):
+            for level in range(forest.DIGITS + 1):
+                shift = np.uint64(tree.bits * (forest.DIGITS - level))
+                alike = set(np.flatnonzero(tree.codes[:, t] >> shift == tree.codes[q, t] >> shift).tolist()) if level else set(range(500))
+                assert set(tree.order[begin[level, q, t] : end[level, q, t], t].tolist()) == alike
+    held = tree.held(begin, end)
+    assert (np.diff(held, axis=1) >= 0).all() and (held[:, -1] == 4 * 500).all()
+
+
+@pytest.mark.parametrize("n", [10_000, 50_000])
+def test_forest_recall_on_noise_by_default(spark, n):
+    vectors = np.random.default_rng(11).normal(size=(n, 64)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": pa.array(list(vectors))}))
+    asks = range(0, n, max(n // 100, 100))
+    got = _neighbours(forest.nearest_neighbours(df, F.col("vec_id").isin(list(asks))))
+    wide = vectors.astype(float)
+    hits = sum(len(set(got[q]) & set(_exact(list(range(n)), wide, q))) for q in asks)
+    assert hits / (10 * len(asks)) >= 0.9
+
+
+def test_forest_splits_hot_vectors_and_queries(spark, monkeypatch):
     rng = np.random.default_rng(12)
     vectors = rng.normal(size=(900, 8))
     vectors[:300] = 1 + 1e-3 * rng.normal(size=(300, 8))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
-    run = lambda: sorted(forest.nearest_neighbours(df, df.vec_id % 50 == 0, trees=8, candidates=candidates).collect())
-    whole = run()
-    seen = spark.sparkContext.accumulator(0)
-    table = forest._columns
-
-    def bounded(rows, dims):
-        if "depth" not in rows.column_names and rows.num_rows > 128:
-            seen.add(1)
-        return table(rows, dims)
-
-    monkeypatch.setattr(forest, "BLOCK_VECTORS", 64)
-    monkeypatch.setattr(forest, "_columns", bounded)
-    assert run() == whole and seen.value == 0
+    monkeypatch.setattr(forest, "SHARD_BYTES", 64 * 64)
+    monkeypatch.setattr(forest, "QUERY_BYTES", 64 * 6)
+    got = _neighbours(forest.nearest_neighbours(df, df.vec_id % 50 == 0))
+    assert got == {q: _exact(list(range(900)), vectors, q) for q in range(0, 900, 50)}
 
 
 def test_pages_render_blocks_lists_tables_and_visibility():
