@@ -76,9 +76,10 @@ def _block(symbols: np.ndarray, table: MergeTable, keys: np.ndarray, skip: Skip
             rank[real[skip(key[real], left[real], right[real], place[real], step)]] = NEVER
         return rank, merged
 
-    places = np.arange(max(width - 1, 0))
+    #: Where in the word each symbol starts, which names a candidate whatever has merged before it.
+    origin = np.tile(np.arange(width, dtype=np.int32), (n, 1))
     rank, merged = look(
-        symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), np.repeat(keys, width - 1), np.tile(places, n), 0
+        symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), np.repeat(keys, width - 1), origin[:, :-1].ravel(), 0
     )
     rank, merged = rank.reshape(n, width - 1), merged.reshape(n, width - 1)
     step = 0
@@ -90,13 +91,15 @@ def _block(symbols: np.ndarray, table: MergeTable, keys: np.ndarray, skip: Skip
             done = rows[~alive]
             out[done, : symbols.shape[1]] = symbols[~alive]
             sizes[done] = symbols.shape[1]
-            rows, symbols, rank, merged, best, keys = (x[alive] for x in (rows, symbols, rank, merged, best, keys))
+            rows, symbols, rank, merged, best, keys, origin = (x[alive] for x in (rows, symbols, rank, merged, best, keys, origin))
             if not len(rows):
                 break
         each = np.arange(len(rows))
         symbols[each, best] = merged[each, best]
         stay = np.arange(symbols.shape[1] - 1) <= best[:, None]
         symbols = np.where(stay, symbols[:, :-1], symbols[:, 1:])
+        if skip is not None:
+            origin = np.where(stay, origin[:, :-1], origin[:, 1:])
         stay = stay[:, :-1]
         rank = np.where(stay, rank[:, :-1], rank[:, 1:])
         merged = np.where(stay, merged[:, :-1], merged[:, 1:])
@@ -104,7 +107,7 @@ def _block(symbols: np.ndarray, table: MergeTable, keys: np.ndarray, skip: Skip
             at = best + shift
             ok = np.flatnonzero((at >= 0) & (at < symbols.shape[1] - 1))
             a = at[ok]
-            rank[ok, a], merged[ok, a] = look(symbols[ok, a], symbols[ok, a + 1], keys[ok], a, step)
+            rank[ok, a], merged[ok, a] = look(symbols[ok, a], symbols[ok, a + 1], keys[ok], origin[ok, a], step)
     if len(rows):
         out[rows, : symbols.shape[1]] = symbols
         sizes[rows] = symbols.shape[1]

@@ -90,3 +90,12 @@ def byte_lengths(values: pa.Array) -> list[int]:
     import pyarrow.compute as pc
 
     return [n or 0 for n in pc.binary_length(values).to_pylist()]
+
+
+def sound_text(values: pa.Array) -> pa.Array:
+    """values as strings; what isn't UTF-8, which Spark lets pass, becomes U+FFFD."""
+    raw = values.cast(pa.binary())
+    try:
+        return raw.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([None if x is None else x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,12 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.llm import words as W
-from stridelake.llm.cluster import text_slices
+from stridelake.llm.cluster import sound_text, text_slices
 
 UNKNOWN = "unknown"
 BUCKETS = 1 << 15
-#: About so many documents give paragraphs of the unknown class.
-SAMPLE_DOCUMENTS = 600
+#: About so many documents, and so many characters of each, give paragraphs of the unknown class; at most so many of these are taught.
+SAMPLE_DOCUMENTS, SAMPLE_CHARS, SAMPLE_PARAGRAPHS = 600, 20_000, 12_000
+#: A template confirms a paragraph that holds this share of its word shingles.
 MIN_SIMILARITY = 0.6
 
 # The wording by which each licence family is declared.
@@ -94,9 +96,28 @@ _KEPT = np.zeros(256, bool)
 _KEPT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), *b"-.+"]] = True
 
 
+UNITS = ("paragraph", "sentence", "line")
+_ENDS = np.zeros(256, bool)
+_ENDS[[*b".:;!?"]] = True
+
+
+def _word_bytes(data: np.ndarray) -> np.ndarray:
+    """data in lower case, with a space for what belongs to no word: comment marks, quotes, and marks at a word's ends."""
+    plain = np.where(_KEPT[data], W.LOWER[data], np.uint8(0x20))
+    soft = (plain == 0x2E) | (plain == 0x2D) | (plain == 0x2B)
+    for _ in range(2):
+        outer = soft.copy()
+        outer[:-1] &= plain[1:] == 0x20
+        plain[outer] = 0x20
+        outer = soft & (plain != 0x20)
+        outer[1:] &= plain[:-1] == 0x20
+        plain[outer] = 0x20
+    return plain
+
+
 @dataclass
 class Paragraphs:
-    """The lines with words of many texts: their text's index, their bytes' place there, and hashed word 1- and 2-grams."""
+    """The units with words of many texts: their text's index, their bytes' place there, and the words' hashes."""
 
     text: np.ndarray
     starts: np.ndarray
@@ -105,23 +126,31 @@ class Paragraphs:
     counts: np.ndarray
 
     @classmethod
-    def of(cls, values: pa.Array) -> Paragraphs:
+    def of(cls, values: pa.Array, unit: str = "line") -> Paragraphs:
+        """Lines, sentences that may run over lines, or paragraphs: runs of lines up to one that holds no word."""
         data, offsets = W.buffers(values)
-        breaks = np.flatnonzero(data == 0x0A) + 1
+        plain = _word_bytes(data)
+        if unit == "sentence":
+            mark = _ENDS[data]
+            mark[:-1] &= W.SPACES[data[1:]]
+            breaks = np.flatnonzero(mark) + 1
+        else:
+            breaks = np.flatnonzero(data == 0x0A) + 1
+        if unit != "line":
+            lines = np.unique(np.concatenate([offsets, np.flatnonzero(data == 0x0A) + 1]))
+            blank = np.diff(np.concatenate([[0], np.cumsum(plain != 0x20)])[lines]) == 0
+            bare = np.unique(np.concatenate([lines[:-1][blank], lines[1:][blank]]))
+            breaks = bare if unit == "paragraph" else np.concatenate([breaks, bare])
         bounds = np.unique(np.concatenate([offsets, breaks]))
-        plain = np.where(_KEPT[data], W.LOWER[data], np.uint8(0x20))
-        dot = plain == 0x2E
-        final = dot.copy()
-        final[:-1] &= plain[1:] == 0x20
-        plain[final] = 0x20
         starts, ends, counts = W.spans(plain, bounds)
         with np.errstate(over="ignore"):
             words = W.substring_hash(W.prefix_sums(plain), starts, ends)
         full = counts > 0
-        begin = bounds[:-1][full]
+        last = np.cumsum(counts[full]) - 1
+        begin, stop = starts[last - counts[full] + 1], ends[last]
+        # A unit reaches from its first word to the last, with the mark that ends it.
+        stop = stop + ((stop < bounds[1:][full]) & _ENDS[data[np.minimum(stop, max(len(data) - 1, 0))]])
         text = np.searchsorted(offsets, begin, side="right") - 1
-        stop = bounds[1:][full]
-        stop = stop - (data[stop - 1] == 0x0A)
         return cls(text, begin - offsets[text], stop - offsets[text], words, counts[full])
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
@@ -133,10 +162,6 @@ class Paragraphs:
         pairs[last] = -1
         return (self.words % np.uint64(BUCKETS)).astype(np.int64), pairs
 
-    def part(self, k: int) -> np.ndarray:
-        end = int(self.counts[: k + 1].sum())
-        return self.words[end - int(self.counts[k]) : end]
-
 
 def shingles(words: np.ndarray, width: int = 3) -> np.ndarray:
     with np.errstate(over="ignore"):
@@ -145,13 +170,14 @@ def shingles(words: np.ndarray, width: int = 3) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LicenceModel:
-    """weights: one row per bucket, the last for none; the first class is the unknown one."""
+    """weights: one row per bucket, the last for none; the first class is the unknown one, accept the least score of the others."""
 
     families: tuple[str, ...]
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
     templates: dict[str, list[np.ndarray]]
+    accept: float = 0.5
 
     def scores(self, p: Paragraphs) -> np.ndarray:
         one, two = p.grams()
@@ -162,31 +188,39 @@ class LicenceModel:
         return z / z.sum(axis=1, keepdims=True)
 
     def similarity(self, words: np.ndarray, family: str) -> float:
-        """The largest share of the smaller set's word shingles that a template of the family has in common."""
+        """The largest share of a template's word shingles that the words hold, over the family's templates."""
         own = shingles(words)
-        return max(
-            len(np.intersect1d(own, t, assume_unique=True)) / max(min(len(own), len(t)), 1) for t in self.templates[family]
-        )
+        return max(len(np.intersect1d(own, t, assume_unique=True)) / max(len(t), 1) for t in self.templates[family])
 
     def find(self, values: pa.Array) -> list[list[dict]]:
-        """For each text the paragraphs that declare a licence."""
-        out: list[list[dict]] = [[] for _ in range(len(values))]
-        p = Paragraphs.of(values)
-        if not len(p.counts):
-            return out
-        scores = self.scores(p)
-        ends = np.cumsum(p.counts)
-        best = scores.argmax(axis=1)
-        for k in np.flatnonzero((best > 0) & (scores.max(axis=1) >= 0.5)).tolist():
-            family = self.families[best[k]]
-            alike = self.similarity(p.words[ends[k] - p.counts[k] : ends[k]], family)
-            out[p.text[k]].append(
-                {
-                    "start": int(p.starts[k]), "end": int(p.ends[k]), "family": family,
-                    "score": float(scores[k, best[k]]), "similarity": alike, "confirmed": alike >= MIN_SIMILARITY,
-                }
-            )
-        return out
+        """For each text the paragraphs, sentences and lines that declare a licence, of overlapping ones of a family the best."""
+        seen: list[list[dict]] = [[] for _ in range(len(values))]
+        for unit in UNITS:
+            p = Paragraphs.of(values, unit)
+            if not len(p.counts):
+                break
+            scores = self.scores(p)
+            ends = np.cumsum(p.counts)
+            best = scores[:, 1:].argmax(axis=1) + 1
+            for k in np.flatnonzero(scores[np.arange(len(best)), best] >= self.accept).tolist():
+                family = self.families[best[k]]
+                alike = self.similarity(p.words[ends[k] - p.counts[k] : ends[k]], family)
+                seen[p.text[k]].append(
+                    {
+                        "start": int(p.starts[k]), "end": int(p.ends[k]), "family": family,
+                        "score": float(scores[k, best[k]]), "similarity": alike, "confirmed": alike >= MIN_SIMILARITY,
+                    }
+                )
+        return [_apart(found) if len(found) > 1 else found for found in seen]
+
+
+def _apart(found: list[dict]) -> list[dict]:
+    """Confirmed finds first, then by similarity and shortness; what overlaps one that stays goes."""
+    kept: list[dict] = []
+    for x in sorted(found, key=lambda x: (not x["confirmed"], -x["similarity"], x["end"] - x["start"], x["start"])):
+        if all(x["end"] <= y["start"] or y["end"] <= x["start"] for y in kept):
+            kept.append(x)
+    return sorted(kept, key=lambda x: x["start"])
 
 
 def _variants(rng: np.random.Generator, text: str, times: int) -> list[str]:
@@ -207,8 +241,10 @@ def _variants(rng: np.random.Generator, text: str, times: int) -> list[str]:
 def fit(negatives: list[str], epochs: int = 6, rate: float = 0.5, seed: int = 3, times: int = 24) -> LicenceModel:
     """Logistic regression by stochastic gradient descent on varied templates and on paragraphs of other texts.
 
-    A fifth of the examples is set aside and gives the temperature. Paragraphs of
-    the sample that look like a template themselves aren't taught as unknown.
+    A fifth of the examples is set aside and calibrates: it gives the temperature,
+    and the least score at which a family is accepted, which turns away all but 1 in
+    1000 of the paragraphs without a notice, but at most 1 in 50 of the notices.
+    Paragraphs of the sample that hold much of a template aren't taught as unknown.
     """
     rng = np.random.default_rng(seed)
     families = (UNKNOWN, *sorted(TEMPLATES))
@@ -217,7 +253,8 @@ def fit(negatives: list[str], epochs: int = 6, rate: float = 0.5, seed: int = 3,
     }
     texts = [(v, k) for k, f in enumerate(families) if k for t in TEMPLATES[f] for v in _variants(rng, t, times)]
     model = LicenceModel(families, np.zeros((BUCKETS + 1, len(families)), np.float32), np.zeros(len(families)), 1.0, known)
-    p = Paragraphs.of(pa.array([" ".join(x.split("\n")) for x in negatives], pa.string()))
+    negatives = [" ".join(x.split("\n")) for x in negatives]
+    p = Paragraphs.of(pa.array(negatives, pa.string()))
     ends = np.cumsum(p.counts)
     for k in range(len(p.counts)):
         words = p.words[ends[k] - p.counts[k] : ends[k]]
@@ -256,16 +293,32 @@ def fit(negatives: list[str], epochs: int = 6, rate: float = 0.5, seed: int = 3,
         return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(right)), right]).mean())
 
     best = min([0.25, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0], key=loss)
-    return LicenceModel(families, weights, bias, best, known)
+    g = np.exp((z - z.max(axis=1, keepdims=True)) / best)
+    g = g[:, 1:].max(axis=1) / g.sum(axis=1)
+    quantile = lambda x, share, other: float(np.quantile(x, share)) if len(x) else other
+    accept = min(max(quantile(g[right == 0], 0.999, 0.5), 0.05), quantile(g[right > 0], 0.02, 0.5))
+    return LicenceModel(families, weights, bias, best, known, accept)
 
 
 def fit_on(docs: DataFrame, id_col: str, text_col: str, documents: int = SAMPLE_DOCUMENTS) -> LicenceModel:
-    """Fit with the paragraphs of about `documents` documents, drawn by a hash of their id, as the unknown class."""
+    """Fit with paragraphs of about `documents` documents, drawn by a hash of their id, as the unknown class.
+
+    SAMPLE_CHARS and SAMPLE_PARAGRAPHS bound what is read of them; where there are
+    more paragraphs, sentences and lines, a hash of their words draws those taught.
+    """
     some = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     rate = int(min(1.0, documents / max(some.count(), 1)) * 2**30)
     drawn = some.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("licence")), F.lit(2**30)) < rate)
-    sample = sorted((r[0], r[1]) for r in drawn.select(id_col, text_col).collect())
-    return fit([line for _, text in sample for line in text.split("\n") if line.strip()][: 20 * documents])
+    texts = [r[0] for r in drawn.select(F.substring(F.col(text_col), 1, SAMPLE_CHARS)).collect()]
+    values = sound_text(pa.array(texts, pa.string()))
+    raw = [x.encode() for x in values.to_pylist()]
+    found = {
+        raw[t][a:b].decode("utf-8", "replace")
+        for unit in UNITS
+        for p in [Paragraphs.of(values, unit)]
+        for t, a, b in zip(p.text.tolist(), p.starts.tolist(), p.ends.tolist(), strict=True)
+    }
+    return fit(sorted(found, key=lambda x: (zlib.crc32(x.encode()), x))[:SAMPLE_PARAGRAPHS])
 
 
 def scan_licences(
@@ -273,10 +326,11 @@ def scan_licences(
 ) -> DataFrame:
     """One row per document: doc_id, families (confirmed ones, sorted, each once) and found.
 
-    A paragraph is a line with a word. found lists those whose licence family
-    outscores the unknown class: bytes [start, end) of the text, family, score,
-    similarity to the nearest template, and whether that confirms the prediction.
-    Null and empty texts find nothing; repeated rows give repeated rows, other
+    Paragraphs (runs of lines with words; comment marks are none), the sentences in
+    them, which may run over lines, and single lines are judged. found lists those
+    whose licence family reaches the accepted score, the best of overlapping ones:
+    bytes [start, end) of the text, family, score, the share of a template of the
+    family that they hold, and whether that confirms the prediction. Null and empty texts find nothing; repeated rows give repeated rows, other
     columns are ignored, and an empty table gives no rows.
     """
     model = model or fit_on(docs, id_col, text_col)
@@ -289,7 +343,7 @@ def scan_licences(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text", 1 << 20):
-                found = shared.value.find(part.column(1))
+                found = shared.value.find(sound_text(part.column(1)))
                 families = [sorted({x["family"] for x in f if x["confirmed"]}) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [

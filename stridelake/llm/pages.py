@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.cluster import text_slices
+from stridelake.llm.cluster import sound_text, text_slices
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -21,14 +22,15 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"[ \t\n\r\f]+")
-INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+UNDISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
 # Fixed values of the HTML standard: elements without content, with raw text, and what ends an open element.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe xmp noembed noframes noscript".split())
 UNSEEN = frozenset(
     "head script style title template noscript iframe noembed noframes object audio video canvas "
-    "select datalist colgroup".split()
+    "datalist colgroup".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre xmp table figure hr fieldset form".split())
 BLOCKS = SPACED | frozenset(
@@ -59,10 +61,12 @@ HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xm
 #: Parts of svg that draw nothing where they stand.
 UNDRAWN = frozenset("defs symbol clippath mask pattern marker metadata desc title style script".split())
 SCOPES = frozenset("table td th caption button object template".split())
-#: Elements nested deeper become siblings.
-MAX_DEPTH = 200
-#: Cells are padded to their column's width up to so many characters.
-MAX_PAD = 40
+#: Elements nested deeper become siblings, as in browsers.
+MAX_DEPTH = 512
+#: A column of a table whose alignment would add more spaces than this isn't padded, so that a page can't fill the memory.
+MAX_PADDING = 16 << 20
+#: Fixed values of the HTML standard: the most columns and rows that a cell may span.
+MAX_COLUMNS, MAX_ROWS = 1000, 65_534
 
 
 class Node:
@@ -216,7 +220,35 @@ def _imply_ends(stack: list[Node], name: str) -> None:
 
 def hidden(node: Node) -> bool:
     attrs = node.attrs
-    return node.name in UNSEEN or (bool(attrs) and ("hidden" in attrs or bool(INVISIBLE.search(attrs.get("style", "")))))
+    return node.name in UNSEEN or (bool(attrs) and ("hidden" in attrs or bool(UNDISPLAYED.search(attrs.get("style", "")))))
+
+
+def unveil(node: Node, seen: bool = True) -> None:
+    """Take out text that inherits visibility: hidden; what is visible again inside stays."""
+    kept: list[Node | str] = []
+    for child in node.children:
+        if isinstance(child, str):
+            if seen:
+                kept.append(child)
+            continue
+        found = VISIBILITY.findall(child.attrs.get("style", ""))
+        unveil(child, found[-1].lower() == "visible" if found else seen)
+        kept.append(child)
+    node.children = kept
+
+
+def chosen(select: Node) -> list[Node]:
+    """The options that a select shows: all of a list box, else the one selected, the first by default."""
+    options: list[Node] = []
+    todo = list(reversed(select.children))
+    while todo:
+        child = todo.pop()
+        if isinstance(child, Node) and not hidden(child):
+            options += [child] if child.name == "option" else []
+            todo += reversed(child.children)
+    if "multiple" in select.attrs or _number(select.attrs.get("size"), 1) > 1:
+        return options
+    return ([x for x in options if "selected" in x.attrs][-1:] or options[:1]) if options else []
 
 
 class Page:
@@ -301,6 +333,11 @@ def _render(node: Node, page: Page, pre: bool = False, depth: int = 0) -> None:
             page.space(1 if name in SPACED and not (depth and name in ("ul", "ol")) else 0)
         elif name == "svg":
             _drawing(child, page, depth)
+        elif name == "select":
+            for option in chosen(child):
+                page.text(" ")
+                _render(option, page, pre, depth)
+            page.text(" ")
         elif name in ("td", "th"):
             page.text(" ")
             _render(child, page, pre, depth)
@@ -374,8 +411,8 @@ def table_lines(table: Node) -> list[str]:
             inner = Page()
             _render(cell, inner)
             cells[column] = inner.finish()
-            span = max(_number(cell.attrs.get("colspan"), 1), 1)
-            if (rows := max(_number(cell.attrs.get("rowspan"), 1), 1)) > 1:
+            span = max(_number(cell.attrs.get("colspan"), 1, MAX_COLUMNS), 1)
+            if (rows := max(_number(cell.attrs.get("rowspan"), 1, MAX_ROWS), 1)) > 1:
                 lasting.update(dict.fromkeys(range(column, column + span), rows - 1))
             column += span
         down = lasting
@@ -384,8 +421,10 @@ def table_lines(table: Node) -> list[str]:
     width: dict[int, int] = {}
     for cells in grid:
         for c, lines in cells.items():
-            width[c] = max([width.get(c, 0), *(min(len(x), MAX_PAD) for x in lines)])
+            width[c] = max([width.get(c, 0), *(len(x) for x in lines)])
     used = sorted(c for c in width if width[c])
+    height = sum(max(len(x) for x in cells.values()) for cells in grid)
+    pad = {c: width[c] if width[c] * height <= MAX_PADDING else 0 for c in used}
     out: list[str] = []
     loose = Page()
     for child in table.children:
@@ -399,7 +438,7 @@ def table_lines(table: Node) -> list[str]:
     for cells in grid:
         for k in range(max(len(x) for x in cells.values())):
             parts = [(cells.get(c) or [])[k : k + 1] for c in used]
-            line = "  ".join((p[0] if p else "").ljust(width[c]) for p, c in zip(parts, used, strict=True))
+            line = "  ".join((p[0] if p else "").ljust(pad[c]) for p, c in zip(parts, used, strict=True))
             out.append(line.rstrip(" "))
     return out
 
@@ -408,8 +447,13 @@ def render(page: str | None) -> str:
     """All visible text of a page: blocks on lines of their own, paragraphs and the like set off by a blank line."""
     if not page:
         return ""
+    if sys.getrecursionlimit() < 12 * MAX_DEPTH:
+        sys.setrecursionlimit(12 * MAX_DEPTH)
+    tree = parse(page)
+    if "visibility" in page.lower():
+        unveil(tree)
     out = Page()
-    _render(parse(page), out)
+    _render(tree, out)
     lines = out.finish()
     while lines and not lines[-1]:
         lines.pop()
@@ -428,7 +472,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "html"):
-                texts = [render(x) for x in part.column(1).to_pylist()]
+                texts = [render(x) for x in sound_text(part.column(1)).to_pylist()]
                 lines = pa.array([x.count("\n") + 1 if x else 0 for x in texts], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), lines, pa.array(texts, pa.string())], ["page_id", "n_lines", "text"]

@@ -11,7 +11,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A line of a host found in more than so many distinct texts is boilerplate.
+#: A line of a host found in more than so many documents is boilerplate.
 LINE_LIMIT = 25
 #: A document is depleted if less than this percentage of its characters stays.
 MIN_LEFT_PERCENT = 20
@@ -32,7 +32,8 @@ def repeated_window_words(words: Column, width: int = 3) -> Column:
 
     Every window becomes one long: its hash above, its place below in as many
     bits as the place needs. Sorting brings equal windows together, so the cost
-    is that of a sort, whatever repeats.
+    is that of a sort, whatever repeats; neighbours of one hash count if their
+    words agree, so that hashes shortened by long texts find nothing false.
     """
 
     def windows(v: Column) -> Column:
@@ -48,15 +49,17 @@ def repeated_window_words(words: Column, width: int = 3) -> Column:
         ).otherwise(F.array().cast("array<bigint>"))
 
     def places(v: Column) -> Column:
-        s, bits = v["s"], v["bits"]
+        s, bits, w = v["s"], v["bits"], v["w"]
+        low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
 
         def same(x: Column, at: Column) -> Column:
-            return F.coalesce(
-                F.call_function("shiftright", x, bits) == F.call_function("shiftright", F.get(s, at), bits),
-                F.lit(False),
-            )
+            other = F.get(s, at)
+            alike = F.call_function("shiftright", x, bits) == F.call_function("shiftright", other, bits)
+            for k in range(width):
+                here, there = (F.get(w, (y.bitwiseAND(low) + k).cast("int")) for y in (x, other))
+                alike = alike & (here == there)
+            return F.coalesce(alike, F.lit(False))
 
-        low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
         repeated = F.filter(s, lambda x, j: same(x, j - 1) | same(x, j + 1))
         return F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(low)))
 
@@ -68,7 +71,7 @@ def repeated_window_words(words: Column, width: int = 3) -> Column:
     return _let(
         F.struct(words.alias("w"), bits.alias("bits")),
         lambda v: _let(
-            F.struct(F.sort_array(windows(v)).alias("s"), v["bits"].alias("bits")),
+            F.struct(F.sort_array(windows(v)).alias("s"), v["bits"].alias("bits"), v["w"].alias("w")),
             lambda u: _let(places(u), covered),
         ),
     )
@@ -101,7 +104,6 @@ def line_features(docs: DataFrame, id_col: str, text_col: str, host_col: str) ->
     )
     return parts.select(
         "doc_id",
-        F.xxhash64("body").alias("text_key"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("body", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length("body") - F.length(F.translate("body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -112,17 +114,16 @@ def line_features(docs: DataFrame, id_col: str, text_col: str, host_col: str) ->
 
 
 def frequent_lines(features: DataFrame, limit: int) -> DataFrame:
-    """Keys of lines in more than `limit` distinct texts of a host, and the smallest document with each.
+    """Keys of lines in more than `limit` documents of a host, and the smallest document with each.
 
-    Copies of one text count once. Grouping by line and text first spreads a
-    line that a third of all documents share over many tasks.
+    A document counts once for each of its lines. Partial counts leave one row of
+    a line per task, so one that a third of all documents share costs no more.
     """
-    lines = features.select("doc_id", "text_key", F.explode("line_keys.key").alias("key"))
-    by_text = lines.groupBy("key", "text_key").agg(F.min("doc_id").alias("first"))
+    lines = features.select("doc_id", F.explode(F.array_distinct("line_keys.key")).alias("key"))
     return (
-        by_text.groupBy("key")
-        .agg(F.count("*").alias("n_texts"), F.min("first").alias("first"))
-        .where(F.col("n_texts") > limit)
+        lines.groupBy("key")
+        .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first"))
+        .where(F.col("n_docs") > limit)
     )
 
 
@@ -133,14 +134,15 @@ def quality_rules(
     host_col: str = "source",
     line_limit: int = LINE_LIMIT,
     min_left_percent: int = MIN_LEFT_PERCENT,
+    spare_first: bool = False,
 ) -> DataFrame:
     """One row per document: the statistics, base_failed, kept, n_removed_chars and removed_lines.
 
     A line, ASCII-lowercased and with runs of white space as one space, is
-    boilerplate if more than `line_limit` distinct texts of its host hold it; the
-    document with the smallest id among them keeps it, all others lose it. A
-    document is depleted if less than `min_left_percent` of the characters of its
-    normalised lines stay. kept is false for depleted documents and those that
+    boilerplate if more than `line_limit` documents of its host hold it, and all of
+    them lose it; with spare_first the one with the smallest id keeps it, which
+    suits a corpus whose copies are still to be removed. A document is depleted if
+    less than `min_left_percent` of the characters of its normalised lines stay. kept is false for depleted documents and those that
     fail the base rules. removed_lines holds the keys of the lines it loses (null
     if none). Null and empty texts have no words and fail; a null host counts as
     one host; ids must be unique and not null, other columns are ignored.
@@ -150,7 +152,7 @@ def quality_rules(
     lines = features.select("doc_id", F.explode("line_keys").alias("line")).select("doc_id", "line.*")
     lost = (
         lines.join(frequent, "key")
-        .where("doc_id <> first")
+        .where(F.col("doc_id") != F.col("first") if spare_first else F.lit(True))
         .groupBy("doc_id")
         .agg(
             F.sum("size").cast("long").alias("n_removed_chars"),

@@ -143,11 +143,11 @@ g AS (
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g) WHERE c > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
 lines AS MATERIALIZED (
-  SELECT doc_id, host, x, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT doc_id, host, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+', ' ', 'g')) AS l
-  FROM (SELECT doc_id, host, x, unnest(ln) AS l FROM t)),
-freq AS (SELECT host, l, min(doc_id) AS first FROM lines GROUP BY host, l HAVING count(DISTINCT x) > 25),
-lost AS (SELECT doc_id, sum(length(l)) AS n FROM lines JOIN freq USING (host, l) WHERE doc_id <> first GROUP BY doc_id),
+  FROM (SELECT doc_id, host, unnest(ln) AS l FROM t)),
+freq AS (SELECT host, l FROM lines GROUP BY host, l HAVING count(DISTINCT doc_id) > 25),
+lost AS (SELECT doc_id, sum(length(l)) AS n FROM lines JOIN freq USING (host, l) GROUP BY doc_id),
 total AS (SELECT doc_id, sum(length(l)) AS n FROM lines GROUP BY doc_id),
 base AS (
   SELECT doc_id, len(w)::BIGINT AS n_words,

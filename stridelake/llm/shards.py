@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.cluster import text_slices
+from stridelake.llm.cluster import sound_text, text_slices
 
 CAPACITY = 2048
 #: A task packs what it has read once it holds so many ids.
@@ -146,7 +146,7 @@ def packed_shards(
         held = 0
         for batch in batches:
             for part in text_slices(batch, "text"):
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for doc, text in zip(part.column(0).to_pylist(), sound_text(part.column(1)).to_pylist(), strict=True):
                     names.append(doc)
                     arrays.append(np.array([*encode(text or ""), end_id], np.uint16))
                     held += len(arrays[-1])

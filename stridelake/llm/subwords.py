@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stridelake.llm import words as W
 from stridelake.llm.bpe import MergeTable, Skip, merge, ranges
-from stridelake.llm.cluster import text_slices
+from stridelake.llm.cluster import sound_text, text_slices
 
 MARK = "▁"
 #: Occurrences are drawn and merged so many at a time.
@@ -223,7 +223,7 @@ def encode_with_dropout(
     """One row per document: doc_id, n_ids and ids.
 
     ids vary with the seed and with where a word stands, and always decode to the
-    text, character by character. Null and empty texts have no ids; null ids count
+    text, character by character; bytes that aren't UTF-8 stand as U+FFFD. Null and empty texts have no ids; null ids count
     as key 0; repeated rows give repeated rows, other columns are ignored, and an
     empty table gives no rows.
     """
@@ -233,7 +233,7 @@ def encode_with_dropout(
         for batch in batches:
             for part in text_slices(batch, "text"):
                 keys = part.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-                ids, counts = model.encode(part.column(1), keys, dropout, seed)
+                ids, counts = model.encode(sound_text(part.column(1)), keys, dropout, seed)
                 bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), lists], ["doc_id", "n_ids", "ids"])

@@ -33,6 +33,59 @@ def test_long_words_merge_as_short_ones_do(monkeypatch):
     assert tokens.WordTokenizer(path("word_bpe_49k.json")).encode(pa.array(texts))[0].tolist() == short
 
 
+def _plain_agenda(symbols, table, skipped):
+    """One word, merged as the method says: at each step the lowest-ranked candidate that wasn't skipped when it came up."""
+    symbols, places, step, skip = list(symbols), list(range(len(symbols))), 0, {}
+
+    def look(i):
+        pair = np.array([symbols[i]]), np.array([symbols[i + 1]])
+        rank, merged = (int(x[0]) for x in table.find(*pair))
+        drop = rank != bpe.NEVER and bool(skipped(np.zeros(1, np.uint64), *pair, np.array([places[i]]), step)[0])
+        return (bpe.NEVER if drop else rank), merged
+
+    agenda = [look(i) for i in range(len(symbols) - 1)]
+    while agenda and min(agenda)[0] != bpe.NEVER:
+        at = min(range(len(agenda)), key=lambda i: (agenda[i][0], i))
+        step += 1
+        symbols[at : at + 2] = [agenda[at][1]]
+        del places[at + 1], agenda[at]
+        for i in (at - 1, at):
+            if 0 <= i < len(agenda):
+                agenda[i] = look(i)
+    return symbols
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5])
+def test_both_paths_of_dropout_equal_a_plain_agenda(monkeypatch, dropout):
+    model = subwords.piece_model(path("piece_bpe_32k.model"))
+    words = [subwords.MARK + w for w in ("international", "mississippi" * 3, "x", "abracadabra" * 12, "aaaaaaaaaaaa")]
+    symbols = [np.array([model.letters[ord(c)] for c in w], np.int32) for w in words]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in symbols])])
+
+    def skipped(key, left, right, place, step):
+        return subwords.W.mix(key ^ subwords.candidate_hash(left, right, place, step)) < np.uint64(int(dropout * 2**63) * 2)
+
+    with np.errstate(over="ignore"):
+        expected = [_plain_agenda(x.tolist(), model.table, skipped) for x in symbols]
+        for long in (2, 96, 1000):
+            monkeypatch.setattr(bpe, "LONG", long)
+            ids, edges = bpe.merge(np.concatenate(symbols), bounds, model.table, np.zeros(len(words), np.uint64), skipped)
+            assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == expected
+
+
+def test_dropout_tables_of_odd_texts(spark, make_docs):
+    rows = [(1, "some words here, some words there"), (1, "some words here, some words there"), (2, None), (3, ""), (None, "no id"), (4, "long " * 40_000)]
+    encoded = subwords.encode_with_dropout(make_docs(rows), path("piece_bpe_32k.model"))
+    out = {r["doc_id"]: (r["n_ids"], len(r["ids"])) for r in encoded.collect()}
+    assert encoded.count() == 6 and out[2] == out[3] == (0, 0) and all(a == b for a, b in out.values())
+    texts = {(r["doc_id"], r["text"]) for r in subwords.decode_ids(encoded, path("piece_bpe_32k.model")).collect()}
+    assert texts == {(i, t or "") for i, t in rows}
+    assert subwords.encode_with_dropout(make_docs([]), path("piece_bpe_32k.model")).collect() == []
+    broken = spark.sql("SELECT 1L AS doc_id, cast(X'61FF62' AS string) AS text")
+    back = subwords.decode_ids(subwords.encode_with_dropout(broken, path("piece_bpe_32k.model")), path("piece_bpe_32k.model"))
+    assert back.first()["text"] == "a\ufffdb"
+
+
 def test_merge_dropout_decodes_losslessly_and_varies(documents):
     model = subwords.piece_model(path("piece_bpe_32k.model"))
     texts = [t or "" for t in ODD] + [t for _, t, *_ in documents[:60]]
@@ -131,8 +184,30 @@ def test_quality_rules_on_edges(make_docs, spark):
     boiler = "the same line of boilerplate in every one of these documents, which is long enough to matter here"
     many = [(i, f"{boiler}\n{boiler} again\nunique {i} " + (words if i == 7 else "") + " pad" * 3 + f" {i}") for i in range(40)]
     many = [(i, t + "\n" + " ".join(f"{boiler} {k}" for k in range(3))) for i, t in many]
-    out = {r["doc_id"]: r for r in quality.quality_rules(make_docs(many), host_col="band").collect()}
+    out = {r["doc_id"]: r for r in quality.quality_rules(make_docs(many), host_col="band", spare_first=True).collect()}
     assert out[0]["n_removed_chars"] == 0 and out[1]["n_removed_chars"] > 0
+    out = {r["doc_id"]: r for r in quality.quality_rules(make_docs(many), host_col="band").collect()}
+    assert out[0]["n_removed_chars"] > 0 and not any(r["kept"] for r in out.values())
+
+
+def test_lines_count_documents_of_a_host(spark):
+    line = "a line that many of the documents hold"
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{line}\n{body} {i}", "a") for i in range(25)] + [(i, f"{line}\n{line}\n{body} x", None) for i in range(100, 126)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, key int")
+    out = {r["doc_id"]: r["n_removed_chars"] for r in quality.quality_rules(df).collect()}
+    assert {out[i] for i in range(25)} == {0} and {out[i] for i in range(100, 126)} == {2 * len(line) + len(f"{body} x")}
+    first = df.join(quality.quality_rules(df), "doc_id")
+    left = first.select("doc_id", quality.without_lines(F.col("text"), F.col("source"), F.col("removed_lines")).alias("t"))
+    texts = {r["doc_id"]: r["t"] for r in left.collect()}
+    assert texts[0] == rows[0][1] and texts[100] == ""
+    assert quality.quality_rules(df.limit(0)).collect() == []
+
+
+def test_repeats_of_a_very_long_text_are_exact(make_docs):
+    words = " ".join(f"w{i}" for i in range(1_000_000)) + " w5 w6 w7"
+    row = quality.quality_rules(make_docs([(1, words)]), host_col="band").first()
+    assert (row["n_words"], row["n_repeat_words"], row["kept"]) == (1_000_003, 6, True)
 
 
 def test_sketches_estimate_similarity():
@@ -176,7 +251,7 @@ def test_language_of_held_out_texts(spark, documents):
     for i in range(360):
         lang = list(texts)[i % 3]
         rows.append((i, " ".join(rng.choice(texts[lang].split(), 30)), lang))
-    rows += [(1000, None, "en"), (1001, "123 !!", None), (1002, "", None)]
+    rows += [(1000, None, "en"), (1001, "123 !! ½ ² Ⅷ", None), (1002, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["doc_id"]: r for r in language.identify(df).collect()}
     held = [r for r in rows[:360] if got[r[0]]["held_out"]]
@@ -184,6 +259,17 @@ def test_language_of_held_out_texts(spark, documents):
     assert np.mean([got[d]["lang_pred"] == lang for d, _, lang in held]) >= 0.95
     assert [(got[d]["lang_pred"], got[d]["score"]) for d in (1000, 1001, 1002)] == [("und", 0.0)] * 3
     assert language.identify(df.limit(0)).collect() == []
+    model = language.fit_on(df, "doc_id", "text", "lang")
+    twice = df.union(df).withColumn("score", F.lit(1)).withColumn("accepted", F.lit("x"))
+    assert language.identify(twice, model=model).count() == 2 * df.count()
+    kept = language.accepted_documents(twice, model=model)
+    assert kept.columns == twice.columns and {r["doc_id"] for r in kept.collect()} == {d for d, r in got.items() if r["accepted"]}
+    assert len([d for d in got if got[d]["accepted"]]) >= 355
+    # Letters in no order are no language.
+    mixed = [("".join(rng.permutation(list(t))), lang) for _, t, lang in rows[:90]]
+    names, scores = model.predict([t for t, _ in mixed])
+    assert model.accepts(names, scores).mean() < 0.5
+    assert model.predict(["½ ² "])[0] == ["und"]
 
 
 def test_licences_of_varied_notices(documents):
@@ -197,6 +283,42 @@ def test_licences_of_varied_notices(documents):
     assert [[x["family"] for x in f if x["confirmed"]] for f in found] == [["mit"], ["apache"], ["gpl"], ["cc-by-nc"], [], [], []]
     span = found[0][0]
     assert texts[0].encode()[span["start"] : span["end"]].decode() == "Released under the MIT License."
+    wrapped = [
+        "// Released under the\n// MIT License.\nint x;", "/*\n * This program is free software; you can redistribute it and/or modify\n"
+        " * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n"
+        " * (at your option) any later version.\n */\nint main;",
+        "# Permission to use, copy, modify, and/or distribute this software for any\n# purpose with or without fee is hereby granted, provided that the above\n"
+        "# copyright notice and this permission notice appear in all copies.\n\nimport os",
+        "This program is free software; you can redistribute it and/or modify", "the terms of the",
+    ]
+    found = model.find(pa.array(wrapped, pa.string()))
+    assert [[x["family"] for x in f if x["confirmed"]] for f in found] == [["mit"], ["gpl"], ["isc"], [], []]
+
+
+def test_licence_tables_of_odd_texts(spark, make_docs, documents):
+    model = licences.fit([line for _, t, *_ in documents[:80] for line in t.split("\n")])
+    rows = [(1, "x\n\nLicensed under CC BY 4.0\n\ny"), (1, "x"), (2, None), (3, ""), (4, "word " * 200_000 + "\nReleased under the MIT License.")]
+    df = make_docs(rows).withColumn("found", F.lit(1))
+    out = licences.scan_licences(df, model=model)
+    assert sorted((r["doc_id"], r["families"]) for r in out.collect()) == [(1, []), (1, ["cc-by"]), (2, []), (3, []), (4, ["mit"])]
+    assert licences.scan_licences(df.limit(0)).collect() == []
+
+
+def test_licences_of_held_out_documents(documents):
+    """Precision and recall on documents that the fit hasn't seen, with notices set among their lines."""
+    lines = [line for _, t, *_ in documents for line in t.split("\n") if line.strip()]
+    model = licences.fit([x for x in lines[::2] if "icens" not in x])
+    clean = [x for x in lines[1::2] if "icens" not in x and "GNU" not in x][:600]
+    rng = np.random.default_rng(9)
+    texts, truth = [], []
+    for i in range(0, len(clean) - 3, 3):
+        family = list(licences.TEMPLATES)[int(rng.integers(0, len(licences.TEMPLATES)))] if i % 2 else None
+        notice = [str(rng.choice(licences.TEMPLATES[family]))] if family else []
+        texts.append("\n".join([clean[i], *notice, *clean[i + 1 : i + 3]]))
+        truth.append([family] if family else [])
+    got = [sorted({x["family"] for x in f if x["confirmed"]}) for f in model.find(pa.array(texts))]
+    right = sum(len(set(g) & set(t)) for g, t in zip(got, truth))
+    assert right >= 0.95 * sum(map(len, got)) and right >= 0.95 * sum(map(len, truth))
 
 
 def _neighbours(out):
@@ -307,6 +429,13 @@ def test_pages_render_blocks_lists_tables_and_visibility():
         ("<svg><title/><defs><text>no</text></defs><g>no<text>yes</text><text><![CDATA[a>b]]></text></g></svg>c", "yes a>b c"),
         ("<svg><path d=1><p>out", "out"),
         ("a<xmp>b &amp; <i>c</i></xmp>d", "a\n\nb &amp; <i>c</i>\n\nd"),
+        ("<p style='visibility: hidden'>no <b style='visibility:visible'>yes</b> no</p>x", "yes\n\nx"),
+        ("<div style='display:none'>no <b style='visibility:visible'>no</b></div>x", "x"),
+        ("<p>pick <select><option>a<option selected>b</select> now", "pick b now"),
+        ("<select multiple><optgroup><option>a<option>b</select>", "a b"),
+        ("<datalist><option>no</datalist>x", "x"),
+        (f"<table><tr><td>{'w' * 60}<td>1<tr><td>v<td>2</table>", f"{'w' * 60}  1\nv{' ' * 61}2"),
+        ("<table><tr><td rowspan=2000>a<td>b<tr><td>c</table>", "a  b\n   c"),
     ],
 )
 def test_every_visible_word_of_odd_pages_appears(page, text):
@@ -327,13 +456,17 @@ def test_open_quotes_take_linear_time():
 
 
 def test_deep_tables_keep_their_words():
-    assert sorted(pages.render("<div>" * 198 + "<table><tr><td>x<table>w<td>y</table></table>").split()) == ["w", "x", "y"]
+    assert sorted(pages.render("<div>" * (pages.MAX_DEPTH - 2) + "<table><tr><td>x<table>w<td>y</table></table>").split()) == ["w", "x", "y"]
     assert "z" in pages.render("<div>" * 300 + "<table><tr><td>z")
+    assert "z" in pages.render("<ul><li>" * 4000 + "z") and "z" in pages.render("<blockquote><table><tr><td>" * 4000 + "z")
 
 
 def test_page_query(spark):
     df = spark.createDataFrame([(1, "<p>x", "u"), (2, None, "u"), (2, None, "u")], "page_id long, html string, text string")
     assert sorted(tuple(r) for r in pages.extract_text(df).collect()) == [(1, 1, "x"), (2, 0, ""), (2, 0, "")]
+    assert pages.extract_text(df.limit(0)).collect() == []
+    long = spark.createDataFrame([(1, "<p>" + "word " * 400_000)], "page_id long, html string")
+    assert len(pages.extract_text(long).first()["text"]) == 5 * 400_000 - 1
 
 
 def test_pipeline_runs_on_the_smallest_table(spark):
