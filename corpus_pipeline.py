@@ -23,14 +23,27 @@ from stridelake.llm.suffixes import remove_earlier_copies
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Rows that travel to a Python worker at once; whole documents make batches of the default length large.
+BATCH_ROWS = "1000"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound what executors hold of batches on their way to Python, unless the session sets a bound."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is rejected, null texts and texts without a letter among them; null languages and nulls in other columns stay as they are."""
+    _small_batches(spark)
     return accepted_documents(docs.select(*COLUMNS))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the rules, and boilerplate lines from those that stay."""
-    kept = quality_rules(docs).where("kept").select("doc_id", "removed_lines")
+    _small_batches(spark)
+    kept = quality_rules(docs, spare_first=True).where("kept").select("doc_id", "removed_lines")
     text = without_lines(F.col("text"), F.col("source"), F.col("removed_lines"))
     return (
         docs.join(kept, "doc_id")
@@ -42,12 +55,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near copies (five words, similarity 0.8)."""
+    _small_batches(spark)
     kept = near_duplicates(docs).where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut strings of 50 bytes that an earlier document holds, whole characters only; emptied documents go."""
+    _small_batches(spark)
     out = remove_earlier_copies(docs, length=50, whole_characters=True, carry=["lang", "source"])
     return (
         out.withColumnRenamed("kept", "text")
@@ -59,6 +74,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of a document lies in which training sequence of 2048 ids."""
+    _small_batches(spark)
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
