@@ -57,13 +57,15 @@ def double_support_score(left: str, right: str) -> tuple[Column, Column]:
 
 
 def percentile_rank(
-    values: DataFrame, reference: DataFrame, metrics: list[str], keys: list[str], inverted: tuple[str, ...] = ()
+    values: DataFrame, reference: DataFrame, metrics: list[str], keys: list[str], inverted: tuple[str, ...] = (), parts: int = 64
 ) -> DataFrame:
     """values with a column <metric>_rank: the share of reference values at or below it, 1 less that for inverted ones.
 
-    `keys` name a row of values. Each metric's reference values and the values are
-    merged in one sorted pass per metric, so no value meets the whole population.
-    Null values rank null, as do all values of a metric without reference values.
+    `keys` name a row of values. Counts per distinct value are dealt to about
+    `parts` ranges of a metric, whose bounds are approximate quantiles. A running
+    sum goes over the ranges' totals, and one over the values of each range, so
+    that no task sorts a whole metric. Null values rank null, as do all values of a
+    metric without reference values.
     """
 
     def long(df: DataFrame, *more: str) -> DataFrame:
@@ -73,13 +75,20 @@ def percentile_rank(
     row = F.struct(*keys)
     asked = long(values.select(row.alias("_row"), *metrics), "_row").select("metric", "v", F.lit(0).cast("long").alias("n"), "_row")
     known = long(reference.select(*metrics)).groupBy("metric", "v").agg(F.count("*").alias("n"))
+    shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    # A row per metric, of `parts` numbers: small by its parameters.
+    cuts = known.groupBy("metric").agg(F.percentile_approx("v", shares, F.lit(10 * parts)).alias("_cuts"), F.sum("n").alias("_total"))
     known = known.select("metric", "v", "n", F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"))
-    upto = Window.partitionBy("metric").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    below, total = F.sum("n").over(upto), F.sum("n").over(Window.partitionBy("metric"))
-    share = F.try_divide(below.cast("double"), total.cast("double"))
+    dealt = asked.union(known).join(F.broadcast(cuts), "metric", "left")
+    dealt = dealt.withColumn("_part", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("v"))), F.lit(0))).drop("_cuts")
+    before = Window.partitionBy("metric").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = dealt.groupBy("metric", "_part").agg(F.sum("n").alias("_held"))
+    bases = bases.select("metric", "_part", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_base"))
+    upto = Window.partitionBy("metric", "_part").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = dealt.withColumn("_upto", F.sum("n").over(upto)).where("_row IS NOT NULL").join(F.broadcast(bases), ["metric", "_part"])
+    share = F.try_divide((F.col("_base") + F.col("_upto")).cast("double"), F.col("_total").cast("double"))
     flip = F.col("metric").isin(list(inverted)) if inverted else F.lit(False)
-    ranked = asked.union(known).withColumn("rank", share).where("_row IS NOT NULL")
-    ranked = ranked.withColumn("rank", F.when(flip, 1 - F.col("rank")).otherwise(F.col("rank")))
+    ranked = ranked.withColumn("rank", F.when(flip, 1 - share).otherwise(share))
     wide = ranked.groupBy("_row").agg(
         *[F.max(F.when(F.col("metric") == m, F.col("rank"))).alias(f"{m}_rank") for m in metrics]
     )

@@ -10,8 +10,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stridelake.functions.scalars import wrap_degrees, wrap_step
 
@@ -174,6 +177,26 @@ def gaussian_smooth(value: str | Column, seq: Sequence, sigma: int) -> Column:
     return total
 
 
+def smoothed(df: DataFrame, seq: Sequence, columns: dict[str, tuple[str, int]]) -> DataFrame:
+    """df with each named column as the Gaussian mean of another, (column, sigma), like gaussian_smooth.
+
+    A sequence is smoothed in one piece, so wide kernels don't lengthen the plan.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(seq.order)
+        for out, (name, sigma) in columns.items():
+            values = table.column(name).to_numpy().astype(float)
+            if sigma > 0 and len(values):
+                weights = np.array(gaussian_weights(sigma))
+                values = np.convolve(np.pad(values, len(weights) // 2, mode="edge"), weights, mode="valid")
+            table = table.append_column(out, pa.array(values))
+        return table
+
+    more = [StructField(out, DoubleType()) for out in columns]
+    return df.groupBy(*seq.keys).applyInArrow(run, StructType([*df.schema.fields, *more]))
+
+
 def moving_average_zero_padded(value: str, seq: Sequence, width: int = 9) -> Column:
     """Sum over the centred box divided by its full width; the value itself in sequences shorter than the box."""
     half = width // 2

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stridelake.functions import vectors as V
 from stridelake.functions.scalars import clip, frames_of, mean_of_known, normalized_asymmetry, safe_divide, wrap_degrees
+from stridelake.functions.strings import sequence_stem
 from stridelake.operators import aggregates as A
 from stridelake.operators import joins
 from stridelake.operators import sequences as S
@@ -46,19 +51,42 @@ def joint_angles() -> dict[str, Column]:
     return out
 
 
+def rotations(v: np.ndarray, eps: float = 1e-8) -> np.ndarray:
+    """Rotations by |v| radians about each v; the identity for angles up to eps."""
+    angle = np.linalg.norm(v, axis=1)
+    a = v / np.maximum(angle, eps)[:, None]
+    skew = np.zeros((len(v), 3, 3))
+    for i, j, k in ((0, 1, 2), (1, 2, 0), (2, 0, 1)):
+        skew[:, i, j], skew[:, j, i] = -a[:, k], a[:, k]
+    c, s = np.cos(angle)[:, None, None], np.sin(angle)[:, None, None]
+    out = a[:, :, None] * a[:, None, :] * (1 - c) + np.eye(3) * c + skew * s
+    return np.where((angle > eps)[:, None, None], out, np.eye(3))
+
+
 def pose_yaws(frames: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
-    """Frames with unwrapped yaw of pelvis, trunk and head from pose_raw, r_global and r_total; null without a pose."""
-    df = frames.withColumn("_m", V.packed_matrix(V.product(V.matrix_column("r_global"), V.matrix_column("r_total"))))
-    for joint in CHAIN:
-        local = V.axis_angle_matrix(tuple(F.col("pose_raw")[3 * joint + k].cast("double") for k in range(3)))
-        df = df.withColumn("_l", V.packed_matrix(local))
-        df = df.withColumn("_m", V.packed_matrix(V.product(V.matrix_column("_m"), V.matrix_column("_l"))))
-        name = {0: "pelvis", 9: "trunk", 15: "head"}.get(joint)
-        if name:
-            df = df.withColumn(f"_{name}", V.euler_zyx_degrees(V.matrix_column("_m"))[2])
-    for name in ("pelvis", "trunk", "head"):
-        df = S.unwrap_degrees(df, seq, f"_{name}", f"{name}_yaw_pose_deg")
-    return df.drop("_m", "_l", "_pelvis", "_trunk", "_head")
+    """Frames with unwrapped yaw of pelvis, trunk and head from pose_raw, r_global and r_total, none of which may be null."""
+    names = {0: "_pelvis", 9: "_trunk", 15: "_head"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            deep = lambda c: np.array(batch.column(batch.schema.get_field_index(c)).to_pylist(), float)  # noqa: B023, E731
+            pose = deep("pose_raw").reshape(n, 24, 3)
+            m = deep("r_global").reshape(n, 3, 3) @ deep("r_total").reshape(n, 3, 3)
+            arrays = list(batch.columns)
+            for joint in CHAIN:
+                m = m @ rotations(pose[:, joint])
+                if joint in names:
+                    level = np.abs(np.cos(np.arcsin(np.clip(-m[:, 2, 0], -1, 1)))) <= 1e-6
+                    yaw = np.where(level, np.arctan2(-m[:, 0, 1], m[:, 1, 1]), np.arctan2(m[:, 1, 0], m[:, 0, 0]))
+                    arrays.append(pa.array(np.degrees(yaw)))
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, *names.values()])
+
+    schema = StructType([*frames.schema.fields, *[StructField(n, DoubleType()) for n in names.values()]])
+    df = frames.mapInArrow(run, schema)
+    for name in names.values():
+        df = S.unwrap_degrees(df, seq, name, f"{name[1:]}_yaw_pose_deg")
+    return df.drop(*names.values())
 
 
 def _gap(event: str, part: Sequence, fps: float, until: str | None = None) -> Column:
@@ -252,8 +280,60 @@ def extraction_status(segments: DataFrame) -> DataFrame:
     return segments.withColumn("extraction_status", status.otherwise("included"))
 
 
-def missing_features(features: DataFrame, names: list[str]) -> DataFrame:
-    """features with a map of those that are null to the reason."""
-    absent = F.array_compact(F.array(*[F.when(F.col(n).isNull(), n) for n in names]))
-    reasons = F.map_from_entries(F.transform(absent, lambda n: F.struct(n, F.lit("insufficient_data"))))
-    return features.withColumn("missing_features", reasons)
+# Why a feature is missing, by kind of segment; those of the head have another reason where there is no pose.
+WALK_REASONS = {
+    "step_time_mean_sec": "insufficient_alternating_heel_strikes",
+    "stride_time_mean_sec": "insufficient_ipsilateral_heel_strikes",
+    "stance_time_mean_sec": "insufficient_heel_strike_to_toe_off_pairs",
+    "swing_time_mean_sec": "insufficient_toe_off_to_heel_strike_pairs",
+    "double_support_time_mean_sec": "no_double_support_frames",
+    "left_step_length_mean_m": "no_left_heel_strikes",
+    "right_step_length_mean_m": "no_right_heel_strikes",
+    "left_stride_length_mean_m": "insufficient_left_heel_strikes",
+    "right_stride_length_mean_m": "insufficient_right_heel_strikes",
+}
+TURN_REASONS = {
+    "mean_step_time_during_turn_sec": "insufficient_alternating_heel_strikes",
+    "turn_path_radius_m": "turn_angle_below_radius_threshold_or_invalid_path",
+    "mean_step_length_during_turn_m": "no_valid_heel_strikes",
+    "head_trunk_pelvis_reorientation_delay_sec": "insufficient_turn_angle_for_reorientation_onset",
+    "trunk_pelvis_reorientation_delay_sec": "insufficient_turn_angle_for_reorientation_onset",
+    "head_trunk_reorientation_delay_sec": "insufficient_turn_angle_for_reorientation_onset",
+    "en_bloc_index": "insufficient_turn_angle_for_en_bloc_index",
+}
+POSE_FEATURES = [n for n in TURN_REASONS if "reorientation" in n or n == "en_bloc_index"]
+NO_POSE = "missing_pose_orientation_signals"
+#: Missing together with another feature, for its reason.
+ALONG = {
+    "step_time_variability_cv_percent": "step_time_mean_sec",
+    "stride_time_variability_cv_percent": "stride_time_mean_sec",
+}
+COMMON = [
+    "sequence_name", "segment_id", "label", "start_frame", "end_frame", "start_time_sec", "end_time_sec", "duration_sec", "source_rule",
+    "confidence", "quality_status", "quality_valid_frame_ratio", "quality_representation_score_mean", "quality_hesitation_overlap_ratio",
+    "quality_reasons",
+]
+
+
+def missing_features(features: DataFrame, kind: str, posed: bool = True) -> DataFrame:
+    """features of walking or turning with a map from those that are null to the reason; posed says whether there was a pose."""
+    reasons = dict(WALK_REASONS if kind == "walk" else TURN_REASONS)
+    if kind == "turn" and not posed:
+        reasons |= dict.fromkeys(POSE_FEATURES, NO_POSE)
+    entry = lambda name, test: F.when(F.col(test).isNull(), F.struct(F.lit(name).alias("key"), F.lit(reasons[test]).alias("value")))
+    names = [(n, n) for n in reasons] + ([(n, o) for n, o in ALONG.items()] if kind == "walk" else [])
+    return features.withColumn("missing_features", F.map_from_entries(F.array_compact(F.array(*[entry(n, t) for n, t in names]))))
+
+
+def common_columns(features: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
+    """features of segments with the columns that every feature table starts with, under their names."""
+    subset, subject, trial = seq.keys
+    renamed = {
+        "quality_status": "status", "quality_valid_frame_ratio": "valid_frame_ratio",
+        "quality_representation_score_mean": "representation_quality_score_mean",
+        "quality_hesitation_overlap_ratio": "hesitation_overlap_ratio",
+    }
+    df = features.withColumns({n: F.col(o) for n, o in renamed.items()})
+    df = df.withColumn("sequence_name", sequence_stem(subset, subject, trial)).withColumn("quality_reasons", F.array_join("reasons", "; "))
+    rest = [c for c in df.columns if c not in {*seq.keys, *COMMON, *renamed.values(), "reasons"}]
+    return df.select(*seq.keys, *COMMON, *rest)

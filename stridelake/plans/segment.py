@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from stridelake.functions.scalars import clip, frames_of, safe_divide, wrap_degrees
 from stridelake.operators import scanners
@@ -50,65 +53,118 @@ def relabel_between(
 def signals(frames: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
     """Frames with the smoothed speeds, normalised height, turn angle and speed that the rules read."""
     speed, heading = frames_of(cfg.speed_sigma_sec, fps, 0), frames_of(cfg.heading_sigma_sec, fps, 0)
-    df = frames.withColumn("pelvis_speed_mps", S.gaussian_smooth("root_speed_xy_mps", seq, speed))
     feet = (F.col("left_foot_speed_mps") + F.col("right_foot_speed_mps")) / 2
-    df = df.withColumn("_feet", feet).withColumn("foot_speed_mean_mps", S.gaussian_smooth("_feet", seq, speed))
-    df = df.withColumn("_p", F.percentile("pelvis_height_m", [cfg.height_low, cfg.height_high]).over(Window.partitionBy(*seq.keys)))
-    low, span = F.col("_p")[0], F.greatest(F.col("_p")[1] - F.col("_p")[0], F.lit(1e-4))
-    height = F.when(span < cfg.min_height_span, F.lit(0.5)).otherwise(clip(safe_divide(F.col("pelvis_height_m") - low, span), 0.0, 1.0))
-    df = df.withColumn("pelvis_height_norm", height)
-    df = df.withColumn("_heading", S.gaussian_smooth("heading_unwrapped_deg", seq, heading))
+    smooth = {
+        "pelvis_speed_mps": ("root_speed_xy_mps", speed), "foot_speed_mean_mps": ("_feet", speed),
+        "_heading": ("heading_unwrapped_deg", heading), "_turning": ("yaw_rate_deg_s", heading),
+    }
+    df = S.smoothed(frames.withColumn("_feet", feet), seq, smooth)
+    df = with_normalized_height(df, seq, "pelvis_height_m", "pelvis_height_norm", cfg)
     df = df.withColumn("heading_smooth_deg", wrap_degrees("_heading"))
     df = df.withColumn("turn_angle_from_start_deg", F.abs(wrap_degrees(F.col("_heading") - F.first("_heading").over(seq.whole))))
-    df = df.withColumn("turn_speed_deg_s", F.abs(S.gaussian_smooth("yaw_rate_deg_s", seq, heading)))
+    df = df.withColumn("turn_speed_deg_s", F.abs("_turning"))
     x, y = (F.col(f"root_pos_m.{c}") - F.first(f"root_pos_m.{c}").over(seq.whole) for c in "xy")
-    return df.withColumn("distance_from_start_m", F.sqrt(x * x + y * y)).drop("_feet", "_p", "_heading")
+    return df.withColumn("distance_from_start_m", F.sqrt(x * x + y * y)).drop("_feet", "_heading", "_turning")
+
 
+def with_normalized_height(df: DataFrame, seq: Sequence, height: str, out: str, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
+    """height between two percentiles of its sequence, from 0 to 1; 0.5 throughout where these lie close together."""
+    df = df.withColumn("_p", F.percentile(height, [cfg.height_low, cfg.height_high]).over(Window.partitionBy(*seq.keys)))
+    low, span = F.col("_p")[0], F.greatest(F.col("_p")[1] - F.col("_p")[0], F.lit(1e-4))
+    norm = F.when(span < cfg.min_height_span, F.lit(0.5)).otherwise(clip(safe_divide(F.col(height) - low, span), 0.0, 1.0))
+    return df.withColumn(out, norm).drop("_p")
 
-def _painted(df: DataFrame, events: DataFrame, seq: Sequence, out: str) -> DataFrame:
-    """df with a mask of the frames that lie in an event."""
-    places = events.select(*seq.keys, F.explode(F.sequence("start", "end")).alias(seq.order)).distinct().withColumn(out, F.lit(True))
-    df = df.join(places, [*seq.keys, seq.order], "left")
-    return df.withColumn(out, F.coalesce(out, F.lit(False)))
 
+def _spans(values: np.ndarray) -> list[tuple[int, int]]:
+    """First and last place of each run of equal values."""
+    edges = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
+    return [(int(a), int(b) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)] if len(values) else []
 
-def label_frames(df: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """Frames of signals() with label, source_rule, confidence and hesitation."""
-    sts = scanners.detect_sit_stand(df, seq, "pelvis_height_norm")
+
+def exclusive_labels(height: np.ndarray, angle: np.ndarray, walking: np.ndarray, turning: np.ndarray) -> np.ndarray:
+    """The label's place in LABELS for each frame of one sequence.
+
+    Events paint their frames, standing up over sitting down. Between them sits
+    whoever has gone down last and comes up next. Turns are sought in what is left,
+    and a run of walking between a turn and sitting down is an adjustment.
+    """
+    event = np.full(len(height), -1)
+    found = scanners.sit_stand_events(height)
     for kind in ("stand_to_sit", "sit_to_stand"):
-        df = _painted(df, sts.where(F.col("kind") == kind), seq, f"_{kind}")
-    # Between events: whoever has gone down last, or has yet to stand up first, sits.
-    event = F.when(F.col("_sit_to_stand"), "up").when(F.col("_stand_to_sit"), "down")
-    df = df.withColumn("_event", event)
-    before = F.last("_event", ignorenulls=True).over(seq.so_far)
-    after = F.first("_event", ignorenulls=True).over(seq.onwards)
-    df = df.withColumn("_before", before).withColumn("_after", after)
-    sits = F.when(F.col("_before").isNull(), F.col("_after") == "up").when(F.col("_after").isNull(), F.col("_before") == "down")
-    sits = sits.otherwise((F.col("_before") == "down") & (F.col("_after") == "up"))
-    df = df.withColumn("_sit", F.col("_event").isNull() & F.coalesce(sits, F.lit(False)))
-    df = df.withColumn("_allowed", F.col("_event").isNull() & ~F.col("_sit"))
-    turns = scanners.detect_turns(df, seq, "turn_angle_from_start_deg", "pelvis_speed_mps", "turn_speed_deg_s", "_allowed")
-    df = _painted(df, turns, seq, "_turn")
-    label = (
-        F.when(F.col("_sit_to_stand"), "sit_to_stand").when(F.col("_stand_to_sit"), "stand_to_sit")
-        .when(F.col("_sit"), "sit").when(F.col("_turn"), "turn").otherwise("walk")
-    )
-    df = S.island(df.withColumn("label", label), seq, "label", "_run")
-    # A run of walking between turning and sitting down is an adjustment; its neighbours are read at its ends.
-    run = Window.partitionBy(*seq.keys, "_run").orderBy(seq.order)
-    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    df = df.withColumn("_b", F.lag("label").over(seq.window)).withColumn("_a", F.lead("label").over(seq.window))
-    adjusts = (F.col("label") == "walk") & (F.first("_b").over(whole) == "turn") & (F.last("_a").over(whole) == "stand_to_sit")
-    df = df.withColumn("label", F.when(adjusts, "adjust").otherwise(F.col("label")))
+        for name, start, end, *_ in found:
+            if name == kind:
+                event[start : end + 1] = LABELS.index(kind)
+    down, up = LABELS.index("stand_to_sit"), LABELS.index("sit_to_stand")
+    label = event.copy()
+    for first, last in _spans(event):
+        if event[first] == -1:
+            before = event[first - 1] if first else None
+            after = event[last + 1] if last + 1 < len(event) else None
+            if before in (None, down) and after in (None, up) and (before, after) != (None, None):
+                label[first : last + 1] = LABELS.index("sit")
+    allowed = label == -1
+    for _, start, end, *_ in scanners.turn_events(angle, walking, turning, allowed):
+        label[start : end + 1] = LABELS.index("turn")
+    label[label == -1] = LABELS.index("walk")
+    spans = _spans(label)
+    for before, (first, last), after in zip(spans, spans[1:], spans[2:], strict=False):
+        names = [LABELS[label[k]] for k in (before[0], first, after[0])]
+        if names == ["turn", "walk", "stand_to_sit"]:
+            label[first : last + 1] = LABELS.index("adjust")
+    return label
+
+
+def hesitating(label: np.ndarray, walking: np.ndarray, turning: np.ndarray, least: int, cfg: SegmentConfig) -> np.ndarray:
+    """Slow frames of walking or turning, in runs of at least so many."""
+    slow = (label == LABELS.index("walk")) & (walking < cfg.hesitation_walk_speed)
+    slow |= (label == LABELS.index("turn")) & (turning < cfg.hesitation_turn_speed)
+    for first, last in _spans(slow):
+        if last - first + 1 < least:
+            slow[first : last + 1] = False
+    return slow
+
+
+def label_frames(df: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
+    """Frames of signals() with label, source_rule, confidence and hesitation, judged a sequence at a time."""
+    least = frames_of(cfg.hesitation_min_sec, fps)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(seq.order)
+        height, angle, walking, turning = (
+            table.column(c).to_numpy().astype(float)
+            for c in ("pelvis_height_norm", "turn_angle_from_start_deg", "pelvis_speed_mps", "turn_speed_deg_s")
+        )
+        label = exclusive_labels(height, angle, walking, turning)
+        names = pa.array(LABELS).take(pa.array(label))
+        slow = pa.array(hesitating(label, walking, turning, least, cfg))
+        return table.append_column("label", names).append_column("hesitation", slow)
+
+    out = StructType([*df.schema.fields, StructField("label", StringType()), StructField("hesitation", BooleanType())])
+    df = df.groupBy(*seq.keys).applyInArrow(run, out)
     for out, table in (("source_rule", RULES), ("confidence", CONFIDENCE)):
         names = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
         df = df.withColumn(out, names[F.col("label")])
-    slow = ((F.col("label") == "walk") & (F.col("pelvis_speed_mps") < cfg.hesitation_walk_speed)) | (
-        (F.col("label") == "turn") & (F.col("turn_speed_deg_s") < cfg.hesitation_turn_speed)
+    return df
+
+
+def label_metrics(df: DataFrame, seq: Sequence = MOTION) -> DataFrame:
+    """Per sequence of with_segments(): frames, segments and hesitation, frames and share of each label, and mean quality."""
+    n = F.count("*")
+    parts = []
+    for label in LABELS:
+        here = F.count_if(F.col("label") == label)
+        parts += [here.alias(f"{label}_frame_count"), (here / n).alias(f"{label}_ratio")]
+    return df.groupBy(*seq.keys).agg(
+        n.alias("frame_count"),
+        F.countDistinct("segment_no").alias("segment_count"),
+        F.count_if("hesitation").alias("hesitation_frame_count"),
+        F.avg(F.col("left_foot_contact").cast("double")).alias("left_contact_ratio"),
+        F.avg(F.col("right_foot_contact").cast("double")).alias("right_contact_ratio"),
+        F.avg(F.col("valid_frame_mask").cast("double")).alias("valid_frame_ratio"),
+        F.avg("representation_quality_score").alias("representation_quality_score_mean"),
+        *parts,
+        (F.count_if(F.col("hesitation") & ~F.col("label").isin("walk", "turn")) == 0).alias("hesitation_in_locomotion"),
     )
-    df = df.withColumn("_slow", F.coalesce(slow, F.lit(False)))
-    df = S.remove_short_true_runs(df, seq, "_slow", frames_of(cfg.hesitation_min_sec, fps), "hesitation")
-    return df.drop("_stand_to_sit", "_sit_to_stand", "_event", "_before", "_after", "_sit", "_allowed", "_turn", "_run", "_b", "_a", "_slow")
 
 
 def with_segments(df: DataFrame, seq: Sequence = MOTION) -> DataFrame:
