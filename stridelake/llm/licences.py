@@ -144,7 +144,7 @@ class Paragraphs:
         bounds = np.unique(np.concatenate([offsets, breaks]))
         starts, ends, counts = W.spans(plain, bounds)
         with np.errstate(over="ignore"):
-            words = W.substring_hash(W.prefix_sums(plain), starts, ends)
+            words = W.word_hashes(plain, starts, ends)
         full = counts > 0
         last = np.cumsum(counts[full]) - 1
         begin, stop = starts[last - counts[full] + 1], ends[last]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,7 @@ def distinct_shingles(values: pa.Array, width: int) -> tuple[np.ndarray, np.ndar
     data = W.LOWER[data]
     starts, ends, counts = W.spans(data, offsets)
     with np.errstate(over="ignore"):
-        hashes = W.substring_hash(W.prefix_sums(data), starts, ends)
+        hashes = W.word_hashes(data, starts, ends)
     hashes, counts = W.shingle_hashes(hashes, counts, width)
     text = np.repeat(np.arange(len(counts)), counts)
     order = np.lexsort((hashes, text))
@@ -214,9 +215,13 @@ def near_duplicates(
         .where("low <> high")
         .select("shingle")
     )
-    prefixes = prefixes.join(mixed, "shingle")
-    other = prefixes.select(
+    # Linked sets differ in size by a quarter at most, so they lie in one class of sizes or in neighbouring ones.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
+    prefixes = prefixes.join(mixed, "shingle").withColumn("size_class", size_class)
+    other = prefixes.withColumn("size_class", F.explode(F.array(*[F.col("size_class") + k for k in (-1, 0, 1)])))
+    other = other.select(
         "shingle",
+        "size_class",
         F.col("node").alias("b"),
         F.col("n").alias("m"),
         F.col("component").alias("apart"),
@@ -224,7 +229,7 @@ def near_duplicates(
     )
     # What the two can share from their first common shingle on must reach what a link needs.
     enough = f"{100 + percent} * least(n - at, m - there) >= {percent} * (n + m)"
-    pairs = prefixes.withColumnRenamed("node", "a").join(other, "shingle")
+    pairs = prefixes.withColumnRenamed("node", "a").join(other, ["shingle", "size_class"])
     pairs = pairs.where(f"component < apart AND {enough} AND {fits}")
     components = _components(members, _tried(tried, pairs, sets, percent))
     by_node = nodes.join(components, "node", "left").select(

@@ -130,7 +130,7 @@ class PieceModel:
         text = np.searchsorted(offsets, starts, side="right") - 1
         cache = self.cache
         with np.errstate(over="ignore"):
-            hashes = W.substring_hash(W.prefix_sums(wide), starts, ends)
+            hashes = W.word_hashes(wide, starts, ends)
             own = cache.numbers(hashes, lambda rows: self._undropped(wide, starts[rows], ends[rows]))
             begin, sizes = cache.bounds[own], cache.bounds[own + 1] - cache.bounds[own]
             if not dropout > 0:

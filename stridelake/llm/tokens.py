@@ -121,7 +121,7 @@ class WordTokenizer:
             piece_starts = inside[at]
             piece_ends = inside[np.append(at[1:], len(inside)) - 1] + 1
             ids, sizes = self.pieces.look_up(
-                W.substring_hash(sums, piece_starts, piece_ends),
+                W.word_hashes(data, piece_starts, piece_ends, sums),
                 lambda rows: self._merged(data, piece_starts[rows], piece_ends[rows]),
             )
             per_piece_word = np.searchsorted(word_edges, at, side="right")
@@ -130,7 +130,7 @@ class WordTokenizer:
             original = W.buffers(texts)[0]
             raw = original.tobytes()
             odd_ids, odd_sizes = self.words.look_up(
-                W.substring_hash(W.prefix_sums(original), starts[rest], ends[rest]),
+                W.word_hashes(original, starts[rest], ends[rest]),
                 lambda rows: self._odd_words([raw[starts[rest[r]] : ends[rest[r]]] for r in rows]),
             )
         total = np.zeros(len(starts), np.int64)

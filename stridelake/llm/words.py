@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+LONG = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -84,6 +86,20 @@ def substring_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of words; sums are the prefix sums of data, if known.
+
+    Polynomials modulo 2^64 agree on certain long words by construction, so words
+    of more than LONG bytes are hashed one by one.
+    """
+    out = substring_hash(prefix_sums(data) if sums is None else sums, starts, ends)
+    long = np.flatnonzero(ends - starts > LONG)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        out[long] = [xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+    return out
+
+
 def shingle_hashes(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every run of `width` words inside a text (all its words, if fewer), and how many a text has."""
     n = len(hashes)
