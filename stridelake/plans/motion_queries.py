@@ -677,3 +677,216 @@ SELECT {_NAMES}, 'S' || (seq % 4) || '__' || seq || '__T1' AS sequence_name, pri
 {_round({n: n for n in TURN}, 4)}, {_reasons_sql(X.TURN_REASONS, {})} AS missing FROM tg""", FEATURES_SQL)
 def turn_features(spark, sf_dir):
     return _feature_rows(_turns(spark, sf_dir), TURN, "turn")
+
+
+# Descriptors ----------------------------------------------------------------
+
+
+def _binned(value: str, edges: list[float], names: list[str], closed: tuple[int, ...] = ()) -> str:
+    tests = " ".join(f"WHEN {value} {'<=' if k in closed else '<'} {edge} THEN '{names[k]}'" for k, edge in enumerate(edges))
+    return f"CASE WHEN {value} IS NULL THEN NULL {tests} ELSE '{names[-1]}' END"
+
+
+def _describe_sql(kind: str, features: str) -> str:
+    """Descriptors of each sequence of features(seq, dur, metrics), ranked among all of its rows."""
+    means = ", ".join(
+        f"CASE WHEN sum(dur) FILTER ({m} IS NOT NULL) > 0 THEN sum({m} * dur) / sum(dur) FILTER ({m} IS NOT NULL) ELSE avg({m}) END AS {m}"
+        for m in D.metrics_of(kind)
+    )
+    ranks, labels, phrases = [], [], []
+    for _, ms, *_ in D.RANKED[kind]:
+        for m in ms:
+            name = m.lstrip("-")
+            share = f"(SELECT count(*) FILTER (f.{name} <= k1.{name}) / nullif(count(f.{name}), 0) FROM k0 f)"
+            ranks.append(f"CASE WHEN {name} IS NOT NULL THEN {'1 - ' if m.startswith('-') else ''}{share} END AS {name}_rank")
+    for name, m, edges, closed, own, words in D.FIXED[kind]:
+        labels.append(f"{_binned(m, edges, own, closed)} AS {name}")
+        phrases.append(f"{_binned(m, edges, words, closed)} AS {name}_zh")
+    scores = []
+    for name, ms, own, words in D.RANKED[kind]:
+        r = [f"{m.lstrip('-')}_rank" for m in ms]
+        total = " + ".join(f"coalesce({x}, 0.0)" for x in r)
+        scores.append(f"(0.0 + {total}) / nullif({' + '.join(f'({x} IS NOT NULL)::INT' for x in r)}, 0) AS {name}_score")
+        labels.append(f"{_binned(f'{name}_score', D.EDGES, own)} AS {name}")
+        phrases.append(f"{_binned(f'{name}_score', D.EDGES, words)} AS {name}_zh")
+    names = [n for n, *_ in D.FIXED[kind]] + [n for n, *_ in D.RANKED[kind]]
+    sentence = f"array_to_string(list_filter([{', '.join(f'{n}_zh' for n in D.SENTENCE[kind])}], lambda x: x IS NOT NULL), '、')"
+    omitted = "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in names) + "], lambda x: x IS NOT NULL), ';')"
+    return f"""k0 AS MATERIALIZED (SELECT seq, round(dur, 6) AS dur, {', '.join(f'round({m}, 4) AS {m}' for m in D.metrics_of(kind))} FROM {features}),
+k1 AS MATERIALIZED (SELECT seq, count(*) AS segment_count, {means} FROM k0 GROUP BY seq),
+k2 AS (SELECT *, {', '.join(ranks)} FROM k1), k3 AS (SELECT *, {', '.join(scores)} FROM k2),
+k4 AS (SELECT seq, segment_count, {', '.join(labels)}, {', '.join(phrases)} FROM k3)
+SELECT {_NAMES}, segment_count, {', '.join(names)}, {omitted} AS omitted, CASE WHEN {sentence} <> '' THEN '{D.PREFIX[kind]}' || {sentence} || '。' ELSE '' END AS sentence FROM k4"""
+
+
+def _described(features: DataFrame, kind: str) -> DataFrame:
+    """Descriptors over rounded features, so that equal ones tie in both engines."""
+    features = features.withColumns({n: F.round(n, 4) for n in D.metrics_of(kind)}).withColumn("duration_sec", F.round("duration_sec", 6))
+    features = written(features)
+    out = D.describe_kind(features, features, kind)
+    names = [n for n, *_ in D.FIXED[kind]] + [n for n, *_ in D.RANKED[kind]]
+    return out.select(
+        *KEYS, "segment_count", *[F.col(f"{n}.label").alias(n) for n in names], F.array_join("omitted_descriptors", ";").alias("omitted"), "sentence"
+    )
+
+
+@query(f"{_WALK_SQL}, {_describe_sql('walk', 'wg')}", FEATURES_SQL)
+def describe_walk(spark, sf_dir):
+    return _described(_walks(spark, sf_dir), "walk")
+
+
+@query(f"{_TURN_SQL}, tk AS (SELECT *, turn_duration_sec AS dur FROM tg), {_describe_sql('turn', 'tk')}", FEATURES_SQL)
+def describe_turn(spark, sf_dir):
+    return _described(_turns(spark, sf_dir), "turn")
+
+
+# Curves ---------------------------------------------------------------------
+
+_CURVES_SQL = f"""cj AS (SELECT *, {', '.join(f'{_d(f"a{c}")} AS q{c}' for c in 'xyz')}, count(*) OVER (PARTITION BY seq) AS total FROM rep),
+cv AS MATERIALIZED (SELECT seq, frame_index, t AS time_s, abs(lean) AS stability, abs(l_on::INT - r_on::INT)::DOUBLE AS symmetry, speed AS mobility,
+  sqrt(qx * qx + qy * qy + qz * qz) AS control, CASE WHEN count(*) OVER w >= greatest(least(24, total) // 2, 3)
+    AND sqrt(var_pop(l_speed) OVER w * var_pop(r_speed) OVER w) * count(*) OVER w > 0.00000001
+    THEN covar_pop(l_speed, r_speed) OVER w / sqrt(var_pop(l_speed) OVER w * var_pop(r_speed) OVER w) ELSE 0.0 END AS coordination
+  FROM cj WINDOW w AS (PARTITION BY seq ORDER BY frame_index ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING))"""
+_CURVE_NAMES = ["stability", "symmetry", "coordination", "mobility", "control"]
+
+
+@query(f"WITH {_CURVES_SQL} SELECT {_NAMES}, frame_index, {_round({n: n for n in ('time_s', *_CURVE_NAMES)}, 3)}, 0.0 AS balance FROM cv")
+def frame_curves(spark, sf_dir):
+    df = metrics.frame_curves(represented(spark, sf_dir), FPS)
+    return df.select(*KEYS, "frame_index", *rounded(df, {n: n for n in ("time_s", *_CURVE_NAMES)}, 3), (F.round("balance", 3) + 0.0).alias("balance"))
+
+
+@query(f"""WITH {_CURVES_SQL} SELECT {_NAMES}, {', '.join(f'round({f}({n}), 3) AS {n}_{o}' for n in _CURVE_NAMES for f, o in (('min', 'min'), ('max', 'max'), ('avg', 'mean')))}
+FROM cv GROUP BY seq""")
+def curve_summary(spark, sf_dir):
+    df = metrics.curve_summary(metrics.frame_curves(represented(spark, sf_dir), FPS))
+    return df.select(*KEYS, *rounded(df, {f"{n}_{o}": f"{n}_{o}" for n in _CURVE_NAMES for o in ("min", "max", "mean")}, 3))
+
+
+_POINTS = " UNION ALL ".join(f"SELECT seq, j{k}x AS x, j{k}y AS y, j{k}z AS z FROM fr" for k in range(24))
+
+
+@query(f"""WITH pt AS ({_POINTS}),
+bx AS (SELECT seq, {', '.join(f'min({c}) AS low{c}, max({c}) AS high{c}' for c in 'xyz')} FROM pt GROUP BY seq),
+hf AS (SELECT *, greatest({', '.join(f'(high{c} - low{c}) / 2' for c in 'xyz')}) AS half FROM bx)
+SELECT {_NAMES}, {', '.join(f'round((low{c} + high{c}) / 2 - half, 6) AS low_{c}, round((low{c} + high{c}) / 2 + half, 6) AS high_{c}' for c in 'xy')},
+round(greatest(lowz, 0.0), 6) AS low_z, round(greatest(lowz, 0.0) + 2 * half, 6) AS high_z FROM hf""", MOTION_SQL)
+def scene_bounds(spark, sf_dir):
+    df = metrics.scene_bounds(scripted_motion(spark, sf_dir))
+    return df.select(*KEYS, *rounded(df, {f"{n}_{c}": f"{n}_{c}" for c in "xyz" for n in ("low", "high")}, 6))
+
+
+# Canonical frames -----------------------------------------------------------
+
+TILT, TURNED, AWAY, SCALE = math.radians(20), math.radians(40), (3.0, 2.0, 1.0), 1.25
+_RAW = [
+    [math.cos(TILT) * math.cos(TURNED), -math.cos(TILT) * math.sin(TURNED), math.sin(TILT)],
+    [math.sin(TURNED), math.cos(TURNED), 0.0],
+    [-math.sin(TILT) * math.cos(TURNED), math.sin(TILT) * math.sin(TURNED), math.cos(TILT)],
+]
+_TARGETS = {"left_thigh": 0.4, "left_shank": 0.39, "right_thigh": 0.4, "right_shank": 0.38}
+
+
+def tilted_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scripted motion as another camera sees it: turned, tilted, enlarged and moved; joints_3d and trans_canonical."""
+
+    def moved(p: Column) -> Column:
+        out = [_snap((p["x"] * r[0] + p["y"] * r[1] + p["z"] * r[2]) * SCALE + a) for r, a in zip(_RAW, AWAY, strict=True)]
+        return F.struct(*[c.alias(n) for c, n in zip(out, "xyz", strict=True)])
+
+    df = scripted_motion(spark, sf_dir).select(*KEYS, "frame_index", "joints_can", "trans_can")
+    df = df.select(*KEYS, "frame_index", F.transform("joints_can", moved).alias("joints_3d"), moved(F.col("trans_can")).alias("trans_canonical"))
+    return written(df)
+
+
+def _lin(row: list[str] | tuple[str, ...], point: tuple[str, str, str]) -> str:
+    return "(" + " + ".join(f"{a} * {b}" for a, b in zip(row, point, strict=True)) + ")"
+
+
+def _pt(k: int) -> tuple[str, str, str]:
+    return tuple(f"j{k}{c}" for c in "xyz")
+
+
+_R3 = [[f"r{i}{k}" for k in range(3)] for i in range(3)]
+_BODY = [[f"b{i}{k}" for k in range(3)] for i in range(3)]
+_FLOOR = [[f"f{i}{k}" for k in range(3)] for i in range(3)]
+_LEVEL = [[f"l{i}{k}" for k in range(3)] for i in range(3)]
+_USED = (0, 1, 2, 4, 5, 7, 8, 10, 11, 12, 16, 17)
+
+
+def _times(a: list[list[str]], b: list[list[str]], out: list[list[str]]) -> str:
+    return ", ".join(f"{_lin(a[i], tuple(b[m][k] for m in range(3)))} AS {out[i][k]}" for i in range(3) for k in range(3))
+
+
+def _supports(matrix: list[list[str]], axis: int) -> dict[int, str]:
+    return {k: f"s * {_lin(matrix[axis], _pt(k))}" for k in (10, 7, 11, 8)}
+
+
+_LOW = [f"s * {_lin(_BODY[2], _pt(k))}" for k in (10, 7, 11, 8)]
+_FIRST = [f"CASE WHEN z0 <= least(z1, z2, z3) THEN {_supports(_BODY, a)[10]} WHEN z1 <= least(z2, z3) THEN {_supports(_BODY, a)[7]}"
+          f" WHEN z2 <= z3 THEN {_supports(_BODY, a)[11]} ELSE {_supports(_BODY, a)[8]} END" for a in range(3)]
+_BONE_SQL = {n: f"median(sqrt({' + '.join(f'(j{b}{c} - j{a}{c}) ** 2' for c in 'xyz')}))" for n, (a, b) in C.BONES.items()}
+
+CANONICAL_SQL = f"""{MOTION_SQL},
+c0 AS MATERIALIZED (SELECT seq, frame_index, {', '.join(
+    f"round(({' + '.join(f'j{k}{d} * ({_RAW[i][n]!r})' for n, d in enumerate('xyz'))}) * {SCALE} * 65536.0 + {AWAY[i]} * 65536.0) / 65536.0 AS j{k}{c}"
+    for k in _USED for i, c in enumerate('xyz'))} FROM fr),
+c1 AS (SELECT seq, {', '.join(f'median((j16{c} + j17{c}) / 2 - (j1{c} + j2{c}) / 2) AS u{c}' for c in 'xyz')} FROM c0 WHERE frame_index < 5 GROUP BY seq),
+c2 AS (SELECT seq, {', '.join(f'median(l{c}) AS h{c}' for c in 'xyz')} FROM (
+  SELECT seq, {', '.join(f'j1{c} - j2{c} AS l{c}' for c in 'xyz')} FROM c0 WHERE frame_index < 5 UNION ALL
+  SELECT seq, {', '.join(f'j16{c} - j17{c}' for c in 'xyz')} FROM c0 WHERE frame_index < 5) GROUP BY seq),
+c3 AS (SELECT seq, hx, hy, hz, ux / n AS b20, uy / n AS b21, uz / n AS b22 FROM (SELECT *, sqrt(ux * ux + uy * uy + uz * uz) AS n FROM c1 JOIN c2 USING (seq))),
+c4 AS (SELECT *, hx - b20 * d AS lx, hy - b21 * d AS ly, hz - b22 * d AS lz FROM (SELECT *, hx * b20 + hy * b21 + hz * b22 AS d FROM c3)),
+c5 AS (SELECT seq, b20, b21, b22, lx / n AS b10, ly / n AS b11, lz / n AS b12 FROM (SELECT *, sqrt(lx * lx + ly * ly + lz * lz) AS n FROM c4)),
+c6 AS (SELECT *, b11 * b22 - b12 * b21 AS b00, b12 * b20 - b10 * b22 AS b01, b10 * b21 - b11 * b20 AS b02 FROM c5),
+c7 AS (SELECT seq, greatest(least(median(r), 1.35), 0.75) AS s FROM (SELECT seq, unnest([{', '.join(f'{t} / {_BONE_SQL[n]}' for n, t in _TARGETS.items())}]) AS r FROM c0 GROUP BY seq) GROUP BY seq),
+c8 AS MATERIALIZED (SELECT * FROM c6 JOIN c7 USING (seq)),
+k0 AS (SELECT c0.*, c8.* EXCLUDE (seq), {', '.join(f'{e} AS z{i}' for i, e in enumerate(_LOW))} FROM c0 JOIN c8 USING (seq)),
+k1 AS (SELECT seq, frame_index, {', '.join(f'{e} AS {c}' for e, c in zip(_FIRST, ('x', 'y', 'z'), strict=True))} FROM k0),
+k2 AS (SELECT *, row_number() OVER (PARTITION BY seq, frame_index // 15 ORDER BY z, frame_index) AS rk, count(*) OVER (PARTITION BY seq, frame_index // 15) AS n FROM k1),
+k3 AS MATERIALIZED (SELECT seq, x, y, z FROM k2 WHERE rk <= ceil(n * 0.15)),
+k4 AS (SELECT seq, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, var_pop(x) AS xx, var_pop(y) AS yy, covar_pop(x, y) AS xy, covar_pop(x, z) AS xz, covar_pop(y, z) AS yz FROM k3 GROUP BY seq),
+k5 AS (SELECT *, (xz * yy - yz * xy) / (xx * yy - xy * xy) AS a, (yz * xx - xz * xy) / (xx * yy - xy * xy) AS b FROM k4),
+k6 AS (SELECT seq, a, b, n, median(abs(z - (a * x + b * y + (mz - a * mx - b * my)))) AS residual FROM k3 JOIN k5 USING (seq) GROUP BY ALL),
+k7 AS (SELECT *, -a / sqrt(a * a + b * b + 1) AS nx, -b / sqrt(a * a + b * b + 1) AS ny, 1 / sqrt(a * a + b * b + 1) AS nz FROM k6),
+k8 AS (SELECT *, degrees(acos(least(nz, 1.0))) AS tilt, CASE WHEN n < 6 THEN 'floor_estimation_failed' WHEN degrees(acos(least(nz, 1.0))) > 60 THEN 'floor_tilt_above_threshold'
+  WHEN residual > 0.08 THEN 'floor_median_residual_above_threshold' END AS floor_reason FROM k7),
+k9 AS (SELECT seq, tilt, floor_reason, CASE WHEN ok THEN 1 - nx * nx / (1 + nz) ELSE 1.0 END AS f00, CASE WHEN ok THEN -nx * ny / (1 + nz) ELSE 0.0 END AS f01, CASE WHEN ok THEN -nx ELSE 0.0 END AS f02,
+  CASE WHEN ok THEN -nx * ny / (1 + nz) ELSE 0.0 END AS f10, CASE WHEN ok THEN 1 - ny * ny / (1 + nz) ELSE 1.0 END AS f11, CASE WHEN ok THEN -ny ELSE 0.0 END AS f12,
+  CASE WHEN ok THEN nx ELSE 0.0 END AS f20, CASE WHEN ok THEN ny ELSE 0.0 END AS f21, CASE WHEN ok THEN nz ELSE 1.0 END AS f22 FROM (SELECT *, floor_reason IS NULL AS ok FROM k8)),
+y0 AS (SELECT * FROM c8 JOIN k9 USING (seq)), y1 AS MATERIALIZED (SELECT *, {_times(_FLOOR, _BODY, _LEVEL)} FROM y0),
+y2 AS (SELECT c0.seq, frame_index, s * {_lin(_LEVEL[0], _pt(0))} AS x, s * {_lin(_LEVEL[1], _pt(0))} AS y, f00, f10 FROM c0 JOIN y1 USING (seq)),
+y3 AS (SELECT *, sqrt((x - lag(x) OVER {_S}) ** 2 + (y - lag(y) OVER {_S}) ** 2) AS d FROM y2),
+y4 AS (SELECT seq, var_samp(x) AS xx, var_samp(y) AS yy, covar_samp(x, y) AS xy, sum(d) AS path, arg_max(x, frame_index) - arg_min(x, frame_index) AS nx,
+  arg_max(y, frame_index) - arg_min(y, frame_index) AS ny, any_value(f00) AS f00, any_value(f10) AS f10 FROM y3 GROUP BY seq),
+y5 AS (SELECT *, cos(0.5 * atan2(2 * xy, xx - yy)) AS ax, sin(0.5 * atan2(2 * xy, xx - yy)) AS ay,
+  ((xx + yy) / 2 + sqrt(((xx - yy) / 2) ** 2 + xy * xy)) / (xx + yy) AS share, sqrt(nx * nx + ny * ny) AS net FROM y4),
+y6 AS (SELECT seq, quantile_cont(x * ax + y * ay, 0.95) - quantile_cont(x * ax + y * ay, 0.05) AS along FROM y2 JOIN y5 USING (seq) GROUP BY seq),
+y7 AS (SELECT *, CASE WHEN CASE WHEN net / greatest(path, 0.0000000001) >= 0.15 AND net > 0.0000000001 THEN ax * nx + ay * ny ELSE ax * f00 + ay * f10 END < 0 THEN -1.0 ELSE 1.0 END AS sign,
+  CASE WHEN share < 0.9 THEN 'pca_variance_below_threshold' WHEN along < 0.2 THEN 'robust_range_below_threshold' END AS yaw_reason FROM y5 JOIN y6 USING (seq)),
+y8 AS (SELECT seq, yaw_reason, CASE WHEN yaw_reason IS NULL THEN ax * sign ELSE 1.0 END AS c, CASE WHEN yaw_reason IS NULL THEN ay * sign ELSE 0.0 END AS sn FROM y7),
+y9 AS MATERIALIZED (SELECT y1.*, yaw_reason, c, sn, {', '.join(f'c * l0{k} + sn * l1{k} AS r0{k}, c * l1{k} - sn * l0{k} AS r1{k}, l2{k} AS r2{k}' for k in range(3))} FROM y1 JOIN y8 USING (seq)),
+t0 AS (SELECT c0.seq, frame_index, s * {_lin(_R3[0], _pt(0))} AS x, s * {_lin(_R3[1], _pt(0))} AS y, unnest([{', '.join(_supports(_R3, 2).values())}]) AS z FROM c0 JOIN y9 USING (seq)),
+tf AS MATERIALIZED (SELECT seq, -arg_min(x, frame_index) AS tx, -arg_min(y, frame_index) AS ty, -quantile_cont(z, 0.05) AS tz FROM t0 GROUP BY seq),
+can AS MATERIALIZED (SELECT * FROM y9 JOIN tf USING (seq))"""
+
+
+@query(f"""SELECT {_NAMES}, round(s, 6) AS s_global, {_round({e: e for row in _R3 for e in row}, 6)}, {_round({f't{c}': f't{c}' for c in 'xyz'}, 5)},
+round(tilt, 4) AS tilt_before_deg, floor_reason, yaw_reason FROM can""", CANONICAL_SQL)
+def solve_transforms(spark, sf_dir):
+    df = C.solve_transforms(tilted_motion(spark, sf_dir), FPS, _TARGETS)
+    entries = {f"r{i}{k}": F.col("r_global")[i][k] for i in range(3) for k in range(3)}
+    return df.select(
+        *KEYS, F.round("s_global", 6).alias("s_global"), *rounded(df, entries, 6), *rounded(df, {f"t{c}": f"t_global.{c}" for c in "xyz"}, 5),
+        F.round("tilt_before_deg", 4).alias("tilt_before_deg"), "floor_reason", "yaw_reason",
+    )
+
+
+_CAN = {f"j{k}{c}": f"s * {_lin(_R3[i], _pt(k))} + t{c}" for k in (0, 10, 12) for i, c in enumerate("xyz")}
+
+
+@query(f"SELECT {_NAMES}, frame_index, {_round(_CAN, 4)} FROM c0 JOIN can USING (seq)", CANONICAL_SQL)
+def canonicalize(spark, sf_dir):
+    df = C.canonicalize(tilted_motion(spark, sf_dir), FPS, _TARGETS)
+    return df.select(*KEYS, "frame_index", *rounded(df, {f"j{k}{c}": F.col("joints_can")[k][c] for k in (0, 10, 12) for c in "xyz"}, 4))
