@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.functions import vectors as V
+from stridelake.plans import axes, metrics, represent, segment
 from stridelake.plans import canonicalize as C
 from stridelake.plans import describe as D
 from stridelake.plans import extract as X
-from stridelake.plans import metrics, represent, segment
+
 from stridelake.plans.represent import MOTION
 from stridelake.sources.stages import written
 
@@ -890,3 +891,77 @@ _CAN = {f"j{k}{c}": f"s * {_lin(_R3[i], _pt(k))} + t{c}" for k in (0, 10, 12) fo
 def canonicalize(spark, sf_dir):
     df = C.canonicalize(tilted_motion(spark, sf_dir), FPS, _TARGETS)
     return df.select(*KEYS, "frame_index", *rounded(df, {f"j{k}{c}": F.col("joints_can")[k][c] for k in (0, 10, 12) for c in "xyz"}, 4))
+
+
+# Raw axes -------------------------------------------------------------------
+
+
+def raw_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scripted motion in raw axes: as it is, with y up, or turned by half, by supplier."""
+    df = scripted_motion(spark, sf_dir).select(*KEYS, "frame_index", "joints_can", "trans_can")
+    kind = F.col("subject_id").cast("long") % 3
+
+    def raw(p: Column) -> Column:
+        x, y, z = p["x"], p["y"], p["z"]
+        return (
+            F.when(kind == 0, F.struct(x.alias("x"), y.alias("y"), z.alias("z")))
+            .when(kind == 1, F.struct(y.alias("x"), z.alias("y"), x.alias("z")))
+            .otherwise(F.struct((-x).alias("x"), (-y).alias("y"), z.alias("z")))
+        )
+
+    return written(df.select(*KEYS, "frame_index", F.transform("joints_can", raw).alias("joints_raw"), raw(F.col("trans_can")).alias("trans_raw")))
+
+
+def _raw(k: int, axis: int) -> str:
+    x, y, z = _pt(k)
+    return f"CASE seq % 3 WHEN 0 THEN {(x, y, z)[axis]} WHEN 1 THEN {(y, z, x)[axis]} ELSE {(f'-{x}', f'-{y}', z)[axis]} END"
+
+
+def _at(place: str, names: list[str]) -> str:
+    return f"CASE {place} WHEN 0 THEN {names[0]} WHEN 1 THEN {names[1]} ELSE {names[2]} END"
+
+
+AXES_SQL = f"""{MOTION_SQL},
+a0 AS MATERIALIZED (SELECT seq, frame_index, {', '.join(f'{_raw(0, i)} AS p{i}, {_raw(15, i)} AS e{i}, {_raw(1, i)} AS h{i}, {_raw(2, i)} AS g{i}' for i in range(3))} FROM fr),
+a1 AS (SELECT seq, {', '.join(f'quantile_cont(p{i}, 0.95) - quantile_cont(p{i}, 0.05) AS r{i}, max(p{i}) - min(p{i}) AS w{i}, median(e{i} - p{i}) AS u{i}, median(h{i} - g{i}) AS s{i}' for i in range(3))} FROM a0 GROUP BY seq),
+a2 AS (SELECT *, CASE WHEN abs(u2) >= greatest(abs(u0), abs(u1)) THEN 2 WHEN abs(u1) >= abs(u0) THEN 1 ELSE 0 END AS up,
+  CASE WHEN r2 >= greatest(r0, r1) THEN 2 WHEN r1 >= r0 THEN 1 ELSE 0 END AS widest FROM a1),
+a3 AS (SELECT *, CASE WHEN up = 2 THEN CASE WHEN r1 >= r0 THEN 1 ELSE 0 END WHEN up = 1 THEN CASE WHEN r2 >= r0 THEN 2 ELSE 0 END ELSE CASE WHEN r2 >= r1 THEN 2 ELSE 1 END END AS ahead FROM a2),
+a4 AS (SELECT *, 3 - up - ahead AS side FROM a3),
+a5 AS MATERIALIZED (SELECT *, {_at('up', ['u0', 'u1', 'u2'])} AS tall, {_at('side', ['s0', 's1', 's2'])} AS broad, {_at('ahead', ['r0', 'r1', 'r2'])} AS ra, {_at('side', ['r0', 'r1', 'r2'])} AS rs FROM a4),
+z0 AS (SELECT a0.seq, frame_index, {_at('ahead', ['p0', 'p1', 'p2'])} AS x FROM a0 JOIN a5 USING (seq)),
+z1 AS (SELECT *, sum(x) OVER (PARTITION BY seq ORDER BY frame_index ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) / 9 AS s FROM z0),
+z2 AS (SELECT *, s - lag(s) OVER {_S} AS d FROM z1), z3 AS (SELECT seq, greatest(0.25 * quantile_cont(abs(d), 0.2), 0.000001) AS eps FROM z2 GROUP BY seq),
+z4 AS (SELECT z2.seq, frame_index, s, sg, sum(CASE WHEN d IS NULL OR (sg = 1 AND d < -eps) OR (sg = -1 AND d > eps) THEN 1 ELSE 0 END)
+  OVER (PARTITION BY z2.seq, sg ORDER BY frame_index ROWS UNBOUNDED PRECEDING) AS run FROM z2 JOIN z3 USING (seq), (SELECT unnest([1, -1]) AS sg)),
+z5 AS (SELECT seq, min(frame_index) AS a, max(frame_index) AS b, arg_max(s, frame_index) - arg_min(s, frame_index) AS gone FROM z4 GROUP BY seq, sg, run HAVING count(*) > 1),
+z6 AS MATERIALIZED (SELECT seq, a, b, gone FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY abs(gone) DESC, b - a DESC, a) AS k FROM z5) WHERE k = 1),
+ax AS (SELECT *, CASE WHEN tall >= 0 THEN 1.0 ELSE -1.0 END AS vs, CASE WHEN broad >= 0 THEN 1.0 ELSE -1.0 END AS ls, CASE WHEN gone >= 0 THEN 1.0 ELSE -1.0 END AS ss,
+  abs(tall) / sqrt(u0 * u0 + u1 * u1 + u2 * u2) AS va, abs(broad) / sqrt(s0 * s0 + s1 * s1 + s2 * s2) AS la, (ra - rs) / greatest(ra, 0.00000001) AS margin FROM a5 JOIN z6 USING (seq)),
+ay AS (SELECT *, CASE WHEN (side - ahead + 3) % 3 = 1 THEN 1.0 ELSE -1.0 END * ls * vs AS fs FROM ax)"""
+
+
+@query(f"""SELECT {_NAMES}, ahead AS forward_axis, side AS lateral_axis, up AS vertical_axis, fs AS forward_sign, ls AS lateral_sign, vs AS vertical_sign, widest AS initial_forward_axis,
+a AS segment_start, b AS segment_end, {_round({'vertical_alignment': 'va', 'lateral_alignment': 'la', 'forward_axis_margin': 'margin', 'segment_displacement': 'gone', **{f'robust_range_{c}': f'r{i}' for i, c in enumerate('xyz')}, **{f'raw_range_{c}': f'w{i}' for i, c in enumerate('xyz')}}, 6)},
+CASE WHEN widest = up THEN 'axis_conflict_resolved_by_vertical_priority;' ELSE '' END || CASE WHEN fs <> ss THEN 'forward_sign_flipped_for_right_handed_frame;' ELSE '' END
+|| CASE WHEN margin < 0.05 THEN 'forward_axis_low_margin;' ELSE '' END || CASE WHEN va < 0.55 THEN 'vertical_axis_low_alignment;' ELSE '' END
+|| CASE WHEN la < 0.55 THEN 'lateral_axis_low_alignment;' ELSE '' END || CASE WHEN abs(gone) < 0.1 THEN 'forward_segment_displacement_small;' ELSE '' END AS warnings,
+'pelvis_to_head' AS vertical_source FROM ay""", AXES_SQL)
+def axis_semantics(spark, sf_dir):
+    df = axes.axis_semantics(raw_motion(spark, sf_dir))
+    names = ["vertical_alignment", "lateral_alignment", "forward_axis_margin", "segment_displacement", *[f"{n}_range_{c}" for n in ("robust", "raw") for c in "xyz"]]
+    return df.select(
+        *KEYS, "forward_axis", "lateral_axis", "vertical_axis", "forward_sign", "lateral_sign", "vertical_sign", "initial_forward_axis", "segment_start",
+        "segment_end", *rounded(df, {n: n for n in names}, 6), F.concat_ws("", F.transform("warnings", lambda x: F.concat(x, F.lit(";")))).alias("warnings"),
+        "vertical_source",
+    )
+
+
+@query(f"""WITH re AS (SELECT a0.seq, frame_index, fs * {_at('ahead', ['e0', 'e1', 'e2'])} AS x, ls * {_at('side', ['e0', 'e1', 'e2'])} AS y, vs * {_at('up', ['e0', 'e1', 'e2'])} AS z,
+  fs * {_at('ahead', ['p0', 'p1', 'p2'])} AS tx, ls * {_at('side', ['p0', 'p1', 'p2'])} AS ty, vs * {_at('up', ['p0', 'p1', 'p2'])} AS tz FROM a0 JOIN ay USING (seq))
+SELECT {_NAMES}, frame_index, {_round({'head_x': 'x', 'head_y': 'y', 'head_z': 'z', 'root_x': 'tx', 'root_y': 'ty', 'root_z': 'tz'}, 6)} FROM re""", AXES_SQL)
+def to_semantic_axes(spark, sf_dir):
+    frames = raw_motion(spark, sf_dir)
+    df = axes.to_semantic_axes(frames, axes.axis_semantics(frames))
+    columns = {**{f"head_{c}": F.col("joints_3d")[15][c] for c in "xyz"}, **{f"root_{c}": F.col(f"trans_canonical.{c}") for c in "xyz"}}
+    return df.select(*KEYS, "frame_index", *[(c + 0.0).alias(n) for n, c in zip(columns, rounded(df, columns, 6), strict=True)])
