@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stridelake.functions.strings import sequence_stem
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old with the rows of new in place of those with the same keys; columns are united, missing ones null."""
@@ -31,12 +33,19 @@ def select_sequences(
     trials: list[str] | None = None,
     trial_contains: str | None = None,
     ignore_case: bool = True,
+    stem_contains: str | None = None,
 ) -> DataFrame:
-    """Rows whose identity matches every filter given; ids are compared as strings."""
+    """Rows whose identity matches every filter given; ids are compared as strings.
+
+    trial_contains looks at the trial alone, stem_contains, without regard to case,
+    at the whole name of the sequence, as later stages do.
+    """
     for column, wanted in ((subset, subsets), (subject, subjects), (trial, trials)):
         if wanted is not None:
             df = df.where(F.col(column).cast("string").isin([str(w) for w in wanted]))
     if trial_contains:
         text, part = F.col(trial).cast("string"), trial_contains
         df = df.where(F.contains(F.lower(text), F.lit(part.lower())) if ignore_case else F.contains(text, F.lit(part)))
+    if stem_contains:
+        df = df.where(F.contains(F.lower(sequence_stem(subset, subject, trial)), F.lit(stem_contains.lower())))
     return df

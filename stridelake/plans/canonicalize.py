@@ -191,3 +191,30 @@ def facing_angle(frames: DataFrame, seq: Sequence = R.MOTION, joints: str = "joi
     order = Window.partitionBy(*seq.keys).orderBy(seq.order)
     first = frames.withColumn("_n", F.row_number().over(order)).where("_n = 1")
     return first.select(*seq.keys, V.heading_degrees(V.horizontal(forward)).alias("facing_deg"))
+
+
+def transform_checks(canonical: DataFrame, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()) -> DataFrame:
+    """Per sequence of canonicalize(): finiteness, scale, where the first root lies, the ground's height, and what is left of tilt."""
+    heights = F.array(*[F.col("joints_can")[k]["z"] for _, k in SUPPORTS])
+    finite = F.forall("joints_can", lambda p: F.abs(p["x"] + p["y"] + p["z"]) < float("inf")) & (F.abs(V.norm(V.unpacked("trans_can"))) < float("inf"))
+    first = F.min_by("trans_can", seq.order)
+    ground = canonical.select(*seq.keys, F.explode(heights).alias("_z")).groupBy(*seq.keys).agg(
+        F.percentile("_z", cfg.ground_percentile).alias("ground_z_percentile_m")
+    )
+    out = canonical.groupBy(*seq.keys).agg(
+        F.bool_and(F.coalesce(finite, F.lit(False))).alias("all_outputs_finite"), F.first("s_global").alias("s_global"), first.alias("_root"),
+        F.first("r_global").alias("_r"), F.first("r_body").alias("_b"), F.first("tilt_before_deg").alias("floor_tilt_before_deg"),
+        F.first("floor_reason").isNull().alias("floor_alignment_enabled"),
+    )
+    up = V.times(V.matrix_column("_r"), V.matrix_column("_b")[2])
+    out = out.withColumn("_up", V.packed(up))
+    up = V.unpacked("_up")
+    apart = V.norm(V.minus(up, V.vector(0, 0, 1)))
+    angle = F.degrees(F.acos(clip(up[2] / F.greatest(V.norm(up), F.lit(1e-10)), -1.0, 1.0)))
+    out = out.withColumns(
+        {
+            "first_root_xy_norm_m": F.sqrt(F.col("_root.x") * F.col("_root.x") + F.col("_root.y") * F.col("_root.y")),
+            "det_r_global": V.determinant(V.matrix_column("_r")), "body_up_after_error": apart, "body_up_after_angle_deg": angle,
+        }
+    )
+    return out.join(ground, list(seq.keys)).drop("_root", "_r", "_b", "_up")

@@ -15,6 +15,7 @@ from stridelake.functions import scalars, strings, vectors
 from stridelake.operators import aggregates, joins, tables
 from stridelake.operators import sequences as S
 from stridelake.operators.sequences import Sequence
+from stridelake.plans import extract, represent, segment
 
 SEQ = Sequence(("seq",))
 FPS = 30.0
@@ -225,12 +226,9 @@ def contact_probability(spark, sf_dir):
     df = frames(spark, sf_dir)
     floor = F.percentile("x", 0.05).over(Window.partitionBy("seq"))
     speed = F.abs(S.finite_difference("y", SEQ, FPS))
-    df = df.withColumn(
-        "prob",
-        0.6 * (1 - scalars.clip((F.col("x") - floor) / 80, 0.0, 1.0)) + 0.4 * (1 - scalars.clip(speed / 3000, 0.0, 1.0)),
-    ).withColumn("mask", F.round("prob", 8) >= 0.5)
-    df = S.remove_short_true_runs(df, SEQ, "mask", 2, "kept")
-    df = S.fill_short_false_runs(df, SEQ, "kept", 2, "on")
+    cfg = represent.RepresentConfig(contact_height=80.0, contact_speed=3000.0)
+    df = df.withColumn("clear", F.col("x") - floor).withColumn("prob", represent.contact_probability(F.col("clear"), speed, cfg))
+    df = represent.steady_contacts(df, SEQ, F.round("prob", 8), "on", FPS, cfg)
     return df.select("seq", "frame_index", F.round("prob", 8).alias("probability"), F.col("on").alias("contact"))
 
 
@@ -254,11 +252,8 @@ def moving_average_zero_pad(spark, sf_dir):
 @query("""WITH q AS (SELECT seq, quantile_cont(x, 0.02) AS lo, quantile_cont(x, 0.98) AS hi FROM fr GROUP BY seq)
 SELECT seq, frame_index, round(CASE WHEN hi - lo < 0.16 THEN 0.5 ELSE least(greatest((x - lo) / (hi - lo), 0), 1) END, 6) AS height FROM fr JOIN q USING (seq)""")
 def norm_height_p2_p98(spark, sf_dir):
-    group = Window.partitionBy("seq")
-    df = frames(spark, sf_dir).withColumn("p", F.percentile("x", [0.02, 0.98]).over(group))
-    low, high = F.col("p")[0], F.col("p")[1]
-    height = F.when(high - low < 0.16, F.lit(0.5)).otherwise(scalars.clip(scalars.safe_divide(F.col("x") - low, high - low), 0.0, 1.0))
-    return df.select("seq", "frame_index", r6(height, "height"))
+    df = segment.with_normalized_height(frames(spark, sf_dir), SEQ, "x", "height")
+    return df.select("seq", "frame_index", r6("height", "height"))
 
 
 @query("""WITH s AS (SELECT seq, frame_index, count(*) OVER w AS n, count(*) OVER (PARTITION BY seq) AS total,
@@ -281,7 +276,7 @@ max(frame_index) AS "end", round(avg(valid::INT), 6) AS valid_ratio, round(avg(x
 CASE WHEN avg(valid::INT) < 0.8 OR avg(x) < 20 THEN 'bad' WHEN bool_or(other) THEN 'warning' ELSE 'good' END AS status FROM i GROUP BY seq, run""")
 def segment_quality(spark, sf_dir):
     ratio, score = F.avg(F.col("valid").cast("double")), F.avg("x")
-    status = F.when((ratio < 0.8) | (score < 20), "bad").when(F.bool_or("other"), "warning").otherwise("good")
+    status = segment.graded((ratio < 0.8) | (score < 20), F.bool_or("other"))
     return (
         _segments(frames(spark, sf_dir))
         .groupBy("seq", "segment_no")
@@ -338,11 +333,8 @@ s AS (SELECT seq, frame_index - lag(frame_index) OVER (PARTITION BY seq, contact
 SELECT seq, step_mean, stride_mean FROM (SELECT seq, round(avg((frame_index - pf) / 30.0), 5) AS step_mean FROM e WHERE contact <> pc GROUP BY seq)
 FULL JOIN (SELECT seq, round(avg(d / 30.0), 5) AS stride_mean FROM s WHERE d IS NOT NULL GROUP BY seq) USING (seq)""")
 def alternating_step_times(spark, sf_dir):
-    events = frames(spark, sf_dir).where("contact OR other").select("seq", "frame_index", "contact")
-    side = Window.partitionBy("seq", "contact").orderBy("frame_index")
-    gap = F.col("frame_index") - F.lag("frame_index").over(SEQ.window)
-    events = events.withColumn("step", F.when(F.col("contact") != F.lag("contact").over(SEQ.window), gap / FPS))
-    events = events.withColumn("stride", (F.col("frame_index") - F.lag("frame_index").over(side)) / FPS)
+    events = frames(spark, sf_dir).where("contact OR other").select("seq", "frame_index", F.col("contact").alias("side"))
+    events = extract.event_gaps(events, ["seq"], "frame_index", FPS).withColumnsRenamed({"_t": "step", "_s": "stride"})
     return events.groupBy("seq").agg(
         F.round(F.avg("step"), 5).alias("step_mean"), F.round(F.avg("stride"), 5).alias("stride_mean")
     ).where(
@@ -361,9 +353,7 @@ def detrended_std(spark, sf_dir):
 SELECT seq, min(CASE WHEN abs(z - a) >= 15 AND abs(unwrapped - a) >= 0.1 * abs(z - a) THEN frame_index END) AS onset FROM b GROUP BY seq""")
 def first_onset(spark, sf_dir):
     df = S.unwrap_degrees(frames(spark, sf_dir), SEQ, "heading", "u")
-    first, last = F.first("u").over(SEQ.whole), F.last("u").over(SEQ.whole)
-    total = F.abs(last - first)
-    df = df.withColumn("hit", (total >= 15) & (F.abs(F.col("u") - first) >= 0.1 * total))
+    df = df.withColumn("hit", extract.has_turned("u", SEQ))
     return df.groupBy("seq").agg(F.min(F.when(F.col("hit"), F.col("frame_index"))).alias("onset"))
 
 
@@ -400,10 +390,8 @@ def priority_labels_hesitation(spark, sf_dir):
 SELECT seq, start, CASE WHEN label = 'click' AND lag(label) OVER w = 'view' AND lead(label) OVER w = 'purchase' THEN 'adjust' ELSE label END AS label
 FROM s WINDOW w AS (PARTITION BY seq ORDER BY run)""")
 def adjust_relabel(spark, sf_dir):
-    from stridelake.plans.segment import relabel_between
-
     segments = S.runs(frames(spark, sf_dir), SEQ, "event_type").withColumnRenamed("event_type", "label")
-    out = relabel_between(segments, ["seq"], "run", "click", "view", "purchase", "adjust")
+    out = segment.relabel_between(segments, ["seq"], "run", "click", "view", "purchase", "adjust")
     return out.select("seq", "start", "label")
 
 
@@ -451,9 +439,9 @@ def contact_stability(spark, sf_dir):
     duty = df.groupBy("seq").agg(
         left.alias("left"), right.alias("right"), F.count_if("contact").alias("nl"), F.count_if("other").alias("nr")
     )
-    balance = 1 - F.abs(F.col("nl") - F.col("nr")) / F.greatest(F.col("nl") + F.col("nr"), F.lit(1))
-    total = F.col("left") + F.col("right") + F.coalesce("alternation", F.lit(0.0)) + balance
-    return duty.join(turns, "seq", "left").select("seq", r6(total / 4, "stability"))
+    duty = duty.join(turns, "seq", "left")
+    score = represent.contact_stability(*(F.col(c) for c in ("left", "right", "alternation", "nl", "nr")))
+    return duty.select("seq", r6(score, "stability"))
 
 
 @query("""SELECT l_orderkey, l_partkey, l_suppkey, list_position([l_tax, l_discount, l_quantity / 100], list_min([l_tax, l_discount, l_quantity / 100])) - 1 AS place,

@@ -140,16 +140,21 @@ def _pooled(name: str) -> Column:
     )
 
 
+def event_gaps(events: DataFrame, keys: list[str], order: str, fps: float) -> DataFrame:
+    """events(keys, order, side) with _t, seconds since the event before if that was of another side, and _s, since the last of its own."""
+    everyone = Window.partitionBy(*keys).orderBy(order, "side")
+    same = Window.partitionBy(*keys, "side").orderBy(order)
+    gap = (F.col(order) - F.lag(order).over(everyone)) / fps
+    events = events.withColumn("_t", F.when((F.col("side") != F.lag("side").over(everyone)) & (gap > 0), gap))
+    return events.withColumn("_s", (F.col(order) - F.lag(order).over(same)) / fps)
+
+
 def _step_times(frames: DataFrame, fps: float, seq: Sequence) -> DataFrame:
     """Per segment mean and CV of the gaps between strikes of opposite feet, and of strides of both feet pooled."""
     valid = frames.where("valid_frame_mask")
     events = R.strikes(valid, seq).select(*seq.keys, "segment_no", seq.order, "side")
     keys = [*seq.keys, "segment_no"]
-    order = Window.partitionBy(*keys).orderBy(seq.order, "side")
-    same = Window.partitionBy(*keys, "side").orderBy(seq.order)
-    gap = (F.col(seq.order) - F.lag(seq.order).over(order)) / fps
-    events = events.withColumn("_t", F.when((F.col("side") != F.lag("side").over(order)) & (gap > 0), gap))
-    events = events.withColumn("_s", (F.col(seq.order) - F.lag(seq.order).over(same)) / fps)
+    events = event_gaps(events, keys, seq.order, fps)
     return events.groupBy(*keys).agg(
         F.count("*").alias("_strikes"),
         F.avg("_t").alias("_step_sec"),
@@ -212,13 +217,15 @@ def walk_features(frames: DataFrame, segments: DataFrame, fps: float, seq: Seque
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
-def _onset(name: str, seq: Sequence, cfg: ExtractConfig) -> Column:
-    """First frame whose yaw has moved by the given share of the segment's total; null for small totals."""
-    part = seq.within("segment_no")
+def has_turned(name: str, part: Sequence, cfg: ExtractConfig = ExtractConfig()) -> Column:
+    """Whether a yaw has moved by the given share of its total over a part; never where that is small."""
     first, last = F.first(name).over(part.whole), F.last(name).over(part.whole)
     total = F.abs(last - first)
-    moved = (total >= cfg.min_onset_angle) & (F.abs(F.col(name) - first) >= cfg.onset_share * total)
-    return F.when(moved, F.col("time_s"))
+    return (total >= cfg.min_onset_angle) & (F.abs(F.col(name) - first) >= cfg.onset_share * total)
+
+
+def _onset(name: str, seq: Sequence, cfg: ExtractConfig) -> Column:
+    return F.when(has_turned(name, seq.within("segment_no"), cfg), F.col("time_s"))
 
 
 def turn_features(

@@ -51,23 +51,37 @@ def _filled(df: DataFrame, seq: Sequence, axis: V.Vector, valid: Column, out: st
     return df.withColumn(out, V.packed(unit)).drop("_ok", *names)
 
 
+def contact_probability(clear: Column, speed: Column, cfg: RepresentConfig = RepresentConfig()) -> Column:
+    """How likely a foot at this height above the floor and this speed bears weight, from 0 to 1."""
+    low, slow = (1 - clip(x / most, 0.0, 1.0) for x, most in ((clear, cfg.contact_height), (speed, cfg.contact_speed)))
+    return clip(cfg.height_weight * low + cfg.speed_weight * slow, 0.0, 1.0)
+
+
+def steady_contacts(df: DataFrame, seq: Sequence, prob: Column, out: str, fps: float, cfg: RepresentConfig = RepresentConfig()) -> DataFrame:
+    """df with the mask of contact: probable frames without the shortest runs, then without the shortest gaps."""
+    df = df.withColumn("_mask", F.coalesce(prob >= cfg.contact_threshold, F.lit(False)))
+    df = S.remove_short_true_runs(df, seq, "_mask", frames_of(cfg.min_contact_sec, fps), "_kept")
+    return S.fill_short_false_runs(df, seq, "_kept", frames_of(cfg.min_swing_sec, fps), out).drop("_mask", "_kept")
+
+
+def contact_stability(left: Column, right: Column, alternation: Column, left_strikes: Column, right_strikes: Column) -> Column:
+    """Mean of both feet's duty scores, the share of alternating strikes (0 if unknown) and the balance of their numbers."""
+    balance = 1 - F.abs(left_strikes - right_strikes) / F.greatest(left_strikes + right_strikes, F.lit(1))
+    return (left + right + F.coalesce(alternation, F.lit(0.0)) + balance) / 4
+
+
 def _contacts(df: DataFrame, seq: Sequence, side: str, support: str, fps: float, cfg: RepresentConfig) -> DataFrame:
     point = V.unpacked(support)
     vx, vy = (S.finite_difference(c, seq, fps) for c in point[:2])
     clear = F.greatest(point[2] - F.col("floor_z"), F.lit(0.0))
     df = df.withColumn("_speed", F.sqrt(vx * vx + vy * vy)).withColumn("_clear", clear)
-    prob = cfg.height_weight * (1 - clip(F.col("_clear") / cfg.contact_height, 0.0, 1.0)) + cfg.speed_weight * (
-        1 - clip(F.col("_speed") / cfg.contact_speed, 0.0, 1.0)
-    )
     prob_name, mask = f"{side}_foot_contact_prob", f"{side}_foot_contact"
-    df = df.withColumn(prob_name, clip(prob, 0.0, 1.0))
-    df = df.withColumn("_mask", F.coalesce(F.col(prob_name) >= cfg.contact_threshold, F.lit(False)))
-    df = S.remove_short_true_runs(df, seq, "_mask", frames_of(cfg.min_contact_sec, fps), "_kept")
-    df = S.fill_short_false_runs(df, seq, "_kept", frames_of(cfg.min_swing_sec, fps), mask)
+    df = df.withColumn(prob_name, contact_probability(F.col("_clear"), F.col("_speed"), cfg))
+    df = steady_contacts(df, seq, F.col(prob_name), mask, fps, cfg)
     df = df.withColumn(f"{side}_heel_strike", S.mask_onsets(mask, seq)).withColumn(f"{side}_toe_off", S.mask_offsets(mask, seq))
     df = df.withColumn(f"{side}_gait_phase", F.col(mask).cast("int"))
     confidence = clip(2 * F.abs(F.col(prob_name) - cfg.contact_threshold), 0.0, 1.0)
-    return df.withColumn(f"{side}_contact_confidence", confidence).drop("_speed", "_clear", "_mask", "_kept")
+    return df.withColumn(f"{side}_contact_confidence", confidence).drop("_speed", "_clear")
 
 
 def represent(canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig()) -> DataFrame:
@@ -197,8 +211,7 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
     flips = events.withColumn("_flip", (F.col("side") != F.lag("side").over(Window.partitionBy(*seq.keys).orderBy("frame_index", "side"))).cast("double"))
     base = base.join(flips.groupBy(*seq.keys).agg(F.avg("_flip").alias("_alternation")), list(seq.keys), "left")
     steps = F.col("left_strikes") + F.col("right_strikes")
-    balance = 1 - F.abs(F.col("left_strikes") - F.col("right_strikes")) / F.greatest(steps, F.lit(1))
-    stability = (F.col("_left") + F.col("_right") + F.coalesce("_alternation", F.lit(0.0)) + balance) / 4
+    stability = contact_stability(*(F.col(c) for c in ("_left", "_right", "_alternation", "left_strikes", "right_strikes")))
     base = base.withColumn("step_count", steps).withColumn("contact_stability_score", stability)
     base = base.withColumn("cadence_steps_per_min", steps / F.greatest(F.col("frame_count") / fps, F.lit(1e-6)) * 60)
     warnings = F.array_compact(
@@ -211,6 +224,29 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
     return base.withColumn("gait_warnings", warnings).drop("_left", "_right", "_alternation")
 
 
+def quality_metrics(frames: DataFrame, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig()) -> DataFrame:
+    """Per sequence the counts, shares, means and extremes that describe how far its frames can be trusted."""
+    share = lambda c: F.avg(F.col(c).cast("double")) if isinstance(c, str) else F.avg(c.cast("double"))
+    whole = F.coalesce(F.abs(F.col("heading_deg") + F.col("trunk_lean_angle_deg") + F.col("root_speed_xy_mps")) < float("inf"), F.lit(False))
+    slow = F.col("velocity_outlier_mask")
+    sure = (F.col("contact_confidence")[0] + F.col("contact_confidence")[1]) / 2
+    means = {
+        "root_speed_xy_mean_mps": "root_speed_xy_mps", "left_foot_speed_mean_mps": "left_foot_speed_mps", "right_foot_speed_mean_mps": "right_foot_speed_mps",
+        "trunk_forward_flexion_mean_deg": "trunk_forward_flexion_deg", "trunk_lateral_lean_mean_deg": "trunk_lateral_lean_deg",
+        "trunk_lean_mean_deg": "trunk_lean_angle_deg", "representation_quality_score_mean": "representation_quality_score",
+    }
+    return frames.groupBy(*seq.keys).agg(
+        F.count("*").alias("frame_count"), share("valid_frame_mask").alias("valid_frame_ratio"), F.count_if(~F.col("valid_frame_mask")).alias("num_invalid_frames"),
+        share(whole & ~F.col("joint_nan_mask")).alias("finite_frame_ratio"), share(~slow).alias("speed_quality_ratio"), F.count_if(slow).alias("velocity_outlier_count"),
+        F.count_if("joint_nan_mask").alias("joint_nan_frame_count"), share("heading_source_valid").alias("heading_source_valid_ratio"),
+        F.avg(sure).alias("contact_confidence_mean"), F.max("root_speed_xy_mps").alias("root_speed_xy_max_mps"), F.first("floor_z").alias("floor_z_estimate_m"),
+        share("left_foot_contact").alias("left_contact_ratio"), share("right_foot_contact").alias("right_contact_ratio"),
+        share(F.col("gait_phase_global") == 3).alias("double_support_ratio"), share(F.col("gait_phase_global") == 0).alias("no_contact_ratio"),
+        F.count_if("left_toe_off").alias("left_toe_off_count"), F.count_if("right_toe_off").alias("right_toe_off_count"),
+        *[F.avg(c).alias(n) for n, c in means.items()],
+    )
+
+
 def strikes(frames: DataFrame, seq: Sequence, event: str = "heel_strike") -> DataFrame:
     """One row per strike (or toe_off): the frame's columns and side."""
     both = F.array_compact(F.array(*[F.when(F.col(f"{s}_{event}"), s) for s in ("left", "right")]))

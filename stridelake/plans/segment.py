@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -172,6 +172,10 @@ def with_segments(df: DataFrame, seq: Sequence = MOTION) -> DataFrame:
     return S.island(df, seq, "label", "segment_no").withColumn("segment_no", F.col("segment_no") + 1)
 
 
+def graded(bad: Column, odd: Column) -> Column:
+    return F.when(bad, "bad").when(odd, "warning").otherwise("good")
+
+
 def segments(
     df: DataFrame, fps: float, warnings: DataFrame | None = None, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()
 ) -> DataFrame:
@@ -206,6 +210,6 @@ def segments(
         )
     )
     out = out.withColumn("reasons", F.concat(reasons, more))
-    out = out.withColumn("status", F.when(invalid | poor, "bad").when(F.size("reasons") > 0, "warning").otherwise("good"))
+    out = out.withColumn("status", graded(invalid | poor, F.size("reasons") > 0))
     used = (F.col("status") != "bad") & (F.col("hesitation_overlap_ratio") < cfg.max_hesitation)
     return out.withColumn("used_for_extraction", used).drop("gait_warnings")
