@@ -549,13 +549,13 @@ def sanitize_stem(spark, sf_dir):
     )
 
 
-@query("""WITH t AS (SELECT doc_id, '步行表现为：' || replace(left(lang || '、速度很慢；' || source, 60), '。', '') || '、稳定性下降。' AS s FROM documents),
+@query("""WITH t AS (SELECT doc_id, '步行表现为：' || replace(lang || '、速度很慢；' || source, '。', '') || '、稳定性下降。' AS s FROM documents),
 b AS (SELECT doc_id, trim(split_part(s, '：', 1)) || '：' AS header, rtrim(substr(s, instr(s, '：') + 1), '。') AS body FROM t),
 c AS (SELECT doc_id, header, list_filter(list_transform(string_split(replace(body, '；', '、'), '、'), lambda v: trim(v)), lambda v: v <> '') AS c FROM b)
 SELECT doc_id, header, len(c)::INTEGER AS clauses, list_contains(list_transform(c, lambda v: contains(v, '下降')), true) AS abnormal FROM c""", with_frames=False)
 def split_clauses_abnormal(spark, sf_dir):
     text = F.concat(
-        F.lit("步行表现为："), F.replace(F.left(F.concat("lang", F.lit("、速度很慢；"), "source"), F.lit(60)), F.lit("。"), F.lit("")),
+        F.lit("步行表现为："), F.replace(F.concat("lang", F.lit("、速度很慢；"), "source"), F.lit("。"), F.lit("")),
         F.lit("、稳定性下降。"),
     )
     df = read(spark, sf_dir, "documents").select("doc_id", text.alias("s"))
