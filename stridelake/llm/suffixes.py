@@ -23,7 +23,7 @@ from stridelake.llm import words as W
 from stridelake.llm.cluster import trimmed
 
 GRAM = 20
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 SLICE = 1 << 21
 WINDOWS_AT_ONCE = 400_000
 #: Anchors found in more chunks than this travel as single suffixes, dealt by all their bytes.
@@ -264,7 +264,7 @@ def _packed(x: np.ndarray) -> bytes:
     if x.ndim == 1:
         x = np.diff(x, prepend=x.dtype.type(0))
         x = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T)
-    return pa.compress(x.tobytes(), codec="zstd", asbytes=True)
+    return pa.Codec("zstd", compression_level=6).compress(x.tobytes(), asbytes=True)
 
 
 def _unpacked(x: bytes, shape: tuple[int, ...], kind: type) -> np.ndarray:
