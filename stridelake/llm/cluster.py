@@ -99,3 +99,9 @@ def sound_text(values: pa.Array) -> pa.Array:
         return raw.cast(pa.string())
     except pa.ArrowInvalid:
         return pa.array([None if x is None else x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that a job of ours wrote, wherever Spark's paths lead."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -488,7 +488,70 @@ def test_page_query(spark):
     assert len(pages.extract_text(long).first()["text"]) == 5 * 400_000 - 1
 
 
-def test_pipeline_runs_on_the_smallest_table(spark):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns) and out.count() > 0
+def test_shards_of_odd_tables(make_docs):
+    ranks, pattern = path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    assert shards.packed_shards(make_docs([]), ranks, pattern).collect() == []
+    rows = [(1, "word " * 60_000), (2, "x"), (2, "x")]
+    out = shards.packed_shards(make_docs(rows), ranks, pattern).collect()
+    assert sum(r["n_ids"] for r in out) == sum(len([*shards.rank_encoding(ranks, pattern).encode_ordinary(t), 0]) for _, t in rows)
+
+
+def test_best_fit_decreasing_equals_a_plain_search():
+    rng = np.random.default_rng(13)
+    sizes = rng.integers(1, 60, 400)
+    bins = shards.best_fit_decreasing(sizes, 64)
+    left: list[int] = []
+    placed: list[list[int]] = []
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        fits = [(room, k) for k, room in enumerate(left) if room >= sizes[i]]
+        room = min(fits)[0] if fits else None
+        if room is None:
+            left.append(64 - int(sizes[i]))
+            placed.append([i])
+        else:
+            # Of equal bins the last one that came to this room.
+            k = next(k for k in range(len(placed)) if bins[k][: len(placed[k]) + 1] == [*placed[k], i] and left[k] == room)
+            left[k] -= int(sizes[i])
+            placed[k].append(i)
+    assert placed == bins
+
+
+def test_sum_of_squares_equals_a_plain_search():
+    rng = np.random.default_rng(14)
+    sizes = rng.integers(1, 30, 300)
+    bins, offsets = packing.sum_of_squares(sizes, 40)
+    rooms: list[int] = []
+    for size, b, offset in zip(sizes.tolist(), bins.tolist(), offsets.tolist()):
+        def cost(change):
+            after = [r for r in change if 0 < r < 40]
+            return sum(after.count(r) ** 2 for r in set(after))
+
+        options = {}
+        for k, room in enumerate([*rooms, 40]):
+            if room >= size:
+                options.setdefault(room, cost([*rooms[:k], room - size, *rooms[k + 1 :]]))
+        if size < 40:
+            assert options[40 - offset] == min(options.values())
+        if b == len(rooms):
+            rooms.append(40)
+        assert offset == 40 - rooms[b]
+        rooms[b] -= size
+
+
+def test_packing_of_repeated_ids(make_docs):
+    out = packing.pack_documents(make_docs([(1, "same text"), (1, "same text"), (2, "word " * 3000)]), path("word_bpe_49k.json")).collect()
+    spans = {}
+    for r in out:
+        spans.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in spans.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_language_of_many_labels(spark):
+    rows = [(i, f"text number {i} of a language", f"l{i % 30:02d}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit_on(df, "doc_id", "text", "lang").languages == tuple(f"l{k:02d}" for k in range(30))
