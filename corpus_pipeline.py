@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs. All but the last return the columns
-of documents.
+of documents; other columns are dropped by the first. Ids should be unique: of rows
+that share one, each stays if any of them does. Rows without an id go in the second
+stage. An empty table passes through as an empty one.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm.cluster import shared_folder
+from stridelake.llm.cluster import remove, shared_folder
 from stridelake.llm.language import accepted_documents
 from stridelake.llm.minhash import near_duplicates
 from stridelake.llm.packing import pack_documents
@@ -43,7 +45,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the rules, and boilerplate lines from those that stay."""
     _small_batches(spark)
-    kept = quality_rules(docs, spare_first=True).where("kept").select("doc_id", "removed_lines")
+    kept = quality_rules(docs, spare_first=True).where("kept").select("doc_id", "removed_lines").dropDuplicates(["doc_id"])
     text = without_lines(F.col("text"), F.col("source"), F.col("removed_lines"))
     return (
         docs.join(kept, "doc_id")
@@ -91,11 +93,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written below spark.checkpoint.dir (a local master may leave that unset)."""
+    """All stages over documents, each written below spark.checkpoint.dir (a local master may leave that unset) and removed once the next is."""
     folder = f"{shared_folder(spark)}/corpus_pipeline/{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            remove(spark, before)
+        before = path
     return docs
