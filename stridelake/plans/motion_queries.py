@@ -337,8 +337,9 @@ s AS (SELECT *, (greatest(0.0, 1 - least(abs(lr - 0.6) / 0.6, 1.0)) + greatest(0
   + 1 - abs(ls - rs) / greatest(ls + rs, 1)) / 4 AS stability FROM b LEFT JOIN al USING (seq))
 SELECT {_NAMES}, n AS frame_count, round(lr, 6) AS left_contact_ratio, round(rr, 6) AS right_contact_ratio, ls::BIGINT AS left_strikes, rs::BIGINT AS right_strikes,
 (ls + rs)::BIGINT AS step_count, round(stability, 6) AS contact_stability_score, round((ls + rs) / (n / 30.0) * 60, 6) AS cadence_steps_per_min,
-CASE WHEN least(ls, rs) < 1 THEN 'few_contact_onsets_on_a_foot;' ELSE '' END || CASE WHEN ls + rs < 2 THEN 'few_contact_onsets;' ELSE '' END
-  || CASE WHEN stability < 0.45 THEN 'low_contact_stability;' ELSE '' END AS warnings FROM s""")
+CASE WHEN least(ls, rs) < 1 THEN 'At least one foot is missing contact onsets.;' ELSE '' END
+  || CASE WHEN ls + rs < 2 THEN 'Too few contact onsets were available for stable gait-event proxies.;' ELSE '' END
+  || CASE WHEN stability < 0.45 THEN printf('Low contact stability score (%.3f).;', stability) ELSE '' END AS warnings FROM s""")
 def gait_summary(spark, sf_dir):
     df = represent.gait_summary(represented(spark, sf_dir), FPS)
     ratios = {n: n for n in ("left_contact_ratio", "right_contact_ratio", "contact_stability_score", "cadence_steps_per_min")}

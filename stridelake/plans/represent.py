@@ -17,6 +17,12 @@ PELVIS, LEFT_HIP, RIGHT_HIP, LEFT_KNEE, RIGHT_KNEE, LEFT_ANKLE, RIGHT_ANKLE = 0,
 SPINE3, LEFT_FOOT, RIGHT_FOOT, NECK, HEAD = 9, 10, 11, 12, 15
 LEFT_SHOULDER, RIGHT_SHOULDER, LEFT_WRIST, RIGHT_WRIST = 16, 17, 20, 21
 
+# What a sequence's contacts are warned of; these join the reasons of its segments.
+WARNINGS = [
+    "At least one foot is missing contact onsets.", "Too few contact onsets were available for stable gait-event proxies.",
+    "Low contact stability score (%.3f).",
+]
+
 MOTION = Sequence(("subset", "subject_id", "trial_id"))
 
 
@@ -216,9 +222,9 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
     base = base.withColumn("cadence_steps_per_min", steps / F.greatest(F.col("frame_count") / fps, F.lit(1e-6)) * 60)
     warnings = F.array_compact(
         F.array(
-            F.when((F.col("left_strikes") < 1) | (F.col("right_strikes") < 1), "few_contact_onsets_on_a_foot"),
-            F.when(steps < 2, "few_contact_onsets"),
-            F.when(stability < 0.45, "low_contact_stability"),
+            F.when((F.col("left_strikes") < 1) | (F.col("right_strikes") < 1), WARNINGS[0]),
+            F.when(steps < 2, WARNINGS[1]),
+            F.when(stability < 0.45, F.format_string(WARNINGS[2], stability)),
         )
     )
     return base.withColumn("gait_warnings", warnings).drop("_left", "_right", "_alternation")

@@ -9,17 +9,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def stream_events(frames: DataFrame, keys: list[str], order: str, mask: str, value: str, fps: float) -> DataFrame:
+def stream_events(
+    frames: DataFrame, keys: list[str], order: str, mask: str, value: str, fps: float, idle_ms: int | None = None
+) -> DataFrame:
     """Each frame with onset and offset of mask and the backward difference of value per second.
 
     The state of a sequence is its last frame. A micro-batch is sorted by `order`
     within a sequence; frames at or before the last one seen are dropped, as late
     ones or repeats. A null mask counts as false, and a difference to or from a
     null value is null. The first frame of a sequence has a difference of 0, and an
-    onset if its mask holds.
+    onset if its mask holds. With idle_ms, a sequence without frames for so long
+    of processing time is forgotten, and later ones of it start anew; without, its
+    state stays.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         pdf = pd.concat(list(batches)).sort_values(order)
         seen = state.exists
         last, was, held = state.get if seen else (None, False, None)
@@ -34,6 +41,8 @@ def stream_events(frames: DataFrame, keys: list[str], order: str, mask: str, val
             last, was, held = at, bool(on), now
         if rows:
             state.update((last, was, held))
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
             yield pd.DataFrame(rows, columns=[*keys, order, "onset", "offset", "rate"])
 
     kinds = ", ".join(f"`{k}` {frames.schema[k].dataType.simpleString()}" for k in keys)
@@ -45,6 +54,6 @@ def stream_events(frames: DataFrame, keys: list[str], order: str, mask: str, val
             f"{kinds}, `{order}` long, onset boolean, offset boolean, rate double",
             "last long, was boolean, held double",
             "append",
-            GroupStateTimeout.NoTimeout,
+            GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout,
         )
     )
