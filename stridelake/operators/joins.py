@@ -20,8 +20,7 @@ def frames_in_intervals(frames: DataFrame, intervals: DataFrame, seq: Sequence,
 
 def first_after(df: DataFrame, seq: Sequence, starts: str, stops: str, out: str = "stop") -> DataFrame:
     """For each row where `starts` holds, the order of the first strictly later row where `stops` holds; none, no row."""
-    later = Window.partitionBy(*seq.keys).orderBy(seq.order).rowsBetween(1, Window.unboundedFollowing)
-    found = df.withColumn(out, F.min(F.when(F.col(stops), F.col(seq.order))).over(later))
+    found = df.withColumn(out, F.min(F.when(F.col(stops), F.col(seq.order))).over(seq.later))
     return found.where(F.col(starts) & F.col(out).isNotNull())
 
 

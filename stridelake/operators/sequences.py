@@ -34,9 +34,20 @@ class Sequence:
     def so_far(self) -> WindowSpec:
         return self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    @property
+    def backwards(self) -> WindowSpec:
+        """From the end. What lies ahead of a row is taken from here, since a frame that reaches to the end is read anew for every row."""
+        return Window.partitionBy(*self.keys).orderBy(F.desc(self.order))
+
     @property
     def onwards(self) -> WindowSpec:
-        return self.window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        """This row and all later ones, the latest first."""
+        return self.backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    @property
+    def later(self) -> WindowSpec:
+        """All later rows, the latest first."""
+        return self.backwards.rowsBetween(Window.unboundedPreceding, -1)
 
     @property
     def whole(self) -> WindowSpec:
@@ -80,10 +91,10 @@ def nearest_valid_fill(
     """Rows that aren't valid take the values of the nearest valid row, the earlier of two; the fallback if there is none."""
     place = F.when(F.col(valid), F.col(seq.order))
     df = df.withColumn("_before", F.last(place, ignorenulls=True).over(seq.so_far))
-    df = df.withColumn("_after", F.first(place, ignorenulls=True).over(seq.onwards))
+    df = df.withColumn("_after", F.last(place, ignorenulls=True).over(seq.onwards))
     pack = F.when(F.col(valid), F.struct(*values))
     df = df.withColumn("_left", F.last(pack, ignorenulls=True).over(seq.so_far))
-    df = df.withColumn("_right", F.first(pack, ignorenulls=True).over(seq.onwards))
+    df = df.withColumn("_right", F.last(pack, ignorenulls=True).over(seq.onwards))
     earlier = F.col("_after").isNull() | (
         F.col(seq.order) - F.col("_before") <= F.col("_after") - F.col(seq.order)
     )
@@ -214,8 +225,7 @@ def crossings(value: str, seq: Sequence, threshold: float, up: bool, allowed: Co
 
 def next_true(mask: str, seq: Sequence, strictly: bool = False) -> Column:
     """The order of the next row where mask holds, this one included unless strictly."""
-    frame = seq.window.rowsBetween(1 if strictly else 0, Window.unboundedFollowing)
-    return F.min(F.when(F.col(mask), F.col(seq.order))).over(frame)
+    return F.min(F.when(F.col(mask), F.col(seq.order))).over(seq.later if strictly else seq.onwards)
 
 
 def monotone_bounds(df: DataFrame, seq: Sequence, value: str, rising: bool, start: str, end: str) -> DataFrame:

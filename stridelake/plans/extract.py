@@ -93,8 +93,7 @@ def _gap(event: str, part: Sequence, fps: float, until: str | None = None) -> Co
     """Seconds from a row of `event` to the next one of `until`, or from the previous of its own kind."""
     place = lambda name: F.when(F.col(name), F.col(part.order))
     if until:
-        later = part.window.rowsBetween(1, Window.unboundedFollowing)
-        gap = F.min(place(until)).over(later) - F.col(part.order)
+        gap = F.min(place(until)).over(part.later) - F.col(part.order)
     else:
         before = part.window.rowsBetween(Window.unboundedPreceding, -1)
         gap = F.col(part.order) - F.max(place(event)).over(before)
