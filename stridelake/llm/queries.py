@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridelake.llm.alignment import align_tokens
+from stridelake.llm.bytepairs import decode_documents, encode_documents
 from stridelake.llm.forest import nearest_neighbours
 from stridelake.llm.language import identify
 from stridelake.llm.licences import scan_licences
@@ -15,6 +17,7 @@ from stridelake.llm.packing import pack_documents
 from stridelake.llm.pages import extract_text
 from stridelake.llm.quality import quality_rules
 from stridelake.llm.shards import packed_shards
+from stridelake.llm.spelling import spelling_variants
 from stridelake.llm.subwords import encode_with_dropout
 from stridelake.llm.suffixes import remove_earlier_copies
 
@@ -79,6 +82,27 @@ def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = decode_documents(encode_documents(_read(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("packed_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_read(spark, sf_dir, "documents"), min_length=6, min_count=5, typo_every=199, ratio=5)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return align_tokens(_read(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_merge_dropout": op1_merge_dropout,
@@ -91,11 +115,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licences": op8_licences,
         "op9_hash_forest": op9_hash_forest,
         "op10_page_text": op10_page_text,
+        "op11_byte_bpe": op11_byte_bpe,
+        "op12_spelling": op12_spelling,
+        "op13_alignment": op13_alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL, "op6_minhash": OP6_SQL, "op9_hash_forest": OP9_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op6_minhash": OP6_SQL, "op9_hash_forest": OP9_SQL, "op12_spelling": OP12_SQL}
 
 
 OP6_SQL = r"""
@@ -177,3 +204,45 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS r FROM pairs)
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 10
 """
+
+#: Near words meet by what they are with one code point removed; crc32 goes by a table that its polynomial gives.
+OP12_SQL = r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))),
+runs AS MATERIALIZED (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS s, w FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents) WHERE length(w) >= 6),
+bytes AS (
+  SELECT w, list_transform(range(1, length(x), 2), lambda i:
+    16 * strpos('123456789ABCDEF', x[i]) + strpos('123456789ABCDEF', x[i + 1])) AS b
+  FROM (SELECT w, hex(encode(s)) AS x FROM runs)),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, b), lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM bytes, tab),
+words AS MATERIALIZED (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN w[1:(h % length(w))] || w[(h % length(w)) + 2:] ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+less AS MATERIALIZED (
+  SELECT DISTINCT word, n, i, word[1:i - 1] || word[i + 1:] AS d FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.d = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS near_n FROM near GROUP BY word),
+found AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(best.n_near, 0) AS n_near,
+    CASE WHEN best.near_n >= 5 * w.n THEN (SELECT min(x.near) FROM near x WHERE x.word = w.word AND x.near_n = best.near_n) END AS form,
+    CASE WHEN best.near_n >= 5 * w.n THEN best.near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS here, 0 AS steps FROM found
+  UNION ALL SELECT walk.word, found.form, steps + 1 FROM walk JOIN found ON found.word = walk.here WHERE found.form IS NOT NULL),
+roots AS (SELECT word, arg_max(here, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n::BIGINT AS n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM found JOIN roots USING (word)
+"""
