@@ -64,7 +64,7 @@ def rotations(v: np.ndarray, eps: float = 1e-8) -> np.ndarray:
 
 
 def pose_yaws(frames: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
-    """Frames with unwrapped yaw of pelvis, trunk and head from pose_raw, r_global and r_total, none of which may be null."""
+    """Frames with unwrapped yaw of pelvis, trunk and head in place of pose_raw, r_global and r_total, none of which may be null."""
     names = {0: "_pelvis", 9: "_trunk", 15: "_head"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +83,7 @@ def pose_yaws(frames: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, *names.values()])
 
     schema = StructType([*frames.schema.fields, *[StructField(n, DoubleType()) for n in names.values()]])
-    df = frames.mapInArrow(run, schema)
+    df = frames.mapInArrow(run, schema).drop("pose_raw", "r_global", "r_total")
     for name in names.values():
         df = S.unwrap_degrees(df, seq, name, f"{name[1:]}_yaw_pose_deg")
     return df.drop(*names.values())
@@ -102,21 +102,22 @@ def _gap(event: str, part: Sequence, fps: float, until: str | None = None) -> Co
 
 def _prepared(frames: DataFrame, fps: float, seq: Sequence) -> DataFrame:
     part = seq.within("segment_no")
-    df = frames
+    valid = F.col("valid_frame_mask")
+    angles = joint_angles() if "joints_can" in frames.columns else {}
+    # The windows below hold no arrays, only what is read of them.
+    df = frames.withColumns({f"_{n}": F.when(valid, a) for n, a in angles.items()} | ({"_neck_y": F.col("joints_can")[R.NECK]["y"]} if angles else {}))
+    df = df.drop("joints_can", "trans_can", "pose_raw", "r_global", "r_total")
     for side in ("left", "right"):
         df = df.withColumn(f"_{side}_hs", F.col(f"{side}_heel_strike") & F.col("valid_frame_mask"))
         df = df.withColumn(f"_{side}_to", F.col(f"{side}_toe_off") & F.col("valid_frame_mask"))
     df = df.withColumn("_x", F.col("root_pos_m.x")).withColumn("_y", F.col("root_pos_m.y"))
     df = df.withColumn("_moved", S.path_step("_x", "_y", "valid_frame_mask", part))
-    valid = F.col("valid_frame_mask")
     for name in ("pelvis_yaw_deg", "trunk_yaw_deg"):
         if name in df.columns:
             df = S.unwrap_degrees(df, part, name, "_u")
             df = df.withColumn(f"_{name}", F.when(valid, F.col("_u"))).drop("_u")
         else:
             df = df.withColumn(f"_{name}", F.lit(None).cast("double"))
-    for name, angle in joint_angles().items():
-        df = df.withColumn(f"_{name}", F.when(valid, angle))
     for side, foot, other in (("left", "left", "right"), ("right", "right", "left")):
         hs, to = f"_{side}_hs", f"_{side}_to"
         df = df.withColumn(f"_{side}_stride_sec", _gap(hs, part, fps))
@@ -177,7 +178,7 @@ def walk_features(frames: DataFrame, segments: DataFrame, fps: float, seq: Seque
     keys = [*seq.keys, "segment_no"]
     chosen = segments.where("label = 'walk' AND used_for_extraction")
     frames = frames.join(chosen.select(*keys), keys, "left_semi")
-    df = _prepared(frames, fps, seq).withColumn("_neck_y", F.col("joints_can")[R.NECK]["y"])
+    df = _prepared(frames, fps, seq)
     ds = (F.col("gait_phase_global") == 3) & F.col("valid_frame_mask")
     flexion = F.when(F.col("valid_frame_mask"), F.col("trunk_forward_flexion_deg"))
     roms = {f"{side}_{name}": A.robust_range(f"_{side}_{name}") for side in ("left", "right") for name in ("hip", "knee", "ankle", "arm")}

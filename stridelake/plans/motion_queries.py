@@ -22,7 +22,7 @@ from stridelake.plans import describe as D
 from stridelake.plans import extract as X
 
 from stridelake.plans.represent import MOTION
-from stridelake.sources.stages import written
+from stridelake.sources.stages import stored, written
 
 FPS = 30.0
 KEYS = list(MOTION.keys)
@@ -44,14 +44,21 @@ def _heading(t: Column) -> Column:
 
 
 def _snap(x: Column) -> Column:
-    return F.round(x * 65536.0) / 65536.0
+    # Unlike round, rint does without decimals, which took most of the time of a frame.
+    return F.rint(x * 65536.0) / 65536.0
 
 
-def scripted_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scripted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of every supplier: keys, seq, frame_index, joints_can, trans_can, pose_raw, r_global, r_total."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     counts = lines.groupBy(F.col("l_suppkey").alias("seq")).agg(F.count("*").alias("n"))
-    df = counts.select("seq", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("frame_index"))
+    names = {
+        "subset": F.concat(F.lit("S"), (F.col("seq") % 4).cast("string")), "subject_id": F.col("seq").cast("string"), "trial_id": F.lit("T1"),
+    }
+    # Dealt by sequence while a sequence is one short row; a given number of partitions is not made fewer by their size.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = counts.withColumns(names).repartition(tasks, *KEYS)
+    df = counts.select(*KEYS, "seq", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("frame_index"))
     t, v = F.col("t"), F.col("v")
     df = df.withColumn("t", F.col("frame_index") / 30.0).withColumn("sits", F.col("seq") % 3 != 0)
     df = df.withColumn("v", 0.7 + 0.1 * (F.col("seq") % 4)).withColumn("h", _heading(t))
@@ -97,9 +104,7 @@ def scripted_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     pose = F.array(*[turn.get(k // 3, zero) if k % 3 == 2 else zero for k in range(72)])
     one = V.packed_matrix(V.identity())
     return df.select(
-        F.concat(F.lit("S"), (F.col("seq") % 4).cast("string")).alias("subset"),
-        F.col("seq").cast("string").alias("subject_id"),
-        F.lit("T1").alias("trial_id"),
+        *KEYS,
         "frame_index",
         F.array(*[joints[k] for k in range(24)]).alias("joints_can"),
         root.alias("trans_can"),
@@ -109,8 +114,23 @@ def scripted_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(name: str, make: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that make gives, stored once per application and folder, as stages read each other's tables."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = stored(make(spark, sf_dir), name)
+    return _TABLES[key]
+
+
+def scripted_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once("motion", _scripted, spark, sf_dir)
+
+
 def represented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(represent.represent(scripted_motion(spark, sf_dir), FPS))
+    return _once("represented", lambda s, d: represent.represent(scripted_motion(s, d), FPS, carry=False), spark, sf_dir)
 
 
 # SQL ------------------------------------------------------------------------
@@ -268,7 +288,7 @@ _KINEMATICS = {
 
 @query(f"SELECT {_NAMES}, frame_index, {_round(_KINEMATICS, 4)} FROM rep")
 def represent_kinematics(spark, sf_dir):
-    df = represent.represent(scripted_motion(spark, sf_dir), FPS)
+    df = represent.represent(scripted_motion(spark, sf_dir), FPS, carry=False)
     moved = {
         "root_x": "root_pos_m.x", "root_y": "root_pos_m.y", "velocity_x": "root_velocity_mps.x", "velocity_y": "root_velocity_mps.y",
         **{f"acceleration_{c}": f"root_acceleration_mps2.{c}" for c in "xyz"},
@@ -281,7 +301,7 @@ _HEADING = {"heading_unwrapped_deg": "turned", "yaw_rate_deg_s": "yaw_rate", "ya
 
 @query(f"SELECT {_NAMES}, frame_index, true AS heading_source_valid, {_round(_HEADING, 3)} FROM rep")
 def represent_heading(spark, sf_dir):
-    df = represent.represent(scripted_motion(spark, sf_dir), FPS)
+    df = represent.represent(scripted_motion(spark, sf_dir), FPS, carry=False)
     df = df.withColumns({"heading_x": F.col("heading_axis.x"), "heading_y": F.col("heading_axis.y")})
     return df.select(*KEYS, "frame_index", "heading_source_valid", *rounded(df, {n: n for n in _HEADING}, 3))
 
@@ -295,7 +315,7 @@ _POSTURE = {
 
 @query(f"SELECT {_NAMES}, frame_index, {_round(_POSTURE, 3)} FROM rep")
 def represent_posture(spark, sf_dir):
-    df = represent.represent(scripted_motion(spark, sf_dir), FPS)
+    df = represent.represent(scripted_motion(spark, sf_dir), FPS, carry=False)
     wave = {
         "trunk_yaw_sin": F.sin(F.radians("trunk_yaw_deg")), "pelvis_yaw_sin": F.sin(F.radians("pelvis_yaw_deg")),
         "pelvis_yaw_cos": F.cos(F.radians("pelvis_yaw_deg")),
@@ -308,7 +328,7 @@ def represent_posture(spark, sf_dir):
 l_on AS left_foot_contact, r_on AS right_foot_contact, l_hs AS left_heel_strike, r_hs AS right_heel_strike, l_to AS left_toe_off, r_to AS right_toe_off,
 l_on::INT AS left_gait_phase, r_on::INT AS right_gait_phase, phase AS gait_phase_global FROM rep""")
 def represent_contacts(spark, sf_dir):
-    df = represent.represent(scripted_motion(spark, sf_dir), FPS)
+    df = represent.represent(scripted_motion(spark, sf_dir), FPS, carry=False)
     names = [f"{s}_{n}" for n in ("foot_contact", "heel_strike", "toe_off", "gait_phase") for s in ("left", "right")]
     return df.select(
         *KEYS, "frame_index", F.round("floor_z", 6).alias("floor_z"),
@@ -319,7 +339,7 @@ def represent_contacts(spark, sf_dir):
 @query(f"""SELECT {_NAMES}, frame_index, false AS joint_nan_mask, outlier AS velocity_outlier_mask, valid AS valid_frame_mask,
 round(l_sure, 4) AS left_confidence, round(r_sure, 4) AS right_confidence, round(score, 4) AS representation_quality_score FROM rep""")
 def represent_quality(spark, sf_dir):
-    df = represent.represent(scripted_motion(spark, sf_dir), FPS)
+    df = represent.represent(scripted_motion(spark, sf_dir), FPS, carry=False)
     return df.select(
         *KEYS, "frame_index", "joint_nan_mask", "velocity_outlier_mask", "valid_frame_mask",
         F.round(F.col("contact_confidence")[0], 4).alias("left_confidence"), F.round(F.col("contact_confidence")[1], 4).alias("right_confidence"),
@@ -620,13 +640,20 @@ def _segmented(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return frames, written(segment.segments(frames, FPS))
 
 
+def _with_motion(frames: DataFrame, columns: list[str], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """frames with columns of the motion they were made of."""
+    place = [*KEYS, "frame_index"]
+    return frames.join(scripted_motion(spark, sf_dir).select(*place, *columns), place)
+
+
 def _walks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.walk_features(*_segmented(spark, sf_dir), FPS)
+    frames, found = _segmented(spark, sf_dir)
+    return X.walk_features(_with_motion(frames, ["joints_can"], spark, sf_dir), found, FPS)
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames, found = _segmented(spark, sf_dir)
-    return X.turn_features(X.pose_yaws(frames), found, FPS)
+    return X.turn_features(X.pose_yaws(_with_motion(frames, ["pose_raw", "r_global", "r_total"], spark, sf_dir)), found, FPS)
 
 
 def _feature_rows(df: DataFrame, names: list[str], kind: str) -> DataFrame:

@@ -90,17 +90,36 @@ def _contacts(df: DataFrame, seq: Sequence, side: str, support: str, fps: float,
     return df.withColumn(f"{side}_contact_confidence", confidence).drop("_speed", "_clear")
 
 
-def represent(canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig()) -> DataFrame:
+def represent(
+    canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig(), carry: bool = True
+) -> DataFrame:
     """One row per frame with every signal of the frame contract.
 
     canonical: keys, frame_index, joints_can (array of 24 structs x, y, z),
     trans_can (struct), and, where pelvis angles are wanted, pose_raw (array of 72)
     with r_global and r_total (3 x 3 arrays). All windows share one partitioning by
-    sequence. Sequences of other rates are handled by another call.
+    sequence and hold only the few points they read; the other columns of canonical
+    are joined again by sequence and frame, of which each must be unique, or left
+    out (carry=False). Sequences of other rates are handled by another call.
     """
-    df = canonical.withColumn("time_s", F.col("frame_index") / fps)
-    df = df.withColumn("root_pos_m", F.col("joints_can")[PELVIS])
-    df = df.withColumn("left_foot_pos_m", F.col("joints_can")[LEFT_FOOT]).withColumn("right_foot_pos_m", F.col("joints_can")[RIGHT_FOOT])
+    point = lambda k: V.joint("joints_can", k)
+    at = lambda k: F.col("joints_can")[k]
+    bad = F.exists("joints_can", lambda p: ~F.coalesce(F.abs(p["x"] + p["y"] + p["z"]) < float("inf"), F.lit(False)))
+    shoulders = V.minus(point(LEFT_SHOULDER), point(RIGHT_SHOULDER))
+    columns = {
+        "time_s": F.col(seq.order) / fps, "root_pos_m": at(PELVIS), "left_foot_pos_m": at(LEFT_FOOT), "right_foot_pos_m": at(RIGHT_FOOT),
+        "_across": V.packed(V.plus(V.minus(point(LEFT_HIP), point(RIGHT_HIP)), shoulders)),
+        "_trunk_raw": V.packed(V.minus(point(NECK), point(PELVIS))), "_shoulders": V.packed(shoulders),
+        "joint_nan_mask": F.coalesce(bad, F.lit(True)),
+    }
+    for side, foot, ankle in (("left", LEFT_FOOT, LEFT_ANKLE), ("right", RIGHT_FOOT, RIGHT_ANKLE)):
+        columns[f"_{side}_support"] = F.when(point(foot)[2] <= point(ankle)[2], at(foot)).otherwise(at(ankle))
+    if {"pose_raw", "r_global", "r_total"} <= set(canonical.columns):
+        pose = tuple(F.col("pose_raw")[k].cast("double") for k in range(3))
+        root = V.product(V.product(V.matrix_column("r_global"), V.matrix_column("r_total")), V.axis_angle_matrix(pose))
+        columns |= {f"pelvis_{name}_deg": angle for name, angle in zip(("roll", "pitch", "yaw"), V.euler_zyx_degrees(root), strict=True)}
+    place = [*seq.keys, seq.order]
+    df = canonical.select(*place, *[column.alias(name) for name, column in columns.items()])
     df = _difference(df, seq, V.unpacked("root_pos_m"), fps, "root_velocity_mps")
     df = _difference(df, seq, V.unpacked("root_velocity_mps"), fps, "root_acceleration_mps2")
     root_v = V.unpacked("root_velocity_mps")
@@ -111,10 +130,7 @@ def represent(canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: Rep
         df = df.withColumn(f"{side}_foot_speed_mps", V.norm(V.unpacked(f"{side}_foot_velocity_mps")))
         df = df.withColumn(f"{side}_foot_height_m", F.col(f"{side}_foot_pos_m.z"))
 
-    point = lambda k: V.joint("joints_can", k)
-    left = V.plus(V.minus(point(LEFT_HIP), point(RIGHT_HIP)), V.minus(point(LEFT_SHOULDER), point(RIGHT_SHOULDER)))
-    trunk_raw = V.minus(point(NECK), point(PELVIS))
-    body, body_ok = V.normalized(V.horizontal(V.cross(left, trunk_raw)), cfg.heading_min_norm)
+    body, body_ok = V.normalized(V.horizontal(V.cross(V.unpacked("_across"), V.unpacked("_trunk_raw"))), cfg.heading_min_norm)
     motion, motion_ok = V.normalized(V.horizontal(root_v), cfg.heading_min_speed)
     df = df.withColumn("heading_source_valid", body_ok | motion_ok)
     axis = V.chosen(~body_ok & motion_ok, motion, body)
@@ -124,16 +140,8 @@ def represent(canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: Rep
     df = df.withColumn("yaw_rate_deg_s", S.finite_difference("heading_unwrapped_deg", seq, fps))
     df = df.withColumn("yaw_acceleration_deg_s2", S.finite_difference("yaw_rate_deg_s", seq, fps))
 
-    df = _trunk(df, seq, trunk_raw, point)
-    if {"pose_raw", "r_global", "r_total"} <= set(df.columns):
-        pose = tuple(F.col("pose_raw")[k].cast("double") for k in range(3))
-        root = V.product(V.product(V.matrix_column("r_global"), V.matrix_column("r_total")), V.axis_angle_matrix(pose))
-        for name, angle in zip(("roll", "pitch", "yaw"), V.euler_zyx_degrees(root), strict=True):
-            df = df.withColumn(f"pelvis_{name}_deg", angle)
+    df = _trunk(df, seq)
 
-    for side, foot, ankle in (("left", LEFT_FOOT, LEFT_ANKLE), ("right", RIGHT_FOOT, RIGHT_ANKLE)):
-        lower = point(foot)[2] <= point(ankle)[2]
-        df = df.withColumn(f"_{side}_support", F.when(lower, F.col("joints_can")[foot]).otherwise(F.col("joints_can")[ankle]))
     # The floor is a percentile over both feet's supports: each frame gives an array of two, flattened per sequence.
     floors = df.select(*seq.keys, F.explode(F.array("_left_support.z", "_right_support.z")).alias("_z")).groupBy(*seq.keys).agg(
         F.percentile("_z", cfg.floor_percentile).alias("floor_z")
@@ -143,11 +151,14 @@ def represent(canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: Rep
         df = _contacts(df, seq, side, f"_{side}_support", fps, cfg)
     df = df.withColumn("gait_phase_global", F.col("left_gait_phase") + 2 * F.col("right_gait_phase"))
     df = df.withColumn("contact_confidence", F.array("left_contact_confidence", "right_contact_confidence"))
-    return _quality(df, cfg).drop("_left_support", "_right_support", "left_contact_confidence", "right_contact_confidence")
+    temporary = ["_across", "_trunk_raw", "_shoulders", "_left_support", "_right_support", "left_contact_confidence", "right_contact_confidence"]
+    df = _quality(df, cfg).drop(*temporary)
+    rest = [c for c in canonical.columns if c not in df.columns]
+    return df.join(canonical.select(*place, *rest), place) if carry and rest else df
 
 
-def _trunk(df: DataFrame, seq: Sequence, trunk_raw: V.Vector, point) -> DataFrame:
-    trunk, _ = V.normalized(trunk_raw)
+def _trunk(df: DataFrame, seq: Sequence) -> DataFrame:
+    trunk, _ = V.normalized(V.unpacked("_trunk_raw"))
     df = df.withColumn("_trunk", V.packed(trunk))
     trunk, heading = V.unpacked("_trunk"), V.unpacked("heading_axis")
     up = clip(trunk[2], -1.0, 1.0)
@@ -155,7 +166,7 @@ def _trunk(df: DataFrame, seq: Sequence, trunk_raw: V.Vector, point) -> DataFram
     df = df.withColumn("trunk_forward_flexion_deg", F.degrees(F.atan2(V.dot(trunk, heading), up)))
     df = df.withColumn("trunk_lateral_lean_deg", F.degrees(F.atan2(V.dot(trunk, heading_left), up)))
     df = df.withColumn("trunk_lean_angle_deg", F.degrees(F.acos(up)))
-    raw = V.minus(point(LEFT_SHOULDER), point(RIGHT_SHOULDER))
+    raw = V.unpacked("_shoulders")
     left, ok = V.normalized(V.minus(raw, V.scaled(trunk, V.dot(raw, trunk))))
     df = _filled(df, seq, left, ok, "_left", [0.0, 1.0, 0.0])
     forward, ok = V.normalized(V.cross(V.unpacked("_left"), trunk))
@@ -169,8 +180,6 @@ def _trunk(df: DataFrame, seq: Sequence, trunk_raw: V.Vector, point) -> DataFram
 
 
 def _quality(df: DataFrame, cfg: RepresentConfig) -> DataFrame:
-    bad = F.exists("joints_can", lambda p: ~F.coalesce(F.abs(p["x"] + p["y"] + p["z"]) < float("inf"), F.lit(False)))
-    df = df.withColumn("joint_nan_mask", F.coalesce(bad, F.lit(True)))
     signals = [
         "heading_deg", "heading_unwrapped_deg", "yaw_rate_deg_s", "yaw_acceleration_deg_s2", "left_foot_contact_prob",
         "right_foot_contact_prob", "trunk_forward_flexion_deg", "trunk_lateral_lean_deg", "trunk_lean_angle_deg",

@@ -3,8 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a temporary folder where that is unset, which only a local master may do without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp")).rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table of its own in the shared folder, of which readers take the columns they need. It stays there."""
+    path = f"{shared_folder(df.sparkSession)}/stages/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -14,8 +30,5 @@ def written(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
