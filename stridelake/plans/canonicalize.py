@@ -170,11 +170,9 @@ def solve_transforms(
     )
 
 
-def canonicalize(
-    frames: DataFrame, fps: float, targets: dict[str, float] | None = None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
-) -> DataFrame:
-    """frames with joints_can and trans_can, s R p + t of joints_3d and trans_canonical, and the transform's columns."""
-    df = frames.join(solve_transforms(frames, fps, targets, seq, cfg), list(seq.keys))
+def transformed(frames: DataFrame, transforms: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
+    """frames with joints_can and trans_can, s R p + t of joints_3d and trans_canonical, and the columns of solve_transforms()."""
+    df = frames.join(transforms, list(seq.keys))
     r, t, s = V.matrix_column("r_global"), V.unpacked("t_global"), F.col("s_global")
 
     def moved(p: Column) -> Column:
@@ -183,6 +181,13 @@ def canonicalize(
     return df.withColumn("joints_can", F.transform("joints_3d", moved)).withColumn("trans_can", moved(F.col("trans_canonical")))
 
 
+def canonicalize(
+    frames: DataFrame, fps: float, targets: dict[str, float] | None = None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
+) -> DataFrame:
+    """frames as transformed() by what solve_transforms() finds."""
+    return transformed(frames, solve_transforms(frames, fps, targets, seq, cfg), seq)
+
+
 def facing_angle(frames: DataFrame, seq: Sequence = R.MOTION, joints: str = "joints_can") -> DataFrame:
     """Angle of the body to +X on the first frame of each sequence."""
     point = lambda k: V.joint(joints, k)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import motion
 from stridelake.plans import batch
 from stridelake.sources import checks, loaders
+from stridelake.sources.store import StageStore
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,57 @@ def test_features_and_description(stages):
     assert {r["reason"] for r in cover.collect()} == {"ok"}
 
 
+def raw_of(spark, rows):
+    """Motion in raw axes with y up, as it may come."""
+    turn = lambda p: F.struct(p["y"].alias("x"), p["z"].alias("y"), p["x"].alias("z"))
+    df = spark.createDataFrame(rows, motion.SCHEMA)
+    keys = ["subset", "subject_id", "trial_id", "frame_index"]
+    return df.select(*keys, F.transform("joints_can", turn).alias("joints_raw"), turn(F.col("trans_can")).alias("trans_raw"))
+
+
+def test_from_raw_frames_with_faults_and_again(spark, tmp_path):
+    rows = motion.rows("walk", motion.walk()) + motion.rows("turn", motion.walk_turn_walk()) + motion.rows("short", motion.walk(2.0))
+    gap = [r for r in motion.rows("gap", motion.walk()) if r[3] != 40]
+    nan = [(*r[:4], [(math.nan, 0.0, 0.0), *r[4][1:]], r[5]) if r[3] == 7 else r for r in motion.rows("nan", motion.walk())]
+    raw, folder = raw_of(spark, rows + gap + nan), str(tmp_path / "runs")
+    first = batch.run_raw(spark, raw, folder, motion.FPS)
+    assert set(first) == set(batch.RAW_STAGES)
+    status = {r["trial_id"]: r for r in first["status"].collect()}
+    assert {k: r["reason"] for k, r in status.items()} == {
+        "walk": "ok", "turn": "ok", "short": "duration_lt_3s", "gap": "frames must count from 0 without gaps", "nan": "joints are not finite",
+    }
+    assert status["walk"]["status"] == "described" and status["turn"]["turn_count"] == 1
+    assert status["walk"]["stages"].asDict() == {"input": "ok", "segmentation": "ok", "walk": "ok", "turn": "none", "description": "ok"}
+    assert set(status["gap"]["stages"][1:]) == {"not_run"}
+    speed = first["walk"].where("trial_id = 'walk'").first()["gait_speed_mps"]
+    assert speed == pytest.approx(1.0, abs=0.05)
+
+    # The second run mends one sequence and passes by those that were sound, whose rows stay.
+    mended = raw_of(spark, motion.rows("gap", motion.walk()) + motion.rows("walk", motion.walk(4.0)))
+    second = batch.run_raw(spark, mended, folder, motion.FPS, skip=True)
+    assert [r["trial_id"] for r in second["status"].collect()] == ["gap"]
+    store = StageStore(spark, folder, ("subset", "subject_id", "trial_id"))
+    counts = {r["trial_id"]: r["n"] for r in store.current("frames").groupBy("trial_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"walk": 180, "turn": 240, "gap": 180}
+    assert store.latest().where("reason = 'ok'").count() == 3 and store.latest().count() == 5
+
+    # A run that ends before its status changes nothing; one that doesn't replaces just what it is about.
+    store = StageStore(spark, folder, ("subset", "subject_id", "trial_id"))
+    assert store.run.startswith("00000003-")
+    store.put("frames", store.current("frames").where("trial_id = 'turn'").limit(1))
+    assert store.current("frames").where("trial_id = 'turn'").count() == 240
+    store.put("status", store.current("status").where("trial_id = 'turn'").drop("run"))
+    counts = {r["trial_id"]: r["n"] for r in store.current("frames").groupBy("trial_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"walk": 180, "turn": 1, "gap": 180}
+
+
+def test_a_store_without_rows(spark, tmp_path):
+    store = StageStore(spark, str(tmp_path / "none"), ("subset", "subject_id", "trial_id"))
+    assert store.latest() is None and store.current("frames") is None
+    empty = store.put("frames", spark.createDataFrame([], "subset string, subject_id string, trial_id string, x int"))
+    assert empty.count() == 0 and empty.columns == ["subset", "subject_id", "trial_id", "x"]
+
+
 def test_payload_has_no_numbers_that_json_lacks(spark):
     df = spark.createDataFrame([(1, math.nan, ([math.inf, 2.0],), {"k": -math.inf})], "id int, x double, s struct<v: array<double>>, m map<string, double>")
     assert loaders.as_json(df, ["id"]).first()["payload"] == '{"x":null,"s":{"v":[null,2.0]},"m":{"k":null}}'
