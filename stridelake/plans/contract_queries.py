@@ -14,7 +14,7 @@ from stridelake.operators import tables
 from stridelake.plans import canonicalize as C
 from stridelake.plans import catalog, represent, segment
 from stridelake.plans import motion_queries as M
-from stridelake.sources import checks, loaders
+from stridelake.sources import checks, joined, loaders
 from stridelake.sources import tables as raw_tables
 from stridelake.sources.stages import written
 
@@ -111,6 +111,43 @@ def stage_alignment(spark, sf_dir):
     return checks.stage_alignment(stages, ["c_custkey"])
 
 
+_STAGES = ["canonical", "represented", "segments", "description"]
+
+
+@query("""WITH k AS (SELECT c_custkey AS k, c_custkey % 17 <> 0 AS a, c_custkey % 5 <> 0 AS b, c_custkey % 11 <> 0 AS c, c_custkey % 3 <> 0 AS d FROM customer)
+SELECT k AS c_custkey, concat_ws(',', CASE WHEN a THEN 'canonical' END, CASE WHEN b THEN 'represented' END, CASE WHEN c THEN 'segments' END, CASE WHEN d THEN 'description' END) AS present,
+concat_ws(',', CASE WHEN NOT a THEN 'canonical:' || CASE WHEN k % 2 = 0 THEN 'duration_lt_3s' ELSE 'absent' END END, CASE WHEN NOT b THEN 'represented:absent' END,
+  CASE WHEN NOT c THEN 'segments:' || CASE WHEN k % 4 = 0 THEN 'a first' WHEN k % 2 = 0 THEN 'a second' ELSE 'absent' END END, CASE WHEN NOT d THEN 'description:absent' END) AS missing,
+CASE WHEN NOT a THEN 'missing in canonical' WHEN NOT b THEN 'missing in represented' WHEN NOT c THEN 'missing in segments' WHEN NOT d THEN 'missing in description'
+  WHEN k % 23 = 0 THEN 'repeated in segments' WHEN k % 7 = 0 THEN 'frame count differs in represented' WHEN k % 13 = 0 THEN 'frame count differs in segments'
+  WHEN k % 19 = 0 THEN 'rate differs in represented' ELSE 'ok' END AS reason,
+CASE WHEN a THEN 100 + k % 50 END AS frames, CASE WHEN b AND k % 19 = 0 THEN 30.5 WHEN b THEN 30.0 END AS rate, CASE WHEN d THEN 'text ' || k END AS text
+FROM k WHERE a OR b OR c OR d""")
+def joined_stages(spark, sf_dir):
+    key = F.col("c_custkey")
+    df = catalog.read(spark, sf_dir, "customer").select("c_custkey")
+    frames = F.lit(100) + key % 50
+    found = df.where(key % 11 != 0).select("c_custkey", (frames - F.when(key % 13 == 0, 1).otherwise(0)).alias("frame_count"))
+    stages = {
+        "canonical": df.where(key % 17 != 0).select("c_custkey", frames.alias("frame_count"), F.lit(30.0).alias("fps")),
+        "represented": df.where(key % 5 != 0).select(
+            "c_custkey", (frames + F.when(key % 7 == 0, 1).otherwise(0)).alias("frame_count"), (30 + F.when(key % 19 == 0, 0.5).otherwise(0.0)).alias("fps")
+        ),
+        "segments": found.union(found.where(key % 23 == 0)),
+        "description": df.where(key % 3 != 0).select("c_custkey", F.concat(F.lit("text "), key.cast("string")).alias("text_summary_zh")),
+    }
+    why = df.where(key % 2 == 0).select("c_custkey", F.lit("canonical").alias("stage"), F.lit("duration_lt_3s").alias("reason"))
+    for text, n in (("a second", 2), ("a first", 4)):
+        why = why.union(df.where(key % n == 0).select("c_custkey", F.lit("segments"), F.lit(text)))
+    known = {"canonical": ["frame_count", "fps"], "description": ["text_summary_zh"]}
+    out = joined.merge_stages(stages, ["c_custkey"], known, why)
+    missing = F.array_compact(F.array(*[F.concat(F.lit(f"{n}:"), F.col("missing")[n]) for n in _STAGES]))
+    return out.select(
+        "c_custkey", F.array_join("present", ",").alias("present"), F.array_join(missing, ",").alias("missing"), "reason",
+        F.col("canonical.frame_count").alias("frames"), F.col("represented.fps").alias("rate"), F.col("description.text_summary_zh").alias("text"),
+    )
+
+
 @query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'rotation is missing' WHEN 1 THEN 'rotation must have shape (3, 3)' WHEN 2 THEN 'rotation is not finite'
 WHEN 3 THEN 'rotation is not orthonormal' WHEN 4 THEN 'rotation must have determinant 1' ELSE 'ok' END AS reason FROM customer""")
 def rotation_failures(spark, sf_dir):
