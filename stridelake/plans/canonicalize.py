@@ -12,6 +12,7 @@ from stridelake.functions.scalars import clip, frames_of, safe_divide
 from stridelake.operators import aggregates as A
 from stridelake.operators.sequences import Sequence
 from stridelake.plans import represent as R
+from stridelake.sources.stages import written
 
 # The joints that can carry weight, in the order that decides ties, and the bones that give the scale.
 SUPPORTS = [("left_foot", R.LEFT_FOOT), ("left_ankle", R.LEFT_ANKLE), ("right_foot", R.RIGHT_FOOT), ("right_ankle", R.RIGHT_ANKLE)]
@@ -86,7 +87,7 @@ def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -
     df = df.withColumn("_p", F.get("_points", low["place"])).withColumn("_z", F.col("_p.z"))
     stride = frames_of(cfg.support_window_sec, fps)
     cloud = A.lowest_per_window(df, list(seq.keys), seq.order, "_z", stride, cfg.low_share)
-    cloud = cloud.select(*seq.keys, F.col("_p.x").alias("x"), F.col("_p.y").alias("y"), F.col("_z").alias("z"))
+    cloud = written(cloud.select(*seq.keys, F.col("_p.x").alias("x"), F.col("_p.y").alias("y"), F.col("_z").alias("z")))
     a, b, c, _ = A.plane_fit("x", "y", "z")
     plane = cloud.groupBy(*seq.keys).agg(a.alias("a"), b.alias("b"), c.alias("c"), F.count("*").alias("n"))
     residual = F.median(F.abs(F.col("z") - (F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c"))))
@@ -149,15 +150,16 @@ def solve_transforms(
     scaled to one.
     """
     keys = list(seq.keys)
-    solved = body_frames(frames, seq, cfg).join(scales(frames, seq, cfg, targets), keys)
+    # Each step ends in a table of a row per sequence: one plan of all would hold the sorts of every join at once in each task.
+    solved = written(body_frames(frames, seq, cfg).join(scales(frames, seq, cfg, targets), keys))
     solved = solved.join(floors(frames.join(solved, keys), fps, seq, cfg), keys)
     level = V.product(V.matrix_column("r_floor"), V.matrix_column("r_body"))
-    solved = solved.withColumn("_level", V.packed_matrix(level))
+    solved = written(solved.withColumn("_level", V.packed_matrix(level)))
     here = frames.join(solved, keys)
     x, y, _ = _rotated("_level", V.unpacked("trans_canonical"), "s_global")
-    roots = here.select(*keys, seq.order, "r_floor", x.alias("_x"), y.alias("_y"))
+    roots = written(here.select(*keys, seq.order, "r_floor", x.alias("_x"), y.alias("_y")))
     solved = solved.join(yaws(roots, seq, cfg), keys)
-    solved = solved.withColumn("r_global", V.packed_matrix(V.product(V.matrix_column("r_yaw"), V.matrix_column("_level"))))
+    solved = written(solved.withColumn("r_global", V.packed_matrix(V.product(V.matrix_column("r_yaw"), V.matrix_column("_level")))))
     here = frames.join(solved, keys)
     root = V.packed(_rotated("r_global", V.unpacked("trans_canonical"), "s_global"))
     heights = F.array(*[_rotated("r_global", V.joint("joints_3d", k), "s_global")[2] for _, k in SUPPORTS])
