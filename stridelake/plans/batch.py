@@ -95,7 +95,7 @@ def run_raw(
     folder: str,
     fps: float,
     seq: Sequence = MOTION,
-    targets: dict[str, float] | None = None,
+    targets: dict[str, float] | DataFrame | None = None,
     least_sec: float = 3.0,
     done: DataFrame | None = None,
     skip: bool = False,
@@ -122,7 +122,7 @@ def run_raw(
     carried = [c for c in POSE if c in moved.columns]
     moved = store.put("canonical", moved.select(*keys, seq.order, "joints_can", "trans_can", *carried))
     whole = F.bool_and(checks.finite_points("joints_can")).alias("_whole")
-    notes = transforms.select(*keys, "tilt_before_deg", "floor_reason", "yaw_reason").join(semantics.select(*keys, "warnings"), keys, "left")
+    notes = transforms.select(*keys, "tilt_before_deg", "floor_reason", "yaw_reason", "scale_reason").join(semantics.select(*keys, "warnings"), keys, "left")
     verdict = verdict.join(moved.groupBy(*keys).agg(whole), keys, "left").join(notes, keys, "left")
     lost = F.col("reason").eqNullSafe("ok") & ~F.coalesce("_whole", F.lit(False))
     reason = F.when(lost, first_failure([("transform is not finite", lost)])).otherwise(F.col("reason"))

@@ -64,19 +64,54 @@ def body_frames(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig) -> DataF
     return mids.select(*seq.keys, V.packed_matrix((forward, left, up)).alias("r_body"))
 
 
-def scales(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig, targets: dict[str, float] | None) -> DataFrame:
-    """Per sequence s_global: the median ratio of target to observed bone lengths, 1 with too few bones or no targets."""
-    if not targets:
-        return frames.select(*seq.keys).distinct().withColumn("s_global", F.lit(1.0))
+def scale_fit(
+    frames: DataFrame, targets: dict[str, float] | DataFrame | None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
+) -> DataFrame:
+    """Per sequence the scale that brings its bones to their targets: s_global and how it came about.
+
+    targets: lengths by names in BONES, or a table of bone and length, which may hold
+    some of the keys besides and then counts for these alone. A bone's length is the
+    median over frames where it is finite and positive; its ratio, target by length,
+    counts if it is finite and positive. scale_raw is the median of the ratios,
+    s_global that within bounds; scale_flag is ok, clipped, or, as scale_reason is
+    then, insufficient_valid_bones, with s_global 1. bones maps each bone asked for to
+    its target, length and ratio. Of repeated targets the least counts. Without
+    targets s_global is 1 and all else null.
+    """
+    keys = list(seq.keys)
     point = lambda k: V.joint("joints_3d", k)
-    lengths = [F.median(V.norm(V.minus(point(b), point(a)))).alias(n) for n, (a, b) in BONES.items() if n in targets]
-    seen = frames.groupBy(*seq.keys).agg(*lengths)
-    ratios = F.array_compact(F.array(*[F.when(F.col(n) > 1e-6, F.lit(float(targets[n])) / F.col(n)) for n in BONES if n in targets]))
-    seen = seen.withColumn("_ratios", F.sort_array(ratios))
+    sound = lambda c: F.when((c > 1e-6) & (c < float("inf")), c)
+    if targets is None or isinstance(targets, dict):
+        names = [n for n in BONES if n in (targets or {})]
+    else:
+        names = list(BONES)
+    lengths = [F.median(sound(V.norm(V.minus(point(b), point(a))))).alias(f"_seen_{n}") for n, (a, b) in BONES.items() if n in names]
+    seen = frames.groupBy(*keys).agg(F.count("*").alias("_frames"), *lengths)
+    if isinstance(targets, DataFrame):
+        own = [k for k in keys if k in targets.columns]
+        wide = targets.groupBy(*own).pivot("bone", names).agg(F.min("length")).withColumnsRenamed({n: f"_aim_{n}" for n in names})
+        # A table without keys becomes a single row.
+        seen = seen.join(wide, own, "left") if own else seen.withColumn("_one", F.lit(1)).join(F.broadcast(wide.withColumn("_one", F.lit(1))), "_one", "left")
+    else:
+        seen = seen.withColumns({f"_aim_{n}": F.lit(float(targets[n])) for n in names}) if names else seen
+    entries = []
+    for n in names:
+        aim, length = F.col(f"_aim_{n}").cast("double"), F.col(f"_seen_{n}")
+        entries += [F.lit(n), F.struct(aim.alias("target"), length.alias("length"), sound(aim / length).alias("ratio"))]
+    shape = "map<string, struct<target: double, length: double, ratio: double>>"
+    seen = seen.withColumn("bones", F.create_map(*entries) if entries else F.lit(None).cast(shape))
+    seen = seen.withColumn("_ratios", F.sort_array(F.filter(F.transform(F.map_values("bones"), lambda b: b["ratio"]), lambda r: r.isNotNull())))
     n = F.size("_ratios")
     low, high = F.get("_ratios", F.floor((n - 1) / 2).cast("int")), F.get("_ratios", F.floor(n / 2).cast("int"))
-    scale = F.when(n >= cfg.min_bones, clip((low + high) / 2, cfg.scale_low, cfg.scale_high)).otherwise(F.lit(1.0))
-    return seen.select(*seq.keys, scale.alias("s_global"))
+    enough = n >= min(max(cfg.min_bones, 1), max(len(names), 1))
+    seen = seen.withColumn("scale_raw", F.when(enough, (low + high) / 2))
+    kept = clip("scale_raw", cfg.scale_low, cfg.scale_high)
+    flag = F.when(~enough, "insufficient_valid_bones").when(F.abs(kept - F.col("scale_raw")) > 1e-8 + 1e-5 * F.abs("scale_raw"), "clipped")
+    asked = F.col("bones").isNotNull()
+    return seen.select(
+        *keys, F.coalesce(kept, F.lit(1.0)).alias("s_global"), "scale_raw", F.when(asked, F.coalesce(flag, F.lit("ok"))).alias("scale_flag"),
+        F.when(asked & ~enough, "insufficient_valid_bones").alias("scale_reason"), F.when(asked, n).alias("bone_count_valid"), "bones",
+    )
 
 
 def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
@@ -141,17 +176,18 @@ def yaws(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
 
 
 def solve_transforms(
-    frames: DataFrame, fps: float, targets: dict[str, float] | None = None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
+    frames: DataFrame, fps: float, targets: dict[str, float] | DataFrame | None = None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
 ) -> DataFrame:
     """One row per sequence: r_global, s_global, t_global and how they came about.
 
     frames: keys, frame_index, joints_3d (array of 24 structs) and trans_canonical
-    (struct). targets: bone lengths of the model by name in BONES, if it should be
-    scaled to one.
+    (struct). targets: bone lengths of the model, as scale_fit() takes them, if it
+    should be scaled to one.
     """
     keys = list(seq.keys)
     # Each step ends in a table of a row per sequence: one plan of all would hold the sorts of every join at once in each task.
-    solved = written(body_frames(frames, seq, cfg).join(scales(frames, seq, cfg, targets), keys))
+    fitted = scale_fit(frames, targets, seq, cfg).select(*keys, "s_global", "scale_flag", "scale_reason")
+    solved = written(body_frames(frames, seq, cfg).join(fitted, keys))
     solved = solved.join(floors(frames.join(solved, keys), fps, seq, cfg), keys)
     level = V.product(V.matrix_column("r_floor"), V.matrix_column("r_body"))
     solved = written(solved.withColumn("_level", V.packed_matrix(level)))
@@ -168,8 +204,9 @@ def solve_transforms(
     solved = solved.join(first, keys).join(ground, keys)
     t = F.struct((-F.col("_root.x")).alias("x"), (-F.col("_root.y")).alias("y"), (-F.col("_ground")).alias("z"))
     return solved.select(
-        *keys, "r_global", "s_global", t.alias("t_global"), "r_body", "r_floor", "r_yaw", "tilt_before_deg", "floor_reason", "yaw_reason"
-    )
+        *keys, "r_global", "s_global", t.alias("t_global"), "r_body", "r_floor", "r_yaw", "tilt_before_deg", "floor_reason", "yaw_reason",
+        "scale_flag", "scale_reason",
+    )
 
 
 def transformed(frames: DataFrame, transforms: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
@@ -184,7 +221,7 @@ def transformed(frames: DataFrame, transforms: DataFrame, seq: Sequence = R.MOTI
 
 
 def canonicalize(
-    frames: DataFrame, fps: float, targets: dict[str, float] | None = None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
+    frames: DataFrame, fps: float, targets: dict[str, float] | DataFrame | None = None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
 ) -> DataFrame:
     """frames as transformed() by what solve_transforms() finds."""
     return transformed(frames, solve_transforms(frames, fps, targets, seq, cfg), seq)

@@ -4,18 +4,23 @@ import pytest
 from pyspark.sql import functions as F
 
 import motion
-from stridelake.plans import batch
+from stridelake.plans import batch, record
 from stridelake.sources import checks, loaders
 from stridelake.sources.store import StageStore
 
 
 @pytest.fixture(scope="module")
-def stages(spark, tmp_path_factory):
+def folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("stages"))
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder):
     rows = motion.rows("walk", motion.walk()) + motion.rows("turn", motion.walk_turn_walk()) + motion.rows("sit", motion.sit_stand(), subject="s2")
     broken = [(s, j, "broken", i, points[:23], root) for s, j, _, i, points, root in motion.rows("x", motion.walk(1.0))]
     other = motion.rows("far", motion.walk(1.0), subset="B")
     frames = spark.createDataFrame(rows + broken + other, motion.SCHEMA)
-    return batch.run_stages(spark, frames, str(tmp_path_factory.mktemp("stages")), motion.FPS, subsets=["A"])
+    return batch.run_stages(spark, frames, folder, motion.FPS, subsets=["A"])
 
 
 def test_status_of_every_sequence(stages):
@@ -25,6 +30,21 @@ def test_status_of_every_sequence(stages):
     assert stages["frames"].where("trial_id = 'broken'").isEmpty()
 
 
+def test_record_of_every_sequence(spark, stages, folder, tmp_path):
+    assert record.stored_records(spark, str(tmp_path / "none"), motion.FPS, "lib") is None
+    df = record.stored_records(spark, folder, motion.FPS, "lib")
+    got = {r["trial_id"]: r.asDict(recursive=True) for r in df.collect()}
+    turn, broken = got["turn"], got["broken"]
+    assert turn["counts"] == {"walk": 2, "turn": 1} and turn["sequence"]["reference_library"] == "lib" and turn["description"]["text_summary_zh"]
+    starts = [s["segment"]["start_frame"] for s in turn["segments"]]
+    assert starts == sorted(starts) and [s["segment"]["label"] for s in turn["segments"] if s["turn"]] == ["turn"]
+    assert [s["stage"] for s in turn["stages"]] == ["input", "segmentation", "walk", "turn", "description"]
+    assert broken["segments"] == [] and broken["description"] is None and broken["sequence"]["status"] == "rejected"
+    assert broken["warnings"] == [broken["sequence"]["reason"]] and broken["stages"][0] == {"stage": "input", "state": "rejected", "warnings": broken["warnings"]}
+    payload = loaders.as_json(df, ["subset", "subject_id", "trial_id"]).where("trial_id = 'turn'").first()["payload"]
+    assert "NaN" not in payload and '"counts":{"walk":2,"turn":1}' in payload
+
+
 def test_features_and_description(stages):
     walk = stages["walk"].where("trial_id = 'walk'").first()
     assert walk["gait_speed_mps"] == pytest.approx(1.0, abs=0.05) and walk["step_length_mean_m"] > 0.3
