@@ -14,8 +14,9 @@ from stridelake.operators.sequences import Sequence
 from stridelake.plans import represent as R
 from stridelake.sources.stages import written
 
-# The joints that can carry weight, in the order that decides ties, and the bones that give the scale.
+# The joints that can carry weight, in the order that decides ties for the floor and for support_metrics(), and the bones that give the scale.
 SUPPORTS = [("left_foot", R.LEFT_FOOT), ("left_ankle", R.LEFT_ANKLE), ("right_foot", R.RIGHT_FOOT), ("right_ankle", R.RIGHT_ANKLE)]
+CARRIERS = ("left_ankle", "right_ankle", "left_foot", "right_foot")
 BONES = {
     "left_thigh": (R.LEFT_HIP, R.LEFT_KNEE), "left_shank": (R.LEFT_KNEE, R.LEFT_ANKLE),
     "right_thigh": (R.RIGHT_HIP, R.RIGHT_KNEE), "right_shank": (R.RIGHT_KNEE, R.RIGHT_ANKLE),
@@ -115,7 +116,7 @@ def scale_fit(
 
 
 def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
-    """Per sequence r_floor, tilt_before_deg and floor_reason (null if the plane is used). frames: r_body and s_global beside joints_3d."""
+    """Per sequence r_floor, tilt_before_deg, floor_reason (null if the plane is used) and floor, the plane and how far its points are off. frames: r_body and s_global beside joints_3d."""
     points = F.array(*[V.packed(_rotated("r_body", V.joint("joints_3d", k), "s_global")) for _, k in SUPPORTS])
     df = frames.withColumn("_points", points)
     low = A.lowest_of(*[(n, F.col("_points")[i]["z"]) for i, (n, _) in enumerate(SUPPORTS)])
@@ -125,8 +126,10 @@ def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -
     cloud = written(cloud.select(*seq.keys, F.col("_p.x").alias("x"), F.col("_p.y").alias("y"), F.col("_z").alias("z")))
     a, b, c, _ = A.plane_fit("x", "y", "z")
     plane = cloud.groupBy(*seq.keys).agg(a.alias("a"), b.alias("b"), c.alias("c"), F.count("*").alias("n"))
-    residual = F.median(F.abs(F.col("z") - (F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c"))))
-    spread = cloud.join(plane, list(seq.keys)).groupBy(*seq.keys).agg(residual.alias("residual"))
+    off = F.abs(F.col("z") - (F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c")))
+    spread = cloud.join(plane, list(seq.keys)).groupBy(*seq.keys).agg(
+        F.median(off).alias("residual"), F.avg(off).alias("residual_mean"), F.max(off).alias("residual_max")
+    )
     plane = plane.join(spread, list(seq.keys), "left")
     normal, _ = V.normalized((-F.col("a"), -F.col("b"), F.lit(1.0)), 1e-10)
     plane = plane.withColumn("_normal", V.packed(normal))
@@ -140,7 +143,36 @@ def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -
     plane = plane.withColumn("floor_reason", reason)
     level = V.rotation_between(normal, V.vector(0, 0, 1))
     used = F.when(F.col("floor_reason").isNull(), V.packed_matrix(level)).otherwise(V.packed_matrix(V.identity()))
-    return plane.select(*seq.keys, used.alias("r_floor"), tilt.alias("tilt_before_deg"), "floor_reason")
+    floor = F.struct(
+        F.col("n").alias("cloud_count"), "a", "b", "c", F.col("residual").alias("residual_median_m"), F.col("residual_mean").alias("residual_mean_m"),
+        F.col("residual_max").alias("residual_max_m"),
+    )
+    return plane.select(*seq.keys, used.alias("r_floor"), tilt.alias("tilt_before_deg"), "floor_reason", floor.alias("floor"))
+
+
+def support_metrics(frames: DataFrame, seq: Sequence = R.MOTION, joints: str = "joints_3d") -> DataFrame:
+    """Per sequence which joint carries the weight: of each frame the lowest of ankles and feet, the first of equals; one aggregate.
+
+    frame_count, finite_ratio (of points whose coordinates are all finite), min_z and
+    max_z, for each joint its count and ratio, and warnings. A height that isn't a
+    number, or a missing one, is taken before any other, as then nothing is known of
+    the frame; min_z and max_z are null with such a frame.
+    """
+    at = dict(SUPPORTS)
+    points = []
+    for place, name in enumerate(CARRIERS):
+        x, y, z = (F.coalesce(c.cast("double"), F.lit(float("nan"))) for c in V.joint(joints, at[name]))
+        points.append(F.struct((~F.isnan(z)).alias("known"), z.alias("z"), F.lit(place).alias("place"), x.alias("x"), y.alias("y")))
+    df = frames.select(*seq.keys, F.array_min(F.array(*points)).alias("_low"))
+    finite = F.forall(F.array("_low.x", "_low.y", "_low.z"), lambda c: F.abs(c) < float("inf"))
+    known = F.bool_and("_low.known")
+    counts = [F.count_if(F.col("_low.place") == k).alias(f"{n}_selected_count") for k, n in enumerate(CARRIERS)]
+    out = df.groupBy(*seq.keys).agg(
+        F.count("*").alias("frame_count"), F.avg(finite.cast("int")).alias("finite_ratio"), F.when(known, F.min("_low.z")).alias("min_z"),
+        F.when(known, F.max("_low.z")).alias("max_z"), *counts,
+    )
+    out = out.withColumns({f"{n}_selected_ratio": F.col(f"{n}_selected_count") / F.col("frame_count") for n in CARRIERS})
+    return out.withColumn("warnings", F.array_compact(F.array(F.when(F.col("finite_ratio") < 1, "support_points_nonfinite"))))
 
 
 def yaws(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
@@ -205,7 +237,7 @@ def solve_transforms(
     t = F.struct((-F.col("_root.x")).alias("x"), (-F.col("_root.y")).alias("y"), (-F.col("_ground")).alias("z"))
     return solved.select(
         *keys, "r_global", "s_global", t.alias("t_global"), "r_body", "r_floor", "r_yaw", "tilt_before_deg", "floor_reason", "yaw_reason",
-        "scale_flag", "scale_reason",
+        "scale_flag", "scale_reason", "floor",
     )
 
 

@@ -912,6 +912,13 @@ def solve_transforms(spark, sf_dir):
     )
 
 
+@query(f"""SELECT {_NAMES}, n AS cloud_count, round(median(off), 5) AS residual_median_m, round(avg(off), 5) AS residual_mean_m, round(max(off), 5) AS residual_max_m
+FROM (SELECT seq, n, abs(z - (a * x + b * y + (mz - a * mx - b * my))) AS off FROM k3 JOIN k5 USING (seq)) GROUP BY seq, n""", CANONICAL_SQL)
+def floor_metrics(spark, sf_dir):
+    df = C.solve_transforms(tilted_motion(spark, sf_dir), FPS, _TARGETS)
+    return df.select(*KEYS, "floor.cloud_count", *[F.round(f"floor.{n}", 5).alias(n) for n in ("residual_median_m", "residual_mean_m", "residual_max_m")])
+
+
 _CAN = {f"j{k}{c}": f"s * {_lin(_R3[i], _pt(k))} + t{c}" for k in (0, 10, 12) for i, c in enumerate("xyz")}
 
 

@@ -157,3 +157,28 @@ def scale_targets(spark, sf_dir):
         "l_suppkey", F.round("s_global", 6).alias("s_global"), F.round("scale_raw", 6).alias("scale_raw"), "scale_flag", "scale_reason", "bone_count_valid",
         F.round(F.col("bones")["left_shank"]["length"], 6).alias("left_shank_length"), F.round(F.col("bones")["right_shank"]["ratio"], 6).alias("right_shank_ratio"),
     )
+
+
+_CARRIED = {"left_ankle": (7, "l_tax"), "right_ankle": (8, "l_discount"), "left_foot": (10, "l_quantity / 500"), "right_foot": (11, "l_extendedprice / 1000000")}
+_LOST = "l_suppkey % 5 = 1 AND l_linenumber = 1"
+
+
+@query(f"""WITH p AS (SELECT l_suppkey, CASE WHEN {_LOST} THEN 2 ELSE list_position(zs, list_min(zs)) - 1 END AS place, CASE WHEN NOT ({_LOST}) THEN list_min(zs) END AS z,
+    l_suppkey % 7 = 2 AND l_linenumber = 2 AS far FROM (SELECT *, [{', '.join(f'({e})::DOUBLE' for _, e in _CARRIED.values())}] AS zs FROM lineitem)),
+a AS (SELECT l_suppkey, count(*) AS n, avg((z IS NOT NULL AND NOT (far AND place = 0))::INT) AS finite, bool_or(z IS NULL) AS odd, min(z) AS lo, max(z) AS hi,
+  {', '.join(f'count(*) FILTER (place = {k}) AS n{k}' for k in range(4))} FROM p GROUP BY 1)
+SELECT l_suppkey, n AS frame_count, round(finite, 6) AS finite_ratio, CASE WHEN NOT odd THEN round(lo, 6) END AS min_z, CASE WHEN NOT odd THEN round(hi, 6) END AS max_z,
+{', '.join(f'n{k} AS {n}_selected_count, round(n{k} / n, 6) AS {n}_selected_ratio' for k, n in enumerate(_CARRIED))},
+CASE WHEN finite < 1 THEN 'support_points_nonfinite' ELSE '' END AS warnings FROM a""")
+def support_metrics(spark, sf_dir):
+    zs = {k: F.expr(e).cast("double") for k, e in _CARRIED.values()}
+    zs[10] = F.when(F.expr(_LOST), F.lit(float("nan"))).otherwise(zs[10])
+    far = F.when((F.col("l_suppkey") % 7 == 2) & (F.col("l_linenumber") == 2), F.lit(float("inf"))).otherwise(0.0)
+    zero = F.lit(0.0)
+    joints = F.array(*[F.struct((far if i == 7 else zero).alias("x"), zero.alias("y"), zs.get(i, zero).alias("z")) for i in range(24)])
+    frames = catalog.read(spark, sf_dir, "lineitem").select("l_suppkey", joints.alias("joints_3d"))
+    df = canonicalize.support_metrics(frames, Sequence(("l_suppkey",), "frame_index"))
+    digits = ["finite_ratio", "min_z", "max_z", *[f"{n}_selected_ratio" for n in _CARRIED]]
+    return df.select(
+        "l_suppkey", "frame_count", *[F.round(n, 6).alias(n) for n in digits], *[f"{n}_selected_count" for n in _CARRIED], F.array_join("warnings", ",").alias("warnings")
+    )

@@ -75,3 +75,22 @@ def test_scale_with_missing_zero_and_outlying_bones(spark):
     assert got["small"]["scale_reason"] == "insufficient_valid_bones" and got["small"]["scale_raw"] is None
     assert tuple(fit(None)["plain"])[3:] == (1.0, None, None, None, None, None)
     assert canonicalize.scale_fit(frames.limit(0), aims).count() == 0
+
+
+def test_which_joint_carries_the_weight(spark):
+    def at(trial, i, heights, x=0.0):
+        points = [(0.0, 0.0, 9.0)] * 24
+        for joint, z in zip((7, 8, 10, 11), heights, strict=True):
+            points[joint] = (x, 0.0, z)
+        return ("A", "s", trial, i, points)
+
+    nan = math.nan
+    rows = [at("ties", 0, (0.1, 0.1, 0.2, 0.3)), at("ties", 1, (0.4, 0.3, 0.2, 0.2)), at("nan", 0, (0.1, 0.2, nan, nan)), at("nan", 1, (0.1, 0.2, 0.3, 0.05))]
+    rows += [at("far", 0, (0.1, 0.2, 0.3, 0.4), math.inf), ("A", "s", "none", 0, None)]
+    got = {r["trial_id"]: r for r in canonicalize.support_metrics(spark.createDataFrame(rows, BONES)).collect()}
+    names = [f"{n}_selected_count" for n in canonicalize.CARRIERS]
+    assert {k: [r[n] for n in names] for k, r in got.items()} == {"ties": [1, 0, 1, 0], "nan": [0, 0, 1, 1], "far": [1, 0, 0, 0], "none": [1, 0, 0, 0]}
+    assert (got["ties"]["min_z"], got["ties"]["max_z"], got["ties"]["left_foot_selected_ratio"], got["ties"]["warnings"]) == (0.1, 0.2, 0.5, [])
+    assert (got["nan"]["finite_ratio"], got["nan"]["min_z"], got["nan"]["warnings"]) == (0.5, None, ["support_points_nonfinite"])
+    assert got["far"]["finite_ratio"] == 0 and got["far"]["min_z"] == 0.1 and got["none"]["min_z"] is None
+    assert canonicalize.support_metrics(spark.createDataFrame([], BONES)).count() == 0
