@@ -58,6 +58,10 @@ def sequence_records(
         rest = [c for c in df.columns if c not in (*keys, segment if more else None)]
         return df.select(*keys, *more, F.struct(here, *rest).alias(name))
 
+    def shown(df: DataFrame, name: str, *more: str) -> Column:
+        # A struct needs a field: `here` stays where the table has no column but those it is joined by.
+        return F.col(name).dropFields("here") if set(df.columns) - {*keys, *more} else F.col(name)
+
     place = F.col(segment).cast("string").alias("_id")
     rows = [packed(df, f"_1{n}") for n, df in singles.items()]
     rows.append(packed(segments.where(F.col(segment).isNotNull()), "_segment", place))
@@ -69,8 +73,8 @@ def sequence_records(
     kinds, names = [f"_2{n}" for n in features], [f"_1{n}" for n in singles]
     parts = together.groupBy(*keys, "_id").agg(*map(_least, [*names, "_segment", *kinds]), _all("_warnings"), _all("_states"))
     entry = F.struct(
-        F.col(f"_segment.{order}").alias("at"), F.col("_id").alias("id"), F.col("_segment").dropFields("here").alias("segment"),
-        *[F.col(f"_2{n}").dropFields("here").alias(n) for n in features],
+        F.col(f"_segment.{order}").alias("at"), F.col("_id").alias("id"), shown(segments, "_segment", segment).alias("segment"),
+        *[shown(df, f"_2{n}", segment).alias(n) for n, df in features.items()],
     )
     parts = parts.withColumn("_entry", F.when(F.col("_id").isNotNull(), entry))
     record = parts.groupBy(*keys).agg(
@@ -88,7 +92,7 @@ def sequence_records(
     nested = F.transform(F.array_sort("_entries", before), lambda e: e.dropFields("at", "id"))
     counts = [c for n in features for c in (F.lit(n), F.col(f"_2{n}"))]
     return record.select(
-        *keys, *[F.when(F.col(f"_1{n}").isNotNull(), F.col(f"_1{n}").dropFields("here")).alias(n) for n in singles], nested.alias("segments"),
+        *keys, *[F.when(F.col(f"_1{n}").isNotNull(), shown(df, f"_1{n}")).alias(n) for n, df in singles.items()], nested.alias("segments"),
         stages.alias("stages"), texts(told).alias("warnings"), (F.create_map(*counts) if counts else F.create_map()).alias("counts"),
     )
 
@@ -124,7 +128,14 @@ def stored_records(spark: SparkSession, folder: str, fps: float, reference: str,
         solved = F.when(F.col("stages.input") != "ok", "not_run").when(F.coalesce("floor_reason", "yaw_reason").isNotNull(), "partial").otherwise("ok")
         more = status.select(*names, F.lit(place["canonicalization"]).alias("place"), F.lit("canonicalization").alias("stage"), solved.alias("state"))
         states = states.unionByName(more)
-    tables = {n: store.current(n) for n in ("segments", "walk", "turn", "description")}
+    # A stage that never had a row has no table.
+    bare = status.limit(0).select(*names, F.lit("").alias("segment_id"), F.lit(0).alias("start_frame"), F.lit("").alias("text_summary_zh"))
+    without = {"segments": "text_summary_zh", "description": ("segment_id", "start_frame")}
+    tables = {}
+    for n in ("segments", "walk", "turn", "description"):
+        found = store.current(n)
+        dropped = without.get(n, ("text_summary_zh", "start_frame"))
+        tables[n] = found if found is not None else bare.drop(*([dropped] if isinstance(dropped, str) else dropped))
     features = {}
     for kind in ("walk", "turn"):
         common = [c for c in tables[kind].columns if c in tables["segments"].columns and c not in (*names, "segment_id")]

@@ -4,6 +4,7 @@ import re
 import pytest
 
 from stridelake.plans import canonicalize, record
+from stridelake.sources.store import StageStore
 
 KEYS = ["k"]
 
@@ -94,3 +95,15 @@ def test_which_joint_carries_the_weight(spark):
     assert (got["nan"]["finite_ratio"], got["nan"]["min_z"], got["nan"]["warnings"]) == (0.5, None, ["support_points_nonfinite"])
     assert got["far"]["finite_ratio"] == 0 and got["far"]["min_z"] == 0.1 and got["none"]["min_z"] is None
     assert canonicalize.support_metrics(spark.createDataFrame([], BONES)).count() == 0
+
+
+def test_records_of_runs_without_some_tables(spark, tmp_path):
+    folder, keys = str(tmp_path / "runs"), ("subset", "subject_id", "trial_id")
+    shape = "subset string, subject_id string, trial_id string, frame_count int, reason string, status string, stages struct<input: string, walk: string>, warnings array<string>, floor_reason string, yaw_reason string"
+    rows = [("A", "s", "x", 9, "ok", "described", ("ok", "none"), ["dim"], "tilted", None), ("A", "s", "y", 3, "too short", "rejected", ("rejected", "not_run"), None, None, None)]
+    StageStore(spark, folder, keys).put("status", spark.createDataFrame(rows, shape))
+    got = {r["trial_id"]: r.asDict(recursive=True) for r in record.stored_records(spark, folder, 30.0, "lib").collect()}
+    assert got["x"]["segments"] == [] and got["x"]["description"] is None and got["x"]["counts"] == {"walk": 0, "turn": 0}
+    assert got["x"]["warnings"] == ["dim", "tilted"] and got["y"]["warnings"] == ["too short"]
+    assert [(s["stage"], s["state"], s["warnings"]) for s in got["x"]["stages"]] == [("input", "ok", ["dim"]), ("canonicalization", "partial", ["tilted"]), ("walk", "none", [])]
+    assert got["y"]["stages"][1]["state"] == "not_run"
