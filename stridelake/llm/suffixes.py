@@ -24,7 +24,8 @@ from stridelake.llm.cluster import trimmed
 
 GRAM = 20
 CHUNK_BYTES = 8 << 20
-SLICE = 1 << 21
+#: Bytes whose windows are hashed at once; a dozen arrays of eight times this length live at a time.
+SLICE = 1 << 18
 WINDOWS_AT_ONCE = 400_000
 #: Anchors found in more chunks than this travel as single suffixes, dealt by all their bytes.
 HOT_CHUNKS = 128
@@ -421,6 +422,19 @@ def _judge(length: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """gone less the bytes of characters that aren't gone as a whole; a character of UTF-8 has up to three bytes behind its first."""
+    inner = (data & 0xC0) == 0x80
+    if not inner.any():
+        return gone
+    whole = gone.copy()
+    for _ in range(3):
+        whole[:-1] = gone[:-1] & (~inner[1:] | whole[1:])
+    for _ in range(3):
+        whole[1:] = np.where(inner[1:], whole[:-1], whole[1:])
+    return whole
+
+
 def _finish(length: int, whole_characters: bool, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(table: pa.Table, marks: pa.Table) -> pa.Table:
         sent = marks.to_pylist()
@@ -444,13 +458,16 @@ def _finish(length: int, whole_characters: bool, carried: list[str]) -> Callable
                 at = lows[(masks >> np.uint32(k)) & np.uint32(1) == 1] + k
                 np.add.at(steps, at, 1)
                 np.add.at(steps, at + length, -1)
-        gone = np.cumsum(steps[:-1]) > 0
+        np.cumsum(steps, out=steps)
+        gone = steps[:-1] > 0
         if whole_characters and n:
-            lead = np.flatnonzero((chunk.data & 0xC0) != 0x80)
-            if len(lead):
-                gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, n)))
+            gone = _whole_characters(chunk.data, gone)
         stay = chunk.data[~gone]
-        left = np.concatenate([[0], np.cumsum(~gone)])[chunk.offsets]
+        # The places of the counts of steps, which are no longer needed.
+        steps[0] = 0
+        np.cumsum(~gone, out=steps[1:])
+        left = steps[chunk.offsets]
+        del steps
         first = gone.copy()
         first[1:] &= ~gone[:-1]
         edges = chunk.offsets[1:-1]
