@@ -160,6 +160,13 @@ def mask_offsets(mask: str | Column, seq: Sequence) -> Column:
     return ~mask & F.coalesce(F.lag(mask).over(seq.window), F.lit(False))
 
 
+def supplied_or(mask: str | Column, fallback: str | Column, seq: Sequence) -> Column:
+    """mask (null as false) in sequences that have one, that is a value in any row; else fallback (null as false)."""
+    mask, fallback = (F.col(x) if isinstance(x, str) else x for x in (mask, fallback))
+    given = F.count(mask).over(seq.whole) > 0
+    return F.coalesce(F.when(given, mask).otherwise(fallback), F.lit(False))
+
+
 def gaussian_weights(sigma: int, truncate: float = 4.0) -> list[float]:
     radius = int(truncate * sigma + 0.5)
     raw = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-radius, radius + 1)]

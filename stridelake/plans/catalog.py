@@ -612,3 +612,14 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq", "segment_no", "label", "n", r6("range_x", "range_x"), F.round("path", 4).alias("path"), r6("p_rank", "rank"),
         phrase.alias("phrase"),
     )
+
+
+@query("""WITH m AS (SELECT *, CASE WHEN seq % 3 = 0 THEN NULL WHEN frame_index % 5 = 0 THEN NULL ELSE event_type = 'purchase' END AS strike,
+contact AND NOT coalesce(lag(contact) OVER (PARTITION BY seq ORDER BY frame_index), false) AS onset FROM fr)
+SELECT seq, frame_index FROM (SELECT *, bool_or(strike IS NOT NULL) OVER (PARTITION BY seq) AS given FROM m) WHERE CASE WHEN given THEN coalesce(strike, false) ELSE onset END""")
+def supplied_events(spark, sf_dir):
+    """Frames of events as a mask gives them, in sequences without one the onsets of contact."""
+    df = frames(spark, sf_dir)
+    strike = F.when((F.col("seq") % 3 != 0) & (F.col("frame_index") % 5 != 0), F.col("event_type") == "purchase")
+    df = df.select("seq", "frame_index", strike.alias("strike"), S.mask_onsets("contact", SEQ).alias("onset"))
+    return df.withColumn("event", S.supplied_or("strike", "onset", SEQ)).where("event").select("seq", "frame_index")

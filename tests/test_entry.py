@@ -11,7 +11,7 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", ["flagship", "nearest_valid_fill", "percentile_ranks", "upsert_summary", "interval_join"])
+@pytest.mark.parametrize("name", ["flagship", "nearest_valid_fill", "percentile_ranks", "upsert_summary", "interval_join", "supplied_events"])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
     for table in ("events", "customer", "orders", "lineitem"):

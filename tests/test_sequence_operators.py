@@ -100,3 +100,10 @@ def test_names_and_clauses(spark):
     assert (row["n"], row["h"], row["c"]) == ("a_b_c", "六维：", ["步态减慢", "平衡良好"])
     flags = df.select(F.transform(clauses, lambda x: strings.has_phrase(x)).alias("f")).first()["f"]
     assert flags == [True, False]
+
+
+def test_a_supplied_mask_counts_for_its_whole_sequence(spark):
+    rows = [("a", 0, None, True), ("a", 1, True, False), ("b", 0, None, True), ("b", 1, None, None), ("c", 0, False, True)]
+    df = spark.createDataFrame(rows, "k string, i int, mask boolean, other boolean")
+    got = df.withColumn("event", sequences.supplied_or("mask", "other", SEQ)).orderBy("k", "i").collect()
+    assert [r["event"] for r in got] == [False, True, True, False, False]
