@@ -120,6 +120,10 @@ def represent(
         columns |= {f"pelvis_{name}_deg": angle for name, angle in zip(("roll", "pitch", "yaw"), V.euler_zyx_degrees(root), strict=True)}
     place = [*seq.keys, seq.order]
     df = canonical.select(*place, *[column.alias(name) for name, column in columns.items()])
+    # The floor is a percentile over both feet's supports: each frame gives an array of two, flattened per sequence.
+    floors = df.select(*seq.keys, F.explode(F.array("_left_support.z", "_right_support.z")).alias("_z")).groupBy(*seq.keys).agg(
+        F.percentile("_z", cfg.floor_percentile).alias("floor_z")
+    )
     df = _difference(df, seq, V.unpacked("root_pos_m"), fps, "root_velocity_mps")
     df = _difference(df, seq, V.unpacked("root_velocity_mps"), fps, "root_acceleration_mps2")
     root_v = V.unpacked("root_velocity_mps")
@@ -142,11 +146,8 @@ def represent(
 
     df = _trunk(df, seq)
 
-    # The floor is a percentile over both feet's supports: each frame gives an array of two, flattened per sequence.
-    floors = df.select(*seq.keys, F.explode(F.array("_left_support.z", "_right_support.z")).alias("_z")).groupBy(*seq.keys).agg(
-        F.percentile("_z", cfg.floor_percentile).alias("floor_z")
-    )
-    df = df.join(floors, list(seq.keys))
+    # Merged, as both sides are dealt and sorted alike: by the size of what they are made from frames can seem small enough to broadcast.
+    df = df.join(floors.hint("merge"), list(seq.keys))
     for side in ("left", "right"):
         df = _contacts(df, seq, side, f"_{side}_support", fps, cfg)
     df = df.withColumn("gait_phase_global", F.col("left_gait_phase") + 2 * F.col("right_gait_phase"))
@@ -213,6 +214,16 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
     from stridelake.operators.aggregates import double_support_score
 
     left, right = double_support_score("left_foot_contact", "right_foot_contact")
+    # Strikes follow each other by frame, left before right, so that of a frame is known that was of the last one before it: no second pass.
+    hits = {side: F.coalesce(F.col(f"{side}_heel_strike"), F.lit(False)) for side in ("left", "right")}
+    before = seq.window.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(hits["right"], "right").when(hits["left"], "left"), ignorenulls=True).over(before)
+    frames = frames.withColumn("_last", last)
+    flips = F.when(hits["left"] & F.col("_last").isNotNull(), (F.col("_last") != "left").cast("double")), F.when(
+        hits["right"], F.when(hits["left"], F.lit(1.0)).otherwise((F.col("_last") != "right").cast("double"))
+    )
+    known = F.count(flips[0]) + F.count(flips[1])
+    total = F.coalesce(F.sum(flips[0]), F.lit(0.0)) + F.coalesce(F.sum(flips[1]), F.lit(0.0))
     base = frames.groupBy(*seq.keys).agg(
         F.count("*").alias("frame_count"),
         F.avg(F.col("left_foot_contact").cast("double")).alias("left_contact_ratio"),
@@ -221,10 +232,8 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
         F.count_if("right_heel_strike").alias("right_strikes"),
         left.alias("_left"),
         right.alias("_right"),
+        F.try_divide(total, known.cast("double")).alias("_alternation"),
     )
-    events = strikes(frames, seq)
-    flips = events.withColumn("_flip", (F.col("side") != F.lag("side").over(Window.partitionBy(*seq.keys).orderBy("frame_index", "side"))).cast("double"))
-    base = base.join(flips.groupBy(*seq.keys).agg(F.avg("_flip").alias("_alternation")), list(seq.keys), "left")
     steps = F.col("left_strikes") + F.col("right_strikes")
     stability = contact_stability(*(F.col(c) for c in ("_left", "_right", "_alternation", "left_strikes", "right_strikes")))
     base = base.withColumn("step_count", steps).withColumn("contact_stability_score", stability)
@@ -270,8 +279,7 @@ def strikes(frames: DataFrame, seq: Sequence, event: str = "heel_strike") -> Dat
 
 def gait_events(frames: DataFrame, seq: Sequence = MOTION) -> DataFrame:
     """Timeline: keys, frame, side, event."""
-    parts = [
-        strikes(frames, seq, event).select(*seq.keys, F.col("frame_index").alias("frame"), "side", F.lit(event).alias("event"))
-        for event in ("heel_strike", "toe_off")
-    ]
-    return parts[0].union(parts[1])
+    kinds = [(side, event) for event in ("heel_strike", "toe_off") for side in ("left", "right")]
+    found = [F.when(F.col(f"{s}_{e}"), F.struct(F.lit(s).alias("side"), F.lit(e).alias("event"))) for s, e in kinds]
+    df = frames.select(*seq.keys, F.col("frame_index").alias("frame"), F.explode(F.array_compact(F.array(*found))).alias("_found"))
+    return df.select(*seq.keys, "frame", "_found.side", "_found.event")
