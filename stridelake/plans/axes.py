@@ -12,6 +12,7 @@ from stridelake.operators import aggregates as A
 from stridelake.operators import sequences as S
 from stridelake.operators.sequences import Sequence
 from stridelake.plans import represent as R
+from stridelake.plans.canonicalize import each_joint
 
 AXES = "xyz"
 
@@ -84,7 +85,7 @@ def axis_semantics(frames: DataFrame, seq: Sequence = R.MOTION, cfg: AxisConfig
         }
     )
     keys = list(seq.keys)
-    along = frames.join(df.select(*keys, "forward_axis"), keys).withColumn("_along", _picked(list(root), F.col("forward_axis")))
+    along = frames.join(df.select(*keys, "forward_axis").hint("merge"), keys).withColumn("_along", _picked(list(root), F.col("forward_axis")))
     path = S.longest_monotone_segment(along.select(*keys, seq.order, "_along"), seq, "_along")
     path = path.select(*keys, F.col("start").alias("segment_start"), F.col("end").alias("segment_end"), F.col("displacement").alias("segment_displacement"))
     df = df.join(path, keys).withColumn("segment_sign", _sign(F.col("segment_displacement")))
@@ -109,7 +110,7 @@ def axis_semantics(frames: DataFrame, seq: Sequence = R.MOTION, cfg: AxisConfig
 
 def to_semantic_axes(frames: DataFrame, semantics: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
     """frames with joints_3d and trans_canonical, joints_raw and trans_raw turned by r_total."""
-    df = frames.join(semantics.select(*seq.keys, "r_total"), list(seq.keys))
+    df = frames.join(semantics.select(*seq.keys, "r_total").hint("merge"), list(seq.keys))
     r = V.matrix_column("r_total")
     moved = lambda p: V.packed(V.times(r, (p["x"], p["y"], p["z"])))
-    return df.withColumn("joints_3d", F.transform("joints_raw", moved)).withColumn("trans_canonical", moved(F.col("trans_raw")))
+    return each_joint(df, "joints_raw", moved, "joints_3d").withColumn("trans_canonical", moved(F.col("trans_raw")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +41,15 @@ class CanonicalConfig:
     scale_high: float = 1.35
 
 
+def each_joint(df: DataFrame, joints: str, move: Callable[[Column], Column], out: str, count: int = 24) -> DataFrame:
+    """df with out, the points that move makes of those of joints; only those are computed that are read, unlike in a transform."""
+    place = [(k, c) for k in range(count) for c in "xyz"]
+    df = df.withColumns({f"_{out}_{k}": move(F.col(joints)[k]) for k in range(count)})
+    df = df.withColumns({f"_{out}_{k}{c}": F.col(f"_{out}_{k}")[c] for k, c in place})
+    points = [F.struct(*[F.col(f"_{out}_{k}{c}").alias(c) for c in "xyz"]) for k in range(count)]
+    return df.withColumn(out, F.array(*points)).drop(*[f"_{out}_{k}" for k in range(count)], *[f"_{out}_{k}{c}" for k, c in place])
+
+
 def _rotated(matrix: str, point: V.Vector, scale: str | None = None) -> V.Vector:
     out = V.times(V.matrix_column(matrix), point)
     return V.scaled(out, F.col(scale)) if scale else out
@@ -127,7 +137,7 @@ def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -
     a, b, c, _ = A.plane_fit("x", "y", "z")
     plane = cloud.groupBy(*seq.keys).agg(a.alias("a"), b.alias("b"), c.alias("c"), F.count("*").alias("n"))
     off = F.abs(F.col("z") - (F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c")))
-    spread = cloud.join(plane, list(seq.keys)).groupBy(*seq.keys).agg(
+    spread = cloud.join(plane.hint("merge"), list(seq.keys)).groupBy(*seq.keys).agg(
         F.median(off).alias("residual"), F.avg(off).alias("residual_mean"), F.max(off).alias("residual_max")
     )
     plane = plane.join(spread, list(seq.keys), "left")
@@ -188,7 +198,7 @@ def yaws(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
     )
     path = path.withColumn("ax", F.coalesce("ax", F.lit(1.0))).withColumn("ay", F.coalesce("ay", F.lit(0.0)))
     along = F.col("_x") * F.col("ax") + F.col("_y") * F.col("ay")
-    spread = frames.join(path.select(*seq.keys, "ax", "ay"), list(seq.keys)).groupBy(*seq.keys).agg(A.robust_range(along).alias("range"))
+    spread = frames.join(path.select(*seq.keys, "ax", "ay").hint("merge"), list(seq.keys)).groupBy(*seq.keys).agg(A.robust_range(along).alias("range"))
     path = path.join(spread, list(seq.keys))
     net = F.sqrt(F.col("nx") * F.col("nx") + F.col("ny") * F.col("ny"))
     by_net = (safe_divide(net, F.greatest(F.coalesce("path", F.lit(0.0)), F.lit(1e-10))) >= cfg.min_net_share) & (net > 1e-10)
@@ -219,37 +229,39 @@ def solve_transforms(
     keys = list(seq.keys)
     # Each step ends in a table of a row per sequence: one plan of all would hold the sorts of every join at once in each task.
     fitted = scale_fit(frames, targets, seq, cfg).select(*keys, "s_global", "scale_flag", "scale_reason")
-    solved = written(body_frames(frames, seq, cfg).join(fitted, keys))
-    solved = solved.join(floors(frames.join(solved, keys), fps, seq, cfg), keys)
+    # Tables of a row per sequence are merged with the frames, as these are never to be broadcast or dealt anew.
+    solved = written(body_frames(frames, seq, cfg).join(fitted.hint("merge"), keys))
+    solved = solved.join(floors(frames.join(solved.hint("merge"), keys), fps, seq, cfg), keys)
     level = V.product(V.matrix_column("r_floor"), V.matrix_column("r_body"))
     solved = written(solved.withColumn("_level", V.packed_matrix(level)))
-    here = frames.join(solved, keys)
+    here = frames.join(solved.hint("merge"), keys)
     x, y, _ = _rotated("_level", V.unpacked("trans_canonical"), "s_global")
-    roots = written(here.select(*keys, seq.order, "r_floor", x.alias("_x"), y.alias("_y")))
+    roots = here.select(*keys, seq.order, "r_floor", x.alias("_x"), y.alias("_y"))
     solved = solved.join(yaws(roots, seq, cfg), keys)
     solved = written(solved.withColumn("r_global", V.packed_matrix(V.product(V.matrix_column("r_yaw"), V.matrix_column("_level")))))
-    here = frames.join(solved, keys)
+    here = frames.join(solved.select(*keys, "r_global", "s_global").hint("merge"), keys)
     root = V.packed(_rotated("r_global", V.unpacked("trans_canonical"), "s_global"))
     heights = F.array(*[_rotated("r_global", V.joint("joints_3d", k), "s_global")[2] for _, k in SUPPORTS])
-    first = here.withColumn("_root", root).groupBy(*keys).agg(F.min_by("_root", seq.order).alias("_root"))
-    ground = here.select(*keys, F.explode(heights).alias("_z")).groupBy(*keys).agg(F.percentile("_z", cfg.ground_percentile).alias("_ground"))
-    solved = solved.join(first, keys).join(ground, keys)
+    # A frame stands here once for each support, which doesn't change which root comes first.
+    here = here.select(*keys, seq.order, root.alias("_root"), F.explode(heights).alias("_z"))
+    placed = here.groupBy(*keys).agg(F.min_by("_root", seq.order).alias("_root"), F.percentile("_z", cfg.ground_percentile).alias("_ground"))
+    solved = solved.join(placed, keys)
     t = F.struct((-F.col("_root.x")).alias("x"), (-F.col("_root.y")).alias("y"), (-F.col("_ground")).alias("z"))
-    return solved.select(
+    return written(solved.select(
         *keys, "r_global", "s_global", t.alias("t_global"), "r_body", "r_floor", "r_yaw", "tilt_before_deg", "floor_reason", "yaw_reason",
         "scale_flag", "scale_reason", "floor",
-    )
+    ))
 
 
 def transformed(frames: DataFrame, transforms: DataFrame, seq: Sequence = R.MOTION) -> DataFrame:
     """frames with joints_can and trans_can, s R p + t of joints_3d and trans_canonical, and the columns of solve_transforms()."""
-    df = frames.join(transforms, list(seq.keys))
+    df = frames.join(transforms.hint("merge"), list(seq.keys))
     r, t, s = V.matrix_column("r_global"), V.unpacked("t_global"), F.col("s_global")
 
     def moved(p: Column) -> Column:
         return V.packed(V.plus(V.scaled(V.times(r, (p["x"], p["y"], p["z"])), s), t))
 
-    return df.withColumn("joints_can", F.transform("joints_3d", moved)).withColumn("trans_can", moved(F.col("trans_canonical")))
+    return each_joint(df, "joints_3d", moved, "joints_can").withColumn("trans_can", moved(F.col("trans_canonical")))
 
 
 def canonicalize(

@@ -16,7 +16,6 @@ from stridelake.plans import catalog, represent, segment
 from stridelake.plans import motion_queries as M
 from stridelake.sources import checks, joined, loaders
 from stridelake.sources import tables as raw_tables
-from stridelake.sources.stages import written
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -273,7 +272,7 @@ SELECT {M._NAMES}, true AS all_outputs_finite, round(s, 6) AS s_global, 0.0 AS f
 floor_reason IS NULL AS floor_alignment_enabled, round(tilt, 4) AS floor_tilt_before_deg, round(sqrt(ux * ux + uy * uy + (uz - 1) * (uz - 1)), 5) AS body_up_after_error,
 round(degrees(acos(least(uz / sqrt(ux * ux + uy * uy + uz * uz), 1.0))), 3) AS body_up_after_angle_deg FROM up""", M.CANONICAL_SQL)
 def transform_checks(spark, sf_dir):
-    df = C.transform_checks(written(C.canonicalize(M.tilted_motion(spark, sf_dir), M.FPS, M._TARGETS)))
+    df = C.transform_checks(C.canonicalize(M.tilted_motion(spark, sf_dir), M.FPS, M._TARGETS))
     digits = {"s_global": 6, "first_root_xy_norm_m": 6, "ground_z_percentile_m": 5, "det_r_global": 6, "floor_tilt_before_deg": 4, "body_up_after_error": 5, "body_up_after_angle_deg": 3}
     return df.select(*M.KEYS, "all_outputs_finite", "floor_alignment_enabled", *[(F.round(n, d) + 0.0).alias(n) for n, d in digits.items()])
 
