@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from stridelake.functions.scalars import clip, frames_of, safe_divide, wrap_degrees
 from stridelake.operators import scanners
@@ -58,7 +58,9 @@ def signals(frames: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentC
         "pelvis_speed_mps": ("root_speed_xy_mps", speed), "foot_speed_mean_mps": ("_feet", speed),
         "_heading": ("heading_unwrapped_deg", heading), "_turning": ("yaw_rate_deg_s", heading),
     }
-    df = S.smoothed(frames.withColumn("_feet", feet), seq, smooth)
+    # In windows, which leave the frames dealt and sorted as they are; a function per sequence would take in every column and deal its rows anew.
+    df = frames.withColumn("_feet", feet)
+    df = df.withColumns({out: S.gaussian_smooth(name, seq, sigma) for out, (name, sigma) in smooth.items()})
     df = with_normalized_height(df, seq, "pelvis_height_m", "pelvis_height_norm", cfg)
     df = df.withColumn("heading_smooth_deg", wrap_degrees("_heading"))
     df = df.withColumn("turn_angle_from_start_deg", F.abs(wrap_degrees(F.col("_heading") - F.first("_heading").over(seq.whole))))
@@ -125,7 +127,10 @@ def hesitating(label: np.ndarray, walking: np.ndarray, turning: np.ndarray, leas
 
 
 def label_frames(df: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """Frames of signals() with label, source_rule, confidence and hesitation, judged a sequence at a time."""
+    """Frames of signals() with label, source_rule, confidence, hesitation and segment_no, counted from 1, judged a sequence at a time.
+
+    All columns pass through the function that judges, so df should hold those alone that are wanted.
+    """
     least = frames_of(cfg.hesitation_min_sec, fps)
 
     def run(table: pa.Table) -> pa.Table:
@@ -137,9 +142,14 @@ def label_frames(df: DataFrame, fps: float, seq: Sequence = MOTION, cfg: Segment
         label = exclusive_labels(height, angle, walking, turning)
         names = pa.array(LABELS).take(pa.array(label))
         slow = pa.array(hesitating(label, walking, turning, least, cfg))
-        return table.append_column("label", names).append_column("hesitation", slow)
-
-    out = StructType([*df.schema.fields, StructField("label", StringType()), StructField("hesitation", BooleanType())])
+        # Numbered here, as windows over what comes out would deal all frames anew.
+        number = pa.array(np.concatenate([[1], 1 + np.cumsum(label[1:] != label[:-1])]).astype(np.int32))
+        table = table.append_column("label", names).append_column("hesitation", slow)
+        return table.append_column("segment_no", number)
+
+    df = df.drop("segment_no")
+    more = [StructField("label", StringType()), StructField("hesitation", BooleanType()), StructField("segment_no", IntegerType())]
+    out = StructType([*df.schema.fields, *more])
     df = df.groupBy(*seq.keys).applyInArrow(run, out)
     for out, table in (("source_rule", RULES), ("confidence", CONFIDENCE)):
         names = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
