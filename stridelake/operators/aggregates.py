@@ -62,10 +62,11 @@ def percentile_rank(
     """values with a column <metric>_rank: the share of reference values at or below it, 1 less that for inverted ones.
 
     `keys` name a row of values. Counts per distinct value are dealt to about
-    `parts` ranges of a metric, whose bounds are approximate quantiles. A running
-    sum goes over the ranges' totals, and one over the values of each range, so
-    that no task sorts a whole metric. Null values rank null, as do all values of a
-    metric without reference values.
+    `parts` ranges of a metric, whose bounds are quantiles of the values of least
+    hash: the ranges are made twice, and bounds must not depend on the order in
+    which rows come. A running sum goes over the ranges' totals, and one over the
+    values of each range, so that no task sorts a whole metric. Null values rank
+    null, as do all values of a metric without reference values.
     """
 
     def long(df: DataFrame, *more: str) -> DataFrame:
@@ -75,15 +76,18 @@ def percentile_rank(
     row = F.struct(*keys)
     asked = long(values.select(row.alias("_row"), *metrics), "_row").select("metric", "v", F.lit(0).cast("long").alias("n"), "_row")
     known = long(reference.select(*metrics)).groupBy("metric", "v").agg(F.count("*").alias("n"))
-    shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
     # A row per metric, of `parts` numbers: small by its parameters.
-    cuts = known.groupBy("metric").agg(F.percentile_approx("v", shares, F.lit(10 * parts)).alias("_cuts"), F.sum("n").alias("_total"))
+    least = known.withColumn("_rank", F.row_number().over(Window.partitionBy("metric").orderBy(F.xxhash64("v"), "v"))).where(F.col("_rank") <= 15 * parts)
+    cuts = least.groupBy("metric").agg(F.sort_array(F.collect_list("v")).alias("_some"))
+    share = lambda k: F.element_at("_some", (F.floor(k * F.size("_some") / parts) + 1).cast("int"))
+    cuts = cuts.select("metric", F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), share).alias("_cuts"))
     known = known.select("metric", "v", "n", F.lit(None).cast(asked.schema["_row"].dataType).alias("_row"))
     dealt = asked.union(known).join(F.broadcast(cuts), "metric", "left")
     dealt = dealt.withColumn("_part", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("v"))), F.lit(0))).drop("_cuts")
     before = Window.partitionBy("metric").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = dealt.groupBy("metric", "_part").agg(F.sum("n").alias("_held"))
-    bases = bases.select("metric", "_part", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_base"))
+    total = F.sum("_held").over(Window.partitionBy("metric"))
+    bases = bases.select("metric", "_part", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_base"), total.alias("_total"))
     upto = Window.partitionBy("metric", "_part").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = dealt.withColumn("_upto", F.sum("n").over(upto)).where("_row IS NOT NULL").join(F.broadcast(bases), ["metric", "_part"])
     share = F.try_divide((F.col("_base") + F.col("_upto")).cast("double"), F.col("_total").cast("double"))

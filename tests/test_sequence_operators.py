@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,6 +94,25 @@ def test_percentile_rank_of_unknown_values(spark):
     assert got == {1: 0.0, 2: pytest.approx(2 / 3), 3: None, 4: None}
 
 
+def test_percentile_rank_whatever_order_rows_come_in(spark):
+    """Ranges are made twice, and on a cluster rows come in another order each time."""
+    n = 400_000
+
+    def mixed(batches):
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    with_batches = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(with_batches)
+    spark.conf.set(with_batches, str(n))
+    try:
+        df = spark.range(n).select("id", F.sqrt("id").alias("m")).mapInArrow(mixed, "id long, m double")
+        ranked = aggregates.percentile_rank(df, df, ["m"], ["id"])
+        assert ranked.where(F.abs(F.col("m_rank") - (F.col("id") + 1) / n) > 1e-9).count() == 0
+    finally:
+        spark.conf.set(with_batches, before)
+
+
 def test_names_and_clauses(spark):
     df = spark.createDataFrame([(" a/b c ", "六维：步态减慢、；平衡良好。")], "n string, t string")
     header, clauses = strings.split_clauses("t")
