@@ -17,6 +17,8 @@ from stridelake.llm.words import mix
 CAPACITY = 2048
 #: Documents packed together, on average; the open sequences that a group ends with are a small share of its own.
 GROUP_DOCUMENTS = 40_000
+#: Text that is encoded at once: numpy holds about fifty bytes for each byte of it.
+ENCODED_BYTES = 1 << 18
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +77,7 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", ENCODED_BYTES):
                 ids, counts = encoder.encode(part.column(1))
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
                 counts = counts + 1

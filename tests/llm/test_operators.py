@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -538,6 +539,23 @@ def test_sum_of_squares_equals_a_plain_search():
         rooms[b] -= size
 
 
+def test_packing_encodes_little_text_at_once(make_docs, documents, monkeypatch):
+    docs = make_docs([(1, "a")])
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = packing.token_pieces(docs, "doc_id", "text", path("word_bpe_49k.json"), 10**9, 0, False)
+    text = " ".join(t for _, t, *_ in documents if t)[:4000]
+    texts = pa.array([text[k:] + text[:k] for k in range(1000)])
+    _, counts = tokens.word_tokenizer(path("word_bpe_49k.json")).encode(texts)
+    tracemalloc.start()
+    try:
+        parts = list(run(iter([pa.RecordBatch.from_arrays([pa.array(range(1000)), texts], ["doc_id", "text"])])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [n for part in parts for n in part.column(3).to_pylist()] == (counts + 1).tolist()
+    assert most < 64 << 20
+
+
 def test_packing_of_repeated_ids(make_docs):
     out = packing.pack_documents(make_docs([(1, "same text"), (1, "same text"), (2, "word " * 3000)]), path("word_bpe_49k.json")).collect()
     spans = {}
