@@ -134,11 +134,23 @@ def true_runs(df: DataFrame, seq: Sequence, mask: str) -> DataFrame:
     return runs(df, seq, mask).where(F.col(mask)).drop(mask, "run")
 
 
+#: Runs of up to so many rows are told from their neighbours alone.
+NEAR = 8
+
+
 def _short(df: DataFrame, seq: Sequence, mask: str, least: Column | int, short: bool, out: str) -> DataFrame:
+    hit = F.col(mask) == F.lit(short)
+    if isinstance(least, int) and least <= 1:
+        return df.withColumn(out, F.col(mask))
+    if isinstance(least, int) and least <= NEAR:
+        # A row's run is long enough if one of the `least` stretches of that many rows around it lies in the run: rows needn't be sorted by runs.
+        df = df.withColumn("_full", F.count(F.when(hit, 1)).over(seq.window.rowsBetween(1 - least, 0)) == least)
+        flips = hit & ~F.max("_full").over(seq.window.rowsBetween(0, least - 1))
+        return df.withColumn(out, F.when(flips, F.lit(not short)).otherwise(F.col(mask))).drop("_full")
     least = least if isinstance(least, Column) else F.lit(least)
     df = island(df, seq, mask, "_run")
     size = F.count("*").over(Window.partitionBy(*seq.keys, "_run"))
-    flips = (F.col(mask) == F.lit(short)) & (size < least)
+    flips = hit & (size < least)
     return df.withColumn(out, F.when(flips, F.lit(not short)).otherwise(F.col(mask))).drop("_run")
 
 

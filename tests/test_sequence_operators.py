@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from stridelake.functions import scalars, strings
 from stridelake.operators import aggregates, scanners, sequences, tables
 from stridelake.operators.sequences import Sequence
+from stridelake.plans import represent
 
 SEQ = Sequence(("k",), "i")
 
@@ -113,6 +115,24 @@ def test_percentile_rank_whatever_order_rows_come_in(spark):
         spark.conf.set(with_batches, before)
 
 
+@pytest.mark.parametrize("least", [0, 1, 2, 3, 20])
+def test_short_runs_with_unknown_rows(spark, least):
+    masks = [None if x == 2 else bool(x) for x in np.random.default_rng(least).integers(0, 3, 60).tolist()] + [True] * 3 + [False] * 4
+    want = list(masks)
+    for same in [list(g) for _, g in itertools.groupby(range(len(masks)), key=lambda i: masks[i])]:
+        if masks[same[0]] is True and len(same) < least:
+            want[same[0] : same[-1] + 1] = [False] * len(same)
+    df = spark.createDataFrame([("a", i, m) for i, m in enumerate(masks)], "k string, i int, m boolean")
+    got = sequences.remove_short_true_runs(df, SEQ, "m", least, "out").orderBy("i").collect()
+    assert [r["out"] for r in got] == want
+
+
+def test_contacts_are_steadied_in_one_order(spark):
+    df = spark.range(10).select(F.lit("a").alias("k"), F.col("id").cast("int").alias("i"), F.rand(1).alias("p"))
+    df = represent.steady_contacts(df.repartition(2, "k"), SEQ, F.col("p"), "on", 30.0)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+
+
 def test_names_and_clauses(spark):
     df = spark.createDataFrame([(" a/b c ", "六维：步态减慢、；平衡良好。")], "n string, t string")
     header, clauses = strings.split_clauses("t")
