@@ -18,7 +18,7 @@ CAPACITY = 2048
 #: Documents packed together, on average; the open sequences that a group ends with are a small share of its own.
 GROUP_DOCUMENTS = 40_000
 #: Text that is encoded at once: numpy holds about fifty bytes for each byte of it.
-ENCODED_BYTES = 1 << 18
+ENCODED_BYTES = 1 << 20
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
