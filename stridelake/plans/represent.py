@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from stridelake.functions import vectors as V
 from stridelake.functions.scalars import clip, frames_of
 from stridelake.operators import sequences as S
+from stridelake.operators.ordered import Rows, atan2, euler_zyx_degrees, heading_degrees, in_order, placed
 from stridelake.operators.sequences import Sequence
 
 # Places of the joints in the skeleton of 24.
@@ -42,21 +46,6 @@ class RepresentConfig:
     max_foot_speed: float = 8.0
 
 
-def _difference(df: DataFrame, seq: Sequence, point: V.Vector, fps: float, out: str) -> DataFrame:
-    return df.withColumn(out, V.packed(tuple(S.finite_difference(c, seq, fps) for c in point)))
-
-
-def _filled(df: DataFrame, seq: Sequence, axis: V.Vector, valid: Column, out: str, other: list[float], eps: float = 1e-5) -> DataFrame:
-    """A unit vector column whose invalid rows take the nearest valid one, the fallback if a sequence has none."""
-    names = [f"{out}_{k}" for k in "xyz"]
-    df = df.withColumn("_ok", valid)
-    for name, part in zip(names, axis, strict=True):
-        df = df.withColumn(name, part)
-    df = S.nearest_valid_fill(df, seq, names, "_ok", other)
-    unit, _ = V.normalized(tuple(F.col(n) for n in names), eps)
-    return df.withColumn(out, V.packed(unit)).drop("_ok", *names)
-
-
 def contact_probability(clear: Column, speed: Column, cfg: RepresentConfig = RepresentConfig()) -> Column:
     """How likely a foot at this height above the floor and this speed bears weight, from 0 to 1."""
     low, slow = (1 - clip(x / most, 0.0, 1.0) for x, most in ((clear, cfg.contact_height), (speed, cfg.contact_speed)))
@@ -76,31 +65,95 @@ def contact_stability(left: Column, right: Column, alternation: Column, left_str
     return (left + right + F.coalesce(alternation, F.lit(0.0)) + balance) / 4
 
 
-def _contacts(df: DataFrame, seq: Sequence, side: str, support: str, fps: float, cfg: RepresentConfig) -> DataFrame:
-    point = V.unpacked(support)
-    vx, vy = (S.finite_difference(c, seq, fps) for c in point[:2])
-    clear = F.greatest(point[2] - F.col("floor_z"), F.lit(0.0))
-    df = df.withColumn("_speed", F.sqrt(vx * vx + vy * vy)).withColumn("_clear", clear)
-    prob_name, mask = f"{side}_foot_contact_prob", f"{side}_foot_contact"
-    df = df.withColumn(prob_name, contact_probability(F.col("_clear"), F.col("_speed"), cfg))
-    df = steady_contacts(df, seq, F.col(prob_name), mask, fps, cfg)
-    df = df.withColumn(f"{side}_heel_strike", S.mask_onsets(mask, seq)).withColumn(f"{side}_toe_off", S.mask_offsets(mask, seq))
-    df = df.withColumn(f"{side}_gait_phase", F.col(mask).cast("int"))
-    confidence = clip(2 * F.abs(F.col(prob_name) - cfg.contact_threshold), 0.0, 1.0)
-    return df.withColumn(f"{side}_contact_confidence", confidence).drop("_speed", "_clear")
+#: Vectors of a frame that the signals are made of.
+_POINTS = ["root_pos_m", "left_foot_pos_m", "right_foot_pos_m", "_across", "_trunk_raw", "_shoulders", "_left_support", "_right_support"]
+_MOVED = ["root_velocity_mps", "root_acceleration_mps2", "left_foot_velocity_mps", "right_foot_velocity_mps", "heading_axis"]
+_NUMBERS = [
+    "floor_z", "root_speed_xy_mps", "left_foot_speed_mps", "right_foot_speed_mps", "heading_deg", "heading_unwrapped_deg", "yaw_rate_deg_s",
+    "yaw_acceleration_deg_s2", "trunk_forward_flexion_deg", "trunk_lateral_lean_deg", "trunk_lean_angle_deg", "trunk_roll_deg", "trunk_pitch_deg",
+    "trunk_yaw_deg", "left_foot_contact_prob", "right_foot_contact_prob",
+]
+_FLAGS = ["heading_source_valid", *[f"{s}_{n}" for s in ("left", "right") for n in ("foot_contact", "heel_strike", "toe_off")]]
+_SIGNALS = StructType([
+    *[StructField(f"_{n}_{c}", DoubleType()) for n in _MOVED for c in "xyz"], *[StructField(n, DoubleType()) for n in _NUMBERS],
+    *[StructField(n, BooleanType()) for n in _FLAGS],
+])
+
+
+def _signals(fps: float, cfg: RepresentConfig) -> Callable[[Rows, list[np.ndarray]], list[np.ndarray]]:
+    """What in_order() runs: _SIGNALS of the order and _POINTS."""
+
+    def run(rows: Rows, columns: list[np.ndarray]) -> list[np.ndarray]:
+        order, flat = columns[0], columns[1:]
+        at = {n: tuple(flat[3 * k : 3 * k + 3]) for k, n in enumerate(_POINTS)}
+        out, none = {}, np.zeros(len(order))
+        rate = lambda point: tuple(rows.difference(c, fps) for c in point)
+        moved = {"root_velocity_mps": rate(at["root_pos_m"])}
+        moved["root_acceleration_mps2"] = rate(moved["root_velocity_mps"])
+        vx, vy, _ = moved["root_velocity_mps"]
+        out["root_speed_xy_mps"] = np.sqrt(vx * vx + vy * vy)
+        for side in ("left", "right"):
+            moved[f"{side}_foot_velocity_mps"] = rate(at[f"{side}_foot_pos_m"])
+            out[f"{side}_foot_speed_mps"] = rows.norm(moved[f"{side}_foot_velocity_mps"])
+
+        level = V.cross(at["_across"], at["_trunk_raw"])
+        body, body_ok = rows.normalized((level[0], level[1], none), cfg.heading_min_norm)
+        motion, motion_ok = rows.normalized((vx, vy, none), cfg.heading_min_speed)
+        out["heading_source_valid"] = body_ok | motion_ok
+        axis = tuple(np.where(~body_ok & motion_ok, m, b) for m, b in zip(motion, body, strict=True))
+        heading = rows.filled(axis, out["heading_source_valid"], order, [1.0, 0.0, 0.0], cfg.heading_min_norm)
+        moved["heading_axis"] = heading
+        out["heading_deg"] = heading_degrees(heading)
+        out["heading_unwrapped_deg"] = rows.unwrapped(out["heading_deg"])
+        out["yaw_rate_deg_s"] = rows.difference(out["heading_unwrapped_deg"], fps)
+        out["yaw_acceleration_deg_s2"] = rows.difference(out["yaw_rate_deg_s"], fps)
+        out |= _trunk(rows, order, at["_trunk_raw"], at["_shoulders"], heading)
+
+        supports = [at[f"_{side}_support"] for side in ("left", "right")]
+        # The floor is a percentile over both feet's supports.
+        (out["floor_z"],) = rows.percentiles([p[2] for p in supports], [cfg.floor_percentile])
+        for side, point in zip(("left", "right"), supports, strict=True):
+            vx, vy = (rows.difference(c, fps) for c in point[:2])
+            clear = rows.greatest(point[2] - out["floor_z"], 0.0)
+            low, slow = (1 - rows.clip(x / most, 0.0, 1.0) for x, most in ((clear, cfg.contact_height), (np.sqrt(vx * vx + vy * vy), cfg.contact_speed)))
+            prob = rows.clip(cfg.height_weight * low + cfg.speed_weight * slow, 0.0, 1.0)
+            mask = rows.steady(rows.at_least(prob, cfg.contact_threshold), frames_of(cfg.min_contact_sec, fps), True)
+            mask = rows.steady(mask, frames_of(cfg.min_swing_sec, fps), False)
+            before = rows.before(mask, False)
+            out |= {f"{side}_foot_contact_prob": prob, f"{side}_foot_contact": mask, f"{side}_heel_strike": mask & ~before, f"{side}_toe_off": ~mask & before}
+        return [*[c for n in _MOVED for c in moved[n]], *[out[n] for n in (*_NUMBERS, *_FLAGS)]]
+
+    return run
+
+
+def _trunk(rows: Rows, order: np.ndarray, raw: V.Vector, shoulders: V.Vector, heading: V.Vector) -> dict[str, np.ndarray]:
+    trunk, _ = rows.normalized(raw)
+    up = rows.clip(trunk[2], -1.0, 1.0)
+    heading_left, _ = rows.normalized((-heading[1], heading[0], np.zeros(len(order))))
+    out = {
+        "trunk_forward_flexion_deg": np.degrees(atan2(V.dot(trunk, heading), up)),
+        "trunk_lateral_lean_deg": np.degrees(atan2(V.dot(trunk, heading_left), up)), "trunk_lean_angle_deg": np.degrees(np.arccos(up)),
+    }
+    left, ok = rows.normalized(V.minus(shoulders, V.scaled(trunk, V.dot(shoulders, trunk))))
+    left = rows.filled(left, ok, order, [0.0, 1.0, 0.0])
+    forward, ok = rows.normalized(V.cross(left, trunk))
+    forward = rows.filled(forward, ok, order, [1.0, 0.0, 0.0])
+    left, _ = rows.normalized(V.cross(trunk, forward))
+    angles = euler_zyx_degrees(rows, V.transposed((forward, left, trunk)))
+    return out | {f"trunk_{name}_deg": angle for name, angle in zip(("roll", "pitch", "yaw"), angles, strict=True)}
 
 
 def represent(
-    canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig(), carry: bool = True
+    canonical: DataFrame, fps: float, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig(), carry: bool = True, ordered: bool = False
 ) -> DataFrame:
     """One row per frame with every signal of the frame contract.
 
     canonical: keys, frame_index, joints_can (array of 24 structs x, y, z),
     trans_can (struct), and, where pelvis angles are wanted, pose_raw (array of 72)
-    with r_global and r_total (3 x 3 arrays). All windows share one partitioning by
-    sequence and hold only the few points they read; the other columns of canonical
-    are joined again by sequence and frame, of which each must be unique, or left
-    out (carry=False). Sequences of other rates are handled by another call.
+    with r_global and r_total (3 x 3 arrays). All that depends on other frames is made
+    by one function over whole sequences; the other columns of canonical stay beside it or are left
+    out (carry=False). With ordered, the frames keep the numbers by which stages after this one
+    find them in order. Sequences of other rates are handled by another call.
     """
     point = lambda k: V.joint("joints_can", k)
     at = lambda k: F.col("joints_can")[k]
@@ -119,65 +172,21 @@ def represent(
         root = V.product(V.product(V.matrix_column("r_global"), V.matrix_column("r_total")), V.axis_angle_matrix(pose))
         columns |= {f"pelvis_{name}_deg": angle for name, angle in zip(("roll", "pitch", "yaw"), V.euler_zyx_degrees(root), strict=True)}
     place = [*seq.keys, seq.order]
-    df = canonical.select(*place, *[column.alias(name) for name, column in columns.items()])
-    # The floor is a percentile over both feet's supports: each frame gives an array of two, flattened per sequence.
-    floors = df.select(*seq.keys, F.explode(F.array("_left_support.z", "_right_support.z")).alias("_z")).groupBy(*seq.keys).agg(
-        F.percentile("_z", cfg.floor_percentile).alias("floor_z")
-    )
-    df = _difference(df, seq, V.unpacked("root_pos_m"), fps, "root_velocity_mps")
-    df = _difference(df, seq, V.unpacked("root_velocity_mps"), fps, "root_acceleration_mps2")
-    root_v = V.unpacked("root_velocity_mps")
-    df = df.withColumn("root_speed_xy_mps", F.sqrt(root_v[0] * root_v[0] + root_v[1] * root_v[1]))
-    df = df.withColumn("pelvis_height_m", F.col("root_pos_m.z")).withColumn("pelvis_vertical_velocity_mps", root_v[2])
+    rest = [c for c in canonical.columns if carry and c not in (*place, *columns, *_NUMBERS, *_FLAGS)]
+    df = canonical.select(*place, *[column.alias(name) for name, column in columns.items()], *rest)
+    df = placed(df, seq) if ordered else df
+    df = in_order(df, seq, [seq.order, *[f"{n}.{c}" for n in _POINTS for c in "xyz"]], _signals(fps, cfg), _SIGNALS)
+    df = df.withColumns({n: F.struct(*[F.col(f"_{n}_{c}").alias(c) for c in "xyz"]) for n in _MOVED}).drop(*[f"_{n}_{c}" for n in _MOVED for c in "xyz"])
+    df = df.withColumns({"pelvis_height_m": F.col("root_pos_m.z"), "pelvis_vertical_velocity_mps": F.col("root_velocity_mps.z")})
     for side in ("left", "right"):
-        df = _difference(df, seq, V.unpacked(f"{side}_foot_pos_m"), fps, f"{side}_foot_velocity_mps")
-        df = df.withColumn(f"{side}_foot_speed_mps", V.norm(V.unpacked(f"{side}_foot_velocity_mps")))
-        df = df.withColumn(f"{side}_foot_height_m", F.col(f"{side}_foot_pos_m.z"))
-
-    body, body_ok = V.normalized(V.horizontal(V.cross(V.unpacked("_across"), V.unpacked("_trunk_raw"))), cfg.heading_min_norm)
-    motion, motion_ok = V.normalized(V.horizontal(root_v), cfg.heading_min_speed)
-    df = df.withColumn("heading_source_valid", body_ok | motion_ok)
-    axis = V.chosen(~body_ok & motion_ok, motion, body)
-    df = _filled(df, seq, axis, F.col("heading_source_valid"), "heading_axis", [1.0, 0.0, 0.0], cfg.heading_min_norm)
-    df = df.withColumn("heading_deg", V.heading_degrees(V.unpacked("heading_axis")))
-    df = S.unwrap_degrees(df, seq, "heading_deg", "heading_unwrapped_deg")
-    df = df.withColumn("yaw_rate_deg_s", S.finite_difference("heading_unwrapped_deg", seq, fps))
-    df = df.withColumn("yaw_acceleration_deg_s2", S.finite_difference("yaw_rate_deg_s", seq, fps))
-
-    df = _trunk(df, seq)
-
-    # Merged, as both sides are dealt and sorted alike: by the size of what they are made from frames can seem small enough to broadcast.
-    df = df.join(floors.hint("merge"), list(seq.keys))
-    for side in ("left", "right"):
-        df = _contacts(df, seq, side, f"_{side}_support", fps, cfg)
+        sure = clip(2 * F.abs(F.col(f"{side}_foot_contact_prob") - cfg.contact_threshold), 0.0, 1.0)
+        df = df.withColumns({
+            f"{side}_foot_height_m": F.col(f"{side}_foot_pos_m.z"), f"{side}_gait_phase": F.col(f"{side}_foot_contact").cast("int"),
+            f"_{side}_sure": sure,
+        })
     df = df.withColumn("gait_phase_global", F.col("left_gait_phase") + 2 * F.col("right_gait_phase"))
-    df = df.withColumn("contact_confidence", F.array("left_contact_confidence", "right_contact_confidence"))
-    temporary = ["_across", "_trunk_raw", "_shoulders", "_left_support", "_right_support", "left_contact_confidence", "right_contact_confidence"]
-    df = _quality(df, cfg).drop(*temporary)
-    rest = [c for c in canonical.columns if c not in df.columns]
-    return df.join(canonical.select(*place, *rest), place) if carry and rest else df
-
-
-def _trunk(df: DataFrame, seq: Sequence) -> DataFrame:
-    trunk, _ = V.normalized(V.unpacked("_trunk_raw"))
-    df = df.withColumn("_trunk", V.packed(trunk))
-    trunk, heading = V.unpacked("_trunk"), V.unpacked("heading_axis")
-    up = clip(trunk[2], -1.0, 1.0)
-    heading_left, _ = V.normalized((-heading[1], heading[0], F.lit(0.0)))
-    df = df.withColumn("trunk_forward_flexion_deg", F.degrees(F.atan2(V.dot(trunk, heading), up)))
-    df = df.withColumn("trunk_lateral_lean_deg", F.degrees(F.atan2(V.dot(trunk, heading_left), up)))
-    df = df.withColumn("trunk_lean_angle_deg", F.degrees(F.acos(up)))
-    raw = V.unpacked("_shoulders")
-    left, ok = V.normalized(V.minus(raw, V.scaled(trunk, V.dot(raw, trunk))))
-    df = _filled(df, seq, left, ok, "_left", [0.0, 1.0, 0.0])
-    forward, ok = V.normalized(V.cross(V.unpacked("_left"), trunk))
-    df = _filled(df, seq, forward, ok, "_forward", [1.0, 0.0, 0.0])
-    forward = V.unpacked("_forward")
-    left, _ = V.normalized(V.cross(trunk, forward))
-    frame = V.transposed((forward, left, trunk))
-    for name, angle in zip(("roll", "pitch", "yaw"), V.euler_zyx_degrees(frame), strict=True):
-        df = df.withColumn(f"trunk_{name}_deg", angle)
-    return df.drop("_trunk", "_left", "_forward")
+    df = df.withColumn("contact_confidence", F.array("_left_sure", "_right_sure"))
+    return _quality(df, cfg).drop(*[p for p in _POINTS if p[0] == "_"], "_left_sure", "_right_sure")
 
 
 def _quality(df: DataFrame, cfg: RepresentConfig) -> DataFrame:
@@ -214,16 +223,11 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
     from stridelake.operators.aggregates import double_support_score
 
     left, right = double_support_score("left_foot_contact", "right_foot_contact")
-    # Strikes follow each other by frame, left before right, so that of a frame is known that was of the last one before it: no second pass.
-    hits = {side: F.coalesce(F.col(f"{side}_heel_strike"), F.lit(False)) for side in ("left", "right")}
-    before = seq.window.rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(hits["right"], "right").when(hits["left"], "left"), ignorenulls=True).over(before)
-    frames = frames.withColumn("_last", last)
-    flips = F.when(hits["left"] & F.col("_last").isNotNull(), (F.col("_last") != "left").cast("double")), F.when(
-        hits["right"], F.when(hits["left"], F.lit(1.0)).otherwise((F.col("_last") != "right").cast("double"))
-    )
-    known = F.count(flips[0]) + F.count(flips[1])
-    total = F.coalesce(F.sum(flips[0]), F.lit(0.0)) + F.coalesce(F.sum(flips[1]), F.lit(0.0))
+    # Strikes follow each other by frame, left before right; those of a sequence are few, so one aggregate takes them along.
+    hits = F.when(F.col("left_heel_strike") | F.col("right_heel_strike"), F.struct(seq.order, *[
+        F.coalesce(F.col(f"{s}_heel_strike"), F.lit(False)).alias(s) for s in ("left", "right")
+    ]))
+    sides = F.flatten(F.transform(F.sort_array(F.collect_list(hits)), lambda h: F.array_compact(F.array(F.when(h["left"], 0), F.when(h["right"], 1)))))
     base = frames.groupBy(*seq.keys).agg(
         F.count("*").alias("frame_count"),
         F.avg(F.col("left_foot_contact").cast("double")).alias("left_contact_ratio"),
@@ -232,8 +236,12 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
         F.count_if("right_heel_strike").alias("right_strikes"),
         left.alias("_left"),
         right.alias("_right"),
-        F.try_divide(total, known.cast("double")).alias("_alternation"),
+        sides.alias("_sides"),
     )
+    known = F.greatest(F.size("_sides") - 1, F.lit(0))
+    flips = F.zip_with(F.slice("_sides", F.lit(1), known), F.slice("_sides", F.lit(2), known), lambda a, b: (a != b).cast("int"))
+    flips = F.aggregate(flips, F.lit(0), lambda total, x: total + x)
+    base = base.withColumn("_alternation", F.try_divide(flips.cast("double"), known.cast("double")))
     steps = F.col("left_strikes") + F.col("right_strikes")
     stability = contact_stability(*(F.col(c) for c in ("_left", "_right", "_alternation", "left_strikes", "right_strikes")))
     base = base.withColumn("step_count", steps).withColumn("contact_stability_score", stability)
@@ -245,7 +253,7 @@ def gait_summary(frames: DataFrame, fps: float, seq: Sequence = MOTION) -> DataF
             F.when(stability < 0.45, F.format_string(WARNINGS[2], stability)),
         )
     )
-    return base.withColumn("gait_warnings", warnings).drop("_left", "_right", "_alternation")
+    return base.withColumn("gait_warnings", warnings).drop("_left", "_right", "_alternation", "_sides")
 
 
 def quality_metrics(frames: DataFrame, seq: Sequence = MOTION, cfg: RepresentConfig = RepresentConfig()) -> DataFrame:
