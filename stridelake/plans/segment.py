@@ -8,12 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from stridelake.functions.scalars import clip, frames_of, safe_divide, wrap_degrees
-from stridelake.operators import scanners
+from stridelake.functions.scalars import clip, frames_of, safe_divide
+from stridelake.operators import ordered, scanners
 from stridelake.operators import sequences as S
 from stridelake.operators.aggregates import majority
+from stridelake.operators.ordered import Rows
 from stridelake.operators.sequences import Sequence
 from stridelake.plans.represent import MOTION
 
@@ -50,23 +51,32 @@ def relabel_between(
     return segments.withColumn("label", F.when((F.col("label") == label) & between, new).otherwise(F.col("label")))
 
 
+_SIGNALS = StructType([
+    StructField(n, DoubleType())
+    for n in (
+        "pelvis_speed_mps", "foot_speed_mean_mps", "pelvis_height_norm", "heading_smooth_deg", "turn_angle_from_start_deg", "turn_speed_deg_s",
+        "distance_from_start_m",
+    )
+])
+_LABELLED = StructType([StructField("label", StringType()), StructField("hesitation", BooleanType()), StructField("segment_no", IntegerType())])
+
+
 def signals(frames: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
     """Frames with the smoothed speeds, normalised height, turn angle and speed that the rules read."""
     speed, heading = frames_of(cfg.speed_sigma_sec, fps, 0), frames_of(cfg.heading_sigma_sec, fps, 0)
     feet = (F.col("left_foot_speed_mps") + F.col("right_foot_speed_mps")) / 2
-    smooth = {
-        "pelvis_speed_mps": ("root_speed_xy_mps", speed), "foot_speed_mean_mps": ("_feet", speed),
-        "_heading": ("heading_unwrapped_deg", heading), "_turning": ("yaw_rate_deg_s", heading),
-    }
-    # In windows, which leave the frames dealt and sorted as they are; a function per sequence would take in every column and deal its rows anew.
-    df = frames.withColumn("_feet", feet)
-    df = df.withColumns({out: S.gaussian_smooth(name, seq, sigma) for out, (name, sigma) in smooth.items()})
-    df = with_normalized_height(df, seq, "pelvis_height_m", "pelvis_height_norm", cfg)
-    df = df.withColumn("heading_smooth_deg", wrap_degrees("_heading"))
-    df = df.withColumn("turn_angle_from_start_deg", F.abs(wrap_degrees(F.col("_heading") - F.first("_heading").over(seq.whole))))
-    df = df.withColumn("turn_speed_deg_s", F.abs("_turning"))
-    x, y = (F.col(f"root_pos_m.{c}") - F.first(f"root_pos_m.{c}").over(seq.whole) for c in "xy")
-    return df.withColumn("distance_from_start_m", F.sqrt(x * x + y * y)).drop("_feet", "_heading", "_turning")
+    inputs = ["root_speed_xy_mps", feet, "heading_unwrapped_deg", "yaw_rate_deg_s", "pelvis_height_m", "root_pos_m.x", "root_pos_m.y"]
+
+    def run(rows: Rows, columns: list[np.ndarray]) -> list[np.ndarray]:
+        *moving, height, x, y = columns
+        pelvis, foot, angle, turning = (rows.smoothed(c, sigma) for c, sigma in zip(moving, (speed, speed, heading, heading), strict=True))
+        low, high = rows.percentiles([height], [cfg.height_low, cfg.height_high])
+        span = rows.greatest(high - low, 1e-4)
+        height = np.where(span < cfg.min_height_span, 0.5, rows.clip((height - low) / span, 0.0, 1.0))
+        x, y = x - x[rows.first], y - y[rows.first]
+        return [pelvis, foot, height, ordered.wrap_degrees(angle), np.abs(ordered.wrap_degrees(angle - angle[rows.first])), np.abs(turning), np.sqrt(x * x + y * y)]
+
+    return ordered.in_order(frames, seq, inputs, run, _SIGNALS)
 
 
 def with_normalized_height(df: DataFrame, seq: Sequence, height: str, out: str, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
@@ -127,30 +137,20 @@ def hesitating(label: np.ndarray, walking: np.ndarray, turning: np.ndarray, leas
 
 
 def label_frames(df: DataFrame, fps: float, seq: Sequence = MOTION, cfg: SegmentConfig = SegmentConfig()) -> DataFrame:
-    """Frames of signals() with label, source_rule, confidence, hesitation and segment_no, counted from 1, judged a sequence at a time.
-
-    All columns pass through the function that judges, so df should hold those alone that are wanted.
-    """
+    """Frames of signals() with label, source_rule, confidence, hesitation and segment_no, counted from 1, judged a sequence at a time."""
     least = frames_of(cfg.hesitation_min_sec, fps)
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(seq.order)
-        height, angle, walking, turning = (
-            table.column(c).to_numpy().astype(float)
-            for c in ("pelvis_height_norm", "turn_angle_from_start_deg", "pelvis_speed_mps", "turn_speed_deg_s")
-        )
-        label = exclusive_labels(height, angle, walking, turning)
-        names = pa.array(LABELS).take(pa.array(label))
-        slow = pa.array(hesitating(label, walking, turning, least, cfg))
-        # Numbered here, as windows over what comes out would deal all frames anew.
-        number = pa.array(np.concatenate([[1], 1 + np.cumsum(label[1:] != label[:-1])]).astype(np.int32))
-        table = table.append_column("label", names).append_column("hesitation", slow)
-        return table.append_column("segment_no", number)
-
-    df = df.drop("segment_no")
-    more = [StructField("label", StringType()), StructField("hesitation", BooleanType()), StructField("segment_no", IntegerType())]
-    out = StructType([*df.schema.fields, *more])
-    df = df.groupBy(*seq.keys).applyInArrow(run, out)
+    def run(rows: Rows, columns: list[np.ndarray]) -> list:
+        label, slow, number = (np.empty(len(rows.at), kind) for kind in (np.int64, bool, np.int32))
+        for a, b in rows.bounds:
+            height, angle, walking, turning = (c[a:b] for c in columns)
+            label[a:b] = exclusive_labels(height, angle, walking, turning)
+            slow[a:b] = hesitating(label[a:b], walking, turning, least, cfg)
+            # Numbered here, as windows over what comes out would deal all frames anew.
+            number[a:b] = np.concatenate([[1], 1 + np.cumsum(label[a + 1 : b] != label[a : b - 1])])
+        return [pa.array(LABELS).take(pa.array(label)), slow, number]
+
+    df = ordered.in_order(df, seq, ["pelvis_height_norm", "turn_angle_from_start_deg", "pelvis_speed_mps", "turn_speed_deg_s"], run, _LABELLED)
     for out, table in (("source_rule", RULES), ("confidence", CONFIDENCE)):
         names = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
         df = df.withColumn(out, names[F.col("label")])
