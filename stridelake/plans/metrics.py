@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stridelake.functions import vectors as V
 from stridelake.functions.scalars import finite, frames_of
-from stridelake.operators import sequences as S
+from stridelake.operators.ordered import Rows, in_order
 from stridelake.operators.sequences import Sequence
 from stridelake.plans.represent import MOTION
 
@@ -16,9 +17,15 @@ CURVES = ["stability", "balance", "symmetry", "coordination", "mobility", "contr
 
 def frame_curves(frames: DataFrame, fps: float, seq: Sequence = MOTION, window_sec: float = 0.8) -> DataFrame:
     """Keys, frame_index, time_s and the six curves; pelvis_roll_deg may be missing, then balance is null."""
-    jerk = V.norm(tuple(S.finite_difference(c, seq, fps) for c in V.unpacked("root_acceleration_mps2")))
     width = max(frames_of(window_sec, fps), 7)
+
+    def run(rows: Rows, columns: list[np.ndarray]) -> list[np.ndarray]:
+        left, right, *moved = columns
+        return [rows.correlation(left, right, width), rows.norm(tuple(rows.difference(c, fps) for c in moved))]
+
+    moved = ["left_foot_speed_mps", "right_foot_speed_mps", *[f"root_acceleration_mps2.{c}" for c in "xyz"]]
     roll = F.abs("pelvis_roll_deg") if "pelvis_roll_deg" in frames.columns else F.lit(None).cast("double")
+    frames = in_order(frames, seq, moved, run, StructType([StructField(n, DoubleType()) for n in ("coordination", "control")]))
     return frames.select(
         *seq.keys,
         "frame_index",
@@ -26,9 +33,9 @@ def frame_curves(frames: DataFrame, fps: float, seq: Sequence = MOTION, window_s
         F.abs("trunk_lean_angle_deg").alias("stability"),
         roll.alias("balance"),
         F.abs(F.col("left_gait_phase") - F.col("right_gait_phase")).cast("double").alias("symmetry"),
-        S.rolling_correlation("left_foot_speed_mps", "right_foot_speed_mps", seq, width).alias("coordination"),
+        "coordination",
         F.col("root_speed_xy_mps").alias("mobility"),
-        jerk.alias("control"),
+        "control",
     )
 
 
