@@ -13,7 +13,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 from stridelake.functions import vectors as V
 from stridelake.functions.scalars import clip, frames_of
 from stridelake.operators import sequences as S
-from stridelake.operators.ordered import Rows, atan2, euler_zyx_degrees, heading_degrees, in_order, placed
+from stridelake.operators.ordered import PLACE, Rows, atan2, euler_zyx_degrees, heading_degrees, in_order, placed
 from stridelake.operators.sequences import Sequence
 
 # Places of the joints in the skeleton of 24.
@@ -172,7 +172,7 @@ def represent(
         root = V.product(V.product(V.matrix_column("r_global"), V.matrix_column("r_total")), V.axis_angle_matrix(pose))
         columns |= {f"pelvis_{name}_deg": angle for name, angle in zip(("roll", "pitch", "yaw"), V.euler_zyx_degrees(root), strict=True)}
     place = [*seq.keys, seq.order]
-    rest = [c for c in canonical.columns if carry and c not in (*place, *columns, *_NUMBERS, *_FLAGS)]
+    rest = [c for c in canonical.columns if (carry or c == PLACE) and c not in (*place, *columns, *_NUMBERS, *_FLAGS)]
     df = canonical.select(*place, *[column.alias(name) for name, column in columns.items()], *rest)
     df = placed(df, seq) if ordered else df
     df = in_order(df, seq, [seq.order, *[f"{n}.{c}" for n in _POINTS for c in "xyz"]], _signals(fps, cfg), _SIGNALS)

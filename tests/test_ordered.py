@@ -86,3 +86,12 @@ def test_filters_see_whole_sequences_and_moved_rows_are_refused(spark, monkeypat
     with pytest.raises(Exception, match="have been moved"):
         ordered.in_order(moved, SEQ, ["v"], total, out).collect()
     assert ordered.in_order(df.limit(0), SEQ, ["v"], total, out).collect() == []
+
+
+@pytest.mark.parametrize("name", ["_walks", "_turns"])
+def test_features_neither_store_nor_join_frames(spark, monkeypatch, name):
+    kept = []
+    monkeypatch.setattr(M, "written", lambda df: kept.append(df.columns) or df.localCheckpoint())
+    text = plan(getattr(M, name)(spark, SMALL))
+    assert kept and not [c for c in kept if "frame_index" in c]
+    assert text.count("Window [") == 1 and text.count("explode(sequence") == 1
