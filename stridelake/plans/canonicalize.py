@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from stridelake.functions import vectors as V
-from stridelake.functions.scalars import clip, frames_of, safe_divide
-from stridelake.operators import aggregates as A
+from stridelake.functions.scalars import clip, frames_of
+from stridelake.operators.ordered import Rows, in_order, percentile
 from stridelake.operators.sequences import Sequence
 from stridelake.plans import represent as R
 from stridelake.sources.stages import written
@@ -50,31 +53,6 @@ def each_joint(df: DataFrame, joints: str, move: Callable[[Column], Column], out
     return df.withColumn(out, F.array(*points)).drop(*[f"_{out}_{k}" for k in range(count)], *[f"_{out}_{k}{c}" for k, c in place])
 
 
-def _rotated(matrix: str, point: V.Vector, scale: str | None = None) -> V.Vector:
-    out = V.times(V.matrix_column(matrix), point)
-    return V.scaled(out, F.col(scale)) if scale else out
-
-
-def body_frames(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
-    """Per sequence r_body, with rows forward, left and up, from component medians over its first frames."""
-    point = lambda k: V.joint("joints_3d", k)
-    hips, shoulders = V.minus(point(R.LEFT_HIP), point(R.RIGHT_HIP)), V.minus(point(R.LEFT_SHOULDER), point(R.RIGHT_SHOULDER))
-    mid = lambda a, b: V.scaled(V.plus(point(a), point(b)), 0.5)
-    up = V.minus(mid(R.LEFT_SHOULDER, R.RIGHT_SHOULDER), mid(R.LEFT_HIP, R.RIGHT_HIP))
-    start = frames.where(F.col(seq.order) < cfg.body_frames)
-    both = start.select(*seq.keys, V.packed(up).alias("up"), F.explode(F.array(V.packed(hips), V.packed(shoulders))).alias("left"))
-    # Each frame stands twice here, which moves no median of its up vector.
-    mids = both.groupBy(*seq.keys).agg(*[F.median(f"{n}.{c}").alias(f"{n}_{c}") for n in ("up", "left") for c in "xyz"])
-    up, _ = V.normalized(tuple(F.col(f"up_{c}") for c in "xyz"), 1e-10)
-    mids = mids.withColumn("_up", V.packed(up))
-    up, raw = V.unpacked("_up"), tuple(F.col(f"left_{c}") for c in "xyz")
-    left, _ = V.normalized(V.minus(raw, V.scaled(up, V.dot(raw, up))), 1e-10)
-    mids = mids.withColumn("_left", V.packed(left))
-    left = V.unpacked("_left")
-    forward, _ = V.normalized(V.cross(left, up), 1e-10)
-    return mids.select(*seq.keys, V.packed_matrix((forward, left, up)).alias("r_body"))
-
-
 def scale_fit(
     frames: DataFrame, targets: dict[str, float] | DataFrame | None, seq: Sequence = R.MOTION, cfg: CanonicalConfig = CanonicalConfig()
 ) -> DataFrame:
@@ -125,39 +103,110 @@ def scale_fit(
     )
 
 
-def floors(frames: DataFrame, fps: float, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
-    """Per sequence r_floor, tilt_before_deg, floor_reason (null if the plane is used) and floor, the plane and how far its points are off. frames: r_body and s_global beside joints_3d."""
-    points = F.array(*[V.packed(_rotated("r_body", V.joint("joints_3d", k), "s_global")) for _, k in SUPPORTS])
-    df = frames.withColumn("_points", points)
-    low = A.lowest_of(*[(n, F.col("_points")[i]["z"]) for i, (n, _) in enumerate(SUPPORTS)])
-    df = df.withColumn("_p", F.get("_points", low["place"])).withColumn("_z", F.col("_p.z"))
-    stride = frames_of(cfg.support_window_sec, fps)
-    cloud = A.lowest_per_window(df, list(seq.keys), seq.order, "_z", stride, cfg.low_share)
-    cloud = written(cloud.select(*seq.keys, F.col("_p.x").alias("x"), F.col("_p.y").alias("y"), F.col("_z").alias("z")))
-    a, b, c, _ = A.plane_fit("x", "y", "z")
-    plane = cloud.groupBy(*seq.keys).agg(a.alias("a"), b.alias("b"), c.alias("c"), F.count("*").alias("n"))
-    off = F.abs(F.col("z") - (F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c")))
-    spread = cloud.join(plane.hint("merge"), list(seq.keys)).groupBy(*seq.keys).agg(
-        F.median(off).alias("residual"), F.avg(off).alias("residual_mean"), F.max(off).alias("residual_max")
-    )
-    plane = plane.join(spread, list(seq.keys), "left")
-    normal, _ = V.normalized((-F.col("a"), -F.col("b"), F.lit(1.0)), 1e-10)
-    plane = plane.withColumn("_normal", V.packed(normal))
-    normal = V.unpacked("_normal")
-    tilt = F.degrees(F.acos(clip(normal[2], -1.0, 1.0)))
-    reason = (
-        F.when((F.col("n") < cfg.min_cloud) | F.col("a").isNull(), "floor_estimation_failed")
-        .when(tilt > cfg.max_tilt_deg, "floor_tilt_above_threshold")
-        .when(F.col("residual") > cfg.max_residual, "floor_median_residual_above_threshold")
-    )
-    plane = plane.withColumn("floor_reason", reason)
-    level = V.rotation_between(normal, V.vector(0, 0, 1))
-    used = F.when(F.col("floor_reason").isNull(), V.packed_matrix(level)).otherwise(V.packed_matrix(V.identity()))
-    floor = F.struct(
-        F.col("n").alias("cloud_count"), "a", "b", "c", F.col("residual").alias("residual_median_m"), F.col("residual_mean").alias("residual_mean_m"),
-        F.col("residual_max").alias("residual_max_m"),
-    )
-    return plane.select(*seq.keys, used.alias("r_floor"), tilt.alias("tilt_before_deg"), "floor_reason", floor.alias("floor"))
+def _unit(v: np.ndarray, eps: float = 1e-10) -> np.ndarray:
+    return v * (1 / max(np.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2]), eps))
+
+
+def _moved(m: np.ndarray, point: V.Vector, scale: float) -> V.Vector:
+    return V.scaled(V.times(m, point), scale)
+
+
+def _scale(at: dict[str, V.Vector], aims: dict[str, float], cfg: CanonicalConfig) -> tuple[float, str, str | None]:
+    """s_global, scale_flag and scale_reason as in scale_fit()."""
+    sound, ratios = lambda c: c[(c > 1e-6) & (c < np.inf)], []
+    for bone, aim in aims.items():
+        side, part = bone.split("_")
+        ends = ("hip", "knee") if part == "thigh" else ("knee", "ankle")
+        away = V.minus(at[f"{side}_{ends[1]}"], at[f"{side}_{ends[0]}"])
+        lengths = sound(np.sqrt(V.dot(away, away)))
+        ratios += list(sound(np.array([aim / np.median(lengths)]))) if len(lengths) else []
+    if len(ratios) < min(max(cfg.min_bones, 1), max(len(aims), 1)):
+        return 1.0, "insufficient_valid_bones", "insufficient_valid_bones"
+    raw = float(np.median(ratios))
+    kept = max(min(raw, cfg.scale_high), cfg.scale_low)
+    return kept, "clipped" if abs(kept - raw) > 1e-8 + 1e-5 * abs(raw) else "ok", None
+
+
+def _body(hips: V.Vector, shoulders: V.Vector, up: V.Vector) -> np.ndarray:
+    """Rows forward, left and up, from component medians over a sequence's first frames."""
+    up = _unit(np.array([np.median(c) for c in up]))
+    left = np.array([np.median(np.concatenate(c)) for c in zip(hips, shoulders, strict=True)])
+    left = _unit(left - up * V.dot(left, up))
+    return np.array([_unit(np.array(V.cross(left, up))), left, up])
+
+
+def _level(normal: np.ndarray, eps: float = 1e-8) -> np.ndarray:
+    """The rotation that takes a unit vector straight up; a half turn about a fixed normal if it points down."""
+    v, c, one = np.array(V.cross(normal, (0.0, 0.0, 1.0))), normal[2], np.eye(3)
+    if c > -1 + eps:
+        k = np.array([[0.0, -v[2], v[1]], [v[2], 0.0, -v[0]], [-v[1], v[0], 0.0]])
+        return one + k + k @ k * (1 / max(1 + c, eps))
+    n = _unit(np.array(V.cross(normal, (1.0, 0.0, 0.0) if abs(normal[0]) < 0.9 else (0.0, 1.0, 0.0))), eps)
+    return 2 * np.outer(n, n) - one
+
+
+def _lowest(z: np.ndarray, order: np.ndarray, stride: int, share: float) -> np.ndarray:
+    """Places of the rows among the lowest ceil(share * n) of their block of `stride` rows, ties by order."""
+    block = np.floor(order / stride)
+    by = np.lexsort((order, z, block))
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(block[by]) != 0]))
+    sizes = np.diff(np.append(edges, len(by)))
+    rank = np.arange(len(by)) - np.repeat(edges, sizes)
+    return by[rank < np.repeat(np.ceil(sizes * share), sizes)]
+
+
+def _plane(x: np.ndarray, y: np.ndarray, z: np.ndarray) -> tuple[float, float, float]:
+    """As aggregates.plane_fit(); NaN without a unique plane."""
+    mx, my, mz = x.mean(), y.mean(), z.mean()
+    x, y, z = x - mx, y - my, z - mz
+    xx, yy, xy, xz, yz = (float((a * b).mean()) for a, b in ((x, x), (y, y), (x, y), (x, z), (y, z)))
+    det = xx * yy - xy * xy
+    if not det > 1e-12 * max(xx * yy, 1e-300):
+        return np.nan, np.nan, np.nan
+    a, b = (xz * yy - yz * xy) / det, (yz * xx - xz * xy) / det
+    return a, b, mz - a * mx - b * my
+
+
+def _floor(points: list[V.Vector], order: np.ndarray, fps: float, cfg: CanonicalConfig) -> tuple[np.ndarray, float, str | None, list[float]]:
+    """r_floor, tilt, the reason why the plane isn't used, and the plane with its count and how far its points are off."""
+    first = np.argmin([np.where(np.isnan(p[2]), np.inf, p[2]) for p in points], axis=0)
+    x, y, z = (np.choose(first, c) for c in zip(*points, strict=True))
+    low = _lowest(z, order, frames_of(cfg.support_window_sec, fps), cfg.low_share)
+    x, y, z = x[low], y[low], z[low]
+    a, b, c = _plane(x, y, z)
+    off = np.abs(z - (a * x + b * y + c))
+    numbers = [float(len(low)), a, b, c, float(np.median(off)), float(off.mean()), float(off.max())]
+    normal = _unit(np.array([-a, -b, 1.0]))
+    tilt = float(np.degrees(np.arccos(np.clip(normal[2], -1.0, 1.0))))
+    if len(low) < cfg.min_cloud or np.isnan(a):
+        reason = "floor_estimation_failed"
+    elif tilt > cfg.max_tilt_deg:
+        reason = "floor_tilt_above_threshold"
+    else:
+        reason = "floor_median_residual_above_threshold" if numbers[4] > cfg.max_residual else None
+    return np.eye(3) if reason else _level(normal), tilt, reason, numbers
+
+
+def _yaw(x: np.ndarray, y: np.ndarray, ahead: np.ndarray, cfg: CanonicalConfig) -> tuple[np.ndarray, str | None]:
+    """r_yaw and the reason why the path's axis isn't used."""
+    n, dx, dy = len(x), x - x.mean(), y - y.mean()
+    ax, ay, share = 1.0, 0.0, 0.0
+    if n > 1:
+        xx, yy, xy = (float((a * b).sum()) / (n - 1) for a, b in ((dx, dx), (dy, dy), (dx, dy)))
+        half, gap, angle = (xx + yy) / 2, (xx - yy) / 2, 0.5 * np.arctan2(2 * xy, xx - yy)
+        ax, ay = float(np.cos(angle)), float(np.sin(angle))
+        share = (half + np.sqrt(gap * gap + xy * xy)) / (xx + yy) if xx + yy else 0.0
+    along = np.sort(x * ax + y * ay)
+    along = along[np.isfinite(along)]
+    wide = percentile(along, 0.95) - percentile(along, 0.05) if len(along) else np.nan
+    nx, ny, path = x[-1] - x[0], y[-1] - y[0], float(np.sqrt(np.diff(x) ** 2 + np.diff(y) ** 2).sum())
+    net = np.sqrt(nx * nx + ny * ny)
+    by_net = net / max(path, 1e-10) >= cfg.min_net_share and net > 1e-10
+    against = ax * nx + ay * ny if by_net else ax * ahead[0][0] + ay * ahead[1][0]
+    sign = -1.0 if against < 0 else 1.0
+    reason = "pca_variance_below_threshold" if share < cfg.min_variance_share else "robust_range_below_threshold" if wide < cfg.min_range else None
+    c, s = ax * sign, ay * sign
+    return np.eye(3) if reason else np.array([[c, s, 0.0], [-s, c, 0.0], [0.0, 0.0, 1.0]]), reason
 
 
 def support_metrics(frames: DataFrame, seq: Sequence = R.MOTION, joints: str = "joints_3d") -> DataFrame:
@@ -185,36 +234,10 @@ def support_metrics(frames: DataFrame, seq: Sequence = R.MOTION, joints: str = "
     return out.withColumn("warnings", F.array_compact(F.array(F.when(F.col("finite_ratio") < 1, "support_points_nonfinite"))))
 
 
-def yaws(frames: DataFrame, seq: Sequence, cfg: CanonicalConfig) -> DataFrame:
-    """Per sequence r_yaw and yaw_reason (null if the path's axis is used). frames: root x, y as _x, _y and r_floor."""
-    before = seq.window
-    step = F.sqrt(F.pow(F.col("_x") - F.lag("_x").over(before), 2) + F.pow(F.col("_y") - F.lag("_y").over(before), 2))
-    axis_x, axis_y, share = A.principal_axis("_x", "_y")
-    path = frames.withColumn("_d", step).groupBy(*seq.keys).agg(
-        axis_x.alias("ax"), axis_y.alias("ay"), share.alias("share"), F.sum("_d").alias("path"),
-        (F.max_by("_x", seq.order) - F.min_by("_x", seq.order)).alias("nx"),
-        (F.max_by("_y", seq.order) - F.min_by("_y", seq.order)).alias("ny"),
-        F.first("r_floor").alias("r_floor"),
-    )
-    path = path.withColumn("ax", F.coalesce("ax", F.lit(1.0))).withColumn("ay", F.coalesce("ay", F.lit(0.0)))
-    along = F.col("_x") * F.col("ax") + F.col("_y") * F.col("ay")
-    spread = frames.join(path.select(*seq.keys, "ax", "ay").hint("merge"), list(seq.keys)).groupBy(*seq.keys).agg(A.robust_range(along).alias("range"))
-    path = path.join(spread, list(seq.keys))
-    net = F.sqrt(F.col("nx") * F.col("nx") + F.col("ny") * F.col("ny"))
-    by_net = (safe_divide(net, F.greatest(F.coalesce("path", F.lit(0.0)), F.lit(1e-10))) >= cfg.min_net_share) & (net > 1e-10)
-    ahead_x, ahead_y = F.col("r_floor")[0][0], F.col("r_floor")[1][0]
-    against = F.when(by_net, F.col("ax") * F.col("nx") + F.col("ay") * F.col("ny")).otherwise(
-        F.col("ax") * ahead_x + F.col("ay") * ahead_y
-    )
-    sign = F.when(against < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    reason = F.when(F.coalesce("share", F.lit(0.0)) < cfg.min_variance_share, "pca_variance_below_threshold").when(
-        F.col("range") < cfg.min_range, "robust_range_below_threshold"
-    )
-    path = path.withColumn("yaw_reason", reason).withColumn("_c", F.col("ax") * sign).withColumn("_s", F.col("ay") * sign)
-    c, s, zero, one = F.col("_c"), F.col("_s"), F.lit(0.0), F.lit(1.0)
-    turn = V.packed_matrix(((c, s, zero), (-s, c, zero), (zero, zero, one)))
-    used = F.when(F.col("yaw_reason").isNull(), turn).otherwise(V.packed_matrix(V.identity()))
-    return path.select(*seq.keys, used.alias("r_yaw"), "yaw_reason")
+_SOLVED = [
+    *[f"_{n}{i}{k}" for n in ("r_body", "r_floor", "r_yaw", "r_global") for i in range(3) for k in range(3)], "_tx", "_ty", "_tz", "_tilt", "_cloud",
+    *[f"_{n}" for n in ("a", "b", "c", "residual_median_m", "residual_mean_m", "residual_max_m")], "_scale",
+]
 
 
 def solve_transforms(
@@ -227,29 +250,69 @@ def solve_transforms(
     should be scaled to one.
     """
     keys = list(seq.keys)
-    # Each step ends in a table of a row per sequence: one plan of all would hold the sorts of every join at once in each task.
-    fitted = scale_fit(frames, targets, seq, cfg).select(*keys, "s_global", "scale_flag", "scale_reason")
     # Tables of a row per sequence are merged with the frames, as these are never to be broadcast or dealt anew.
-    solved = written(body_frames(frames, seq, cfg).join(fitted.hint("merge"), keys))
-    solved = solved.join(floors(frames.join(solved.hint("merge"), keys), fps, seq, cfg), keys)
-    level = V.product(V.matrix_column("r_floor"), V.matrix_column("r_body"))
-    solved = written(solved.withColumn("_level", V.packed_matrix(level)))
-    here = frames.join(solved.hint("merge"), keys)
-    x, y, _ = _rotated("_level", V.unpacked("trans_canonical"), "s_global")
-    roots = here.select(*keys, seq.order, "r_floor", x.alias("_x"), y.alias("_y"))
-    solved = solved.join(yaws(roots, seq, cfg), keys)
-    solved = written(solved.withColumn("r_global", V.packed_matrix(V.product(V.matrix_column("r_yaw"), V.matrix_column("_level")))))
-    here = frames.join(solved.select(*keys, "r_global", "s_global").hint("merge"), keys)
-    root = V.packed(_rotated("r_global", V.unpacked("trans_canonical"), "s_global"))
-    heights = F.array(*[_rotated("r_global", V.joint("joints_3d", k), "s_global")[2] for _, k in SUPPORTS])
-    # A frame stands here once for each support, which doesn't change which root comes first.
-    here = here.select(*keys, seq.order, root.alias("_root"), F.explode(heights).alias("_z"))
-    placed = here.groupBy(*keys).agg(F.min_by("_root", seq.order).alias("_root"), F.percentile("_z", cfg.ground_percentile).alias("_ground"))
-    solved = solved.join(placed, keys)
-    t = F.struct((-F.col("_root.x")).alias("x"), (-F.col("_root.y")).alias("y"), (-F.col("_ground")).alias("z"))
+    fitted = ["s_global", "scale_flag", "scale_reason"]
+    if isinstance(targets, DataFrame):
+        here = frames.join(written(scale_fit(frames, targets, seq, cfg).select(*keys, *fitted)).hint("merge"), keys)
+        aims = None
+    else:
+        # Lengths that hold for all sequences need no pass of their own.
+        here = frames.withColumns({"s_global": F.lit(1.0), **{n: F.lit(None).cast("string") for n in fitted[1:]}})
+        aims = {n: float(targets[n]) for n in BONES if n in (targets or {})}
+    joints = {"left_hip": R.LEFT_HIP, "right_hip": R.RIGHT_HIP, "left_shoulder": R.LEFT_SHOULDER, "right_shoulder": R.RIGHT_SHOULDER, **dict(SUPPORTS)}
+    joints |= {f"{side}_knee": k for side, k in (("left", R.LEFT_KNEE), ("right", R.RIGHT_KNEE)) if aims}
+    points = [*[F.col("trans_canonical")[c] for c in "xyz"], *[c for k in joints.values() for c in V.joint("joints_3d", k)]]
+    # Rows are sorted without the joints that aren't read.
+    here = here.select(*keys, seq.order, *fitted, *[c.alias(f"_p{k}") for k, c in enumerate(points)])
+    inputs, names = [seq.order, "s_global", *[f"_p{k}" for k in range(len(points))]], list(joints)
+
+    told = ["floor_reason", "yaw_reason", "_scale_flag", "_scale_reason"]
+
+    def run(rows: Rows, columns: list[np.ndarray]) -> list:
+        out = {n: np.full(len(rows.at), np.nan) for n in _SOLVED}
+        begins, reasons = np.zeros(len(rows.at), bool), {n: [None] * len(rows.at) for n in told}
+        for a, b in rows.bounds:
+            order, scale, *flat = (c[a:b] for c in columns)
+            if rows.absent[a]:
+                # A frame of which a point is missing tells nothing.
+                sound = ~np.isnan(flat).any(axis=0)
+                order, scale, *flat = (c[sound] for c in (order, scale, *flat))
+            if not (order < cfg.body_frames).any():
+                continue
+            root = tuple(flat[:3])
+            at = {n: tuple(flat[3 * k + 3 : 3 * k + 6]) for k, n in enumerate(names)}
+            scale, scale_flag, scale_reason = _scale(at, aims, cfg) if aims else (float(scale[0]), None, None)
+            start = {n: tuple(c[order < cfg.body_frames] for c in p) for n, p in at.items() if "hip" in n or "shoulder" in n}
+            mid = lambda n, p: V.scaled(V.plus(p[f"left_{n}"], p[f"right_{n}"]), 0.5)
+            across = lambda n, p: V.minus(p[f"left_{n}"], p[f"right_{n}"])
+            body = _body(across("hip", start), across("shoulder", start), V.minus(mid("shoulder", start), mid("hip", start)))
+            supports = [at[n] for n, _ in SUPPORTS]
+            floor, tilt, floor_reason, numbers = _floor([_moved(body, p, scale) for p in supports], order, fps, cfg)
+            level = np.array([[V.dot(row, c) for c in body.T] for row in floor])
+            x, y, _ = _moved(level, root, scale)
+            yaw, yaw_reason = _yaw(x, y, floor, cfg)
+            turn = np.array([[V.dot(row, c) for c in level.T] for row in yaw])
+            first = _moved(turn, tuple(float(c[0]) for c in root), scale)
+            heights = np.sort(np.concatenate([_moved(turn, p, scale)[2] for p in supports]))
+            ground = percentile(heights, cfg.ground_percentile)
+            found = [*body.flat, *floor.flat, *yaw.flat, *turn.flat, -first[0], -first[1], -ground, tilt, *numbers, scale]
+            begins[a] = True
+            for n, why in zip(told, (floor_reason, yaw_reason, scale_flag, scale_reason), strict=True):
+                reasons[n][a] = why
+            for n, value in zip(_SOLVED, found, strict=True):
+                out[n][a] = value
+        return [begins, *[pa.array(c, type=pa.string()) for c in reasons.values()], *[pa.array(c, mask=np.isnan(c)) for c in out.values()]]
+
+    kinds = [StructField("_begins", BooleanType()), *[StructField(n, StringType()) for n in told]]
+    made = StructType([*kinds, *[StructField(n, DoubleType()) for n in _SOLVED]])
+    solved = in_order(here, seq, inputs, run, made).where("_begins")
+    matrix = lambda n: V.packed_matrix(tuple(tuple(F.col(f"_{n}{i}{k}") for k in range(3)) for i in range(3))).alias(n)
+    numbers = ["a", "b", "c", "residual_median_m", "residual_mean_m", "residual_max_m"]
+    floor = F.struct(F.col("_cloud").cast("long").alias("cloud_count"), *[F.col(f"_{n}").alias(n) for n in numbers])
     return written(solved.select(
-        *keys, "r_global", "s_global", t.alias("t_global"), "r_body", "r_floor", "r_yaw", "tilt_before_deg", "floor_reason", "yaw_reason",
-        "scale_flag", "scale_reason", "floor",
+        *keys, matrix("r_global"), F.col("_scale").alias("s_global"), F.struct(*[F.col(f"_t{c}").alias(c) for c in "xyz"]).alias("t_global"), matrix("r_body"), matrix("r_floor"),
+        matrix("r_yaw"), F.col("_tilt").alias("tilt_before_deg"), "floor_reason", "yaw_reason",
+        *[F.coalesce(f"_{n}", n).alias(n) for n in fitted[1:]], floor.alias("floor"),
     ))
 
 

@@ -95,3 +95,18 @@ def test_features_neither_store_nor_join_frames(spark, monkeypatch, name):
     text = plan(getattr(M, name)(spark, SMALL))
     assert kept and not [c for c in kept if "frame_index" in c]
     assert text.count("Window [") == 1 and text.count("explode(sequence") == 1
+
+
+def test_transforms_are_solved_in_one_pass(spark, monkeypatch):
+    from stridelake.plans import canonicalize as C
+
+    kept = []
+    monkeypatch.setattr(C, "written", lambda df: kept.append(df.columns) or df)
+    rows = motion.rows("walk", motion.walk(1.0)) + [(*r[:4], [(0.0, 0.0, 0.0)] * 24, r[5]) for r in motion.rows("flat", motion.walk(1.0))]
+    schema = motion.SCHEMA.replace("joints_can", "joints_3d").replace("trans_can", "trans_canonical")
+    frames, names = spark.createDataFrame(rows, schema), ["trial_id", "s_global", "scale_flag", "scale_reason"]
+    for targets in ({"left_thigh": 0.45, "left_shank": 0.4}, {"left_thigh": 9.0, "right_thigh": 9.0}, None):
+        want = sorted(map(tuple, C.scale_fit(frames, targets).select(names).collect()), key=str)
+        got = sorted(map(tuple, C.solve_transforms(frames, motion.FPS, targets).select(names).collect()), key=str)
+        assert [r[2:] for r in got] == [r[2:] for r in want] and [r[1] for r in got] == pytest.approx([r[1] for r in want])
+    assert len(kept) == 3
