@@ -349,11 +349,12 @@ def transform_checks(canonical: DataFrame, seq: Sequence = R.MOTION, cfg: Canoni
     heights = F.array(*[F.col("joints_can")[k]["z"] for _, k in SUPPORTS])
     finite = F.forall("joints_can", lambda p: F.abs(p["x"] + p["y"] + p["z"]) < float("inf")) & (F.abs(V.norm(V.unpacked("trans_can"))) < float("inf"))
     first = F.min_by("trans_can", seq.order)
-    ground = canonical.select(*seq.keys, F.explode(heights).alias("_z")).groupBy(*seq.keys).agg(
-        F.percentile("_z", cfg.ground_percentile).alias("ground_z_percentile_m")
-    )
-    out = canonical.groupBy(*seq.keys).agg(
-        F.bool_and(F.coalesce(finite, F.lit(False))).alias("all_outputs_finite"), F.first("s_global").alias("s_global"), first.alias("_root"),
+    # In one pass: a frame stands here once for each support, which changes neither what is first nor whether all are finite.
+    rows = canonical.select(
+        *seq.keys, seq.order, finite.alias("_finite"), "trans_can", "s_global", "r_global", "r_body", "tilt_before_deg", "floor_reason", F.explode(heights).alias("_z")
+    )
+    out = rows.groupBy(*seq.keys).agg(
+        F.percentile("_z", cfg.ground_percentile).alias("ground_z_percentile_m"), F.bool_and(F.coalesce("_finite", F.lit(False))).alias("all_outputs_finite"), F.first("s_global").alias("s_global"), first.alias("_root"),
         F.first("r_global").alias("_r"), F.first("r_body").alias("_b"), F.first("tilt_before_deg").alias("floor_tilt_before_deg"),
         F.first("floor_reason").isNull().alias("floor_alignment_enabled"),
     )
@@ -368,4 +369,4 @@ def transform_checks(canonical: DataFrame, seq: Sequence = R.MOTION, cfg: Canoni
             "det_r_global": V.determinant(V.matrix_column("_r")), "body_up_after_error": apart, "body_up_after_angle_deg": angle,
         }
     )
-    return out.join(ground, list(seq.keys)).drop("_root", "_r", "_b", "_up")
+    return out.drop("_root", "_r", "_b", "_up")

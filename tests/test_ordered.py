@@ -110,3 +110,9 @@ def test_transforms_are_solved_in_one_pass(spark, monkeypatch):
         got = sorted(map(tuple, C.solve_transforms(frames, motion.FPS, targets).select(names).collect()), key=str)
         assert [r[2:] for r in got] == [r[2:] for r in want] and [r[1] for r in got] == pytest.approx([r[1] for r in want])
     assert len(kept) == 3
+
+
+def test_transform_checks_read_frames_once(spark):
+    from stridelake.plans import contract_queries
+
+    assert plan(contract_queries.queries()["transform_checks"](spark, SMALL)).count("explode(sequence") == 1
